@@ -145,3 +145,38 @@ def aligned_metrics(samples: DataFrame, half_window: int = 30,
             .select("server", "day", "rn", "time", "filewrites", "filereads", "CPU",
                     "diskIOBW", "net_bytes",
                     (F.col("CPU_time").isNotNull() & F.col("_ok")).alias("complete")))
+
+
+def common_start(samples: DataFrame) -> DataFrame:
+    """Per day, the later of the first write and the first read time."""
+    site = samples.where(F.col("server").isNull())
+    g = site.groupBy("day").agg(
+        F.min(F.when(F.col("metric") == "filewrites", F.col("epoch"))).alias("_w"),
+        F.min(F.when(F.col("metric") == "filereads", F.col("epoch"))).alias("_r"))
+    return (g.where(F.col("_w").isNotNull() & F.col("_r").isNotNull())
+            .select("day", F.greatest("_w", "_r").alias("start_epoch")))
+
+
+def server_fanout(samples: DataFrame) -> DataFrame:
+    """Copy each site-wide sample to every server with data that day.
+
+    An equi-join on ``day`` with the distinct server-days (no cross join)."""
+    sd = samples.where(F.col("server").isNotNull()).select("server", "day").distinct()
+    site = samples.where(F.col("server").isNull()).drop("server")
+    return site.join(sd, "day")
+
+
+def empty_groups(samples: DataFrame) -> DataFrame:
+    """K2: server-days that would write an empty file (some series has no
+    sample), with the counts that say which."""
+    srv = (samples.where(F.col("server").isNotNull())
+           .groupBy("server", "day")
+           .agg(F.count_if(F.col("metric") == "CPU").alias("n_CPU"),
+                F.count_if(F.col("metric") == "diskIOBW").alias("n_diskIOBW"),
+                F.count_if(F.col("metric") == "net_bytes").alias("n_net_bytes")))
+    site = (samples.where(F.col("server").isNull()).groupBy("day")
+            .agg(F.count_if(F.col("metric") == "filewrites").alias("n_filewrites"),
+                 F.count_if(F.col("metric") == "filereads").alias("n_filereads")))
+    j = srv.join(site, "day", "left").fillna(0, ["n_filewrites", "n_filereads"])
+    counts = ["n_CPU", "n_diskIOBW", "n_net_bytes", "n_filewrites", "n_filereads"]
+    return j.where(F.least(*[F.col(c) for c in counts]) == 0).select("server", "day", *counts)

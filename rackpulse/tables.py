@@ -99,3 +99,39 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.date_format("ts", "yyyy-MM-dd")).alias("path"),
         line.alias("value"),
     )
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clustering job requests derived from ``purchase`` events.
+
+    Dates are the event's day, with deliberate faults by ``event_id``: month
+    13, 29-31 February, a non-leap 29 February, a future year, no zero
+    padding, a missing start; ends are missing, not a date, or before the start.
+    """
+    ev = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase") \
+        .select("event_id", "user_id", "ts")
+    i = F.col("event_id")
+    y, m, d = F.year("ts"), F.month("ts"), F.dayofmonth("ts")
+    start = (F.when(i % 10 == 0, F.format_string("%04d-%02d-%02d", y, m + 12, d))
+             .when(i % 10 == 1, F.format_string("%04d-02-%02d", y, 29 + i % 3))
+             .when(i % 10 == 2, F.format_string("%04d-02-29", y - 1))
+             .when(i % 10 == 3, F.format_string("%04d-%02d-%02d", y + 5, m, d))
+             .when(i % 10 == 4, F.format_string("%d-%d-%d", y, m, d))
+             .when(i % 10 == 5, F.lit(None).cast("string"))
+             .otherwise(F.date_format("ts", "yyyy-MM-dd")))
+    day = F.to_date("ts")
+    end = (F.when(i % 4 == 0, F.lit(None).cast("string"))
+           .when(i % 4 == 1, F.lit("soon"))
+           .when(i % 4 == 2, F.date_format(F.date_add(day, (i % 5).cast("int")), "yyyy-MM-dd"))
+           .otherwise(F.date_format(F.date_sub(day, 2), "yyyy-MM-dd")))
+    server = F.when(i % 23 != 0, F.format_string("sense%d", (F.col("user_id") % N_SERVERS).cast("int")))
+    return ev.select(i.alias("request_id"), server.alias("server"),
+                     start.alias("start_date"), end.alias("end_date"))
+
+
+def daily_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-server samples pre-aggregated per (server, day): the data side of
+    request joins."""
+    s = metric_samples(spark, sf_dir).where(F.col("server").isNotNull())
+    return s.groupBy("server", "day").agg(F.count(F.lit(1)).alias("n_samples"),
+                                          F.sum("value").alias("total"))
