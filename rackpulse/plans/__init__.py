@@ -1,6 +1,6 @@
 """Registered queries (``QUERIES``) and their DuckDB oracles (``ORACLES``)."""
 
-from . import q_align, q_select, q_shelf  # noqa: F401  (register queries)
+from . import q_align, q_cluster, q_select, q_shelf, q_view  # noqa: F401  (register queries)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]

@@ -16,7 +16,7 @@ def r6(c):
     return F.round(c, 6)
 
 
-@query("aligned_metrics", f"""
+ALIGNED_SQL = f"""
 WITH {SAMPLES_CTE},
 fw AS (SELECT day, epoch, value, row_number() OVER (PARTITION BY day ORDER BY epoch) AS rn
        FROM samples WHERE metric = 'filewrites'),
@@ -67,7 +67,10 @@ LEFT JOIN dmean dm ON g.server = dm.server AND g.day = dm.day AND g.rn = dm.rn
 LEFT JOIN nmean nm ON g.server = nm.server AND g.day = nm.day AND g.rn = nm.rn
 JOIN dnext dn ON g.server = dn.server AND g.day = dn.day AND g.rn = dn.rn
 JOIN nnext nn ON g.server = nn.server AND g.day = nn.day AND g.rn = nn.rn
-""")
+"""
+
+
+@query("aligned_metrics", ALIGNED_SQL)
 def q_aligned_metrics(spark, sf_dir):
     out = align.aligned_metrics(T.metric_samples(spark, sf_dir), HALF_WINDOW)
     return out.select("server", "day", "rn", "time",
