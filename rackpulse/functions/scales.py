@@ -47,7 +47,7 @@ def piecewise(x: Column, domain: Sequence[float], rng: Sequence[float], clamp: b
 
 def log_scale(x: Column, d0, d1, r0: float, r1: float, base: float = 10.0) -> Column:
     """Linear on log(x)."""
-    lg = lambda c: F.log(F.lit(float(base)), c)
+    lg = lambda c: F.log(float(base), c)
     d0, d1 = F.lit(d0) if not isinstance(d0, Column) else d0, F.lit(d1) if not isinstance(d1, Column) else d1
     return linear(lg(x), lg(d0), lg(d1), r0, r1)
 
