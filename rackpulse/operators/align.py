@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .series import DEFAULT_CHUNK_SECONDS, asof_next, ordered_index
+from .series import DEFAULT_CHUNK_SECONDS, asof_next, forward_fill, ordered_index
 
 SITE = -1  # key of site-wide series inside the ordered helpers
 
@@ -117,34 +117,96 @@ def aligned_metrics(samples: DataFrame, half_window: int = 30,
     ``samples`` is ``metric_samples(server, metric, day, epoch, value)`` with
     unique epochs per series. Output: server, day, rn, time, filewrites,
     filereads, CPU, diskIOBW, net_bytes, complete.
+
+    Plan: the site-wide grid is built once per day (positional pairing of the
+    ranked write and read series) and fanned out to the server-days that have
+    data; then grid rows (at t), cut rows (at t + h) and the samples form one
+    union that is sorted once per (server, day, time chunk). One forward fill
+    gives every grid row its CPU sample, every cut row the next disk/net sample
+    and every sample its bucket (the first cut strictly after it); one
+    aggregate per grid row then assembles the wide row.
+
+    Every branch reads ``samples`` through conditional aggregates rather than
+    filters on its keys, so Catalyst cannot push a filter under the samples
+    aggregate: its shuffle is shared by all branches and the source is read
+    once.
     """
-    site = samples.where(F.col("server").isNull())
-    grid_site = positional_join(site.where(F.col("metric") == "filewrites"),
-                                site.where(F.col("metric") == "filereads"), chunk_seconds)
-    limits = shortest_truncate(samples).where(F.col("keylimit") > 0).select("server", "day", "keylimit")
+    site = F.col("server").isNull()
+    metric = F.col("metric")
+    # positional pairing (J1): i-th write with i-th read of the day
+    ranked = series_rank(samples, chunk_seconds)
+    site_series = ranked.where(F.when(site, metric).isin("filewrites", "filereads"))
+    grid_site = (site_series.groupBy("day", "rn")
+                 .agg(F.max(F.when(metric == "filewrites", F.col("epoch"))).alias("time"),
+                      F.max(F.when(metric == "filewrites", F.col("value"))).alias("filewrites"),
+                      F.max(F.when(metric == "filereads", F.col("value"))).alias("filereads"))
+                 .where(F.col("time").isNotNull() & F.col("filereads").isNotNull()))
+    # truncation to the shortest series (J2); server-days lacking a series drop out
+    site_n = samples.groupBy("day").agg(
+        F.count_if(site & (metric == "filewrites")).alias("n_filewrites"),
+        F.count_if(site & (metric == "filereads")).alias("n_filereads"))
+    srv_n = samples.groupBy("server", "day").agg(
+        *[F.count_if(~site & (metric == m)).alias("n_" + m) for m in ("CPU", "diskIOBW", "net_bytes")])
+    limits = (srv_n.join(site_n, "day")
+              .select("server", "day", F.least("n_CPU", "n_diskIOBW", "n_net_bytes", "n_filewrites",
+                                               "n_filereads").alias("keylimit"))
+              .where(F.col("keylimit") > 0))
     # fan the site-wide grid out to the servers that have data that day
     grid = (grid_site.join(limits, "day")
             .where(F.col("rn") <= F.col("keylimit"))
             .select("server", "day", "rn", "time", "filewrites", "filereads"))
-    per_server = samples.where(F.col("server").isNotNull())
-    keys = ["server", "day"]
-    cpu = asof_forward(grid.select(*keys, "rn", "time"),
-                       per_server.where(F.col("metric") == "CPU"), keys, out="CPU",
-                       chunk_seconds=chunk_seconds)
-    bm = bucket_mean(
-        grid.select(*keys, "rn", "time",
-                    F.explode(F.array(F.lit("diskIOBW"), F.lit("net_bytes"))).alias("metric")),
-        per_server.where(F.col("metric").isin("diskIOBW", "net_bytes")),
-        keys + ["metric"], half_window, chunk_seconds=chunk_seconds)
-    wide = (bm.groupBy(*keys, "rn")
-            .agg(F.max(F.when(F.col("metric") == "diskIOBW", F.col("value"))).alias("diskIOBW"),
-                 F.max(F.when(F.col("metric") == "net_bytes", F.col("value"))).alias("net_bytes"),
-                 F.bool_and("value_ok").alias("_ok")))
-    return (grid.join(cpu.select(*keys, "rn", "CPU", "CPU_time"), keys + ["rn"])
-            .join(wide, keys + ["rn"])
-            .select("server", "day", "rn", "time", "filewrites", "filereads", "CPU",
-                    "diskIOBW", "net_bytes",
-                    (F.col("CPU_time").isNotNull() & F.col("_ok")).alias("complete")))
+
+    def sample_of(m):
+        return F.when(~site & (metric == m), F.struct(F.col("epoch").alias("t"), F.col("value").alias("v")))
+
+    none_s = F.lit(None).cast("struct<t:bigint,v:double>")
+    lookups = grid.select(
+        "server", "day", F.explode(F.array(
+            F.struct(F.lit("grid").alias("role"), F.col("time").alias("t")),
+            F.struct(F.lit("cut").alias("role"), (F.col("time") + F.lit(half_window)).alias("t")))).alias("_r"),
+        "rn", "time", "filewrites", "filereads")
+    lookups = lookups.select(
+        "server", "day", F.col("_r.role").alias("role"), F.col("_r.t").alias("t"), F.lit(0).alias("tie"),
+        "rn", "time", "filewrites", "filereads", F.lit(None).cast("string").alias("metric"),
+        F.lit(None).cast("double").alias("value"),
+        none_s.alias("cpu"), none_s.alias("disk"), none_s.alias("net"),
+        F.when(F.col("_r.role") == "cut", F.col("rn")).alias("cut_rn"))
+    # site-wide samples ride along under a null server and never meet a lookup
+    samp = samples.select(
+        "server", "day", F.lit("sample").alias("role"), F.col("epoch").alias("t"), F.lit(1).alias("tie"),
+        F.lit(None).cast("int").alias("rn"), F.lit(None).cast("long").alias("time"),
+        F.lit(None).cast("double").alias("filewrites"), F.lit(None).cast("double").alias("filereads"),
+        "metric", "value", sample_of("CPU").alias("cpu"), sample_of("diskIOBW").alias("disk"),
+        sample_of("net_bytes").alias("net"), F.lit(None).cast("int").alias("cut_rn"))
+    filled = forward_fill(lookups.unionByName(samp), ["server", "day"], "t", "tie",
+                          ["cpu", "disk", "net", "cut_rn"], chunk_seconds=chunk_seconds)
+    role = F.col("role")
+    k = F.when(role == "sample", F.col("next_cut_rn")).otherwise(F.col("rn"))
+    is_grid, is_cut, is_sample = role == "grid", role == "cut", role == "sample"
+
+    def from_role(cond, c):
+        return F.max(F.when(cond, c))
+
+    agg = (filled.withColumn("_k", k).where(F.col("_k").isNotNull())
+           .groupBy("server", "day", "_k")
+           .agg(from_role(is_grid, F.col("time")).alias("time"),
+                from_role(is_grid, F.col("filewrites")).alias("filewrites"),
+                from_role(is_grid, F.col("filereads")).alias("filereads"),
+                from_role(is_grid, F.col("next_cpu")["v"]).alias("CPU"),
+                from_role(is_grid, F.col("next_cpu")["t"]).alias("_cpu_t"),
+                from_role(is_cut, F.col("next_disk")["v"]).alias("_dnext"),
+                from_role(is_cut, F.col("next_disk")["t"]).alias("_dnext_t"),
+                from_role(is_cut, F.col("next_net")["v"]).alias("_nnext"),
+                from_role(is_cut, F.col("next_net")["t"]).alias("_nnext_t"),
+                F.avg(F.when(is_sample & (metric == "diskIOBW"), F.col("value"))).alias("_dm"),
+                F.avg(F.when(is_sample & (metric == "net_bytes"), F.col("value"))).alias("_nm"),
+                F.max(is_grid.cast("int")).alias("_has_grid")))
+    return (agg.where(F.col("_has_grid") == 1)
+            .select("server", "day", F.col("_k").cast("int").alias("rn"), "time", "filewrites", "filereads",
+                    "CPU", F.coalesce("_dm", "_dnext").alias("diskIOBW"),
+                    F.coalesce("_nm", "_nnext").alias("net_bytes"),
+                    (F.col("_cpu_t").isNotNull() & F.col("_dnext_t").isNotNull()
+                     & F.col("_nnext_t").isNotNull()).alias("complete")))
 
 
 def common_start(samples: DataFrame) -> DataFrame:

@@ -41,7 +41,8 @@ def ordered_index(df: DataFrame, keys: Sequence[str], t: str, out: str = "rn",
     earlier chunks of the key, so no task holds more than one chunk.
     """
     keys = list(keys)
-    d = df.withColumn(_CH, _chunk(F.col(t), chunk_seconds))
+    # one shuffle on (keys, chunk) feeds both the local numbering and the counts
+    d = df.withColumn(_CH, _chunk(F.col(t), chunk_seconds)).repartition(*keys, _CH)
     order = [F.col(t)] + [F.col(c) for c in tiebreak]
     local = d.withColumn("_lrn", F.row_number().over(
         Window.partitionBy(*keys, _CH).orderBy(*order)))
@@ -60,47 +61,58 @@ def asof_next(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t: st
     with ``right_t >= left_t`` (``>`` when ``strict``).
 
     Adds ``prefix + c`` for ``right_t`` and every payload column (null when no
-    such row exists). Left rows are kept one for one.
+    such row exists). Left rows are kept one for one. Built as one union and
+    one ``forward_fill`` (a single sort per key and time chunk).
     """
     keys = list(keys)
     left_cols = [c for c in left.columns if c not in keys]
     pay_cols = [right_t] + [c for c in payload if c != right_t]
     pay_type = right.select(F.struct(*pay_cols).alias("p")).schema["p"].dataType
     left_type = left.select(F.struct(*left_cols).alias("l")).schema["l"].dataType
-
-    lpart = left.select(*keys, F.col(left_t).alias("_t"), F.lit(0).alias("_kind"),
-                        F.struct(*left_cols).alias("_left"),
-                        F.lit(None).cast(pay_type).alias("_pay"))
-    rpart = right.select(*keys, F.col(right_t).alias("_t"), F.lit(1).alias("_kind"),
-                         F.lit(None).cast(left_type).alias("_left"),
-                         F.struct(*pay_cols).alias("_pay"))
-    u = lpart.unionByName(rpart).withColumn(_CH, _chunk(F.col("_t"), chunk_seconds))
-    # Descending running frame = "first non-null looking forward". At equal
-    # times a right row is seen by the left row unless the match is strict.
-    kind_order = F.col("_kind").asc() if strict else F.col("_kind").desc()
-    w = (Window.partitionBy(*keys, _CH).orderBy(F.col("_t").desc(), kind_order)
+    # at equal times a left row sees right rows ordered after it: ties 0 / 1
+    # for ">=", and 1 / 0 for ">"
+    lt, rt = (1, 0) if strict else (0, 1)
+    lpart = left.select(*keys, F.col(left_t).alias("_t"), F.lit(lt).alias("_tie"), F.lit(True).alias("_is_left"),
+                        F.struct(*left_cols).alias("_left"), F.lit(None).cast(pay_type).alias("_pay"))
+    rpart = right.select(*keys, F.col(right_t).alias("_t"), F.lit(rt).alias("_tie"), F.lit(False).alias("_is_left"),
+                         F.lit(None).cast(left_type).alias("_left"), F.struct(*pay_cols).alias("_pay"))
+    filled = forward_fill(lpart.unionByName(rpart), keys, "_t", "_tie", ["_pay"], prefix="_m",
+                          chunk_seconds=chunk_seconds)
+    m = F.col("_m_pay")
+    return (filled.where(F.col("_is_left"))
+            .select(*keys, *[F.col("_left")[c].alias(c) for c in left_cols],
+                    *[m[c].alias(prefix + c) for c in pay_cols]))
+
+
+def forward_fill(df: DataFrame, keys: Sequence[str], t: str, tie: str, cols: Sequence[str],
+                 prefix: str = "next_", chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+    """For every row and every column ``c`` of ``cols``: the first non-null ``c``
+    at this row or after it, in ascending ``(t, tie)`` order within ``keys``.
+
+    Several look-ups share one sort: lookup rows carry nulls and sample rows
+    carry values; ``tie`` decides what "after" means at equal times (rows with a
+    smaller tie see rows with a larger one at the same time, not the reverse).
+    Runs per ``(keys, chunk)``; the first value of each later chunk is carried
+    in through a per-chunk summary.
+    """
+    keys = list(keys)
+    cols = list(cols)
+    # one shuffle on (keys, chunk) feeds both the fill and the chunk summary
+    d = df.withColumn(_CH, _chunk(F.col(t), chunk_seconds)).repartition(*keys, _CH)
+    w = (Window.partitionBy(*keys, _CH).orderBy(F.col(t).desc(), F.col(tie).desc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    matched = (u.withColumn("_m", F.last("_pay", ignorenulls=True).over(w))
-               .where(F.col("_kind") == 0)
-               .select(*keys, _CH, "_left", "_m"))
-
-    # Carry across chunk borders: the first right row of the nearest later
-    # chunk that has any. Both inputs have one row per (key, chunk).
-    firsts = (right.select(*keys, _chunk(F.col(right_t), chunk_seconds).alias(_CH),
-                           F.struct(*pay_cols).alias("_p"), F.col(right_t).alias("_rt"))
-              .groupBy(*keys, _CH).agg(F.min_by("_p", "_rt").alias("_pay"))
-              .withColumn("_kind", F.lit(1)))
-    lchunks = (left.select(*keys, _chunk(F.col(left_t), chunk_seconds).alias(_CH)).distinct()
-               .withColumn("_kind", F.lit(0))
-               .withColumn("_pay", F.lit(None).cast(pay_type)))
-    cw = (Window.partitionBy(*keys).orderBy(F.col(_CH).desc(), F.col("_kind").asc())
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carry = (lchunks.unionByName(firsts)
-             .withColumn("_c", F.last("_pay", ignorenulls=True).over(cw))
-             .where(F.col("_kind") == 0)
-             .select(*keys, _CH, "_c"))
-
-    res = matched.join(carry, keys + [_CH], "left")
-    m = F.coalesce(F.col("_m"), F.col("_c"))
-    return res.select(*keys, *[F.col("_left")[c].alias(c) for c in left_cols],
-                      *[m[c].alias(prefix + c) for c in pay_cols])
+    filled = d
+    for c in cols:
+        filled = filled.withColumn("_in_" + c, F.last(c, ignorenulls=True).over(w))
+    # first non-null value of each column per chunk (min over (t, tie, value))
+    firsts = d.groupBy(*keys, _CH).agg(*[
+        F.min(F.when(F.col(c).isNotNull(), F.struct(F.col(t).alias("t"), F.col(tie).alias("k"),
+                                                     F.col(c).alias("v")))).alias("_f_" + c)
+        for c in cols])
+    later = (Window.partitionBy(*keys).orderBy(F.col(_CH).desc())
+             .rowsBetween(Window.unboundedPreceding, -1))
+    carry = firsts.select(*keys, _CH, *[F.last(F.col("_f_" + c)["v"], ignorenulls=True).over(later)
+                                        .alias("_cy_" + c) for c in cols])
+    out = filled.join(carry, keys + [_CH], "left")
+    return out.select(*df.columns, *[F.coalesce(F.col("_in_" + c), F.col("_cy_" + c)).alias(prefix + c)
+                                     for c in cols])

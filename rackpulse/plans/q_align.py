@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import tables as T
 from ..operators import align
+from ..session import stage
 from .registry import SAMPLES_CTE, query
 
 # Events are minutes apart, so queries use a 600 s half-window (API default 30 s).
@@ -72,7 +73,8 @@ JOIN nnext nn ON g.server = nn.server AND g.day = nn.day AND g.rn = nn.rn
 
 @query("aligned_metrics", ALIGNED_SQL)
 def q_aligned_metrics(spark, sf_dir):
-    out = align.aligned_metrics(T.metric_samples(spark, sf_dir), HALF_WINDOW)
+    samples = stage(T.metric_samples(spark, sf_dir), "metric_samples")
+    out = align.aligned_metrics(samples, HALF_WINDOW)
     return out.select("server", "day", "rn", "time",
                       *[r6(F.col(c)).alias(c) for c in T.METRICS], "complete")
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cluster as C
 from .q_align import ALIGNED_SQL, q_aligned_metrics
+from ..session import stage
 from .registry import query
 
 GROUP = ["server"]
@@ -44,7 +45,10 @@ def step_sql(ctr: str, asg: str, name: str) -> str:
 
 
 def _points(spark, sf_dir):
-    return C.feature_rows(q_aligned_metrics(spark, sf_dir)).select("server", "day", "rn", *FEATS)
+    """The aligned rows with all five features, written once (the K1 table) so
+    that the branches of a clustering plan read it instead of recomputing it."""
+    pts = C.feature_rows(q_aligned_metrics(spark, sf_dir)).select("server", "day", "rn", *FEATS)
+    return stage(pts, "points")
 
 
 def _centers(points):

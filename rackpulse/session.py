@@ -47,3 +47,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="rackpulse-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
+
+
+def stage(df, name: str, partition_by: tuple[str, ...] = ()):
+    """Write ``df`` once as Parquet in the shared checkpoint folder and return
+    a DataFrame that reads it back.
+
+    Used for intermediate tables that several branches of one plan read (the
+    canonical metric samples, the aligned rows): each branch then scans the
+    written table with its own column pruning instead of recomputing, and
+    re-shuffling, the whole input. The write is an ordinary distributed job,
+    and the files live on the cluster's shared storage, so a lost executor
+    costs a task retry, not the table.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/staged/{name}-{uuid.uuid4().hex}"
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return spark.read.parquet(path)
