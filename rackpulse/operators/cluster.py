@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import stage
 
 FEATURES = ["filewrites", "filereads", "CPU", "diskIOBW", "net_bytes"]
 
@@ -112,20 +112,22 @@ def lloyd_step(points: DataFrame, centers: DataFrame, group: Sequence[str],
 
 
 def lloyd(points: DataFrame, centers: DataFrame, group: Sequence[str], iterations: int,
-          features: Sequence[str] = FEATURES, checkpoint_every: int = 3) -> DataFrame:
+          features: Sequence[str] = FEATURES, checkpoint_every: int = 1) -> DataFrame:
     """M6: ``iterations`` Lloyd steps for every group at once (many small
-    clusterings in one job). Lineage is cut with ``checkpoint()`` into the
-    cluster's shared checkpoint folder every few steps."""
+    clusterings in one job). Each step reads its centres twice, so the centres
+    (k rows per group) are written to the cluster's shared checkpoint folder
+    after every step; lineage stays one step long."""
     from pyspark import StorageLevel
 
-    ensure_checkpoint_dir(points.sparkSession)
     pts = points.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         c = centers
         for i in range(iterations):
             c = lloyd_step(pts, c.select(*group, "cluster_id", *features), group, features)
             if i + 1 == iterations or (checkpoint_every and (i + 1) % checkpoint_every == 0):
-                c = c.checkpoint(eager=True)
+                # written once to the shared checkpoint folder (one job; an
+                # RDD checkpoint would compute the step twice)
+                c = stage(c, "lloyd_centers")
     finally:
         pts.unpersist()
     return c
@@ -144,17 +146,21 @@ def kmeans_fit(spark: SparkSession, points: DataFrame, k: int, seeds: Sequence[i
     vec = VectorAssembler(inputCols=list(features), outputCol="features",
                           handleInvalid="skip").transform(points).select("features")
     vec = vec.persist(StorageLevel.MEMORY_AND_DISK)
-    best = None
+
+    def fit(seed):
+        model = KMeans(k=k, maxIter=max_iter, initMode=init_mode, seed=seed,
+                       featuresCol="features").fit(vec)
+        return model, model.summary.trainingCost, seed
+
     try:
-        for seed in seeds:
-            model = KMeans(k=k, maxIter=max_iter, initMode=init_mode, seed=seed,
-                           featuresCol="features").fit(vec)
-            cost = model.summary.trainingCost
-            if best is None or cost < best[1]:
-                best = (model, cost, seed)
+        # the runs are independent Spark jobs over one cached input: submit them
+        # together so the cluster schedules their tasks side by side
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=min(len(seeds), 8)) as pool:
+            runs = list(pool.map(fit, seeds))
     finally:
         vec.unpersist()
-    model, cost, seed = best
+    model, cost, seed = min(runs, key=lambda r: (r[1], r[2]))
     rows = [(i, *[float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     schema = "cluster_id int, " + ", ".join(f"{f} double" for f in features)
     return spark.createDataFrame(rows, schema), float(cost), int(seed)
