@@ -114,3 +114,69 @@ def path_length(points: DataFrame, group: Sequence[str], order: Sequence[str], l
     return (points.select(*group, seg.alias("_s"))
             .groupBy(*group).agg(F.coalesce(F.sum("_s"), F.lit(0.0)).alias("length"),
                                  F.count(F.lit(1)).alias("n_points")))
+
+
+def stack_wiggle(values: DataFrame, x: str, series: str, y: str) -> DataFrame:
+    """W6 ``wiggle`` offset (streamgraph baseline that minimises weighted
+    change in slope), then series stacked on it in key order.
+
+    With series i = 0..n-1 and x positions j: s1_j = sum_i y_ij; s3_ij =
+    dy_ij / (2 dx_j) + sum_{k<i} dy_kj / dx_j; s2_j = sum_i s3_ij y_ij; the
+    baseline o_j = o_{j-1} - s2_j / s1_j * dx_j (0 when s1_j = 0), shifted so
+    that its minimum is 0. ``values`` must hold every (x, series) pair."""
+    bys = Window.partitionBy(series).orderBy(x)
+    byx_before = Window.partitionBy(x).orderBy(series).rowsBetween(Window.unboundedPreceding, -1)
+    v = (values.withColumn("_dy", F.col(y) - F.lag(y).over(bys))
+         .withColumn("_dx", (F.col(x) - F.lag(x).over(bys)).cast("double")))
+    v = v.withColumn("_s3", F.col("_dy") / (2 * F.col("_dx"))
+                     + F.coalesce(F.sum(F.col("_dy") / F.col("_dx")).over(byx_before), F.lit(0.0)))
+    per_x = v.groupBy(x).agg(F.sum(y).alias("_s1"), F.sum(F.col("_s3") * F.col(y)).alias("_s2"),
+                             F.max("_dx").alias("_dx"))
+    # one row per x position (a small table): cumulative baseline over x
+    step = F.when(F.col("_dx").isNull(), F.lit(0.0)).when(F.col("_s1") == 0, F.lit(0.0)) \
+        .otherwise(F.col("_s2") / F.col("_s1") * F.col("_dx"))
+    run = Window.orderBy(x).rowsBetween(Window.unboundedPreceding, 0)
+    o = per_x.withColumn("_o", -F.sum(step).over(run))
+    base = o.select(x, (F.col("_o") - F.min("_o").over(Window.partitionBy(F.lit(1)))).alias("_base"))
+    below = Window.partitionBy(x).orderBy(series).rowsBetween(Window.unboundedPreceding, -1)
+    return (values.join(base, x)
+            .select(x, series, F.col(y).cast("double").alias("y"),
+                    (F.col("_base") + F.coalesce(F.sum(y).over(below), F.lit(0.0))).alias("y0")))
+
+
+def inside_out_order(values: DataFrame, x: str, series: str, y: str) -> DataFrame:
+    """W6 ``inside-out`` series order: series sorted by the x of their maximum
+    are dealt to the top or the bottom, whichever is lighter, and the order is
+    the bottoms reversed followed by the tops. Runs on the per-series summary
+    (one row per series) in one small pandas call."""
+    import pandas as pd
+
+    first_max = Window.partitionBy(series).orderBy(F.col(y).desc(), F.col(x))
+    summary = (values.withColumn("_r", F.row_number().over(first_max))
+               .groupBy(series).agg(F.sum(y).alias("_sum"), F.min(F.when(F.col("_r") == 1, F.col(x))).alias("_xmax"))
+               .withColumn("_all", F.lit(0)))
+    stype = values.schema[series].dataType.simpleString()
+
+    def deal(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["_xmax", series], kind="stable")
+        top = bottom = 0.0
+        tops, bottoms = [], []
+        for s, total in zip(pdf[series], pdf["_sum"]):
+            if top < bottom:
+                top += total
+                tops.append(s)
+            else:
+                bottom += total
+                bottoms.append(s)
+        order = bottoms[::-1] + tops
+        return pd.DataFrame({series: order, "position": list(range(len(order)))})
+
+    return summary.groupBy("_all").applyInPandas(deal, f"`{series}` {stype}, position int")
+
+
+def densify(values: DataFrame, x: str, series: str, y: str) -> DataFrame:
+    """Every (x, series) pair, missing values as 0: pivot on the series (its
+    distinct values are a short list), fill, unpivot."""
+    wide = values.groupBy(x).pivot(series).agg(F.sum(y)).na.fill(0)
+    names = [c for c in wide.columns if c != x]
+    return wide.unpivot([x], names, series, y)

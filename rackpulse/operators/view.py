@@ -241,21 +241,72 @@ def voronoi_cells(scaled_centers: DataFrame, group: Sequence[str], width: float
     return scaled_centers.select(*group, "cluster_id", "px", "py").groupBy(*group).applyInPandas(fn, schema)
 
 
-def voronoi_links(scaled_centers: DataFrame, group: Sequence[str], width: float = WIDTH,
-                  height: float = HEIGHT) -> DataFrame:
-    """Pairs of centres whose clipped cells share an edge (a < b)."""
+def _far_box(pdf: pd.DataFrame) -> tuple[float, float, float, float]:
+    """A box so far out that every ray of the diagram crosses it."""
+    x, y = pdf["px"].astype(float), pdf["py"].astype(float)
+    r = 1e4 * (max(x.max() - x.min(), y.max() - y.min()) + 1.0)
+    return x.min() - r, y.min() - r, x.max() + r, y.max() + r
+
+
+def delaunay_links(pdf: pd.DataFrame) -> list[tuple[int, int]]:
+    """Pairs of centres whose (unclipped) cells share an edge."""
+    x0, y0, x1, y1 = _far_box(pdf)
+    shifted = pdf.assign(px=pdf["px"].astype(float) - x0, py=pdf["py"].astype(float) - y0)
+    pairs = set()
+    for cid, _, neigh in cell_polygons(shifted, x1 - x0, y1 - y0):
+        for n in neigh:
+            pairs.add((min(cid, n), max(cid, n)))
+    return sorted(pairs)
+
+
+def delaunay_triangles(pdf: pd.DataFrame) -> list[tuple[int, int, int]]:
+    """Triangles of mutually linked centres whose circumcircle holds no other
+    centre (the Delaunay triangles)."""
+    links = delaunay_links(pdf)
+    adj: dict[int, set[int]] = {}
+    for a, b in links:
+        adj.setdefault(a, set()).add(b)
+        adj.setdefault(b, set()).add(a)
+    pos = {int(c): (float(x), float(y)) for c, x, y in zip(pdf["cluster_id"], pdf["px"], pdf["py"])}
+    out = []
+    for a, b in links:
+        for c in sorted(adj[a] & adj[b]):
+            if c <= b:
+                continue
+            (ax, ay), (bx, by), (cx, cy) = pos[a], pos[b], pos[c]
+            d = 2 * (ax * (by - cy) + bx * (cy - ay) + cx * (ay - by))
+            if d == 0:
+                continue
+            ux = ((ax * ax + ay * ay) * (by - cy) + (bx * bx + by * by) * (cy - ay) + (cx * cx + cy * cy) * (ay - by)) / d
+            uy = ((ax * ax + ay * ay) * (cx - bx) + (bx * bx + by * by) * (ax - cx) + (cx * cx + cy * cy) * (bx - ax)) / d
+            r2 = (ax - ux) ** 2 + (ay - uy) ** 2
+            if all((px - ux) ** 2 + (py - uy) ** 2 >= r2 * (1 - 1e-9)
+                   for k, (px, py) in pos.items() if k not in (a, b, c)):
+                out.append((a, b, c))
+    return out
+
+
+def voronoi_links(scaled_centers: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Neighbouring centres (Delaunay links), one row per pair (a < b)."""
     group = list(group)
-    schema_fields = scaled_centers.select(*group).schema
-    gs = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema_fields)
-    schema = f"{gs}, a int, b int"
+    gs = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in scaled_centers.select(*group).schema)
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         gvals = [pdf[g].iloc[0] for g in group]
-        pairs = set()
-        for cid, _, neigh in cell_polygons(pdf, width, height):
-            for n in neigh:
-                pairs.add((min(cid, n), max(cid, n)))
-        rows = [(*gvals, a, b) for a, b in sorted(pairs)]
-        return pd.DataFrame(rows, columns=group + ["a", "b"])
+        return pd.DataFrame([(*gvals, a, b) for a, b in delaunay_links(pdf)], columns=group + ["a", "b"])
 
-    return scaled_centers.select(*group, "cluster_id", "px", "py").groupBy(*group).applyInPandas(fn, schema)
+    return scaled_centers.select(*group, "cluster_id", "px", "py").groupBy(*group) \
+        .applyInPandas(fn, f"{gs}, a int, b int")
+
+
+def voronoi_triangles(scaled_centers: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Delaunay triangles, one row per triangle (a < b < c)."""
+    group = list(group)
+    gs = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in scaled_centers.select(*group).schema)
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        gvals = [pdf[g].iloc[0] for g in group]
+        return pd.DataFrame([(*gvals, *t) for t in delaunay_triangles(pdf)], columns=group + ["a", "b", "c"])
+
+    return scaled_centers.select(*group, "cluster_id", "px", "py").groupBy(*group) \
+        .applyInPandas(fn, f"{gs}, a int, b int, c int")

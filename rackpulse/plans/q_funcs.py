@@ -283,13 +283,18 @@ WITH s AS (SELECT l_orderkey, l_linenumber, l_extendedprice AS x,
 y AS (SELECT *, CASE WHEN seg = 0 THEN 0.0 + ((x - 0.0) / (10000.0 - 0.0)) * 0.5
                      ELSE 0.5 + ((x - 10000.0) / (100000.0 - 10000.0)) * 0.5 END AS y FROM s)
 SELECT l_orderkey, l_linenumber, round(y + 1e-9, 6) AS y,
-       round(greatest(0.0, least(1.0, y)) + 1e-9, 6) AS y_clamped FROM y
+       round(greatest(0.0, least(1.0, y)) + 1e-9, 6) AS y_clamped,
+       round(0.0 + ((0.0 + ((x - 0.0) / (100000.0 - 0.0)) * 1.0) - 0.0) / 1.0 * (100000.0 - 0.0) + 1e-9, 6)
+         AS x_back
+FROM y
 """)
 def q_piecewise_scale(spark, sf_dir):
     l = _t(spark, sf_dir, "lineitem")
     y = SC.piecewise(F.col("l_extendedprice"), [0, 10000, 100000], [0, 0.5, 1])
     yc = SC.piecewise(F.col("l_extendedprice"), [0, 10000, 100000], [0, 0.5, 1], clamp=True)
-    return l.select("l_orderkey", "l_linenumber", rb(y).alias("y"), rb(yc).alias("y_clamped"))
+    back = SC.invert(SC.linear(F.col("l_extendedprice"), 0.0, 100000.0, 0, 1), 0.0, 100000.0, 0, 1)
+    return l.select("l_orderkey", "l_linenumber", rb(y).alias("y"), rb(yc).alias("y_clamped"),
+                    rb(back).alias("x_back"))
 
 
 @query("log_pow_scale", """

@@ -364,3 +364,41 @@ def q_geo_distance(spark, sf_dir):
     d = L.great_circle(_rad(F.col("o_custkey") % 360 - 180), _rad(F.col("o_custkey") % 170 - 85),
                        _rad(F.col("o_orderkey") % 360 - 180), _rad(F.col("o_orderkey") % 170 - 85))
     return o.select("o_orderkey", rb(d).alias("dist"))
+
+
+@query("stack_wiggle", f"""
+WITH {STACK_CTE},
+d AS (SELECT x, series, y, y - lag(y) OVER (PARTITION BY series ORDER BY x) AS dy,
+             CAST(x - lag(x) OVER (PARTITION BY series ORDER BY x) AS DOUBLE) AS dx FROM vals),
+s AS (SELECT *, dy / (2 * dx) + coalesce(sum(dy / dx) OVER (PARTITION BY x ORDER BY series
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s3 FROM d),
+px AS (SELECT x, sum(y) AS s1, sum(s3 * y) AS s2, max(dx) AS dx FROM s GROUP BY x),
+o AS (SELECT x, -sum(CASE WHEN dx IS NULL THEN 0 WHEN s1 = 0 THEN 0 ELSE s2 / s1 * dx END)
+                OVER (ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS o FROM px),
+b AS (SELECT x, o - min(o) OVER () AS base FROM o)
+SELECT v.x, v.series, round(v.y + 1e-9, 6) AS y,
+       round(b.base + coalesce(sum(v.y) OVER (PARTITION BY v.x ORDER BY v.series
+                                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1e-9, 6) AS y0
+FROM vals v JOIN b ON v.x = b.x
+""")
+def q_stack_wiggle(spark, sf_dir):
+    dense = L.densify(_stack_values(spark, sf_dir), "x", "series", "y")
+    s = L.stack_wiggle(dense, "x", "series", "y")
+    return s.select("x", "series", rb("y"), rb("y0"))
+
+
+@query("stack_inside_out")
+def q_stack_inside_out(spark, sf_dir):
+    """W6 inside-out order, then a zero-offset stack in that order."""
+    v = _stack_values(spark, sf_dir)
+    order = L.inside_out_order(v, "x", "series", "y")
+    ordered = v.join(order, "series").withColumnRenamed("series", "name").withColumnRenamed("position", "series")
+    s = L.stack(ordered.select("x", "series", "y"), "x", "series", "y", "zero")
+    return s.join(order.withColumnRenamed("series", "name").withColumnRenamed("position", "series"), "series") \
+        .select("x", "name", "series", "y", "y0")
+
+
+@query("nest_entries")
+def q_nest_entries(spark, sf_dir):
+    """G15 nested form: per return flag, a map line status -> summed quantity."""
+    return ST.nest_entries(_t(spark, sf_dir, "lineitem"), "l_returnflag", "l_linestatus", "l_quantity")

@@ -162,3 +162,8 @@ FROM f
 """)
 def q_ordinal_code(spark, sf_dir):
     return V.ordinal_codes(T.table(spark, sf_dir, "part"), "p_brand", "p_partkey")
+
+
+@query("voronoi_triangles")
+def q_voronoi_triangles(spark, sf_dir):
+    return V.voronoi_triangles(_scaled_centers(spark, sf_dir), GROUP)

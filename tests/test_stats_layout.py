@@ -185,3 +185,53 @@ def test_snapshot_diff_rules(spark):
     got = sorted((r.k, r.status, r.old_id, r.new_id) for r in snapshot_diff(old, new, "k", "id").collect())
     assert got == [("a", "exit", 1, None), ("b", "exit", 3, None), ("b", "update", 2, 10),
                    ("c", "exit", 4, None), ("d", "enter", None, 11)]
+
+
+def _wiggle_loop(xs, ys):
+    """The wiggle recurrence over series i and positions j, as plain loops."""
+    n, m = len(ys), len(xs)
+    o = o0 = 0.0
+    base = [0.0]
+    for j in range(1, m):
+        s1 = sum(ys[i][j] for i in range(n))
+        dx = xs[j] - xs[j - 1]
+        s2 = 0.0
+        for i in range(n):
+            s3 = (ys[i][j] - ys[i][j - 1]) / (2 * dx)
+            for k in range(i):
+                s3 += (ys[k][j] - ys[k][j - 1]) / dx
+            s2 += s3 * ys[i][j]
+        o -= s2 / s1 * dx if s1 else 0
+        base.append(o)
+        o0 = min(o0, o)
+    return [b - o0 for b in base]
+
+
+def test_wiggle_and_densify(spark):
+    xs = [1, 2, 4, 5]
+    ys = [[1.0, 4.0, 2.0, 0.0], [3.0, 1.0, 5.0, 2.0], [0.0, 2.0, 2.0, 7.0]]
+    rows = [(x, s, ys[i][j]) for i, s in enumerate("abc") for j, x in enumerate(xs) if ys[i][j] != 0.0]
+    dense = L.densify(spark.createDataFrame(rows, "x int, s string, y double"), "x", "s", "y")
+    assert dense.count() == 12
+    got = {(r.x, r.s): r.y0 for r in L.stack_wiggle(dense, "x", "s", "y").collect()}
+    base = _wiggle_loop(xs, ys)
+    for j, x in enumerate(xs):
+        assert got[(x, "a")] == pytest.approx(base[j])
+        assert got[(x, "b")] == pytest.approx(base[j] + ys[0][j])
+
+
+def test_inside_out_order(spark):
+    # maxima at x = 3 (a), 1 (b), 2 (c), 4 (d); sums 5, 4, 3, 9
+    rows = [(1, "a", 1.0), (3, "a", 4.0), (1, "b", 4.0), (2, "c", 3.0), (4, "d", 9.0)]
+    order = {r.s: r.position for r in L.inside_out_order(spark.createDataFrame(rows, "x int, s string, y double"),
+                                                         "x", "s", "y").collect()}
+    # dealt in max order b, c, a, d: b->bottom, c->top, a->top (3<4? no: top 3 < bottom 4 -> top), d->bottom
+    assert [s for s, _ in sorted(order.items(), key=lambda kv: kv[1])] == ["d", "b", "c", "a"]
+
+
+def test_delaunay_links_and_triangles(spark):
+    from rackpulse.operators import view as V
+    c = spark.createDataFrame([(0, 0, 0.0, 0.0), (0, 1, 10.0, 0.0), (0, 2, 5.0, 8.0), (0, 3, 5.0, -8.0)],
+                              "g int, cluster_id int, px double, py double")
+    assert sorted((r.a, r.b) for r in V.voronoi_links(c, ["g"]).collect()) == [(0, 1), (0, 2), (0, 3), (1, 2), (1, 3)]
+    assert sorted((r.a, r.b, r.c) for r in V.voronoi_triangles(c, ["g"]).collect()) == [(0, 1, 2), (0, 1, 3)]
