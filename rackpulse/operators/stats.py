@@ -117,14 +117,18 @@ def histogram(df: DataFrame, value: str, bins: int | None = None) -> DataFrame:
     st = df.where(v.isNotNull()).agg(F.count(v).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"))
     nb = F.lit(bins) if bins else F.ceil(F.log2(F.col("n").cast("double")) + 1).cast("int")
     st = st.withColumn("m", nb).withColumn("dx", (F.col("hi") - F.col("lo")) / F.col("m"))
-    lo, hi, m, dx = (st.select(c).scalar() for c in ("lo", "hi", "m", "dx"))
-    # bin = number of thresholds dx * i + lo (i = 1..m-1) not above v: an
+    # the statistics as one scalar subquery, bound once to a column
+    one = st.select(F.struct("lo", "hi", "m", "dx").alias("s")).select("s").scalar()
+    d = df.where(v.isNotNull()).select(v.alias("_v"), one.alias("_st"))
+    lo, hi, m, dx = (F.col("_st." + c) for c in ("lo", "hi", "m", "dx"))
+    x = F.col("_v")
+    # bin = number of thresholds dx * i + lo (i = 1..m-1) not above x: an
     # arithmetic first guess, corrected by one against the thresholds
     # themselves so that float rounding matches the threshold comparison.
-    b0 = F.least(m - 1, F.greatest(F.lit(0), F.floor((v - lo) / dx).cast("int")))
-    up = F.when((b0 < m - 1) & (dx * (b0 + 1) + lo <= v), b0 + 1)
-    down = F.when((b0 > 0) & (dx * b0 + lo > v), b0 - 1)
-    binned = (df.where(v.isNotNull() & (v >= lo) & (v <= hi))
+    b0 = F.least(m - 1, F.greatest(F.lit(0), F.floor((x - lo) / dx).cast("int")))
+    up = F.when((b0 < m - 1) & (dx * (b0 + 1) + lo <= x), b0 + 1)
+    down = F.when((b0 > 0) & (dx * b0 + lo > x), b0 - 1)
+    binned = (d.where((x >= lo) & (x <= hi))
               .select(F.when(m > 1, F.coalesce(up, down, b0)).otherwise(0).alias("bin"))
               .groupBy("bin").agg(F.count(F.lit(1)).alias("y")))
     spine = st.select(F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("bin"), "lo", "dx", "n")
@@ -173,9 +177,10 @@ def grid_occupancy(df: DataFrame, x: str, y: str, levels: int = 4) -> DataFrame:
     """Point counts per cell of a 2^L x 2^L grid over the extent, for
     L = 0..levels (quadtree occupancy by level)."""
     st = df.agg(F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1"))
-    x0, x1, y0, y1 = (st.select(c).scalar() for c in ("x0", "x1", "y0", "y1"))
+    one = st.select(F.struct("x0", "x1", "y0", "y1").alias("s")).select("s").scalar()
     lv = F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("level")
-    d = df.select(F.col(x).alias("_x"), F.col(y).alias("_y"), lv)
+    d = df.select(F.col(x).alias("_x"), F.col(y).alias("_y"), one.alias("_st")).select("_x", "_y", "_st", lv)
+    x0, x1, y0, y1 = (F.col("_st." + c) for c in ("x0", "x1", "y0", "y1"))
     side = F.pow(F.lit(2.0), F.col("level"))
 
     def cell(c, lo, hi):

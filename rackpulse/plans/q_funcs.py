@@ -309,10 +309,10 @@ FROM orders, e
 """)
 def q_log_pow_scale(spark, sf_dir):
     o = _t(spark, sf_dir, "orders")
-    lo = o.select(F.min("o_totalprice")).scalar()
-    hi = o.select(F.max("o_totalprice")).scalar()
-    x = F.col("o_totalprice")
-    return o.select("o_orderkey", rb(SC.log_scale(x, lo, hi, 0, 1)).alias("log_y"),
+    ext = o.select(F.struct(F.min("o_totalprice").alias("lo"), F.max("o_totalprice").alias("hi"))).scalar()
+    d = o.select("o_orderkey", "o_totalprice", ext.alias("_e"))
+    x, lo, hi = F.col("o_totalprice"), F.col("_e.lo"), F.col("_e.hi")
+    return d.select("o_orderkey", rb(SC.log_scale(x, lo, hi, 0, 1)).alias("log_y"),
                     rb(SC.pow_scale(x, 0.0, hi, 0, 1, 0.5)).alias("sqrt_y"))
 
 

@@ -149,9 +149,10 @@ FROM c2, d
 """)
 def q_quantize_bucket(spark, sf_dir):
     c = _count2d(spark, sf_dir)
-    lo = c.select(F.min("n").cast("double")).scalar()
-    hi = c.select((F.max("n") * 0.75).cast("double")).scalar()
-    return c.withColumn("bucket", V.quantize(F.col("n"), lo, hi, 9))
+    ext = c.select(F.struct(F.min("n").cast("double").alias("lo"),
+                            (F.max("n") * 0.75).cast("double").alias("hi"))).scalar()
+    d = c.withColumn("_e", ext)
+    return d.select("temp", "fan", "n", V.quantize(F.col("n"), F.col("_e.lo"), F.col("_e.hi"), 9).alias("bucket"))
 
 
 @query("ordinal_code", """
