@@ -41,11 +41,12 @@ def ordered_index(df: DataFrame, keys: Sequence[str], t: str, out: str = "rn",
     earlier chunks of the key, so no task holds more than one chunk.
     """
     keys = list(keys)
-    # one shuffle on (keys, chunk) feeds both the local numbering and the counts
-    d = df.withColumn(_CH, _chunk(F.col(t), chunk_seconds)).repartition(*keys, _CH)
+    d = df.withColumn(_CH, _chunk(F.col(t), chunk_seconds))
     order = [F.col(t)] + [F.col(c) for c in tiebreak]
     local = d.withColumn("_lrn", F.row_number().over(
         Window.partitionBy(*keys, _CH).orderBy(*order)))
+    # counts per chunk: a partial aggregate, so only one row per chunk and
+    # task crosses the network
     counts = d.groupBy(*keys, _CH).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy(_CH).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, _CH, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
@@ -97,14 +98,14 @@ def forward_fill(df: DataFrame, keys: Sequence[str], t: str, tie: str, cols: Seq
     """
     keys = list(keys)
     cols = list(cols)
-    # one shuffle on (keys, chunk) feeds both the fill and the chunk summary
-    d = df.withColumn(_CH, _chunk(F.col(t), chunk_seconds)).repartition(*keys, _CH)
+    d = df.withColumn(_CH, _chunk(F.col(t), chunk_seconds))
     w = (Window.partitionBy(*keys, _CH).orderBy(F.col(t).desc(), F.col(tie).desc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     filled = d
     for c in cols:
         filled = filled.withColumn("_in_" + c, F.last(c, ignorenulls=True).over(w))
-    # first non-null value of each column per chunk (min over (t, tie, value))
+    # first non-null value of each column per chunk (min over (t, tie, value)),
+    # a partial aggregate: one row per chunk and task is shuffled
     firsts = d.groupBy(*keys, _CH).agg(*[
         F.min(F.when(F.col(c).isNotNull(), F.struct(F.col(t).alias("t"), F.col(tie).alias("k"),
                                                      F.col(c).alias("v")))).alias("_f_" + c)

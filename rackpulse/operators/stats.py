@@ -26,30 +26,40 @@ def basic_stats(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
                                   F.avg(v).alias("mean"), F.count(v).alias("n"))
 
 
-def _quantile_pass(df, group, value, probs, bounds):
-    """Rank inside [L, U] per (group, p). ``bounds`` has group, pi, n, L, U."""
-    j = df.select(*group, F.col(value).alias("_v")).where(F.col("_v").isNotNull()).join(bounds, group)
-    below = j.groupBy(*group, "pi").agg(F.count_if(F.col("_v") < F.col("L")).alias("_below"))
-    inside = (j.where((F.col("_v") >= F.col("L")) & (F.col("_v") <= F.col("U")))
-              .groupBy(*group, "pi", "_v").agg(F.count(F.lit(1)).alias("_c")))
-    w = Window.partitionBy(*group, "pi").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (inside.join(below, group + ["pi"])
-              .withColumn("_cum", F.sum("_c").over(w) + F.col("_below")))
-    # value at 0-based rank r = the first value whose cumulative count exceeds r
-    meta = bounds.select(*group, "pi", "n", "_lo", "_hi", "_frac")
-    r = ranked.join(meta, group + ["pi"])
-    picked = r.groupBy(*group, "pi").agg(
-        F.min(F.when(F.col("_cum") > F.col("_lo"), F.col("_v"))).alias("_xlo"),
-        F.min(F.when(F.col("_cum") > F.col("_hi"), F.col("_v"))).alias("_xhi"),
-        F.max(F.col("_below")).alias("_below"),
+def _quantile_pass(df, group, value, bounds):
+    """Values at 0-based ranks ``_lo`` and ``_hi`` per (group, p), ranking only
+    the distinct values inside [L, U]. ``bounds`` has group, pi, L, U, _lo, _hi.
+
+    One aggregate counts, per (group, p), every distinct value inside the
+    bracket and (under a null key) every value below it; a window ordered
+    nulls-first over that short list gives cumulative ranks."""
+    j = (df.select(*group, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
+         .join(bounds.select(*group, "pi", "L", "U"), group)
+         .where(F.col("_v") <= F.col("U"))
+         .select(*group, "pi", F.when(F.col("_v") >= F.col("L"), F.col("_v")).alias("_kv")))
+    c = j.groupBy(*group, "pi", "_kv").agg(F.count(F.lit(1)).alias("_c"))
+    w = (Window.partitionBy(*group, "pi").orderBy(F.col("_kv").asc_nulls_first())
+         .rowsBetween(Window.unboundedPreceding, 0))
+    r = (c.withColumn("_cum", F.sum("_c").over(w))
+         .join(bounds.select(*group, "pi", "_lo", "_hi"), group + ["pi"]))
+    inside = F.col("_kv").isNotNull()
+    return r.groupBy(*group, "pi").agg(
+        F.min(F.when(inside & (F.col("_cum") > F.col("_lo")), F.col("_kv"))).alias("_xlo"),
+        F.min(F.when(inside & (F.col("_cum") > F.col("_hi")), F.col("_kv"))).alias("_xhi"),
+        F.coalesce(F.max(F.when(~inside, F.col("_c"))), F.lit(0)).alias("_below"),
         F.max("_cum").alias("_top"))
-    return picked
 
 
 def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float],
                     accuracy: int = 10000) -> DataFrame:
     """Exact quantiles with linear interpolation (``h = (n - 1) p``), as
-    ``percentile_cont``; returns (group, p, quantile) per group and p."""
+    ``percentile_cont``; returns (group, p, quantile) per group and p.
+
+    Two passes over the input: one aggregate (count, approximate bracket),
+    one counting pass. The per-(group, p) tables between them are small and
+    are written once (``stage``) so that no branch recomputes the input."""
+    from ..session import stage
+
     group = list(group)
     eps = 3.0 / accuracy
     lows = [max(0.0, p - eps) for p in probs]
@@ -65,21 +75,23 @@ def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequ
                    F.posexplode(F.arrays_zip(pr.alias("p"), F.col("_la").alias("L"),
                                              F.col("_ha").alias("U"))).alias("pi", "_z"))
     h = (F.col("n") - 1) * F.col("_z.p")
-    bounds = st.select(*group, "pi", "n", F.col("_z.p").alias("p"), "_min", "_max",
-                       F.col("_z.L").alias("L"), F.col("_z.U").alias("U"),
-                       F.floor(h).cast("long").alias("_lo"), F.ceil(h).cast("long").alias("_hi"),
-                       (h - F.floor(h)).alias("_frac"))
-    picked = _quantile_pass(df, group, value, probs, bounds.select(
-        *group, "pi", "n", "L", "U", "_lo", "_hi", "_frac"))
-    res = bounds.join(picked, group + ["pi"], "left")
+    bounds = stage(st.select(*group, "pi", "n", F.col("_z.p").alias("p"), "_min", "_max",
+                             F.col("_z.L").alias("L"), F.col("_z.U").alias("U"),
+                             F.floor(h).cast("long").alias("_lo"), F.ceil(h).cast("long").alias("_hi"),
+                             (h - F.floor(h)).alias("_frac")), "quantile_bounds")
+    res = stage(bounds.join(_quantile_pass(df, group, value, bounds), group + ["pi"], "left"),
+                "quantile_pass")
     ok = (F.col("_below") <= F.col("_lo")) & (F.col("_top") > F.col("_hi"))
-    good = res.where(ok)
-    bad = res.where(~F.coalesce(ok, F.lit(False))).select(
-        *group, "pi", "n", "p", F.col("_min").alias("L"), F.col("_max").alias("U"), "_lo", "_hi", "_frac")
-    redo = _quantile_pass(df, group, value, probs, bad.drop("p")).join(bad.select(*group, "pi", "p", "_frac"),
-                                                                       group + ["pi"])
     cols = [*group, "p", "_xlo", "_xhi", "_frac"]
-    both = good.select(*cols).unionByName(redo.select(*cols))
+    both = res.where(ok).select(*cols)
+    bad = res.where(~F.coalesce(ok, F.lit(False)))
+    if not bad.isEmpty():
+        # bracket missed (tiny groups only): exact pass over the full range
+        full = bad.select(*group, "pi", "p", F.col("_min").alias("L"), F.col("_max").alias("U"),
+                          "_lo", "_hi", "_frac")
+        redo = _quantile_pass(df, group, value, full).join(full.select(*group, "pi", "p", "_frac"),
+                                                           group + ["pi"])
+        both = both.unionByName(redo.select(*cols))
     q = F.col("_xlo") + (F.col("_xhi") - F.col("_xlo")) * F.col("_frac")
     return both.select(*group, "p", F.when(F.col("_frac") == 0, F.col("_xlo")).otherwise(q).alias("quantile"))
 
@@ -165,12 +177,20 @@ def hierarchy_rollup(df: DataFrame, levels: Sequence[str], value: str) -> DataFr
 
 def flow_matrix(flows: DataFrame, src: str, dst: str, value: str) -> DataFrame:
     """Sums per (source, target), the reverse direction of each pair and the
-    source's row total (chord layout input)."""
-    m = flows.groupBy(src, dst).agg(F.sum(value).alias("value"))
-    rev = m.select(F.col(src).alias(dst), F.col(dst).alias(src), F.col("value").alias("reverse_value"))
-    tot = m.groupBy(src).agg(F.sum("value").alias("src_total"))
-    return (m.join(rev, [src, dst], "left").join(tot, src)
-            .withColumn("reverse_value", F.coalesce("reverse_value", F.lit(0.0))))
+    source's row total (chord layout input). One aggregate over unordered
+    pairs gives both directions, so the input is read once."""
+    a, b = F.least(src, dst), F.greatest(src, dst)
+    pairs = (flows.groupBy(a.alias("_a"), b.alias("_b"))
+             .agg(F.sum(F.when((F.col(src) == a) & (F.col(dst) == b), F.col(value))).alias("_ab"),
+                  F.sum(F.when((F.col(src) == b) & (F.col(dst) == a), F.col(value))).alias("_ba")))
+    both = pairs.select(F.explode(F.array(
+        F.struct(F.col("_a").alias(src), F.col("_b").alias(dst), F.col("_ab").alias("value"),
+                 F.col("_ba").alias("reverse_value")),
+        F.struct(F.col("_b").alias(src), F.col("_a").alias(dst), F.col("_ba").alias("value"),
+                 F.col("_ab").alias("reverse_value")))).alias("_r")).select("_r.*")
+    m = both.where(F.col("value").isNotNull()).dropDuplicates([src, dst])
+    return (m.withColumn("reverse_value", F.coalesce("reverse_value", F.lit(0.0)))
+            .withColumn("src_total", F.sum("value").over(Window.partitionBy(src))))
 
 
 def grid_occupancy(df: DataFrame, x: str, y: str, levels: int = 4) -> DataFrame:

@@ -99,8 +99,12 @@ def quantize(x: Column, lo: Column, hi: Column, n: int) -> Column:
 def ordinal_codes(df: DataFrame, value: str, order: str, palette: int = PALETTE_SIZE) -> DataFrame:
     """Code of each distinct value by first appearance, and its palette
     slot ``code mod palette``. The window runs over the distinct values only."""
+    from ..session import stage
     from .series import ordered_index
-    firsts = df.groupBy(value).agg(F.min(order).alias("first_pos")).withColumn("_all", F.lit(0))
+    # one pass over the input; the distinct values (a short table) are
+    # written once and numbered from there
+    firsts = stage(df.groupBy(value).agg(F.min(order).alias("first_pos")), "ordinal_firsts") \
+        .withColumn("_all", F.lit(0))
     # chunked numbering: no task holds more than one range of positions
     ranked = ordered_index(firsts, ["_all"], "first_pos", "_rn", chunk_seconds=1 << 20,
                            tiebreak=[value])

@@ -80,7 +80,8 @@ def q_aligned_metrics(spark, sf_dir):
 
 
 def _samples(spark, sf_dir):
-    return T.metric_samples(spark, sf_dir)
+    """The canonical metric samples, written once for the branches of a plan."""
+    return stage(T.metric_samples(spark, sf_dir), "metric_samples")
 
 
 @query("series_rank", f"""

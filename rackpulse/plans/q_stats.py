@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import tables as T
 from ..operators import layout as L
 from ..operators import stats as ST
+from ..session import stage
 from .registry import query
 
 PROBS = [0.1, 0.25, 0.5, 0.75, 0.9]
@@ -289,12 +290,14 @@ UNION ALL
 SELECT 2 AS level, n_name AS name, round(x0 + 1e-9, 6) AS x0, round(dx + 1e-9, 6) AS dx FROM n1
 """)
 def q_nested_intervals(spark, sf_dir):
-    h = _hier(spark, sf_dir)
-    rv = (h.groupBy("r_name").agg(F.sum("o_totalprice").alias("value"))
+    # nation values once (one pass over the join), written as a small table;
+    # region values are sums of their nations
+    nv0 = stage(_hier(spark, sf_dir).groupBy("r_name", "n_name").agg(F.sum("o_totalprice").alias("value")),
+                "nation_values")
+    rv = (nv0.groupBy("r_name").agg(F.sum("value").alias("value"))
           .withColumn("root", F.lit("")).withColumn("px0", F.lit(0.0)).withColumn("pdx", F.lit(1.0)))
     r1 = L.nested_intervals(rv, "root", "r_name", "value")
-    nv = (h.groupBy("r_name", "n_name").agg(F.sum("o_totalprice").alias("value"))
-          .join(r1.select("r_name", F.col("x0").alias("px0"), F.col("dx").alias("pdx")), "r_name"))
+    nv = nv0.join(r1.select("r_name", F.col("x0").alias("px0"), F.col("dx").alias("pdx")), "r_name")
     n1 = L.nested_intervals(nv, "r_name", "n_name", "value")
     return (r1.select(F.lit(1).alias("level"), F.col("r_name").alias("name"), rb("x0"), rb("dx"))
             .unionByName(n1.select(F.lit(2).alias("level"), F.col("n_name").alias("name"), rb("x0"), rb("dx"))))
