@@ -165,7 +165,26 @@ def q_grid_occupancy(spark, sf_dir):
     return ST.grid_occupancy(o, "o_totalprice", "y", 4)
 
 
-@query("hull_per_group")
+@query("hull_per_group", """
+WITH RECURSIVE p AS (SELECT DISTINCT c_nationkey AS g, c_acctbal AS x, CAST(c_custkey AS DOUBLE) AS y FROM customer),
+e AS (SELECT a.g, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS by_ FROM p a JOIN p b ON a.g = b.g
+      WHERE (a.x, a.y) <> (b.x, b.y)
+        AND NOT EXISTS (SELECT 1 FROM p r WHERE r.g = a.g AND (r.x, r.y) <> (a.x, a.y) AND (r.x, r.y) <> (b.x, b.y)
+              AND NOT ((b.x - a.x) * (r.y - a.y) - (b.y - a.y) * (r.x - a.x) > 0
+                       OR ((b.x - a.x) * (r.y - a.y) - (b.y - a.y) * (r.x - a.x) = 0
+                           AND (r.x - a.x) * (b.x - a.x) + (r.y - a.y) * (b.y - a.y) > 0
+                           AND (r.x - b.x) * (a.x - b.x) + (r.y - b.y) * (a.y - b.y) > 0)))),
+s AS (SELECT g, arg_min(x, (x, y)) AS x, arg_min(y, (x, y)) AS y FROM p GROUP BY g),
+walk(g, vertex, x, y) AS (
+  SELECT s.g, 0, s.x, s.y FROM s
+  UNION ALL
+  SELECT w.g, w.vertex + 1, e.bx, e.by_ FROM walk w JOIN e ON e.g = w.g AND e.ax = w.x AND e.ay = w.y
+  WHERE w.vertex < 10000),
+cyc AS (SELECT g, min(vertex) FILTER (WHERE vertex > 0 AND (x, y) = (SELECT (s.x, s.y) FROM s WHERE s.g = walk.g))
+          AS n FROM walk GROUP BY g)
+SELECT w.g AS c_nationkey, CAST(w.vertex AS INTEGER) AS vertex, w.x, w.y
+FROM walk w JOIN cyc c ON w.g = c.g WHERE c.n >= 3 AND w.vertex < c.n
+""")
 def q_hull_per_group(spark, sf_dir):
     c = _t(spark, sf_dir, "customer").select("c_nationkey", "c_acctbal",
                                              F.col("c_custkey").cast("double").alias("k"))
@@ -390,7 +409,29 @@ def q_stack_wiggle(spark, sf_dir):
     return s.select("x", "series", rb("y"), rb("y0"))
 
 
-@query("stack_inside_out")
+@query("stack_inside_out", f"""
+WITH RECURSIVE {STACK_CTE},
+mx AS (SELECT series, x AS xmax FROM (SELECT *, row_number() OVER (PARTITION BY series ORDER BY y DESC, x) AS r
+                                      FROM vals) t WHERE r = 1),
+sm AS (SELECT v.series, sum(v.y) AS total, any_value(m.xmax) AS xmax FROM vals v JOIN mx m ON v.series = m.series
+       GROUP BY v.series),
+o AS (SELECT *, row_number() OVER (ORDER BY xmax, series) AS i FROM sm),
+deal(i, top, bottom, tops, bottoms) AS (
+  SELECT 0, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[])
+  UNION ALL
+  SELECT d.i + 1,
+         CASE WHEN d.top < d.bottom THEN d.top + o.total ELSE d.top END,
+         CASE WHEN d.top < d.bottom THEN d.bottom ELSE d.bottom + o.total END,
+         CASE WHEN d.top < d.bottom THEN list_append(d.tops, o.series) ELSE d.tops END,
+         CASE WHEN d.top < d.bottom THEN d.bottoms ELSE list_append(d.bottoms, o.series) END
+  FROM deal d JOIN o ON o.i = d.i + 1),
+fin AS (SELECT list_concat(list_reverse(bottoms), tops) AS ord FROM deal ORDER BY i DESC LIMIT 1),
+pos AS (SELECT unnest(ord) AS name, CAST(generate_subscripts(ord, 1) - 1 AS INTEGER) AS series FROM fin)
+SELECT v.x, v.series AS name, p.series, round(v.y + 1e-9, 6) AS y,
+       round(coalesce(sum(v.y) OVER (PARTITION BY v.x ORDER BY p.series
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1e-9, 6) AS y0
+FROM vals v JOIN pos p ON v.series = p.name
+""")
 def q_stack_inside_out(spark, sf_dir):
     """W6 inside-out order, then a zero-offset stack in that order."""
     v = _stack_values(spark, sf_dir)
@@ -398,7 +439,7 @@ def q_stack_inside_out(spark, sf_dir):
     ordered = v.join(order, "series").withColumnRenamed("series", "name").withColumnRenamed("position", "series")
     s = L.stack(ordered.select("x", "series", "y"), "x", "series", "y", "zero")
     return s.join(order.withColumnRenamed("series", "name").withColumnRenamed("position", "series"), "series") \
-        .select("x", "name", "series", "y", "y0")
+        .select("x", "name", "series", rb("y"), rb("y0"))
 
 
 @query("nest_entries")

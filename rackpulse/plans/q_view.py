@@ -118,11 +118,45 @@ def q_voronoi_cells(spark, sf_dir):
     return V.voronoi_cells(_scaled_centers(spark, sf_dir), GROUP)
 
 
-@query("voronoi_links")
+DELAUNAY_SQL = """
+u AS (SELECT * FROM sc c WHERE NOT EXISTS (SELECT 1 FROM sc e WHERE e.server = c.server
+      AND e.cluster_id < c.cluster_id AND e.vx = c.vx AND e.vy = c.vy)),
+tri AS (SELECT a.server, a.cluster_id AS a, b.cluster_id AS b, c.cluster_id AS c,
+               a.vx AS ax, a.vy AS ay, b.vx AS bx, b.vy AS by_, c.vx AS cx, c.vy AS cy
+        FROM u a JOIN u b ON a.server = b.server AND a.cluster_id < b.cluster_id
+                 JOIN u c ON c.server = a.server AND b.cluster_id < c.cluster_id),
+dd AS (SELECT *, 2 * (ax * (by_ - cy) + bx * (cy - ay) + cx * (ay - by_)) AS d FROM tri),
+cc AS (SELECT *, ((ax * ax + ay * ay) * (by_ - cy) + (bx * bx + by_ * by_) * (cy - ay)
+                  + (cx * cx + cy * cy) * (ay - by_)) / d AS ux,
+                 ((ax * ax + ay * ay) * (cx - bx) + (bx * bx + by_ * by_) * (ax - cx)
+                  + (cx * cx + cy * cy) * (bx - ax)) / d AS uy FROM dd WHERE d <> 0),
+rr AS (SELECT *, (ax - ux) * (ax - ux) + (ay - uy) * (ay - uy) AS r2 FROM cc),
+del AS (SELECT server, a, b, c FROM rr t WHERE NOT EXISTS (
+          SELECT 1 FROM u o WHERE o.server = t.server AND o.cluster_id NOT IN (t.a, t.b, t.c)
+            AND (o.vx - t.ux) * (o.vx - t.ux) + (o.vy - t.uy) * (o.vy - t.uy) < t.r2 * (1 - 1e-9)))
+"""
+
+
+@query("voronoi_links", f"""
+WITH {POINTS_CTE}, {VORONOI_SQL}, {DELAUNAY_SQL},
+n AS (SELECT server, count(*) AS k FROM u GROUP BY server)
+SELECT DISTINCT server, CAST(a AS INTEGER) AS a, CAST(b AS INTEGER) AS b FROM (
+  SELECT server, a, b FROM del UNION ALL SELECT server, a, c FROM del UNION ALL SELECT server, b, c FROM del
+  UNION ALL SELECT x.server, x.cluster_id, y.cluster_id FROM u x JOIN u y
+    ON x.server = y.server AND x.cluster_id < y.cluster_id JOIN n ON n.server = x.server WHERE n.k = 2) e
+""")
 def q_voronoi_links(spark, sf_dir):
     return V.voronoi_links(_scaled_centers(spark, sf_dir), GROUP)
 
 
+@query("voronoi_triangles", f"""
+WITH {POINTS_CTE}, {VORONOI_SQL}, {DELAUNAY_SQL}
+SELECT server, CAST(a AS INTEGER) AS a, CAST(b AS INTEGER) AS b, CAST(c AS INTEGER) AS c FROM del
+""")
+def q_voronoi_triangles(spark, sf_dir):
+    return V.voronoi_triangles(_scaled_centers(spark, sf_dir), GROUP)
+
+
 COUNT2D_CTE = """
 c2 AS (SELECT CAST(trunc(value) AS INTEGER) % 60 AS temp, CAST(user_id % 123 AS INTEGER) * 60 AS fan,
               count(*) AS n FROM events GROUP BY ALL)
@@ -164,7 +198,3 @@ FROM f
 def q_ordinal_code(spark, sf_dir):
     return V.ordinal_codes(T.table(spark, sf_dir, "part"), "p_brand", "p_partkey")
 
-
-@query("voronoi_triangles")
-def q_voronoi_triangles(spark, sf_dir):
-    return V.voronoi_triangles(_scaled_centers(spark, sf_dir), GROUP)
