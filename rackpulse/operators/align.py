@@ -126,16 +126,16 @@ def aligned_metrics(samples: DataFrame, half_window: int = 30,
     and every sample its bucket (the first cut strictly after it); one
     aggregate per grid row then assembles the wide row.
 
-    Every branch reads ``samples`` through conditional aggregates rather than
-    filters on its keys, so Catalyst cannot push a filter under the samples
-    aggregate: its shuffle is shared by all branches and the source is read
-    once.
+    ``samples`` should be a written table (``session.stage``): several
+    branches read it, each with its own column pruning and filters.
     """
     site = F.col("server").isNull()
     metric = F.col("metric")
-    # positional pairing (J1): i-th write with i-th read of the day
-    ranked = series_rank(samples, chunk_seconds)
-    site_series = ranked.where(F.when(site, metric).isin("filewrites", "filereads"))
+    # positional pairing (J1): i-th write with i-th read of the day; only the
+    # two site-wide series are ranked (the filter reaches the scan)
+    site_series = ordered_index(
+        samples.where(site & metric.isin("filewrites", "filereads")).select("metric", "day", "epoch", "value"),
+        ["metric", "day"], "epoch", "rn", chunk_seconds)
     grid_site = (site_series.groupBy("day", "rn")
                  .agg(F.max(F.when(metric == "filewrites", F.col("epoch"))).alias("time"),
                       F.max(F.when(metric == "filewrites", F.col("value"))).alias("filewrites"),

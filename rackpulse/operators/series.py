@@ -51,8 +51,7 @@ def ordered_index(df: DataFrame, keys: Sequence[str], t: str, out: str = "rn",
     before = Window.partitionBy(*keys).orderBy(_CH).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, _CH, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     return (local.join(offsets, keys + [_CH])
-            .withColumn(out, (F.col("_lrn") + F.col("_off")).cast("int"))
-            .drop("_lrn", "_off", _CH))
+            .select(*df.columns, (F.col("_lrn") + F.col("_off")).cast("int").alias(out)))
 
 
 def asof_next(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t: str, right_t: str,
@@ -101,9 +100,7 @@ def forward_fill(df: DataFrame, keys: Sequence[str], t: str, tie: str, cols: Seq
     d = df.withColumn(_CH, _chunk(F.col(t), chunk_seconds))
     w = (Window.partitionBy(*keys, _CH).orderBy(F.col(t).desc(), F.col(tie).desc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    filled = d
-    for c in cols:
-        filled = filled.withColumn("_in_" + c, F.last(c, ignorenulls=True).over(w))
+    filled = d.select("*", *[F.last(c, ignorenulls=True).over(w).alias("_in_" + c) for c in cols])
     # first non-null value of each column per chunk (min over (t, tie, value)),
     # a partial aggregate: one row per chunk and task is shuffled
     firsts = d.groupBy(*keys, _CH).agg(*[
