@@ -17,12 +17,19 @@ from pyspark.sql import functions as F
 TAU = 2 * math.pi
 
 
-def adjacent_pairs(df: DataFrame, group: Sequence[str], order: str | Sequence[str], value: str) -> DataFrame:
-    """(a, b) for consecutive elements of each group; the last has no pair."""
+def adjacent_pairs(df: DataFrame, group: Sequence[str], order: str | Sequence[str], value: str,
+                   chunk: int = 1 << 30) -> DataFrame:
+    """(a, b) for consecutive elements of each group; the last has no pair.
+    ``order[0]`` must be numeric: it also cuts a group into chunks of
+    ``chunk`` units (see ``series.previous_row``)."""
+    from .series import previous_row
+
     order = [order] if isinstance(order, str) else list(order)
-    w = Window.partitionBy(*group).orderBy(*order)
-    return (df.select(*group, order[0], F.col(value).alias("a"), F.lead(value).over(w).alias("b"))
-            .where(F.col("b").isNotNull()))
+    p = previous_row(df.select(*group, *order, value), group, order[0], order[1:], [order[0], value],
+                     chunk_seconds=chunk)
+    return (p.where(F.col("prev_" + value).isNotNull())
+            .select(*group, F.col("prev_" + order[0]).alias(order[0]),
+                    F.col("prev_" + value).alias("a"), F.col(value).alias("b")))
 
 
 def stack(values: DataFrame, x: str, series: str, y: str, offset: str = "zero",
@@ -107,11 +114,18 @@ def great_circle(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Colu
     return F.atan2(F.sqrt(a * a + b * b), c)
 
 
-def path_length(points: DataFrame, group: Sequence[str], order: Sequence[str], lon: str, lat: str) -> DataFrame:
-    """Great-circle length (radians) of each group's ordered path."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    seg = great_circle(F.lag(lon).over(w), F.lag(lat).over(w), F.col(lon), F.col(lat))
-    return (points.select(*group, seg.alias("_s"))
+def path_length(points: DataFrame, group: Sequence[str], t: str, tie: Sequence[str], lon: str, lat: str,
+                chunk_seconds: int = 30 * 86400) -> DataFrame:
+    """Great-circle length (radians) of each group's path ordered by
+    ``(t, tie...)`` (``t`` numeric, e.g. epoch seconds). Predecessors come
+    from the chunked ``previous_row``, so one very long path is still split
+    over many tasks; the segment lengths are then summed (partial aggregate)."""
+    from .series import previous_row
+
+    p = previous_row(points.select(*group, t, *tie, lon, lat), group, t, tie, [lon, lat],
+                     chunk_seconds=chunk_seconds)
+    seg = great_circle(F.col("prev_" + lon), F.col("prev_" + lat), F.col(lon), F.col(lat))
+    return (p.select(*group, seg.alias("_s"))
             .groupBy(*group).agg(F.coalesce(F.sum("_s"), F.lit(0.0)).alias("length"),
                                  F.count(F.lit(1)).alias("n_points")))
 

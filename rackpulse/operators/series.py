@@ -114,3 +114,29 @@ def forward_fill(df: DataFrame, keys: Sequence[str], t: str, tie: str, cols: Seq
     out = filled.join(carry, keys + [_CH], "left")
     return out.select(*df.columns, *[F.coalesce(F.col("_in_" + c), F.col("_cy_" + c)).alias(prefix + c)
                                      for c in cols])
+
+
+def previous_row(df: DataFrame, keys: Sequence[str], t: str, tie: Sequence[str], cols: Sequence[str],
+                 prefix: str = "prev_", chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+    """For every row, the columns ``cols`` of the row just before it in
+    ascending ``(t, tie...)`` order within ``keys`` (null for the first row).
+
+    A ``lag`` per ``(keys, chunk)``; the first row of a chunk takes the last row
+    of the nearest earlier chunk that has rows, carried through a per-chunk
+    summary, so a key with a third of all rows is still spread over tasks."""
+    keys, cols, tie = list(keys), list(cols), list(tie)
+    d = df.withColumn(_CH, _chunk(F.col(t), chunk_seconds))
+    order = [F.col(t)] + [F.col(c) for c in tie]
+    w = Window.partitionBy(*keys, _CH).orderBy(*order)
+    row = F.struct(*[F.col(c).alias(c) for c in cols])
+    local = d.select("*", F.lag(row).over(w).alias("_lag"),
+                     (F.row_number().over(w) == 1).alias("_first"))
+    # last row of each chunk: the max over (t, tie..., row) per chunk
+    lasts = d.groupBy(*keys, _CH).agg(
+        F.max(F.struct(F.col(t).alias("_t"), *[F.col(c).alias("_k" + str(i)) for i, c in enumerate(tie)],
+                       row.alias("_row")))["_row"].alias("_last"))
+    earlier = Window.partitionBy(*keys).orderBy(_CH).rowsBetween(Window.unboundedPreceding, -1)
+    carry = lasts.select(*keys, _CH, F.last("_last", ignorenulls=True).over(earlier).alias("_carry"))
+    out = local.join(carry, keys + [_CH], "left")
+    prev = F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_lag"))
+    return out.select(*df.columns, *[prev[c].alias(prefix + c) for c in cols])

@@ -365,9 +365,9 @@ SELECT o_custkey, round(coalesce(sum(seg), 0) + 1e-9, 6) AS length, count(*) AS
 """)
 def q_path_length(spark, sf_dir):
     o = _t(spark, sf_dir, "orders").select(
-        "o_custkey", "o_orderdate", "o_orderkey",
+        "o_custkey", T.epoch_seconds(F.col("o_orderdate")).alias("t"), "o_orderkey",
         _rad(F.col("o_orderkey") % 360 - 180).alias("lon"), _rad(F.col("o_orderkey") % 170 - 85).alias("lat"))
-    p = L.path_length(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "lon", "lat")
+    p = L.path_length(o, ["o_custkey"], "t", ["o_orderkey"], "lon", "lat")
     return p.select("o_custkey", rb("length"), "n_points")
 
 

@@ -136,10 +136,23 @@ def test_gap_interpolate_and_pairs(spark):
 def test_path_length_and_distance(spark):
     pts = spark.createDataFrame([(0, 1, 0.0, 0.0), (0, 2, math.pi / 2, 0.0), (0, 3, math.pi / 2, math.pi / 2)],
                                 "g int, o int, lon double, lat double")
-    r = L.path_length(pts, ["g"], ["o"], "lon", "lat").collect()[0]
+    r = L.path_length(pts, ["g"], "o", [], "lon", "lat").collect()[0]
     assert r.length == pytest.approx(math.pi) and r.n_points == 3
 
 
+def test_previous_row_hot_key_small_chunks(spark):
+    from rackpulse.operators.series import previous_row
+    rnd = random.Random(4)
+    rows = [(0 if rnd.random() < 0.6 else rnd.randint(1, 5), rnd.randint(0, 5000), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k int, t long, id int")
+    got = {r.id: r.prev_id for r in previous_row(df, ["k"], "t", ["id"], ["id"], chunk_seconds=40).collect()}
+    for k in {r[0] for r in rows}:
+        seq = sorted((t, i) for kk, t, i in rows if kk == k)
+        assert got[seq[0][1]] is None
+        for (t0, a), (t1, b) in zip(seq, seq[1:]):
+            assert got[b] == a
+
+
 def test_scales(spark):
     df = spark.createDataFrame([(5.0,), (50000.0,), (200000.0,), (-4.0,)], "x double")
     r = df.select(
