@@ -21,7 +21,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from rackpulse.plans import QUERIES  # noqa: E402
-from rackpulse.session import get_spark  # noqa: E402
+from rackpulse.session import clear_staged, get_spark  # noqa: E402
 
 
 def main() -> None:
@@ -53,6 +53,7 @@ def main() -> None:
            "queries": times, "sf": sf, "cpus": cpus, "runs": runs, "n_queries": len(times)}
     if errors:
         out["errors"] = errors
+    clear_staged(spark)
     spark.stop()
     print(json.dumps(out))
 

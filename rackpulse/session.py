@@ -44,11 +44,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         configured = tempfile.mkdtemp(prefix="rackpulse-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
 
 
+def _staged_root(spark: SparkSession) -> str:
+    """This application's own folder for staged tables under the checkpoint dir."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/staged/{spark.sparkContext.applicationId}"
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete the tables this application wrote with ``stage`` (through the
+    Hadoop file system API, so it works on any shared storage)."""
+    base = _staged_root(spark)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)
+
+
 def stage(df, name: str, partition_by: tuple[str, ...] = ()):
     """Write ``df`` once as Parquet in the shared checkpoint folder and return
     a DataFrame that reads it back.
@@ -63,8 +82,7 @@ def stage(df, name: str, partition_by: tuple[str, ...] = ()):
     import uuid
 
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/staged/{name}-{uuid.uuid4().hex}"
+    path = f"{_staged_root(spark)}/{name}-{uuid.uuid4().hex}"
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -23,6 +23,8 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(s)
     yield s
+    from rackpulse.session import clear_staged
+    clear_staged(s)
 
 
 @pytest.fixture()
