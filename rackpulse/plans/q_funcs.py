@@ -236,7 +236,7 @@ SELECT l_orderkey, CAST(count(DISTINCT l_suppkey % 10) AS INTEGER) AS n_distinct
 def q_distinct_set(spark, sf_dir):
     l = _t(spark, sf_dir, "lineitem")
     return l.groupBy("l_orderkey").agg(
-        F.size(F.array_distinct(F.collect_list(F.col("l_suppkey") % 10))).alias("n_distinct"))
+        F.size(F.collect_set(F.col("l_suppkey") % 10)).alias("n_distinct"))
 
 
 @query("map_parts", """
