@@ -3,8 +3,6 @@ sources (F3-F14, P14-P22, J11, J12, U1-U3, O5, S15, S16)."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from .. import tables as T
@@ -12,7 +10,7 @@ from ..functions import collections as CL
 from ..functions import scales as SC
 from ..functions import timefns as TF
 from ..operators.diff import snapshot_diff
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 from ..sources.metrics import coerce_numbers
 from ..streaming.ingest import ingest_available, read_ingested
 from .registry import query
@@ -32,8 +30,7 @@ def _t(spark, sf_dir, name):
 
 
 def _scratch(spark, what):
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{what}-{uuid.uuid4().hex}"
+    return scratch_path(spark, what)
 
 
 def _ordered_lines(spark, sf_dir, value_cols):

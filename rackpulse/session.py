@@ -57,6 +57,14 @@ def _staged_root(spark: SparkSession) -> str:
     return f"{base}/staged/{spark.sparkContext.applicationId}"
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder name for one job's files under this application's
+    folder in the shared checkpoint dir (removed by ``clear_staged``)."""
+    import uuid
+
+    return f"{_staged_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def clear_staged(spark: SparkSession) -> None:
     """Delete the tables this application wrote with ``stage`` (through the
     Hadoop file system API, so it works on any shared storage)."""
@@ -79,10 +87,8 @@ def stage(df, name: str, partition_by: tuple[str, ...] = ()):
     and the files live on the cluster's shared storage, so a lost executor
     costs a task retry, not the table.
     """
-    import uuid
-
     spark = df.sparkSession
-    path = f"{_staged_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
