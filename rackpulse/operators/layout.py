@@ -130,14 +130,17 @@ def path_length(points: DataFrame, group: Sequence[str], t: str, tie: Sequence[s
                                  F.count(F.lit(1)).alias("n_points")))
 
 
-def stack_wiggle(values: DataFrame, x: str, series: str, y: str) -> DataFrame:
+def stack_wiggle(values: DataFrame, x: str, series: str, y: str, chunk: int = 1 << 30) -> DataFrame:
     """W6 ``wiggle`` offset (streamgraph baseline that minimises weighted
     change in slope), then series stacked on it in key order.
 
     With series i = 0..n-1 and x positions j: s1_j = sum_i y_ij; s3_ij =
     dy_ij / (2 dx_j) + sum_{k<i} dy_kj / dx_j; s2_j = sum_i s3_ij y_ij; the
     baseline o_j = o_{j-1} - s2_j / s1_j * dx_j (0 when s1_j = 0), shifted so
-    that its minimum is 0. ``values`` must hold every (x, series) pair."""
+    that its minimum is 0. ``values`` must hold every (x, series) pair;
+    ``x`` is numeric and ``chunk`` (in x units) cuts the running baseline."""
+    from .series import running_sum
+
     bys = Window.partitionBy(series).orderBy(x)
     byx_before = Window.partitionBy(x).orderBy(series).rowsBetween(Window.unboundedPreceding, -1)
     v = (values.withColumn("_dy", F.col(y) - F.lag(y).over(bys))
@@ -146,12 +149,12 @@ def stack_wiggle(values: DataFrame, x: str, series: str, y: str) -> DataFrame:
                      + F.coalesce(F.sum(F.col("_dy") / F.col("_dx")).over(byx_before), F.lit(0.0)))
     per_x = v.groupBy(x).agg(F.sum(y).alias("_s1"), F.sum(F.col("_s3") * F.col(y)).alias("_s2"),
                              F.max("_dx").alias("_dx"))
-    # one row per x position (a small table): cumulative baseline over x
+    # one row per x position: cumulative baseline over x (chunked running
+    # sum, no single-task window), shifted by its minimum (a scalar subquery)
     step = F.when(F.col("_dx").isNull(), F.lit(0.0)).when(F.col("_s1") == 0, F.lit(0.0)) \
         .otherwise(F.col("_s2") / F.col("_s1") * F.col("_dx"))
-    run = Window.orderBy(x).rowsBetween(Window.unboundedPreceding, 0)
-    o = per_x.withColumn("_o", -F.sum(step).over(run))
-    base = o.select(x, (F.col("_o") - F.min("_o").over(Window.partitionBy(F.lit(1)))).alias("_base"))
+    o = running_sum(per_x.select(x, (-step).alias("_step")), [], x, "_step", "_o", chunk_seconds=chunk)
+    base = o.select(x, (F.col("_o") - o.select(F.min("_o")).scalar()).alias("_base"))
     below = Window.partitionBy(x).orderBy(series).rowsBetween(Window.unboundedPreceding, -1)
     return (values.join(base, x)
             .select(x, series, F.col(y).cast("double").alias("y"),

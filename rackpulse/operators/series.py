@@ -140,3 +140,23 @@ def previous_row(df: DataFrame, keys: Sequence[str], t: str, tie: Sequence[str],
     out = local.join(carry, keys + [_CH], "left")
     prev = F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_lag"))
     return out.select(*df.columns, *[prev[c].alias(prefix + c) for c in cols])
+
+
+def running_sum(df: DataFrame, keys: Sequence[str], t: str, value: Column | str, out: str,
+                chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+    """Inclusive running sum of ``value`` in ascending ``t`` within ``keys``
+    (``t`` unique per key; ``keys`` may be empty for one global order).
+
+    A running frame per ``(keys, chunk)`` plus the total of all earlier chunks
+    of the key, carried through the per-chunk totals, so no task holds more
+    than one chunk even when there is no key at all."""
+    keys = list(keys)
+    v = F.col(value) if isinstance(value, str) else value
+    d = df.withColumn("_rv", v).withColumn(_CH, _chunk(F.col(t), chunk_seconds))
+    w = Window.partitionBy(*keys, _CH).orderBy(t).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = d.withColumn("_loc", F.sum("_rv").over(w))
+    totals = d.groupBy(*keys, _CH).agg(F.sum("_rv").alias("_tot"))
+    before = Window.partitionBy(*keys).orderBy(_CH).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, _CH, F.coalesce(F.sum("_tot").over(before), F.lit(0.0)).alias("_off"))
+    return (local.join(offsets, keys + [_CH])
+            .select(*df.columns, (F.col("_loc") + F.col("_off")).alias(out)))

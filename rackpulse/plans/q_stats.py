@@ -405,7 +405,7 @@ FROM vals v JOIN b ON v.x = b.x
 """)
 def q_stack_wiggle(spark, sf_dir):
     dense = L.densify(_stack_values(spark, sf_dir), "x", "series", "y")
-    s = L.stack_wiggle(dense, "x", "series", "y")
+    s = L.stack_wiggle(dense, "x", "series", "y", chunk=4)
     return s.select("x", "series", rb("y"), rb("y0"))
 
 

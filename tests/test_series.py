@@ -4,9 +4,11 @@ chunks small enough that most look-ups cross a chunk border."""
 import bisect
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
-from rackpulse.operators.series import asof_next, forward_fill, ordered_index
+from rackpulse.operators.series import asof_next, forward_fill, ordered_index, running_sum
 
 
 def _rows(seed, n_keys=3, n=300, span=5000, hot=0):
@@ -84,3 +86,22 @@ def test_forward_fill_several_columns(spark):
         same = [x for x in later if (x[0], x[1]) == (t, tie)]
         if len(same) == 1:
             assert res[i].next_a == ea and res[i].next_b == eb
+
+
+def test_running_sum_against_loop(spark):
+    rows = _rows(7, n=120, span=2000, hot=1)
+    df = spark.createDataFrame(rows, "k int, t long, v double")
+    got = {(r.k, r.t): r.cum for r in running_sum(df, ["k"], "t", "v", "cum", chunk_seconds=41).collect()}
+    for k in {r[0] for r in rows}:
+        acc = 0.0
+        for t, v in sorted((t, v) for kk, t, v in rows if kk == k):
+            acc += v
+            assert got[(k, t)] == pytest.approx(acc)
+    # no key at all: one global order, still cut into chunks
+    uniq = {t: v for _, t, v in rows}
+    g = spark.createDataFrame(sorted(uniq.items()), "t long, v double")
+    got = {r.t: r.cum for r in running_sum(g, [], "t", "v", "cum", chunk_seconds=41).collect()}
+    acc = 0.0
+    for t in sorted(uniq):
+        acc += uniq[t]
+        assert got[t] == pytest.approx(acc)

@@ -233,6 +233,19 @@ def test_wiggle_and_densify(spark):
         assert got[(x, "b")] == pytest.approx(base[j] + ys[0][j])
 
 
+def test_wiggle_chunked_baseline(spark):
+    # the running baseline cut into chunks of 1 and 2 x units gives the same offsets
+    xs = [1, 2, 4, 5, 9]
+    ys = [[1.0, 4.0, 2.0, 0.0, 3.0], [3.0, 1.0, 5.0, 2.0, 1.0], [0.0, 2.0, 2.0, 7.0, 4.0]]
+    rows = [(x, s, ys[i][j]) for i, s in enumerate("abc") for j, x in enumerate(xs)]
+    dense = spark.createDataFrame(rows, "x int, s string, y double")
+    base = _wiggle_loop(xs, ys)
+    for chunk in (1, 2):
+        got = {(r.x, r.s): r.y0 for r in L.stack_wiggle(dense, "x", "s", "y", chunk=chunk).collect()}
+        for j, x in enumerate(xs):
+            assert got[(x, "a")] == pytest.approx(base[j])
+
+
 def test_inside_out_order(spark):
     # maxima at x = 3 (a), 1 (b), 2 (c), 4 (d); sums 5, 4, 3, 9
     rows = [(1, "a", 1.0), (3, "a", 4.0), (1, "b", 4.0), (2, "c", 3.0), (4, "d", 9.0)]
