@@ -87,18 +87,24 @@ def nested_intervals(children: DataFrame, parent: str, child: str, value: str,
                            (share * F.col(parent_dx)).alias("dx"))
 
 
-def gap_interpolate(spine_values: DataFrame, group: Sequence[str], t: str, value: str) -> DataFrame:
+def gap_interpolate(spine_values: DataFrame, group: Sequence[str], t: str, value: str,
+                    chunk_seconds: int = 1 << 30) -> DataFrame:
     """Fill null values on a time spine linearly between the previous and
-    next known values (ends stay null). Both neighbours come from running
-    frames (the next one by ordering descending)."""
+    next known values (ends stay null); ``t`` is unique per group.
+
+    Both neighbours come from the chunked ``series.forward_fill``: the next
+    known value in ascending time, the previous one as the next known value
+    in ascending ``-t``. A group's spine is thus cut into chunks of
+    ``chunk_seconds`` rather than held by one task."""
+    from .series import forward_fill
+
     group = list(group)
     known = F.when(F.col(value).isNotNull(), F.struct(F.col(t).alias("t"), F.col(value).alias("v")))
-    back = Window.partitionBy(*group).orderBy(F.col(t)).rowsBetween(Window.unboundedPreceding, 0)
-    fwd = Window.partitionBy(*group).orderBy(F.col(t).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    d = (spine_values.withColumn("_k", known)
-         .withColumn("_p", F.last("_k", ignorenulls=True).over(back))
-         .withColumn("_n", F.last("_k", ignorenulls=True).over(fwd)))
-    p_t, p_v, n_t, n_v = F.col("_p.t"), F.col("_p.v"), F.col("_n.t"), F.col("_n.v")
+    d = spine_values.select(*group, t, value, known.alias("_k"), F.lit(0).alias("_tie"),
+                            (-F.col(t)).alias("_neg_t"))
+    d = forward_fill(d, group, t, "_tie", ["_k"], prefix="_n", chunk_seconds=chunk_seconds)
+    d = forward_fill(d, group, "_neg_t", "_tie", ["_k"], prefix="_p", chunk_seconds=chunk_seconds)
+    p_t, p_v, n_t, n_v = F.col("_p_k.t"), F.col("_p_k.v"), F.col("_n_k.t"), F.col("_n_k.v")
     frac = (F.col(t) - p_t).cast("double") / (n_t - p_t).cast("double")
     filled = F.when(F.col(value).isNotNull(), F.col(value)) \
         .when(n_t == p_t, p_v).otherwise(p_v + (n_v - p_v) * frac)

@@ -345,7 +345,8 @@ def q_gap_interpolate(spark, sf_dir):
          .agg(F.sum("value").alias("v")))
     spine = (h.groupBy("event_type").agg(F.min("t").alias("t0"), F.max("t").alias("t1"))
              .select("event_type", F.explode(F.sequence("t0", "t1", F.lit(3600).cast("long"))).alias("t")))
-    g = L.gap_interpolate(spine.join(h, ["event_type", "t"], "left"), ["event_type"], "t", "v")
+    g = L.gap_interpolate(spine.join(h, ["event_type", "t"], "left"), ["event_type"], "t", "v",
+                          chunk_seconds=7 * 86400)
     return g.select("event_type", "t", rb("raw"), rb("filled"))
 
 

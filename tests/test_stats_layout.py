@@ -133,6 +133,29 @@ def test_gap_interpolate_and_pairs(spark):
     assert sorted((r.a, r.b) for r in L.adjacent_pairs(pr, ["g"], "o", "v").collect()) == [("a", "b"), ("b", "c")]
 
 
+def test_gap_interpolate_chunked_against_loop(spark):
+    import random
+    rnd = random.Random(5)
+    rows = [(g, t, (float(rnd.randint(0, 50)) if rnd.random() < 0.3 else None))
+            for g in range(3) for t in range(0, 400 * (1 + 5 * (g == 0)), 10)]
+    df = spark.createDataFrame(rows, "g int, t long, v double")
+    for chunk in (1 << 30, 70, 25):
+        got = {(r.g, r.t): r.filled for r in L.gap_interpolate(df, ["g"], "t", "v", chunk_seconds=chunk).collect()}
+        for g in range(3):
+            pts = [(t, v) for gg, t, v in rows if gg == g]
+            for t, v in pts:
+                prev = [(tt, vv) for tt, vv in pts if tt <= t and vv is not None]
+                nxt = [(tt, vv) for tt, vv in pts if tt >= t and vv is not None]
+                if v is not None:
+                    exp = v
+                elif not prev or not nxt:
+                    exp = None
+                else:
+                    (pt, pv), (nt, nv) = prev[-1], nxt[0]
+                    exp = pv + (nv - pv) * (t - pt) / (nt - pt)
+                assert got[(g, t)] == (None if exp is None else pytest.approx(exp)), (chunk, g, t)
+
+
 def test_path_length_and_distance(spark):
     pts = spark.createDataFrame([(0, 1, 0.0, 0.0), (0, 2, math.pi / 2, 0.0), (0, 3, math.pi / 2, math.pi / 2)],
                                 "g int, o int, lon double, lat double")
