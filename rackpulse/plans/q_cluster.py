@@ -44,11 +44,13 @@ def step_sql(ctr: str, asg: str, name: str) -> str:
            FROM {ctr} c LEFT JOIN {name}_m m ON c.server = m.server AND c.cluster_id = m.cluster_id)"""
 
 
-def _points(spark, sf_dir):
+def _points(spark, sf_dir, staged: bool = True):
     """The aligned rows with all five features, written once (the K1 table) so
-    that the branches of a clustering plan read it instead of recomputing it."""
+    that the branches of a clustering plan read it instead of recomputing it.
+    Plans that read the points only once take them unwritten (``staged=False``):
+    a write would add a full pass over the aligned rows and save nothing."""
     pts = C.feature_rows(q_aligned_metrics(spark, sf_dir)).select("server", "day", "rn", *FEATS)
-    return stage(pts, "points")
+    return stage(pts, "points") if staged else pts
 
 
 def _centers(points):
@@ -67,7 +69,7 @@ WITH {POINTS_CTE}
 SELECT server, day, rn, {", ".join(FEATS)} FROM pts
 """)
 def q_feature_rows(spark, sf_dir):
-    return _points(spark, sf_dir)
+    return _points(spark, sf_dir, staged=False)
 
 
 @query("pick_k", f"""
@@ -77,7 +79,7 @@ SELECT server, count(*) AS n_points,
 FROM pts GROUP BY server
 """)
 def q_pick_k(spark, sf_dir):
-    p = _points(spark, sf_dir).groupBy("server").agg(F.count(F.lit(1)).alias("n_points"))
+    p = _points(spark, sf_dir, staged=False).groupBy("server").agg(F.count(F.lit(1)).alias("n_points"))
     return p.withColumn("k", C.pick_k(F.col("n_points")))
 
 

@@ -29,7 +29,7 @@ WITH {POINTS_CTE}
                     for x in DIMS for y in DIMS if x != y)}
 """)
 def q_dim_pair(spark, sf_dir):
-    return V.dim_pairs(_points(spark, sf_dir), ["server", "day", "rn"])
+    return V.dim_pairs(_points(spark, sf_dir, staged=False), ["server", "day", "rn"])
 
 
 @query("linear_scale", f"""
@@ -49,7 +49,7 @@ WITH {POINTS_CTE}
                     for d in DIMS)}
 """)
 def q_dim_extent(spark, sf_dir):
-    return V.dim_extent(_points(spark, sf_dir), GROUP)
+    return V.dim_extent(_points(spark, sf_dir, staged=False), GROUP)
 
 
 @query("nice_ticks", f"""
@@ -65,7 +65,7 @@ FROM st2, LATERAL (SELECT unnest(generate_series(CAST(ceil(lo / step) AS BIGINT)
                                                  CAST(floor(hi / step) AS BIGINT))) AS i) g
 """)
 def q_nice_ticks(spark, sf_dir):
-    ext = V.dim_extent(_points(spark, sf_dir), GROUP)
+    ext = V.dim_extent(_points(spark, sf_dir, staged=False), GROUP)
     t = V.nice_ticks(ext, GROUP + ["dim"])
     return t.withColumn("tick", F.round("tick", 6))
 
