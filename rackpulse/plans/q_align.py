@@ -79,9 +79,12 @@ def q_aligned_metrics(spark, sf_dir):
                       *[r6(F.col(c)).alias(c) for c in T.METRICS], "complete")
 
 
-def _samples(spark, sf_dir):
-    """The canonical metric samples, written once for the branches of a plan."""
-    return stage(T.metric_samples(spark, sf_dir), "metric_samples")
+def _samples(spark, sf_dir, staged: bool = True):
+    """The canonical metric samples, written once for the branches of a plan.
+    Plans that read them once take them unwritten (``staged=False``), so their
+    filters and column pruning reach the ``events`` scan."""
+    m = T.metric_samples(spark, sf_dir)
+    return stage(m, "metric_samples") if staged else m
 
 
 @query("series_rank", f"""
@@ -188,7 +191,7 @@ HAVING count(*) FILTER (WHERE metric = 'filewrites') > 0
    AND count(*) FILTER (WHERE metric = 'filereads') > 0
 """)
 def q_common_start(spark, sf_dir):
-    return align.common_start(_samples(spark, sf_dir))
+    return align.common_start(_samples(spark, sf_dir, staged=False))
 
 
 @query("metrics_from_json", f"""
@@ -197,7 +200,7 @@ SELECT server, metric, day, epoch, round(value, 6) AS value FROM samples
 """)
 def q_metrics_from_json(spark, sf_dir):
     from ..sources.metrics import build_metric_responses, parse_metric_response
-    resp = build_metric_responses(_samples(spark, sf_dir))
+    resp = build_metric_responses(_samples(spark, sf_dir, staged=False))
     p = parse_metric_response(resp, "value", series="first")
     return p.select("server", "metric", "day", "epoch", r6(F.col("value")).alias("value"))
 
@@ -224,7 +227,7 @@ WHERE day >= DATE '{ANCHOR}' - INTERVAL 12 DAY AND day < DATE '{ANCHOR}' - INTER
 """)
 def q_relative_range(spark, sf_dir):
     from ..operators.selection import relative_range
-    r = relative_range(_samples(spark, sf_dir), "day", F.lit(ANCHOR).cast("date"), 12, 2)
+    r = relative_range(_samples(spark, sf_dir, staged=False), "day", F.lit(ANCHOR).cast("date"), 12, 2)
     return r.select("server", "metric", "day", "epoch", r6(F.col("value")).alias("value"))
 
 
@@ -239,7 +242,7 @@ FROM spine s LEFT JOIN per p ON s.day = p.day
 """)
 def q_day_backfill(spark, sf_dir):
     from ..operators.selection import day_spine
-    s = _samples(spark, sf_dir)
+    s = _samples(spark, sf_dir, staged=False)
     per = s.groupBy("day").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
     spine = day_spine(spark.range(1).select(F.lit(ANCHOR).cast("date").alias("anchor")), 40, 2)
     return (spine.join(per, "day", "left")

@@ -29,8 +29,11 @@ def test_no_unscalable_operators(spark):
 
 def test_pushdown_and_pruning(spark):
     plan = QUERIES["relative_range"](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    # the day range reaches the scan of the staged samples
-    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(day", plan)
+    # the day range passes the samples aggregate and reaches the events scan
+    # as bounds on ts (Parquet row-group skipping)
+    scan = [l for l in plan.split("\n") if "FileScan parquet" in l and "events.parquet" in l][0]
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(ts,", scan)
+    assert re.search(r"PushedFilters: \[[^\]]*LessThan\(ts,", scan)
     plan = QUERIES["shelf_report"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     scan = [l for l in plan.split("\n") if "FileScan parquet" in l][0]
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" \
