@@ -56,3 +56,29 @@ def test_every_query_matches_oracle(spark):
         if sorted(df.columns) != sorted(ocols) or digest(df.columns, rows)[0] != digest(ocols, orows)[0]:
             bad.append(name)
     assert not bad
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+def test_results_do_not_depend_on_session_time_zone(spark):
+    """The driver runs queries() in its own session; days, epochs and week
+    numbers must not move with spark.sql.session.timeZone."""
+    m = _entry_module()
+    digest = _digest()
+    names = ["aligned_metrics", "relative_range", "day_backfill", "week_of_year", "day_select", "valid_date",
+             "gap_interpolate"]
+    tz = spark.conf.get("spark.sql.session.timeZone")
+
+    def run():
+        out = {}
+        for n in names:
+            df = m.queries()[n](spark, SF)
+            out[n] = digest(df.columns, df.collect())[0]
+        return out
+
+    base = run()
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        shifted = run()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", tz)
+    assert shifted == base
