@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from . import common as C
 from .exact_topk import exact_topk
+from .line_dedup import dedup_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +24,35 @@ def query(fn):
     return fn
 
 
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(C.documents(spark, sf_dir), min_docs=5, min_chars=40)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+#: Lines with their keys: kept lines are those whose key is short, rare or in
+#: the largest doc_id that holds it.
+KEPT_LINES = """
+lines AS (
+  SELECT doc_id, text, generate_subscripts(parts, 1) AS n, unnest(parts) AS line
+  FROM (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS parts FROM {docs})
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines
+), frequent AS (
+  SELECT k, max(doc_id) AS last FROM keyed WHERE length(k) >= 40
+  GROUP BY k HAVING count(DISTINCT doc_id) >= 5
+), kept_lines AS (
+  SELECT doc_id, count(*) AS n_lines, count(f.k) FILTER (doc_id < last) AS n_dropped,
+         coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (f.k IS NULL OR doc_id = last), '') AS kept
+  FROM keyed LEFT JOIN frequent f USING (k) GROUP BY doc_id
+)"""
+ORACLES["op7_line_dedup"] = f"""
+WITH {KEPT_LINES.format(docs="documents")}
+SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM kept_lines
+"""
+
+
 @query
 def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk(C.table(spark, sf_dir, "embeddings"), 10, F.expr("id % 100 = 0"))
