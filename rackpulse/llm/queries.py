@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from . import common as C
 from .exact_topk import exact_topk
 from .line_dedup import dedup_lines
+from .permutation_index import nearest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +25,11 @@ def query(fn):
     return fn
 
 
+@query
+def op3_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(C.table(spark, sf_dir, "embeddings"), 20, F.expr("id % 20 = 0"))
+
+
 @query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(C.documents(spark, sf_dir), min_docs=5, min_chars=40)
