@@ -15,6 +15,7 @@ from . import common as C
 from .exact_topk import exact_topk
 from .line_dedup import dedup_lines
 from .permutation_index import nearest
+from .simhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +31,11 @@ def op3_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(C.table(spark, sf_dir, "embeddings"), 20, F.expr("id % 20 = 0"))
 
 
+@query
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(C.documents(spark, sf_dir), words=3, max_bits=2)
+
+
 @query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(C.documents(spark, sf_dir), min_docs=5, min_chars=40)
