@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
+from .bpe import round_trip
 from .exact_topk import exact_topk
 from .line_dedup import dedup_lines
 from .permutation_index import nearest
@@ -31,6 +33,11 @@ def op3_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(C.table(spark, sf_dir, "embeddings"), 20, F.expr("id % 20 = 0"))
 
 
+@query
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(C.documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
 @query
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(C.documents(spark, sf_dir), words=3, max_bits=2)
