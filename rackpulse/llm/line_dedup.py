@@ -250,7 +250,8 @@ def dropped_keys(index: LineIndex, piece_rows: int = 500_000) -> DataFrame:
     pieces = (index.postings.groupBy("shard").agg(F.expr(f"1 + count(*) div {piece_rows}").alias("pieces"))
               .join(index.filters, "shard"))
     filters = pieces.select(F.col("shard").alias("of"), F.explode(F.expr("sequence(0L, pieces - 1)")).alias("part"), "filter")
-    rows = (index.postings.join(pieces.select("shard", "pieces"), "shard")
+    counted = F.broadcast(pieces.select("shard", "pieces"))  # as many short rows as there are shards, a parameter
+    rows = (index.postings.join(counted, "shard")
             .select("shard", F.expr("pmod(xxhash64(doc), pieces)").alias("piece"), "key", "doc"))
 
     def ask(key: tuple, own: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
