@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +52,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordB
     column (one row at least)."""
     texts = batch.column(batch.schema.get_field_index(column))
     start, held = 0, 0
-    sizes = pa.compute.binary_length(texts).fill_null(0).to_pylist()
+    sizes = pc.binary_length(texts).fill_null(0).to_pylist()
     for i, size in enumerate(sizes):
         if i > start and held + size > most:
             yield batch.slice(start, i - start)

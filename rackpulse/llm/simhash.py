@@ -36,6 +36,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -132,7 +133,7 @@ def links(prints: DataFrame, max_bits: int) -> DataFrame:
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(0)
-            values, ends = np.asarray(column.flatten()).view(np.uint64), np.cumsum(np.asarray(pa.compute.list_value_length(column)))
+            values, ends = np.asarray(column.flatten()).view(np.uint64), np.cumsum(np.asarray(pc.list_value_length(column)))
             out = []
             for start, end in zip(np.r_[0, ends[:-1]], ends, strict=True):
                 own = np.sort(values[start:end])
