@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
+from . import toxicity
 from .bpe import round_trip
 from .exact_topk import exact_topk
 from .line_dedup import dedup_lines
@@ -93,3 +94,11 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.documents(spark, sf_dir)
+    model = toxicity.fit(docs, C.table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(~toxicity.learned_from(F.col("doc_id")), F.lit(False)).alias("held_out")
+    return toxicity.score(docs, model, 0.7).select("doc_id", held_out, "score", "predicted")
