@@ -8,7 +8,7 @@ logistic weights into a score.
 
 * The ordinary dictionary holds the words most documents of the ordinary
   sample have, the commonest last (nearest, cheapest to refer to).
-* The toxic dictionary holds the same and, before it, the pieces of words that
+* The toxic dictionary holds the same and, amid it, the pieces of words that
   set the toxic sample apart: chosen one after another by how many toxic
   documents they cover that earlier pieces have not covered ``covers`` times
   yet, less ten times their share among ordinary documents, down to
@@ -47,7 +47,9 @@ from pyspark.sql import types as S
 from .common import pick, slices, stage, text_bytes
 
 SHORTEST, LONGEST = 4, 14  # bytes of a piece, the space before the word included
-SMALL_TABLES = {"window_log": 17, "hash_log": 15, "chain_log": 15, "search_log": 6, "min_match": 5, "target_length": 32}
+NEAR = 1000  # bytes of the common part that stand after the pieces, so that these are near too
+#: A window log of 14 at most keeps hash chains, which hold every position of a dictionary.
+SMALL_TABLES = {"window_log": 14, "hash_log": 15, "chain_log": 15, "search_log": 6, "min_match": 5, "target_length": 32}
 
 
 @dataclass(frozen=True)
@@ -81,7 +83,7 @@ def compressors(common: bytes, pieces: bytes) -> tuple[zstandard.ZstdCompressor,
         held = zstandard.ZstdCompressionDict(content or b" ", dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         return zstandard.ZstdCompressor(dict_data=held, compression_params=settings)
 
-    return made(common), made(pieces + common)
+    return made(common), made(common[:-NEAR] + pieces + common[-NEAR:])
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -144,10 +146,10 @@ def _cover(lists: list[list[int]], ordinary: np.ndarray, pieces: list[bytes], n_
     return chosen
 
 
-def _calibrated(evidence: np.ndarray, toxic: np.ndarray) -> tuple[float, float, float]:
-    """Ridge logistic weights by Newton steps, both classes weighing alike."""
+def _calibrated(evidence: np.ndarray, toxic: np.ndarray, caution: float) -> tuple[float, float, float]:
+    """Ridge logistic weights by Newton steps; the ordinary class weighs ``caution`` times the toxic one."""
     x, weights = _features(evidence), np.zeros(3)
-    each = np.where(toxic == 1, 0.5 / max(1, (toxic == 1).sum()), 0.5 / max(1, (toxic == 0).sum())) * len(toxic)
+    each = np.where(toxic == 1, 0.5 / max(1, (toxic == 1).sum()), 0.5 * caution / max(1, (toxic == 0).sum())) * len(toxic)
     for _ in range(50):
         p = 1.0 / (1.0 + np.exp(-np.clip(x @ weights, -500, 500)))
         gradient = x.T @ (each * (p - toxic)) + 0.01 * weights
@@ -176,7 +178,7 @@ def learned_from(doc: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000, candidates: int = 20_000, vocabulary: int = 4000, words: int = 6,
-        lead: int = 128, covers: int = 4, least_share: float = 0.03, doc_col: str = "doc_id", text_col: str = "text") -> Model:
+        lead: int = 128, covers: int = 4, least_share: float = 0.03, caution: float = 3.0, doc_col: str = "doc_id", text_col: str = "text") -> Model:
     """Train dictionaries and weights on the labelled documents that may be learned from."""
     marks = pick(labels, id="doc_id", toxic="toxic").where(learned_from(F.col("id")))
     marks = marks.select(F.col("id").cast("long").alias("id"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)").distinct()
@@ -210,7 +212,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000, candidates: int
     model = Model(content, b"".join(p if p.endswith(b" ") else p + b"\n" for p in reversed(chosen_pieces)), words, lead, None)
     shown = _evidence_rows(rows, model, "toxic", "int").select("toxic", "total", "best").collect()
     table = np.array([(r.toxic, r.total, r.best) for r in shown], np.float64)
-    return Model(model.common, model.pieces, words, lead, _calibrated(table[:, 1:], table[:, 0]))
+    return Model(model.common, model.pieces, words, lead, _calibrated(table[:, 1:], table[:, 0], caution))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.7, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
