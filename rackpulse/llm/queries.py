@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import toxicity
+from . import mixing, toxicity
 from .bpe import round_trip
 from .exact_topk import exact_topk
 from .line_dedup import dedup_lines
@@ -96,6 +96,13 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
 
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = mixing.copies(mixing.sized(C.documents(spark, sf_dir)), weights=(5, 2, 1), share=1.5, most=2)
+    return dealt.select(F.col("doc").alias("doc_id"), "size", "source_size", "target", "rate",
+                        (F.col("size") * F.col("copies")).alias("taken"))
+
+
 @query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.documents(spark, sf_dir)
