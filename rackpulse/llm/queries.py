@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import lm_scoring, mixing, toxicity
+from . import lm_scoring, mixing, secret_scan, toxicity
 from .bpe import round_trip
 from .exact_topk import exact_topk
 from .line_dedup import dedup_lines
@@ -39,6 +39,51 @@ def op3_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(C.table(spark, sf_dir, "embeddings"), 20, F.expr("id % 20 = 0"))
 
 
+@query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(C.documents(spark, sf_dir), secret_scan.BASE + secret_scan.MORE)
+    base = [r.kind for r in secret_scan.BASE]
+    own = F.filter("spans", lambda s: s.kind.isin(base))
+    number = lambda kind: F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+    return found.select(
+        "doc_id", *map(number, base),
+        F.sha2(joined(own), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def _sql_spans(kind: str, order: int, pattern: str, group: int, least: int) -> str:
+    """DuckDB: the spans of one kind, from the matches and the texts between them."""
+    q = pattern.replace("'", "''")
+    return f"""
+  SELECT doc_id, '{kind}' AS kind, {order} AS ord, start, start + len AS stop FROM (
+    SELECT doc_id, len, size, CAST(sum(gap + len) OVER (PARTITION BY doc_id ORDER BY n) - len AS BIGINT) AS start
+    FROM (SELECT doc_id, unnest(range(len(m))) AS n, length(unnest(m)) AS len, length(unnest(g)) AS size,
+                 length(unnest(string_split_regex(text, '{q}')[:len(m)])) AS gap
+          FROM (SELECT doc_id, text, regexp_extract_all(text, '{q}') AS m, regexp_extract_all(text, '{q}', {group}) AS g
+                FROM documents WHERE regexp_matches(text, '{q}'))))
+  WHERE size >= {least}"""
+
+
+def _folded(words: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in words)
+
+
+_SQL_RULES = [(r.kind, i, r.pattern.replace("(?i:(password|passwd|secret|token|api_?key))", "(" + "|".join(map(_folded, ("password", "passwd", "secret", "token", "api_?key"))) + ")"), r.group, r.least)
+              for i, r in enumerate(secret_scan.BASE + secret_scan.MORE)]
+ORACLES["op4_secret_scan"] = f"""
+WITH found AS ({' UNION ALL '.join(_sql_spans(*r) for r in _SQL_RULES)}
+), listed AS (
+  SELECT doc_id, {', '.join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secret_scan.BASE)},
+    coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) FILTER (ord < 3), '') AS base,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) AS spans
+  FROM found GROUP BY doc_id
+)
+SELECT doc_id, {', '.join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secret_scan.BASE)},
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN listed USING (doc_id)
+"""
+
+
 @query
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(C.documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
