@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import lm_scoring, mixing, secret_scan, toxicity
+from . import license_scan, lm_scoring, mixing, secret_scan, toxicity
 from .bpe import round_trip
 from .exact_topk import exact_topk
 from .line_dedup import dedup_lines
@@ -34,6 +34,11 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(C.documents(spark, sf_dir))
 
 
+@query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(C.documents(spark, sf_dir))
+
+
 @query
 def op3_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(C.table(spark, sf_dir, "embeddings"), 20, F.expr("id % 20 = 0"))
