@@ -267,7 +267,7 @@ def learned_weights(held: DataFrame, n_main: int, types: int, rounds: int = 15)
     return weights
 
 
-def score(docs: DataFrame, chunk_bytes: int = 12 << 20, range_tokens: int = 3_000_000, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, chunk_bytes: int = 8 << 20, range_tokens: int = 2_000_000, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score): log10 scores of whole texts.
 
     Learns from rows whose crc32 of the id as text does not end in 0 (modulo 10);
