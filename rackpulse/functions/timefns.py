@@ -15,7 +15,29 @@ TIME_STEPS = [
     (2592e6, "month", 1), (7776e6, "month", 3), (31536e6, "year", 1),
 ]
 
-_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+PARTS = ("year", "month", "day", "hour", "minute", "second")
+
+
+def wall_clock(ts: Column, unit: str) -> Column:
+    """A time stamp without zone whose parts below ``unit`` are at their
+    start. It is put together from the parts of ``ts``, so no time zone (and
+    no hour that a zone leaves out) comes into it."""
+    read = {"year": F.year, "month": F.month, "day": F.dayofmonth, "hour": F.hour, "minute": F.minute, "second": F.second}
+    kept = PARTS.index(unit)
+    parts = [read[p](ts) if i <= kept else F.lit(int(p in ("month", "day"))) for i, p in enumerate(PARTS)]
+    return F.make_timestamp_ntz(*parts)
+
+
+def epoch_micros(ts: Column) -> Column:
+    """Microseconds since 1970 of a time stamp without zone."""
+    since = ts - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return (since.cast("interval second").cast("decimal(20,6)") * 1000000).cast("long")
+
+
+def text(ts: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` of a time stamp without zone."""
+    return F.format_string("%04d-%02d-%02d %02d:%02d:%02d", F.year(ts), F.month(ts), F.dayofmonth(ts),
+                           F.hour(ts), F.minute(ts), F.second(ts))
 
 
 def floor_to(ts: Column, unit: str, week_start: int = 0) -> Column:
@@ -26,7 +48,7 @@ def floor_to(ts: Column, unit: str, week_start: int = 0) -> Column:
         d = F.to_date(ts)
         back = F.pmod(F.dayofweek(d) - 1 - F.lit(week_start), F.lit(7))
         return F.date_sub(d, back.cast("int")).cast("timestamp_ntz")
-    return F.date_trunc(unit, ts).cast("timestamp_ntz")
+    return wall_clock(ts, unit)
 
 
 def ceil_to(ts: Column, unit: str) -> Column:
@@ -52,20 +74,21 @@ def round_to(ts: Column, unit: str) -> Column:
 
 def week_of_year(ts: Column, week_start: int = 0) -> Column:
     """week number with weeks starting on ``week_start`` (0 Sunday, 1
-    Monday); days before the first such day are week 0."""
-    doy0 = F.dayofyear(ts) - 1
-    dow = F.pmod(F.dayofweek(ts) - 1 - F.lit(week_start), F.lit(7))
-    return F.floor((doy0 + 7 - dow) / 7).cast("int")
+    Monday); the week that holds 1 January is week 0, however short."""
+    before = F.pmod(F.dayofweek(F.make_date(F.year(ts), F.lit(1), F.lit(1))) - 1 - F.lit(week_start), F.lit(7))
+    return F.floor((F.dayofyear(ts) - 1 + before) / 7).cast("int")
 
 
 def iso_format(ts: Column) -> Column:
     """ISO-8601 text with milliseconds and a ``Z``."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    return F.format_string("%04d-%02d-%02dT%02d:%02d:%02d.%03dZ", F.year(ts), F.month(ts), F.dayofmonth(ts),
+                           F.hour(ts), F.minute(ts), F.second(ts), F.pmod(F.floor(epoch_micros(ts) / 1000), F.lit(1000)).cast("int"))
 
 
 def iso_parse(s: Column) -> Column:
     """ISO text back to a timestamp (null when not ISO)."""
-    return F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")).cast("timestamp_ntz")
+    return F.when(s.rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{3}Z$"),
+                  F.substring(s, 1, 23).try_cast("timestamp_ntz"))
 
 
 def time_step(span_ms: Column, m: int = 10) -> tuple[Column, Column]:

@@ -16,13 +16,15 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str, order: str) -> DataF
     """Returns (key, status, old_id, new_id); ``order`` identifies and orders rows."""
     of = old.groupBy(key).agg(F.min(order).alias("_first"))
     nf = new.groupBy(key).agg(F.min(order).alias("new_id"))
-    matched = of.join(nf, key, "full_outer")
+    nf = nf.withColumnRenamed(key, "_key")
+    matched = of.join(nf, of[key].eqNullSafe(nf["_key"]), "full_outer")  # a null key is a key like any other
     firsts = matched.select(
-        key,
+        F.coalesce(key, "_key").alias(key),
         F.when(F.col("_first").isNull(), "enter").when(F.col("new_id").isNull(), "exit")
         .otherwise("update").alias("status"),
         F.col("_first").alias("old_id"), "new_id")
-    repeats = (old.select(key, order).join(of, key)
+    of = of.withColumnRenamed(key, "_key")
+    repeats = (old.select(key, order).join(of, F.col(key).eqNullSafe(F.col("_key")))
                .where(F.col(order) != F.col("_first"))
                .select(key, F.lit("exit").alias("status"), F.col(order).alias("old_id"),
                        F.lit(None).cast(new.schema[order].dataType).alias("new_id")))

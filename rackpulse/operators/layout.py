@@ -67,7 +67,7 @@ def pie(values: DataFrame, key: str, value: str, group: Sequence[str] = ()) -> D
         .rowsBetween(Window.unboundedPreceding, -1) if group else \
         Window.orderBy(F.col(value).desc(), F.col(key)).rowsBetween(Window.unboundedPreceding, -1)
     tot = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
-    k = F.lit(TAU) / F.sum(value).over(tot)
+    k = F.coalesce(F.try_divide(F.lit(TAU), F.sum(value).over(tot)), F.lit(0.0))  # a total of 0: empty slices
     start = F.coalesce(F.sum(value).over(o), F.lit(0.0)) * k
     return values.select(*group, key, value, start.alias("start_angle"),
                          (start + F.col(value) * k).alias("end_angle"))
@@ -80,8 +80,9 @@ def nested_intervals(children: DataFrame, parent: str, child: str, value: str,
     w = Window.partitionBy(parent).orderBy(F.col(value).desc(), F.col(child)) \
         .rowsBetween(Window.unboundedPreceding, -1)
     tot = Window.partitionBy(parent)
-    share_before = F.coalesce(F.sum(value).over(w), F.lit(0.0)) / F.sum(value).over(tot)
-    share = F.col(value) / F.sum(value).over(tot)
+    total = F.sum(value).over(tot)  # 0: every child is empty and lies at its parent's start
+    share_before = F.coalesce(F.try_divide(F.coalesce(F.sum(value).over(w), F.lit(0.0)), total), F.lit(0.0))
+    share = F.coalesce(F.try_divide(F.col(value), total), F.lit(0.0))
     return children.select(parent, child, value,
                            (F.col(parent_x0) + share_before * F.col(parent_dx)).alias("x0"),
                            (share * F.col(parent_dx)).alias("dx"))
@@ -168,38 +169,37 @@ def stack_wiggle(values: DataFrame, x: str, series: str, y: str, chunk: int = 1
 
 
 def inside_out_order(values: DataFrame, x: str, series: str, y: str) -> DataFrame:
-    """W6 ``inside-out`` series order: series sorted by the x of their maximum
-    are dealt to the top or the bottom, whichever is lighter, and the order is
-    the bottoms reversed followed by the tops. Runs on the per-series summary
-    (one row per series) in one small pandas call."""
-    import pandas as pd
-
-    first_max = Window.partitionBy(series).orderBy(F.col(y).desc(), F.col(x))
-    summary = (values.withColumn("_r", F.row_number().over(first_max))
-               .groupBy(series).agg(F.sum(y).alias("_sum"), F.min(F.when(F.col("_r") == 1, F.col(x))).alias("_xmax"))
-               .withColumn("_all", F.lit(0)))
-    stype = values.schema[series].dataType.simpleString()
-
-    def deal(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_xmax", series], kind="stable")
-        top = bottom = 0.0
-        tops, bottoms = [], []
-        for s, total in zip(pdf[series], pdf["_sum"]):
-            if top < bottom:
-                top += total
-                tops.append(s)
-            else:
-                bottom += total
-                bottoms.append(s)
-        order = bottoms[::-1] + tops
-        return pd.DataFrame({series: order, "position": list(range(len(order)))})
-
-    return summary.groupBy("_all").applyInPandas(deal, f"`{series}` {stype}, position int")
+    """W6 ``inside-out`` series order. Series come in the order of the x of
+    their (first) maximum. Each goes to the lighter of two sides, to the lower
+    one while they weigh the same; seen from the middle, the lower side runs
+    downwards and the upper one upwards.
+
+    Only the balance between the sides matters for where a series goes, so it
+    is folded over the series' totals (one row per series in a chart) with an
+    SQL ``aggregate``; places are then counted per side with windows."""
+    peak = F.max_by(F.col(x), F.struct(F.col(y), -F.col(x)))
+    totals = values.groupBy(series).agg(F.sum(y).cast("double").alias("w"), peak.alias("at"))
+    turns = totals.agg(F.array_sort(F.collect_list(F.struct("at", F.col(series).alias("s"), "w"))).alias("turns"))
+    start = F.struct(F.lit(0.0).alias("lean"), F.array().cast("array<boolean>").alias("up"))
+
+    def place(so_far, turn):
+        up = so_far["lean"] < 0
+        return F.struct((so_far["lean"] + F.when(up, turn["w"]).otherwise(-turn["w"])).alias("lean"),
+                        F.concat(so_far["up"], F.array(up)).alias("up"))
+
+    sides = turns.select(F.posexplode(F.arrays_zip(F.transform("turns", lambda t: t["s"]).alias("s"),
+                                                   F.aggregate("turns", start, place, lambda done: done["up"]).alias("up"))))
+    sides = sides.select("pos", F.col("col.s").alias(series), F.col("col.up").alias("up"))
+    outwards = F.row_number().over(Window.partitionBy("up").orderBy("pos"))
+    lower = F.count_if(~F.col("up")).over(Window.partitionBy())  # over one row per series
+    place_of = F.when(F.col("up"), lower + outwards - 1).otherwise(lower - outwards)
+    return sides.select(series, place_of.cast("int").alias("position"))
 
 
 def densify(values: DataFrame, x: str, series: str, y: str) -> DataFrame:
-    """Every (x, series) pair, missing values as 0: pivot on the series (its
-    distinct values are a short list), fill, unpivot."""
-    wide = values.groupBy(x).pivot(series).agg(F.sum(y)).na.fill(0)
-    names = [c for c in wide.columns if c != x]
-    return wide.unpivot([x], names, series, y)
+    """Every (x, series) pair, missing values as 0: the pairs are laid out from
+    the distinct x and the chart's series, and the sums joined to them."""
+    every = values.agg(F.collect_set(series).alias("s")).select("s").scalar()
+    spine = values.select(x).distinct().select(x, F.explode(every).alias(series))
+    sums = values.groupBy(x, series).agg(F.sum(y).alias(y))
+    return spine.join(sums, [x, series], "left").select(x, series, F.coalesce(y, F.lit(0)).alias(y))

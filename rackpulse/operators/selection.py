@@ -12,16 +12,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-STAMP_FORMAT = "yyyy-MM-dd-HH-mm"
+from ..functions.timefns import text
+
 DATE_RE = r"^\d{4}-\d{2}-\d{2}$"
 
 
 def stamp_name(ts: Column) -> Column:
     """file name of a collection time, ``yyyy-MM-dd-HH-mm``."""
-    return F.date_format(ts, STAMP_FORMAT)
+    return F.format_string("%04d-%02d-%02d-%02d-%02d", F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts))
 
 
-def file_catalog(events: DataFrame) -> DataFrame:
+def file_catalog(events: DataFrame, root: str = "/data/metrics", raw_root: str = "/data/raw") -> DataFrame:
     """A listing of per-server metric files derived from ``events``: one file per
     (user as server, day, half day), named by its first time stamp. Days
     without events have no file, so ranges have gaps as real listings do."""
@@ -33,9 +34,8 @@ def file_catalog(events: DataFrame) -> DataFrame:
     name = stamp_name(F.col("first_ts"))
     return g.select(
         "server", "day", "part", name.alias("name"),
-        F.format_string("/opentsdb/sense%d/%s", F.col("server"), name).alias("path"),
-        F.format_string("/mnt/sense%d/ %s ", F.col("server"),
-                        F.date_format("first_ts", "yyyy-MM-dd HH:mm:ss")).alias("raw_path"),
+        F.format_string(f"{root}/sense%d/%s", F.col("server"), name).alias("path"),
+        F.format_string(f"{raw_root}/sense%d/ %s ", F.col("server"), text(F.col("first_ts"))).alias("raw_path"),
         "modified", "n_rows")
 
 
@@ -62,8 +62,9 @@ def day_spine(anchor_df: DataFrame, start_days_ago: int, end_days_ago: int = 2)
 
 
 def select_day(catalog: DataFrame, day: str) -> DataFrame:
-    """Every file whose name is the date plus six characters."""
-    return catalog.where(F.col("path").rlike(f"/{day}.{{6}}"))
+    """Every file whose name is the date plus six characters. A name's date
+    is the file's ``day``, so the day is compared as well, which prunes."""
+    return catalog.where((F.col("day") == F.lit(day).cast("date")) & F.col("path").rlike(f"/{day}.{{6}}"))
 
 
 def contiguous_range(catalog: DataFrame, start: str, end: str, contiguous: bool = True) -> DataFrame:
@@ -86,22 +87,27 @@ def month_tail(catalog: DataFrame, start_yyyymmdd: str) -> DataFrame:
     the start day."""
     ym, ym_dash = start_yyyymmdd[:6], f"{start_yyyymmdd[:4]}-{start_yyyymmdd[4:6]}"
     day = int(start_yyyymmdd[6:8])
-    fileday = F.substring(F.col("path"), -8, 2).cast("int")
-    return catalog.where((F.col("path").contains(ym) | F.col("path").contains(ym_dash))
+    fileday = F.substring(F.col("path"), -8, 2).try_cast("int")  # null: a name of another form
+    month = F.lit(ym_dash + "-01").cast("date")
+    return catalog.where((F.col("day") >= month) & (F.col("day") < F.add_months(month, 1)) & (F.col("path").contains(ym) | F.col("path").contains(ym_dash))
                          & (fileday >= day))
 
 
 def fresh(df: DataFrame, t: str, now: Column, max_age_seconds: int = 7200) -> DataFrame:
-    """Rows whose time (epoch seconds) is not older than ``max_age_seconds``."""
-    return df.where(F.col(t) >= now - F.lit(max_age_seconds))
+    """Rows whose time is not older than ``max_age_seconds``. The column
+    itself is compared (time stamps with a time stamp, epoch seconds with a
+    number), so the bound reaches the scan."""
+    seconds = str(df.schema[t].dataType) not in ("TimestampNTZType()", "TimestampType()")
+    age = F.lit(max_age_seconds) if seconds else F.expr(f"INTERVAL {int(max_age_seconds)} SECONDS")
+    return df.where(F.col(t) >= now - age)
 
 
 def output_name(selected: DataFrame) -> DataFrame:
     """K5: ``yyyy-mm-dd_mm-dd_senseN`` from the first and last day used per server."""
     return (selected.groupBy("server")
             .agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"))
-            .select("server", F.concat_ws("_", F.date_format("first_day", "yyyy-MM-dd"),
-                                          F.date_format("last_day", "MM-dd"),
+            .select("server", F.concat_ws("_", F.col("first_day").cast("string"),
+                                          F.substring(F.col("last_day").cast("string"), 6, 5),
                                           F.format_string("sense%d", F.col("server"))).alias("name")))
 
 

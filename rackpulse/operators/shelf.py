@@ -37,8 +37,8 @@ def extract_shelf(lines: DataFrame, text: str = "value", wide: bool = False) ->
     return (shelf_lines(lines, text)
             .select("*", shelf.alias("shelf"), temp.alias("_temp"), server.alias("server"))
             .where((F.col("shelf") != "") & (F.col("_temp") != ""))
-            .withColumn("temp_c", F.col("_temp").cast("int"))
-            .drop("_temp"))
+            .withColumn("temp_c", F.col("_temp").try_cast("int"))  # a number beyond an int is no temperature
+            .where(F.col("temp_c").isNotNull()).drop("_temp"))
 
 
 def server_name(lines: DataFrame, group: str = "dir", order: tuple[str, ...] = ("path", "line_id"),

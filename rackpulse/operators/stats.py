@@ -137,7 +137,7 @@ def histogram(df: DataFrame, value: str, bins: int | None = None) -> DataFrame:
     # bin = number of thresholds dx * i + lo (i = 1..m-1) not above x: an
     # arithmetic first guess, corrected by one against the thresholds
     # themselves so that float rounding matches the threshold comparison.
-    b0 = F.least(m - 1, F.greatest(F.lit(0), F.floor((x - lo) / dx).cast("int")))
+    b0 = F.least(m - 1, F.greatest(F.lit(0), F.coalesce(F.floor(F.try_divide(x - lo, dx)).cast("int"), m - 1)))  # no width: the last bin
     up = F.when((b0 < m - 1) & (dx * (b0 + 1) + lo <= x), b0 + 1)
     down = F.when((b0 > 0) & (dx * b0 + lo > x), b0 - 1)
     binned = (d.where((x >= lo) & (x <= hi))

@@ -15,7 +15,6 @@ from ..sources.metrics import coerce_numbers
 from ..streaming.ingest import ingest_available, read_ingested
 from .registry import query
 
-FMT = "yyyy-MM-dd HH:mm:ss"
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 LINE_ORDER_SQL = ", ".join(LINE_ORDER)
 LINE_ORDER_DESC_SQL = ", ".join(c + " DESC" for c in LINE_ORDER)
@@ -60,7 +59,7 @@ def q_time_floor(spark, sf_dir):
             ("t_hour", TF.floor_to(ts, "hour")), ("t_day", TF.floor_to(ts, "day")),
             ("t_week", TF.floor_to(ts, "week", 0)), ("t_week_mon", TF.floor_to(ts, "week", 1)),
             ("t_month", TF.floor_to(ts, "month")), ("t_year", TF.floor_to(ts, "year"))]
-    return _t(spark, sf_dir, "events").select("event_id", *[F.date_format(c, FMT).alias(n) for n, c in cols])
+    return _t(spark, sf_dir, "events").select("event_id", *[TF.text(c).alias(n) for n, c in cols])
 
 
 @query("time_round", """
@@ -75,9 +74,9 @@ FROM b
 def q_time_round(spark, sf_dir):
     ts = F.col("ts")
     return _t(spark, sf_dir, "events").select(
-        "event_id", F.date_format(TF.ceil_to(ts, "hour"), FMT).alias("hour_ceil"),
-        F.date_format(TF.round_to(ts, "hour"), FMT).alias("hour_round"),
-        F.date_format(TF.ceil_to(ts, "day"), FMT).alias("day_ceil"))
+        "event_id", TF.text(TF.ceil_to(ts, "hour")).alias("hour_ceil"),
+        TF.text(TF.round_to(ts, "hour")).alias("hour_round"),
+        TF.text(TF.ceil_to(ts, "day")).alias("day_ceil"))
 
 
 @query("time_spine", """
@@ -91,13 +90,14 @@ def q_time_spine(spark, sf_dir):
     g = ev.groupBy(F.to_date("ts").alias("day")).agg(F.min("ts").alias("t0"), F.max("ts").alias("t1"))
     c = g.withColumn("c0", TF.ceil_to(F.col("t0"), "hour")).where(F.col("c0") <= F.col("t1"))
     s = c.select("day", F.explode(F.sequence("c0", "t1", F.expr("INTERVAL 1 HOUR"))).alias("tick"))
-    return s.where(F.hour("tick") % 3 == 0).select("day", F.date_format("tick", FMT).alias("tick"))
+    return s.where(F.hour("tick") % 3 == 0).select("day", TF.text(F.col("tick")).alias("tick"))
 
 
 @query("week_of_year", """
-SELECT event_id, CAST(strftime(ts, '%U') AS INTEGER) AS week_sun, CAST(strftime(ts, '%W') AS INTEGER) AS week_mon,
-       CAST(dayofyear(ts) - 1 AS INTEGER) AS day_of_year
-FROM events
+WITH e AS (SELECT event_id, dayofyear(ts) - 1 AS doy, dayofweek(date_trunc('year', ts)) AS first FROM events)
+SELECT event_id, CAST((doy + first) // 7 AS INTEGER) AS week_sun, CAST((doy + (first + 6) % 7) // 7 AS INTEGER) AS week_mon,
+       CAST(doy AS INTEGER) AS day_of_year
+FROM e
 """)
 def q_week_of_year(spark, sf_dir):
     ts = F.col("ts")
@@ -114,8 +114,7 @@ FROM events
 def q_iso_time(spark, sf_dir):
     ev = _t(spark, sf_dir, "events").select("event_id", TF.iso_format(F.col("ts")).alias("iso"))
     back = TF.iso_parse(F.col("iso"))
-    return ev.select("event_id", "iso", F.timestamp_diff(
-        "MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), back).alias("epoch_ms"))
+    return ev.select("event_id", "iso", F.floor(TF.epoch_micros(back) / 1000).alias("epoch_ms"))
 
 
 TIME_STEPS_SQL = ", ".join(f"({i}, {ms}, '{u}', {c})" for i, (ms, u, c) in enumerate(TF.TIME_STEPS))
@@ -144,7 +143,7 @@ def q_time_scale_ticks(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")
     g = (ev.groupBy(F.to_date("ts").alias("day"), F.floor(F.hour("ts") / 6).cast("int").alias("block"))
          .agg(F.min("ts").alias("t0"), F.max("ts").alias("t1")))
-    span_ms = F.timestamp_diff("MICROSECOND", F.col("t0"), F.col("t1")) / 1000.0
+    span_ms = (TF.epoch_micros(F.col("t1")) - TF.epoch_micros(F.col("t0"))) / 1000.0
     unit, cnt = TF.time_step(span_ms, 10)
     g = g.withColumn("unit", unit).withColumn("cnt", cnt)
     secs = F.when(F.col("unit") == "second", 1).when(F.col("unit") == "minute", 60) \
@@ -159,7 +158,7 @@ def q_time_scale_ticks(spark, sf_dir):
     t = v.select("day", "block", "unit", "cnt", F.explode(F.sequence("c0", "t1", "step")).alias("tick"))
     return (t.where(TF.unit_number(F.col("tick"), F.col("unit")) % F.col("cnt") == 0)
             .select("day", "block", "unit", F.col("cnt").cast("int").alias("step_count"),
-                    F.date_format("tick", FMT).alias("tick")))
+                    TF.text(F.col("tick")).alias("tick")))
 
 
 # ---- collections ---------------------------------------------------------------
@@ -411,31 +410,21 @@ def q_ordinal_bands(spark, sf_dir):
 
 # ---- diff and sets -----------------------------------------------------------
 
-OLD, NEW = ("1997-01-01", "1998-01-01"), ("1997-07-01", "1998-07-01")
-
-
-@query("snapshot_diff", f"""
-WITH old AS (SELECT o_custkey AS k, o_orderkey AS id FROM orders
-             WHERE o_orderdate >= TIMESTAMP '{OLD[0]}' AND o_orderdate < TIMESTAMP '{OLD[1]}'),
-new AS (SELECT o_custkey AS k, o_orderkey AS id FROM orders
-        WHERE o_orderdate >= TIMESTAMP '{NEW[0]}' AND o_orderdate < TIMESTAMP '{NEW[1]}'),
-of AS (SELECT k, min(id) AS f FROM old GROUP BY k),
-nf AS (SELECT k, min(id) AS f FROM new GROUP BY k)
-SELECT coalesce(of.k, nf.k) AS o_custkey,
-       CASE WHEN of.f IS NULL THEN 'enter' WHEN nf.f IS NULL THEN 'exit' ELSE 'update' END AS status,
-       of.f AS old_id, nf.f AS new_id
-FROM of FULL JOIN nf ON of.k = nf.k
+@query("snapshot_diff", """
+WITH of AS (SELECT o_custkey AS k, min(o_orderkey) AS f FROM orders GROUP BY k)
+SELECT coalesce(k, c_custkey) AS custkey,
+       CASE WHEN f IS NULL THEN 'enter' WHEN c_custkey IS NULL THEN 'exit' ELSE 'update' END AS status,
+       f AS old_id, c_custkey AS new_id
+FROM of FULL JOIN customer ON k = c_custkey
 UNION ALL
-SELECT old.k, 'exit', old.id, NULL FROM old JOIN of ON old.k = of.k WHERE old.id <> of.f
+SELECT o_custkey, 'exit', o_orderkey, NULL FROM orders JOIN of ON o_custkey = k WHERE o_orderkey <> f
 """)
 def q_snapshot_diff(spark, sf_dir):
-    o = _t(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
-
-    def snap(b):
-        return o.where((F.col("o_orderdate") >= F.lit(b[0]).cast("timestamp_ntz"))
-                       & (F.col("o_orderdate") < F.lit(b[1]).cast("timestamp_ntz"))).drop("o_orderdate")
-
-    return snapshot_diff(snap(OLD), snap(NEW), "o_custkey", "o_orderkey")
+    """All orders, keyed by customer, against all customers: customers without
+    orders enter, the first order of a customer is updated, its others exit."""
+    old = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("custkey"), F.col("o_orderkey").alias("id"))
+    new = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey"), F.col("c_custkey").alias("id"))
+    return snapshot_diff(old, new, "custkey", "id")
 
 
 @query("union_all", """

@@ -12,8 +12,8 @@ from .registry import SAMPLES_CTE, query
 CATALOG_CTE = """
 catalog AS (
   SELECT server, day, part, strftime(first_ts, '%Y-%m-%d-%H-%M') AS name,
-         printf('/opentsdb/sense%d/%s', server, strftime(first_ts, '%Y-%m-%d-%H-%M')) AS path,
-         printf('/mnt/sense%d/ %s ', server, strftime(first_ts, '%Y-%m-%d %H:%M:%S')) AS raw_path,
+         printf('/data/metrics/sense%d/%s', server, strftime(first_ts, '%Y-%m-%d-%H-%M')) AS path,
+         printf('/data/raw/sense%d/ %s ', server, strftime(first_ts, '%Y-%m-%d %H:%M:%S')) AS raw_path,
          modified, n_rows
   FROM (SELECT user_id AS server, CAST(ts AS DATE) AS day, CAST(floor(hour(ts) / 12) AS INTEGER) AS part,
                min(ts) AS first_ts, max(ts) AS modified, count(*) AS n_rows
@@ -120,10 +120,8 @@ WHERE CAST(floor(epoch_us(ts) / 1000000) AS BIGINT)
       >= CAST(floor(epoch_us(TIMESTAMP '{NOW}') / 1000000) AS BIGINT) - 7200
 """)
 def q_fresh_rows(spark, sf_dir):
-    ev = T.table(spark, sf_dir, "events").select(
-        "event_id", T.epoch_seconds(F.col("ts")).alias("epoch"))
-    now = T.epoch_seconds(F.lit(NOW).cast("timestamp_ntz"))
-    return S.fresh(ev, "epoch", now, 7200)
+    ev = S.fresh(T.table(spark, sf_dir, "events"), "ts", F.lit(NOW).cast("timestamp_ntz"), 7200)
+    return ev.select("event_id", T.epoch_seconds(F.col("ts")).alias("epoch"))
 
 
 @query("clean_name", f"""

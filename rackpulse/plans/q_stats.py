@@ -205,12 +205,12 @@ g AS (SELECT l_orderkey, count(*) AS n_vertices, sum(py * x - px * y) * 0.5 AS a
 SELECT l_orderkey, n_vertices, round(area + 1e-9, 6) AS area,
        round(CASE WHEN area <> 0 THEN sx * (-1.0 / (area * 6)) END + 1e-9, 6) AS cx,
        round(CASE WHEN area <> 0 THEN sy * (-1.0 / (area * 6)) END + 1e-9, 6) AS cy
-FROM g WHERE n_vertices >= 3
+FROM g
 """)
 def q_polygon_area(spark, sf_dir):
     l = _t(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER, "l_quantity")
     p = ST.polygon_measures(l, "l_orderkey", LINE_ORDER, "l_quantity", "l_extendedprice")
-    return p.where(F.col("n_vertices") >= 3).select("l_orderkey", "n_vertices", rb("area"), rb("cx"), rb("cy"))
+    return p.select("l_orderkey", "n_vertices", rb("area"), rb("cx"), rb("cy"))
 
 
 @query("adjacent_pairs", f"""

@@ -34,14 +34,18 @@ def day_of_epoch(epoch: Column) -> Column:
     return F.date_add(F.lit("1970-01-01").cast("date"), F.floor(epoch / 86400).cast("int"))
 
 
-def server_of_host(host: Column) -> Column:
-    """``sense3.psc...`` -> 3; site-wide hosts give null."""
-    n = F.regexp_extract(host, r"^sense(\d+)", 1)
+#: How host names carry the server's number, and the name that stands for all.
+HOST_PATTERN, HOST_NAME, SITE_HOST = r"^node(\d+)", "node%d.example", "site"
+
+
+def server_of_host(host: Column, pattern: str = HOST_PATTERN) -> Column:
+    """``node3.example`` -> 3; hosts of another form (site-wide) give null."""
+    n = F.regexp_extract(host, pattern, 1)
     return F.when(n != "", n.cast("int"))
 
 
 def parse_metric_response(df: DataFrame, text_col: str = "value", series: str = "first",
-                          keep: Sequence[str] = ()) -> DataFrame:
+                          keep: Sequence[str] = (), host_pattern: str = HOST_PATTERN) -> DataFrame:
     """Decode response text into ``(keep..., metric, server, day, epoch, value)``."""
     arr = F.from_json(F.col(text_col), RESPONSE_SCHEMA)
     if series == "first":
@@ -58,7 +62,7 @@ def parse_metric_response(df: DataFrame, text_col: str = "value", series: str =
     else:
         raise ValueError("series must be 'first' or 'sum'")
     epoch = F.col("_k").cast("long")
-    return kv.select(*keep, "metric", server_of_host(F.col("host")).alias("server"),
+    return kv.select(*keep, "metric", server_of_host(F.col("host"), host_pattern).alias("server"),
                      day_of_epoch(epoch).alias("day"), epoch.alias("epoch"), "value")
 
 
@@ -77,8 +81,8 @@ def build_metric_responses(samples: DataFrame, op_series: bool = True) -> DataFr
     ``series='first'`` must ignore. Responses are cut per hour so that no
     single response holds an unbounded group.
     """
-    host = F.when(F.col("server").isNull(), F.lit("DSC")) \
-        .otherwise(F.format_string("sense%d.psc", F.col("server")))
+    host = F.when(F.col("server").isNull(), F.lit(SITE_HOST)) \
+        .otherwise(F.format_string(HOST_NAME, F.col("server")))
     g = (samples.withColumn("_hour", F.floor(F.col("epoch") / 3600))
          .groupBy("server", "metric", "day", "_hour")
          .agg(F.map_from_entries(F.collect_list(

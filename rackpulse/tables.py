@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.timefns import epoch_micros, text
+
 # The five metric names of the aligned row, in file order, and
 # the event type each is derived from.
 METRICS = ["filewrites", "filereads", "CPU", "diskIOBW", "net_bytes"]
@@ -36,7 +38,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def epoch_seconds(ts: Column) -> Column:
     """Whole seconds since 1970 of a timestamp_ntz column (time-zone free)."""
-    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    return F.floor(epoch_micros(ts) / 1000000)
 
 
 def metric_expr(event_type: Column) -> Column:
@@ -91,12 +93,12 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     shelf_part = F.when(F.col("event_type") == "click", F.lit("enclosure")).otherwise(shelf)
     temp_part = F.when(F.col("event_type") == "signup", F.lit("temp n/a")) \
         .otherwise(F.format_string("temp %d C", temp))
-    line = F.format_string("%s sense%d %s %s %s", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
+    line = F.format_string("%s sense%d %s %s %s", text(F.col("ts")),
                            server_no.cast("int"), word, shelf_part, temp_part)
     return ev.select(
         F.col("event_id").alias("line_id"),
         F.format_string("logs/sense%d/%s.log", (F.col("user_id") % N_SERVERS).cast("int"),
-                        F.date_format("ts", "yyyy-MM-dd")).alias("path"),
+                        F.col("ts").cast("date").cast("string")).alias("path"),
         line.alias("value"),
     )
 
@@ -118,7 +120,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(i % 10 == 3, F.format_string("%04d-%02d-%02d", y + 5, m, d))
              .when(i % 10 == 4, F.format_string("%d-%d-%d", y, m, d))
              .when(i % 10 == 5, F.lit(None).cast("string"))
-             .otherwise(F.date_format("ts", "yyyy-MM-dd")))
+             .otherwise(F.col("ts").cast("date").cast("string")))
     day = F.to_date("ts")
     end = (F.when(i % 4 == 0, F.lit(None).cast("string"))
            .when(i % 4 == 1, F.lit("soon"))

@@ -19,10 +19,10 @@ def _write(path, text):
 
 
 def test_metric_response_first_and_sum(spark, tmp_dir):
-    resp = [{"metric": "zpool.iobw", "tags": {"host": "sense3.psc"}, "dps": {"999": 1.0, "1000": 2.0}},
-            {"metric": "zpool.iobw", "tags": {"host": "sense3.psc", "op": "read"}, "dps": {"1000": 5.0}}]
+    resp = [{"metric": "zpool.iobw", "tags": {"host": "node3.example"}, "dps": {"999": 1.0, "1000": 2.0}},
+            {"metric": "zpool.iobw", "tags": {"host": "node3.example", "op": "read"}, "dps": {"1000": 5.0}}]
     _write(f"{tmp_dir}/r/a.json", json.dumps(resp))
-    _write(f"{tmp_dir}/r/b.json", json.dumps([{"metric": "file.writes", "tags": {"host": "DSC"}, "dps": {}}]))
+    _write(f"{tmp_dir}/r/b.json", json.dumps([{"metric": "file.writes", "tags": {"host": "site"}, "dps": {}}]))
     first = sorted((r.server, r.epoch, r.value) for r in M.read_metric_responses(spark, f"{tmp_dir}/r").collect())
     assert first == [(3, 999, 1.0), (3, 1000, 2.0)]           # numeric order of keys of different length
     summed = sorted((r.epoch, r.value) for r in M.read_metric_responses(spark, f"{tmp_dir}/r", "sum").collect())
