@@ -63,8 +63,9 @@ def day_spine(anchor_df: DataFrame, start_days_ago: int, end_days_ago: int = 2)
 
 def select_day(catalog: DataFrame, day: str) -> DataFrame:
     """Every file whose name is the date plus six characters. A name's date
-    is the file's ``day``, so the day is compared as well, which prunes."""
-    return catalog.where((F.col("day") == F.lit(day).cast("date")) & F.col("path").rlike(f"/{day}.{{6}}"))
+    is the file's ``day``; a catalog that has it is pruned by it."""
+    named = F.col("path").rlike(f"/{day}.{{6}}")
+    return catalog.where((F.col("day") == F.lit(day).cast("date")) & named if "day" in catalog.columns else named)
 
 
 def contiguous_range(catalog: DataFrame, start: str, end: str, contiguous: bool = True) -> DataFrame:
@@ -88,9 +89,11 @@ def month_tail(catalog: DataFrame, start_yyyymmdd: str) -> DataFrame:
     ym, ym_dash = start_yyyymmdd[:6], f"{start_yyyymmdd[:4]}-{start_yyyymmdd[4:6]}"
     day = int(start_yyyymmdd[6:8])
     fileday = F.substring(F.col("path"), -8, 2).try_cast("int")  # null: a name of another form
-    month = F.lit(ym_dash + "-01").cast("date")
-    return catalog.where((F.col("day") >= month) & (F.col("day") < F.add_months(month, 1)) & (F.col("path").contains(ym) | F.col("path").contains(ym_dash))
-                         & (fileday >= day))
+    named = (F.col("path").contains(ym) | F.col("path").contains(ym_dash)) & (fileday >= day)
+    if "day" in catalog.columns:  # the month as days prunes the scan
+        month = F.lit(ym_dash + "-01").cast("date")
+        named = (F.col("day") >= month) & (F.col("day") < F.add_months(month, 1)) & named
+    return catalog.where(named)
 
 
 def fresh(df: DataFrame, t: str, now: Column, max_age_seconds: int = 7200) -> DataFrame:

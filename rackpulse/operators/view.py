@@ -168,59 +168,58 @@ def count_2d(df: DataFrame, x: str, y: str, x_bin: float | None = None, y_bin: f
 
 # ---- J9 / J10: cell polygons and neighbours (per group, k centres) ----------
 
-def _clip(poly: np.ndarray, a: np.ndarray, b: float) -> tuple[np.ndarray, np.ndarray]:
-    """Clip polygon to the half plane a.x <= b; returns the polygon and a mask
-    of which output edges lie on the clipping line."""
-    out, on_line = [], []
+def _cut(poly: np.ndarray, edges: np.ndarray, a: np.ndarray, b: float, label: int) -> tuple[np.ndarray, np.ndarray]:
+    """Cut a convex polygon to the half plane a.x <= b. ``edges[i]`` names the
+    edge from vertex i to the next; the new edge is named ``label``."""
+    over = poly @ a - b
+    inside = over <= 0
+    if inside.all():
+        return poly, edges
+    if not inside.any():
+        return poly[:0], edges[:0]
     n = len(poly)
-    for i in range(n):
-        p, q = poly[i], poly[(i + 1) % n]
-        fp, fq = a @ p - b, a @ q - b
-        if fp <= 1e-12:
-            out.append(p)
-        if (fp < -1e-12 and fq > 1e-12) or (fp > 1e-12 and fq < -1e-12):
-            t = fp / (fp - fq)
-            out.append(p + t * (q - p))
-    return (np.array(out) if out else np.zeros((0, 2))), np.array(on_line)
-
-
-def cell_polygons(centers: pd.DataFrame, width: float, height: float) -> list[tuple[int, list, list]]:
-    """Voronoi cell of each centre clipped to [0, width] x [0, height].
-
-    Of coincident centres only the first keeps a cell. Returns
-    (cluster_id, [(x, y)...], [neighbour ids]) per centre."""
-    pts = centers[["px", "py"]].to_numpy(dtype=float)
-    ids = centers["cluster_id"].to_numpy()
-    order = np.argsort(ids, kind="stable")
-    pts, ids = pts[order], ids[order]
-    out = []
-    seen = {}
-    for i in range(len(pts)):
-        key = (pts[i, 0], pts[i, 1])
-        if key in seen:
+    enter = int(np.nonzero(~inside & np.roll(inside, -1))[0][0])   # last vertex outside
+    poly, edges, over, inside = (np.roll(x, -enter, axis=0) for x in (poly, edges, over, inside))
+    kept = int(inside.sum())                                       # vertices 1 .. kept stay
+
+    def crossing(i: int, j: int) -> np.ndarray:
+        t = over[i] / (over[i] - over[j])
+        return poly[i] + t * (poly[j] - poly[i])
+
+    first, last = crossing(0, 1), crossing(kept, (kept + 1) % n)
+    return np.vstack([first, poly[1:kept + 1], last]), np.r_[edges[0], edges[1:kept + 1], label]
+
+
+def _cell(i: int, pts: np.ndarray, box: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Voronoi cell of centre i inside a convex box and the neighbour behind
+    each edge (-1: the box), in coordinates relative to the centre.
+
+    Centres cut the cell nearest first; once half the distance exceeds the
+    cell's radius, no later one can reach it."""
+    away = pts - pts[i]
+    far = np.einsum("ij,ij->i", away, away)
+    poly, edges = box - pts[i], np.full(len(box), -1)
+    for j in np.argsort(far, kind="stable"):
+        if far[j] == 0:
             continue
-        seen[key] = i
-    keep = sorted(seen.values())
-    for i in keep:
-        poly = np.array([[0.0, 0.0], [width, 0.0], [width, height], [0.0, height]])
-        for j in keep:
-            if j == i or len(poly) == 0:
-                continue
-            a = pts[j] - pts[i]
-            b = (pts[j] @ pts[j] - pts[i] @ pts[i]) / 2.0
-            poly, _ = _clip(poly, a, b)
-        neigh = []
-        if len(poly):
-            for j in keep:
-                if j == i:
-                    continue
-                a = pts[j] - pts[i]
-                b = (pts[j] @ pts[j] - pts[i] @ pts[i]) / 2.0
-                on = np.abs(poly @ a - b) <= 1e-7 * max(1.0, abs(b))
-                if on.sum() >= 2:
-                    neigh.append(int(ids[j]))
-        out.append((int(ids[i]), [(float(x), float(y)) for x, y in poly], neigh))
-    return out
+        if len(poly) == 0 or far[j] > 4 * (poly * poly).sum(1).max():
+            break
+        poly, edges = _cut(poly, edges, away[j], far[j] / 2, int(j))
+    return poly, edges
+
+
+def _centres(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, positions) in the order of id; of coincident centres the first."""
+    pdf = pdf.sort_values("cluster_id", kind="stable").drop_duplicates(["px", "py"])
+    return pdf["cluster_id"].to_numpy(), pdf[["px", "py"]].to_numpy(dtype=float)
+
+
+def cell_polygons(centers: pd.DataFrame, width: float, height: float) -> list[tuple[int, list]]:
+    """Voronoi cell of each centre clipped to [0, width] x [0, height], as
+    (cluster_id, [(x, y)...]). Of coincident centres only the first keeps a cell."""
+    ids, pts = _centres(centers)
+    box = np.array([[0.0, 0.0], [width, 0.0], [width, height], [0.0, height]])
+    return [(int(ids[i]), [(float(x), float(y)) for x, y in _cell(i, pts, box)[0] + pts[i]]) for i in range(len(pts))]
 
 
 def voronoi_cells(scaled_centers: DataFrame, group: Sequence[str], width: float = WIDTH,
@@ -237,7 +236,7 @@ def voronoi_cells(scaled_centers: DataFrame, group: Sequence[str], width: float
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = []
         gvals = [pdf[g].iloc[0] for g in group]
-        for cid, poly, _ in cell_polygons(pdf, width, height):
+        for cid, poly in cell_polygons(pdf, width, height):
             for v, (x, y) in enumerate(poly):
                 rows.append((*gvals, cid, v, x, y))
         return pd.DataFrame(rows, columns=group + ["cluster_id", "vertex", "x", "y"])
@@ -245,21 +244,26 @@ def voronoi_cells(scaled_centers: DataFrame, group: Sequence[str], width: float
     return scaled_centers.select(*group, "cluster_id", "px", "py").groupBy(*group).applyInPandas(fn, schema)
 
 
-def _far_box(pdf: pd.DataFrame) -> tuple[float, float, float, float]:
-    """A box so far out that every ray of the diagram crosses it."""
-    x, y = pdf["px"].astype(float), pdf["py"].astype(float)
-    r = 1e4 * (max(x.max() - x.min(), y.max() - y.min()) + 1.0)
-    return x.min() - r, y.min() - r, x.max() + r, y.max() + r
-
-
 def delaunay_links(pdf: pd.DataFrame) -> list[tuple[int, int]]:
-    """Pairs of centres whose (unclipped) cells share an edge."""
-    x0, y0, x1, y1 = _far_box(pdf)
-    shifted = pdf.assign(px=pdf["px"].astype(float) - x0, py=pdf["py"].astype(float) - y0)
+    """Pairs of centres whose (unclipped) cells share an edge.
+
+    The box lies so far out that every ray of the diagram crosses it. An edge
+    counts if it is longer than rounding allows at its distance."""
+    ids, pts = _centres(pdf)
+    if len(pts) < 2:
+        return []
+    low, high = pts.min(0), pts.max(0)
+    reach = 1e5 * float((high - low).max())
+    (x0, y0), (x1, y1) = low - reach, high + reach
+    box = np.array([[x0, y0], [x1, y0], [x1, y1], [x0, y1]])
     pairs = set()
-    for cid, _, neigh in cell_polygons(shifted, x1 - x0, y1 - y0):
-        for n in neigh:
-            pairs.add((min(cid, n), max(cid, n)))
+    for i in range(len(pts)):
+        poly, edges = _cell(i, pts, box)
+        ends = np.roll(poly, -1, axis=0)
+        length = np.hypot(*(ends - poly).T)
+        least = 1e-9 * np.maximum(np.hypot(*poly.T), np.hypot(*ends.T))
+        for j in edges[(edges >= 0) & (length > least)]:
+            pairs.add((int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))))
     return sorted(pairs)
 
 

@@ -96,3 +96,17 @@ def test_fresh_boundary(spark):
     df = spark.createDataFrame([(1, 1000), (2, 7999), (3, 799), (4, 800)], "id int, t long")
     got = sorted(r.id for r in S.fresh(df, "t", F.lit(8000), 7200).collect())
     assert got == [1, 2, 4]   # exactly 7200 s old is still fresh; 7201 s is not
+
+
+def test_wide_numbers_beyond_an_int_are_dropped(spark):
+    df = spark.createDataFrame([("sense3 Shelf sdiskA1-rear temp 99999999999999 C",), ("sense3 Shelf sdiskA1-rear temp 12 C",)], "value string")
+    assert [r.temp_c for r in shelf.extract_shelf(df, wide=True).collect()] == [12]
+
+
+def test_month_tail_skips_other_names(spark):
+    import datetime as dt
+
+    from rackpulse.operators.selection import month_tail
+    d = dt.date(2014, 7, 20)
+    df = spark.createDataFrame([("/2014-07/readme.txt", d), ("/x/2014-07-20-10-00", d), ("/x/2014-07-02-10-00", dt.date(2014, 7, 2))], "path string, day date")
+    assert [r.path for r in month_tail(df, "20140715").collect()] == ["/x/2014-07-20-10-00"]

@@ -284,3 +284,90 @@ def test_delaunay_links_and_triangles(spark):
                               "g int, cluster_id int, px double, py double")
     assert sorted((r.a, r.b) for r in V.voronoi_links(c, ["g"]).collect()) == [(0, 1), (0, 2), (0, 3), (1, 2), (1, 3)]
     assert sorted((r.a, r.b, r.c) for r in V.voronoi_triangles(c, ["g"]).collect()) == [(0, 1, 2), (0, 1, 3)]
+
+
+def _links_by_circles(pts):
+    """Links of the triangles whose circumcircle is empty (general position)."""
+    import itertools
+
+    out = set()
+    for a, b, c in itertools.combinations(range(len(pts)), 3):
+        (ax, ay), (bx, by), (cx, cy) = pts[a], pts[b], pts[c]
+        d = 2 * (ax * (by - cy) + bx * (cy - ay) + cx * (ay - by))
+        if d == 0:
+            continue
+        sa, sb, sc = ax * ax + ay * ay, bx * bx + by * by, cx * cx + cy * cy
+        u = (sa * (by - cy) + sb * (cy - ay) + sc * (ay - by)) / d, (sa * (cx - bx) + sb * (ax - cx) + sc * (bx - ax)) / d
+        r = math.hypot(ax - u[0], ay - u[1])
+        if all(math.hypot(x - u[0], y - u[1]) > r * (1 - 1e-12) for i, (x, y) in enumerate(pts) if i not in (a, b, c)):
+            out |= {(a, b), (a, c), (b, c)}
+    return out
+
+
+@pytest.mark.parametrize("k", [13, 30])
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_links_of_clustered_centres_with_outliers(k, seed):
+    import random
+
+    import pandas as pd
+    from rackpulse.operators.view import delaunay_links
+    rng = random.Random(seed)
+    pts = [(400 + 12 * rng.random(), 300 + 9 * rng.random()) for _ in range(k - 2)] + [(3.0, 5.0), (790.0, 11.0)]
+    got = delaunay_links(pd.DataFrame({"cluster_id": range(k), "px": [p[0] for p in pts], "py": [p[1] for p in pts]}))
+    assert set(got) == _links_by_circles(pts)
+
+
+def test_histogram_of_a_constant_column(spark):
+    h = ST.histogram(spark.createDataFrame([(5.0,)] * 8, "v double"), "v").orderBy("bin").collect()
+    assert [r.y for r in h] == [0, 0, 0, 8] and all(r.dx == 0 and r.x == 5 for r in h)
+
+
+def test_zero_totals_give_empty_slices(spark):
+    v = spark.createDataFrame([("g", "a", 0.0), ("g", "b", 0.0)], "g string, k string, v double")
+    assert [(r.start_angle, r.end_angle) for r in L.pie(v, "k", "v", ["g"]).collect()] == [(0.0, 0.0)] * 2
+    c = v.selectExpr("g", "k", "v", "0.25D as px0", "0.5D as pdx")
+    assert [(r.x0, r.dx) for r in L.nested_intervals(c, "g", "k", "v").collect()] == [(0.25, 0.0)] * 2
+
+
+def test_snapshot_diff_null_key(spark):
+    from rackpulse.operators.diff import snapshot_diff
+    old = spark.createDataFrame([(None, 1), (None, 2), (7, 3)], "k int, id int")
+    new = spark.createDataFrame([(None, 8), (9, 10)], "k int, id int")
+    got = {(r.k, r.status, r.old_id, r.new_id) for r in snapshot_diff(old, new, "k", "id").collect()}
+    assert got == {(None, "update", 1, 8), (None, "exit", 2, None), (7, "exit", 3, None), (9, "enter", None, 10)}
+
+
+def test_weeks_begin_with_the_week_of_the_first_of_january(spark):
+    import datetime as dt
+    days = [dt.datetime(y, m, d) for y in (2023, 2024, 2025) for m, d in ((1, 1), (1, 2), (1, 6), (1, 7), (1, 8), (6, 30), (12, 31))]
+
+    def week(t, start):
+        first = dt.date(t.year, 1, 1)
+        before = (first.isoweekday() % 7 - start) % 7
+        return ((t.date() - first).days + before) // 7
+
+    rows = spark.createDataFrame([(d,) for d in days], "ts timestamp_ntz").select(
+        "ts", TF.week_of_year(F.col("ts"), 0).alias("s"), TF.week_of_year(F.col("ts"), 1).alias("m")).collect()
+    assert [(r.s, r.m) for r in rows] == [(week(r.ts, 0), week(r.ts, 1)) for r in rows]
+    assert next(r.m for r in rows if r.ts == dt.datetime(2024, 1, 1)) == 0
+
+
+def test_hours_a_zone_leaves_out_stay(spark):
+    """2024-03-10 02:30 does not exist in Los Angeles; a time without zone has it."""
+    import datetime as dt
+
+    from rackpulse.operators.selection import stamp_name
+    from rackpulse.tables import epoch_seconds
+    t = dt.datetime(2024, 3, 10, 2, 30, 15, 123456)
+    df = spark.createDataFrame([(t,)], "ts timestamp_ntz")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("UTC", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            ts = F.col("ts")
+            r = df.select(TF.text(TF.floor_to(ts, "hour")).alias("h"), TF.text(TF.round_to(ts, "minute")).alias("m"), stamp_name(ts).alias("n"),
+                          TF.iso_format(ts).alias("iso"), TF.text(TF.iso_parse(TF.iso_format(ts))).alias("back"), epoch_seconds(ts).alias("e")).first()
+            assert tuple(r) == ("2024-03-10 02:00:00", "2024-03-10 02:30:00", "2024-03-10-02-30", "2024-03-10T02:30:15.123Z", "2024-03-10 02:30:15",
+                                int(t.replace(tzinfo=dt.timezone.utc).timestamp()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
