@@ -44,6 +44,40 @@ def pick_k_value(n: int, floor_k: int = 2) -> int:
     return max(floor_k, int(math.sqrt(float(n)) / 2))
 
 
+def start_centers(points: DataFrame, group: Sequence[str], t: Column, tie: str, runs: int | None = None,
+                  features: Sequence[str] = FEATURES) -> DataFrame:
+    """Start centres for k from each group's own size (``pick_k``): of the
+    group's points in the order of ``t`` (a day number) and ``tie``, the first
+    k, or with ``runs`` the first k * runs dealt out to that many runs
+    (column ``run``). A run of a group with too few points has fewer centres.
+
+    The points are numbered by the chunked ``ordered_index``, a day to a chunk."""
+    from .series import ordered_index
+
+    group, many = list(group), runs or 1
+    sizes = points.groupBy(*group).agg(pick_k(F.count(F.lit(1))).alias("_k"))
+    ranked = ordered_index(points.withColumn("_t", t), group, "_t", "_i", chunk_seconds=1, tiebreak=[tie])
+    chosen = ranked.join(sizes, group).where(F.col("_i") <= F.col("_k") * many)
+    at = F.col("_i") - 1
+    run = [(at % many).cast("int").alias("run")] if runs else []
+    return chosen.select(*group, *run, F.floor(at / many).cast("int").alias("cluster_id"), *features)
+
+
+def in_runs(points: DataFrame, runs: int) -> DataFrame:
+    """Each point once per run (column ``run``): all starts step in one pass."""
+    return points.withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))))
+
+
+def best_run(points: DataFrame, centers: DataFrame, group: Sequence[str], features: Sequence[str] = FEATURES) -> DataFrame:
+    """M2: per group the centres of the run of least cost (to 6 places; ties:
+    the first run), with ``run`` and ``cost``. Both inputs have ``run``."""
+    group = list(group)
+    cost = nearest_center(points, centers.select(*group, "run", "cluster_id", *features), [*group, "run"], features) \
+        .groupBy(*group, "run").agg(F.round(F.sum("d2") + 1e-9, 6).alias("cost"))
+    best = cost.groupBy(*group).agg(F.min(F.struct("cost", "run")).alias("_b")).select(*group, F.col("_b.run").alias("run"), F.col("_b.cost").alias("cost"))
+    return centers.join(best, [*group, "run"])
+
+
 def first_k_centers(points: DataFrame, group: Sequence[str], order: Sequence[str], k: int,
                     features: Sequence[str] = FEATURES) -> DataFrame:
     """Deterministic start centres: the first ``k`` points of each group.
@@ -112,14 +146,15 @@ def lloyd_step(points: DataFrame, centers: DataFrame, group: Sequence[str],
 
 
 def lloyd(points: DataFrame, centers: DataFrame, group: Sequence[str], iterations: int,
-          features: Sequence[str] = FEATURES, checkpoint_every: int = 1) -> DataFrame:
+          features: Sequence[str] = FEATURES, checkpoint_every: int = 1, persist: bool = True) -> DataFrame:
     """M6: ``iterations`` Lloyd steps for every group at once (many small
     clusterings in one job). Each step reads its centres twice, so the centres
     (k rows per group) are written to the cluster's shared checkpoint folder
-    after every step; lineage stays one step long."""
+    after every step; lineage stays one step long. ``persist=False`` for points
+    that are cheap to read again (a written table)."""
     from pyspark import StorageLevel
 
-    pts = points.persist(StorageLevel.MEMORY_AND_DISK)
+    pts = points.persist(StorageLevel.MEMORY_AND_DISK) if persist else points
     try:
         c = centers
         for i in range(iterations):
@@ -129,7 +164,8 @@ def lloyd(points: DataFrame, centers: DataFrame, group: Sequence[str], iteration
                 # RDD checkpoint would compute the step twice)
                 c = stage(c, "lloyd_centers")
     finally:
-        pts.unpersist()
+        if persist:
+            pts.unpersist()
     return c
 
 

@@ -105,13 +105,15 @@ def fresh(df: DataFrame, t: str, now: Column, max_age_seconds: int = 7200) -> Da
     return df.where(F.col(t) >= now - age)
 
 
-def output_name(selected: DataFrame) -> DataFrame:
-    """K5: ``yyyy-mm-dd_mm-dd_senseN`` from the first and last day used per server."""
-    return (selected.groupBy("server")
-            .agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"))
-            .select("server", F.concat_ws("_", F.col("first_day").cast("string"),
+def output_name(selected: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """K5: ``yyyy-mm-dd_mm-dd_senseN`` from the first and last day used per
+    server (or per ``by``, whose rows are of one server)."""
+    by = by or ["server"]
+    return (selected.groupBy(*by)
+            .agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.min("server").alias("_server"))
+            .select(*by, F.concat_ws("_", F.col("first_day").cast("string"),
                                           F.substring(F.col("last_day").cast("string"), 6, 5),
-                                          F.format_string("sense%d", F.col("server"))).alias("name")))
+                                          F.format_string("sense%d", F.col("_server"))).alias("name")))
 
 
 def valid_date(s: Column, asof: Column) -> Column:

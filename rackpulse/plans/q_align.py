@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import tables as T
 from ..operators import align
-from ..session import stage
+from ..session import stage_once
 from .registry import SAMPLES_CTE, query
 
 # Events are minutes apart, so queries use a 600 s half-window (API default 30 s).
@@ -73,18 +73,19 @@ JOIN nnext nn ON g.server = nn.server AND g.day = nn.day AND g.rn = nn.rn
 
 @query("aligned_metrics", ALIGNED_SQL)
 def q_aligned_metrics(spark, sf_dir):
-    samples = stage(T.metric_samples(spark, sf_dir), "metric_samples")
+    samples = _samples(spark, sf_dir)
     out = align.aligned_metrics(samples, HALF_WINDOW)
     return out.select("server", "day", "rn", "time",
                       *[r6(F.col(c)).alias(c) for c in T.METRICS], "complete")
 
 
 def _samples(spark, sf_dir, staged: bool = True):
-    """The canonical metric samples, written once for the branches of a plan.
-    Plans that read them once take them unwritten (``staged=False``), so their
+    """The canonical metric samples, written once per input for all plans that
+    read them in several branches. Plans that read them once take them unwritten (``staged=False``), so their
     filters and column pruning reach the ``events`` scan."""
-    m = T.metric_samples(spark, sf_dir)
-    return stage(m, "metric_samples") if staged else m
+    if not staged:
+        return T.metric_samples(spark, sf_dir)
+    return stage_once(spark, "metric_samples", sf_dir, lambda: T.metric_samples(spark, sf_dir))
 
 
 @query("series_rank", f"""

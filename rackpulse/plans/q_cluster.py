@@ -5,56 +5,97 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import cluster as C
+from .. import tables as T
+from ..operators import selection as S
+from ..session import stage, stage_once
 from .q_align import ALIGNED_SQL, q_aligned_metrics
-from ..session import stage
+from .q_select import ASOF, REQ
 from .registry import query
 
 GROUP = ["server"]
-K = 4            # start centres per server: the first K points by (day, rn)
-ITERATIONS = 5   # Lloyd steps of the per-server clustering
+ITERATIONS = 10  # Lloyd steps of a clustering
+RUNS = 10        # starts, of which the best is kept
 FEATS = C.FEATURES
 
 NOT_NULL = " AND ".join(f"{f} IS NOT NULL AND NOT isnan({f})" for f in FEATS)
+FLIST = ", ".join(FEATS)
+K_SQL = "greatest(2, floor(sqrt(count(*)) / 2))"
+
+
+def starts_sql(pts: str, keys: str, name: str, runs: int = 1) -> str:
+    """Start centres: the first k points (k from the group's size), dealt out to runs."""
+    run = f"CAST((r - 1) % {runs} AS INTEGER) AS run, " if runs > 1 else ""
+    using = keys.replace(" ", "")
+    return f"""
+{name} AS (SELECT {keys}, {run}CAST((r - 1) // {runs} AS INTEGER) AS cluster_id, {FLIST}
+         FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY day, rn) AS r FROM {pts}) t
+         JOIN (SELECT {keys}, {K_SQL} AS k FROM {pts} GROUP BY {keys}) n USING ({using})
+         WHERE r <= k * {runs})"""
+
+
 POINTS_CTE = f"""
-pts AS (SELECT server, day, rn, {", ".join(FEATS)} FROM ({ALIGNED_SQL}) a WHERE {NOT_NULL}),
-ctr0 AS (SELECT server, CAST(r - 1 AS INTEGER) AS cluster_id, {", ".join(FEATS)}
-         FROM (SELECT *, row_number() OVER (PARTITION BY server ORDER BY day, rn) AS r FROM pts) t
-         WHERE r <= {K})
+pts AS (SELECT server, day, rn, {FLIST} FROM ({ALIGNED_SQL}) a WHERE {NOT_NULL}),{starts_sql("pts", "server", "ctr0")}
 """
 D2 = " + ".join(f"(p.{f} - c.{f}) * (p.{f} - c.{f})" for f in FEATS)
 
 
-def assign_sql(ctr: str, name: str) -> str:
+def assign_sql(ctr: str, name: str, pts: str = "pts", keys: str = "server") -> str:
+    ks = ", ".join(f"p.{k.strip()}" for k in keys.split(","))
+    using = keys.replace(" ", "")
     return f"""
-{name}_d AS (SELECT p.server, p.day, p.rn, c.cluster_id, {D2} AS d2 FROM pts p JOIN {ctr} c
-             ON p.server = c.server),
-{name} AS (SELECT server, day, rn, cluster_id, d2 FROM
-           (SELECT *, row_number() OVER (PARTITION BY server, day, rn ORDER BY d2, cluster_id) AS k
-            FROM {name}_d) t WHERE k = 1)"""
+{name}_d AS (SELECT {ks}, p.day, p.rn, c.cluster_id, {D2} AS d2 FROM {pts} p JOIN {ctr} c USING ({using})),
+{name} AS (SELECT {keys}, day, rn, cluster_id, d2 FROM
+           (SELECT *, row_number() OVER (PARTITION BY {keys}, day, rn ORDER BY d2, cluster_id) AS kk
+            FROM {name}_d) t WHERE kk = 1)"""
 
 
-def step_sql(ctr: str, asg: str, name: str) -> str:
+def step_sql(ctr: str, asg: str, name: str, pts: str = "pts", keys: str = "server") -> str:
     means = ", ".join(f"avg(p.{f}) AS {f}" for f in FEATS)
     keep = ", ".join(f"coalesce(m.{f}, c.{f}) AS {f}" for f in FEATS)
+    ks = ", ".join(f"c.{k.strip()}" for k in keys.split(","))
+    using = keys.replace(" ", "")
     return f"""
-{name}_m AS (SELECT a.server, a.cluster_id, {means}, count(*) AS n_points FROM {asg} a
-             JOIN pts p ON a.server = p.server AND a.day = p.day AND a.rn = p.rn
-             GROUP BY a.server, a.cluster_id),
-{name} AS (SELECT c.server, c.cluster_id, {keep}, coalesce(m.n_points, 0) AS n_points
-           FROM {ctr} c LEFT JOIN {name}_m m ON c.server = m.server AND c.cluster_id = m.cluster_id)"""
+{name}_m AS (SELECT {keys}, cluster_id, {means}, count(*) AS n_points FROM {asg} a
+             JOIN {pts} p USING ({using}, day, rn) GROUP BY {keys}, cluster_id),
+{name} AS MATERIALIZED (SELECT {ks}, c.cluster_id, {keep}, coalesce(m.n_points, 0) AS n_points
+           FROM {ctr} c LEFT JOIN {name}_m m USING ({using}, cluster_id))"""
+
+
+def lloyd_sql(iters: int, ctr: str = "ctr0", pts: str = "pts", keys: str = "server") -> str:
+    """``iters`` steps; the last centres are ``c<iters>``."""
+    parts = []
+    for i in range(1, iters + 1):
+        parts += [assign_sql(ctr, f"a{i}", pts, keys), step_sql(ctr, f"a{i}", f"c{i}", pts, keys)]
+        ctr = f"c{i}"
+    return ",".join(parts)
+
+
+def best_sql(keys: str, pts: str) -> str:
+    """Costs of the last centres of every run and the best run (``best``)."""
+    return f"""{assign_sql(f"c{ITERATIONS}", "fin", pts, keys + ", run")},
+costs AS (SELECT {keys}, run, round(sum(d2) + 1e-9, 6) AS cost FROM fin GROUP BY {keys}, run),
+best AS (SELECT {keys}, run, cost FROM
+         (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY cost, run) AS b FROM costs) t WHERE b = 1)"""
 
 
 def _points(spark, sf_dir, staged: bool = True):
-    """The aligned rows with all five features, written once (the K1 table) so
-    that the branches of a clustering plan read it instead of recomputing it.
-    Plans that read the points only once take them unwritten (``staged=False``):
-    a write would add a full pass over the aligned rows and save nothing."""
-    pts = C.feature_rows(q_aligned_metrics(spark, sf_dir)).select("server", "day", "rn", *FEATS)
-    return stage(pts, "points") if staged else pts
+    """The aligned rows with all five features, written once per input (the K1
+    table): every clustering and view query reads the written table with its
+    own pruning instead of building it again."""
+    return stage_once(spark, "points", sf_dir, lambda: C.feature_rows(q_aligned_metrics(spark, sf_dir)).select("server", "day", "rn", *FEATS))
 
 
 def _centers(points):
-    return C.first_k_centers(points, GROUP, ["day", "rn"], K)
+    return C.start_centers(points, GROUP, F.unix_date("day"), "rn")
+
+
+def _fitted(spark, sf_dir):
+    """The centres of each server's clustering, written once per input."""
+    def fit():
+        p = _points(spark, sf_dir)
+        return C.lloyd(p, _centers(p), GROUP, ITERATIONS, persist=False)
+
+    return stage_once(spark, "fitted", sf_dir, fit)
 
 
 def r6cols(df, cols):
@@ -114,23 +155,68 @@ def q_lloyd_step(spark, sf_dir):
     return r6cols(C.lloyd_step(p, _centers(p), GROUP), FEATS)
 
 
-def _lloyd_sql(iters: int) -> str:
-    parts, ctr = [], "ctr0"
-    for i in range(1, iters + 1):
-        parts.append(assign_sql(ctr, f"a{i}"))
-        parts.append(step_sql(ctr, f"a{i}", f"c{i}"))
-        ctr = f"(SELECT server, cluster_id, {', '.join(FEATS)} FROM c{i})"
-    return ",".join(parts)
+ROUNDED = ", ".join(f"round({f} + 1e-9, 6) AS {f}" for f in FEATS)
 
 
 @query("kmeans_per_server", f"""
-WITH {POINTS_CTE}, {_lloyd_sql(ITERATIONS)}
-SELECT server, cluster_id, {", ".join(f"round({f} + 1e-9, 6) AS {f}" for f in FEATS)}, n_points
-FROM c{ITERATIONS}
+WITH {POINTS_CTE}, {lloyd_sql(ITERATIONS)}
+SELECT server, cluster_id, {ROUNDED}, n_points FROM c{ITERATIONS}
 """)
 def q_kmeans_per_server(spark, sf_dir):
+    """M6: every server's clustering at once, k from its own number of points."""
+    return r6cols(_fitted(spark, sf_dir), FEATS)
+
+
+RUNS_CTE = f"rpts AS (SELECT *, run FROM pts, (SELECT CAST(unnest(range({RUNS})) AS INTEGER) AS run) u)"
+
+
+@query("kmeans_best_of", f"""
+WITH {POINTS_CTE}, {RUNS_CTE}, {starts_sql("pts", "server", "rctr", RUNS)},
+{lloyd_sql(ITERATIONS, "rctr", "rpts", "server, run")}, {best_sql("server", "rpts")}
+SELECT server, run, cluster_id, {ROUNDED}, n_points, cost FROM c{ITERATIONS} JOIN best USING (server, run)
+""")
+def q_kmeans_best_of(spark, sf_dir):
+    """M2: ten starts per server in one Lloyd loop; the run of least cost wins."""
     p = _points(spark, sf_dir)
-    return r6cols(C.lloyd(p, _centers(p), GROUP, ITERATIONS), FEATS)
+    many = C.in_runs(p, RUNS)
+    c = C.lloyd(many, C.start_centers(p, GROUP, F.unix_date("day"), "rn", RUNS), [*GROUP, "run"], ITERATIONS, persist=False)
+    return r6cols(C.best_run(many, c, GROUP), FEATS).select("server", "run", "cluster_id", *FEATS, "n_points", "cost")
+
+
+JOB = ["server", "start_day", "end_day"]
+JOB_KEYS = ", ".join(JOB)
+
+
+@query("kmeans_per_request", f"""
+WITH {REQ}, {POINTS_CTE},
+job AS (SELECT DISTINCT CAST(substring(server, 6) AS INTEGER) AS server, CAST(start_date AS DATE) AS start_day,
+               CASE WHEN mode = 'range' THEN CAST(end_date AS DATE) ELSE CAST(start_date AS DATE) END AS end_day
+        FROM modes WHERE mode IN ('single', 'range')),
+jpts AS (SELECT p.*, j.start_day, j.end_day FROM job j JOIN pts p ON p.server = j.server AND p.day BETWEEN j.start_day AND j.end_day),
+rpts AS (SELECT *, run FROM jpts, (SELECT CAST(unnest(range({RUNS})) AS INTEGER) AS run) u),
+{starts_sql("jpts", JOB_KEYS, "rctr", RUNS)},
+{lloyd_sql(ITERATIONS, "rctr", "rpts", JOB_KEYS + ", run")}, {best_sql(JOB_KEYS, "rpts")},
+used AS (SELECT {JOB_KEYS}, strftime(min(day), '%Y-%m-%d') || '_' || strftime(max(day), '%m-%d') || '_sense' || server AS name
+         FROM jpts GROUP BY {JOB_KEYS})
+SELECT {JOB_KEYS}, name, run, cluster_id, {ROUNDED}, n_points, cost
+FROM c{ITERATIONS} JOIN best USING ({JOB_KEYS.replace(" ", "")}, run) JOIN used USING ({JOB_KEYS.replace(" ", "")})
+""")
+def q_kmeans_per_request(spark, sf_dir):
+    """The whole job: accepted requests -> the points of their days -> k from
+    their number -> ten starts of ten steps -> the best run's centres under the
+    result's name. All requests are clustered in one loop."""
+    modes = S.request_mode(T.requests(spark, sf_dir), F.lit(ASOF).cast("date"))
+    modes = modes.withColumn("server", F.regexp_extract("server", r"^sense(\d+)$", 1).cast("int"))
+    s = F.to_date("start_date", "yyyy-MM-dd")
+    jobs = S.request_days(modes.withColumn("start_day", s).withColumn(
+        "end_day", F.when(F.col("mode") == "range", F.to_date("end_date", "yyyy-MM-dd")).otherwise(s)))
+    jobs = jobs.select(*JOB, "day").distinct()
+    points = stage(jobs.join(_points(spark, sf_dir), ["server", "day"]), "request_points")
+    many = C.in_runs(points, RUNS)
+    c = C.lloyd(many, C.start_centers(points, JOB, F.unix_date("day"), "rn", RUNS), [*JOB, "run"], ITERATIONS, persist=False)
+    names = S.output_name(points.select(F.struct(*JOB).alias("job"), "server", "day"), ["job"])
+    best = C.best_run(many, c, JOB).join(names.select("job.*", "name"), JOB)
+    return r6cols(best, FEATS).select(*JOB, "name", "run", "cluster_id", *FEATS, "n_points", "cost")
 
 
 @query("kmeans_centers")
@@ -140,12 +226,3 @@ def q_kmeans_centers(spark, sf_dir):
     k = C.pick_k_value(p.count())
     centers, _, _ = C.kmeans_fit(spark, p, k, seeds=(0,))
     return centers
-
-
-@query("kmeans_best_of")
-def q_kmeans_best_of(spark, sf_dir):
-    """M2: ten random starts on one cached input; the run of least cost wins."""
-    p = _points(spark, sf_dir)
-    k = C.pick_k_value(p.count())
-    centers, cost, seed = C.kmeans_fit(spark, p, k, seeds=tuple(range(10)))
-    return centers.withColumn("cost", F.lit(cost)).withColumn("seed", F.lit(seed))

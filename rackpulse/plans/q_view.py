@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import tables as T
 from ..operators import view as V
-from .q_cluster import FEATS, GROUP, POINTS_CTE, _centers, _points, r6cols
+from .q_cluster import FEATS, GROUP, ITERATIONS, POINTS_CTE, _fitted, _points, lloyd_sql, r6cols
 from .registry import query
 
 X, Y = "filereads", "filewrites"   # the default view
@@ -71,11 +71,11 @@ def q_nice_ticks(spark, sf_dir):
 
 
 VORONOI_SQL = f"""
-{EXTENT_SQL},
+{lloyd_sql(ITERATIONS)}, {EXTENT_SQL},
 sp AS (SELECT p.server, p.day, p.rn, {lin(f"p.{X}", "e.xlo", "e.xhi", 0, W)} AS vx,
               {lin(f"p.{Y}", "e.ylo", "e.yhi", H, 0)} AS vy FROM pts p JOIN ext e ON p.server = e.server),
 sc AS (SELECT c.server, c.cluster_id, {lin(f"c.{X}", "e.xlo", "e.xhi", 0, W)} AS vx,
-              {lin(f"c.{Y}", "e.ylo", "e.yhi", H, 0)} AS vy FROM ctr0 c JOIN ext e ON c.server = e.server),
+              {lin(f"c.{Y}", "e.ylo", "e.yhi", H, 0)} AS vy FROM c{ITERATIONS} c JOIN ext e ON c.server = e.server),
 vd AS (SELECT p.server, p.day, p.rn, c.cluster_id,
               (p.vx - c.vx) * (p.vx - c.vx) + (p.vy - c.vy) * (p.vy - c.vy) AS d2
        FROM sp p JOIN sc c ON p.server = c.server),
@@ -91,7 +91,7 @@ SELECT server, day, rn, cell FROM cells
 """)
 def q_voronoi_assign(spark, sf_dir):
     p = _points(spark, sf_dir)
-    a = V.voronoi_assign(p, _centers(p), GROUP, X, Y)
+    a = V.voronoi_assign(p, _fitted(spark, sf_dir), GROUP, X, Y)
     return a.select("server", "day", "rn", "cell")
 
 
@@ -103,14 +103,14 @@ FROM cells GROUP BY server, cell
 """)
 def q_voronoi_counts(spark, sf_dir):
     p = _points(spark, sf_dir)
-    c = V.cell_counts(V.voronoi_assign(p, _centers(p), GROUP, X, Y), GROUP)
+    c = V.cell_counts(V.voronoi_assign(p, _fitted(spark, sf_dir), GROUP, X, Y), GROUP)
     return r6cols(c, ["share"])
 
 
 def _scaled_centers(spark, sf_dir):
     p = _points(spark, sf_dir)
     ext = V.view_extent(p, GROUP, X, Y)
-    return V.scale_with_extent(_centers(p), ext, GROUP, X, Y)
+    return V.scale_with_extent(_fitted(spark, sf_dir), ext, GROUP, X, Y)
 
 
 @query("voronoi_cells")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 
@@ -51,9 +52,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+_LEAVING: set[str] = set()
+
+
+def _leave_nothing(spark: SparkSession) -> None:
+    """When Python ends, the application's staged tables go."""
+    try:
+        clear_staged(spark)
+    except Exception:  # noqa: BLE001  the session, or its JVM, has ended before
+        pass
+
+
 def _staged_root(spark: SparkSession) -> str:
     """This application's own folder for staged tables under the checkpoint dir."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
+    if spark.sparkContext.applicationId not in _LEAVING:
+        _LEAVING.add(spark.sparkContext.applicationId)
+        atexit.register(_leave_nothing, spark)
     return f"{base}/staged/{spark.sparkContext.applicationId}"
 
 
@@ -68,6 +83,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def clear_staged(spark: SparkSession) -> None:
     """Delete the tables this application wrote with ``stage`` (through the
     Hadoop file system API, so it works on any shared storage)."""
+    for key in [k for k in _HELD if k[0] == spark.sparkContext.applicationId]:
+        del _HELD[key]
     base = _staged_root(spark)
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(base)
@@ -76,6 +93,20 @@ def clear_staged(spark: SparkSession) -> None:
         fs.delete(path, True)
 
 
+_HELD: dict[tuple[str, str], str] = {}
+
+
+def stage_once(spark: SparkSession, name: str, source: str, build):
+    """``build()`` staged once per application and ``source`` (the input folder
+    and whatever else it depends on), then read by every query that asks."""
+    key = (spark.sparkContext.applicationId, f"{name}|{source}")
+    if key not in _HELD:
+        path = scratch_path(spark, name)
+        build().write.mode("overwrite").parquet(path)
+        _HELD[key] = path
+    return spark.read.parquet(_HELD[key])
+
+
 def stage(df, name: str, partition_by: tuple[str, ...] = ()):
     """Write ``df`` once as Parquet in the shared checkpoint folder and return
     a DataFrame that reads it back.

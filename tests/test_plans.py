@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 # counts of distinct values).
 SINGLE_PARTITION_OK = {"grid_occupancy", "histogram", "log_pow_scale", "quantize_bucket", "stack_silhouette",
                        "stack_wiggle", "nested_intervals", "ordinal_code", "ordinal_bands", "stack_inside_out",
-                       "shuffle_rows", "kmeans_centers", "kmeans_best_of"}
+                       "shuffle_rows", "kmeans_centers"}
 
 
 def test_no_unscalable_operators(spark):
