@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Tick steps of a time scale in milliseconds, with the interval
@@ -91,26 +91,65 @@ def iso_parse(s: Column) -> Column:
                   F.substring(s, 1, 23).try_cast("timestamp_ntz"))
 
 
+def linear_step(span: Column, m: int = 10) -> Column:
+    """Step 1, 2 or 5 x 10^k giving about ``m`` steps over a positive span."""
+    from ..operators.view import tick_step
+    return tick_step(F.lit(0.0), span, m)
+
+
 def time_step(span_ms: Column, m: int = 10) -> tuple[Column, Column]:
     """P20: (unit, count) of the tick interval for a span and about ``m`` ticks:
-    the listed step nearest to span / m by ratio."""
+    the listed step nearest to span / m by ratio. Below the first step ticks are
+    milliseconds, from the last one on years, both in steps of 1, 2 or 5 x 10^k."""
     target = span_ms / F.lit(float(m))
-    idx = F.size(F.filter(F.array(*[F.lit(s) for s, _, _ in TIME_STEPS]), lambda s: s <= target))
-    # bisect right gives the first step above the target; step back when the
-    # lower neighbour is nearer by ratio
-    steps = F.array(*[F.lit(s) for s, _, _ in TIME_STEPS])
-    lower = F.element_at(steps, F.greatest(idx, F.lit(1)))
-    upper = F.element_at(steps, F.least(idx + 1, F.lit(len(TIME_STEPS))))
-    i = F.when(idx == 0, 0).when(idx >= len(TIME_STEPS), len(TIME_STEPS) - 1) \
-        .when(target / lower < upper / target, idx - 1).otherwise(idx)
-    units = F.array(*[F.lit(u) for _, u, _ in TIME_STEPS])
-    counts = F.array(*[F.lit(c) for _, _, c in TIME_STEPS])
-    return F.element_at(units, (i + 1).cast("int")), F.element_at(counts, (i + 1).cast("int"))
+    steps, units, counts = (F.array(*map(F.lit, x)) for x in zip(*TIME_STEPS))
+    above = sum((F.when(target >= low, 1).otherwise(0) for low, _, _ in TIME_STEPS), F.lit(0))
+    low, high = F.element_at(steps, F.greatest(above, F.lit(1))), F.element_at(steps, F.least(above + 1, F.lit(len(TIME_STEPS))))
+    at = F.greatest(F.lit(1), F.when(target / low < high / target, above).otherwise(F.least(above + 1, F.lit(len(TIME_STEPS)))))
+    listed = (above > 0) & (above < len(TIME_STEPS))
+    years = F.greatest(F.lit(1.0), linear_step(span_ms / 31536e6, m)).cast("int")
+    milliseconds = F.greatest(F.lit(1.0), linear_step(span_ms, m)).cast("int")
+    unit = F.when(listed, F.element_at(units, at)).when(above == 0, "millisecond").otherwise("year")
+    return unit, F.when(listed, F.element_at(counts, at)).when(above == 0, milliseconds).otherwise(years)
 
 
 def unit_number(ts: Column, unit: Column) -> Column:
-    """Number used by the step filter of a range: seconds, minutes, hours of
-    the clock, day of month - 1, month - 1, or the year."""
-    return (F.when(unit == "second", F.second(ts)).when(unit == "minute", F.minute(ts))
+    """Number used by the step filter of a range: milliseconds since 1970,
+    seconds, minutes, hours of the clock, day of month - 1, the week (0: every
+    week is taken), month - 1, or the year."""
+    return (F.when(unit == "millisecond", F.floor(epoch_micros(ts) / 1000))
+            .when(unit == "second", F.second(ts)).when(unit == "minute", F.minute(ts))
             .when(unit == "hour", F.hour(ts)).when(unit == "day", F.dayofmonth(ts) - 1)
-            .when(unit == "month", F.month(ts) - 1).otherwise(F.year(ts)))
+            .when(unit == "week", F.lit(0))
+            .when(unit == "month", F.month(ts) - 1).otherwise(F.year(ts)).cast("long"))
+
+
+def ticks(df: DataFrame, t0: str, t1: str, m: int = 10) -> DataFrame:
+    """P20: ``df`` with a row for each tick between its columns ``t0`` and
+    ``t1`` (time stamps without zone): ``unit``, ``step_count`` and ``tick``.
+    Rows without extent or without a tick give none.
+
+    A row's candidates are the unit's boundaries in its range, of which the
+    step filter keeps every ``step_count``-th; milliseconds and years are laid
+    out in whole steps, so there are some ``10 m`` candidates at most."""
+    d = df.where(F.col(t1) > F.col(t0)).withColumn("_span", (epoch_micros(F.col(t1)) - epoch_micros(F.col(t0))) / 1000.0)
+    unit, count = time_step(F.col("_span"), m)
+    d = d.withColumn("unit", unit).withColumn("step_count", count)
+    u, n = F.col("unit"), F.col("step_count")
+    d = d.withColumn("_before", F.col(t0) - F.expr("INTERVAL 1 MICROSECOND"))
+    before, zero = F.col("_before"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    whole_ms = F.floor(epoch_micros(before) / (n * 1000)) * n / 1000
+    begin = F.when(u == "millisecond", zero + F.make_dt_interval(secs=whole_ms.cast("decimal(18,6)")))
+    begin = begin.when(u == "year", F.make_timestamp_ntz((F.floor(F.year(before) / n) * n).cast("int"), *map(F.lit, (1, 1, 0, 0, 0))))
+    for name in ("second", "minute", "hour", "day", "week"):
+        begin = begin.when(u == name, floor_to(before, name))
+    seconds = F.when(u == "millisecond", n / 1000)
+    for name, size in (("second", 1), ("minute", 60), ("hour", 3600), ("day", 86400), ("week", 7 * 86400)):
+        seconds = seconds.when(u == name, size)
+    d = (d.withColumn("_begin", begin.otherwise(floor_to(before, "month")))
+         .withColumn("_step", F.make_dt_interval(secs=seconds.cast("decimal(18,6)")))
+         .withColumn("_months", F.make_ym_interval(F.when(u == "year", n).otherwise(0), F.when(u == "month", 1).otherwise(0))))
+    every = F.when(u.isin("month", "year"), F.sequence("_begin", F.col(t1), F.col("_months"))).otherwise(F.sequence("_begin", F.col(t1), F.col("_step")))
+    out = d.withColumn("tick", F.explode(every))
+    kept = out.where((F.col("tick") >= F.col(t0)) & (unit_number(F.col("tick"), u) % n == 0))
+    return kept.drop("_span", "_before", "_begin", "_step", "_months")

@@ -118,47 +118,60 @@ def q_iso_time(spark, sf_dir):
 
 
 TIME_STEPS_SQL = ", ".join(f"({i}, {ms}, '{u}', {c})" for i, (ms, u, c) in enumerate(TF.TIME_STEPS))
-UNIT_SECONDS_SQL = "CASE unit WHEN 'second' THEN 1 WHEN 'minute' THEN 60 WHEN 'hour' THEN 3600 ELSE 86400 END"
+#: Extents of all sizes: six-hour blocks of events, and from each order's date
+#: on a span between 37 milliseconds and some thousand years.
+SPANS_MS = [37, 420, 5000, 16000, 200000, 3000000, 30000000, 200000000, 3000000000, 50000000000, 600000000000, 6300000000000]
+
+
+def _step_case(span: str) -> str:
+    """The step 1, 2 or 5 x 10^k of about ten steps over a span, at least 1."""
+    base = f"pow(10.0, floor(log10({span} / 10)))"
+    err = f"(10 / ({span}) * {base})"
+    return (f"greatest(1, CAST(trunc(CASE WHEN {err} <= 0.15 THEN {base} * 10 WHEN {err} <= 0.35 THEN {base} * 5 "
+            f"WHEN {err} <= 0.75 THEN {base} * 2 ELSE {base} END) AS INTEGER))")
 
 
 @query("time_scale_ticks", f"""
-WITH g AS (SELECT CAST(ts AS DATE) AS day, CAST(hour(ts) // 6 AS INTEGER) AS block, min(ts) AS t0, max(ts) AS t1,
-                  (epoch_us(max(ts)) - epoch_us(min(ts))) / 1000.0 AS span_ms FROM events GROUP BY ALL),
+WITH g AS (
+  SELECT 'events' AS kind, CAST(epoch(CAST(CAST(ts AS DATE) AS TIMESTAMP)) // 21600 AS BIGINT) + hour(ts) // 6 AS id, min(ts) AS t0, max(ts) AS t1
+  FROM events GROUP BY ALL
+  UNION ALL
+  SELECT 'orders', o_orderkey, o_orderdate,
+         o_orderdate + to_milliseconds([{', '.join(map(str, SPANS_MS))}][o_orderkey % 12 + 1]::BIGINT * (1 + o_orderkey % 7)) FROM orders),
 steps(i, ms, unit, cnt) AS (VALUES {TIME_STEPS_SQL}),
-c AS (SELECT g.*, span_ms / 10 AS target, (SELECT count(*) FROM steps WHERE ms <= span_ms / 10) AS idx FROM g),
-p AS (SELECT c.*, CASE WHEN idx = 0 THEN 0 WHEN idx >= 18 THEN 17
-                       WHEN target / (SELECT ms FROM steps WHERE i = idx - 1)
-                            < (SELECT ms FROM steps WHERE i = idx) / target THEN idx - 1
-                       ELSE idx END AS si FROM c),
-u AS (SELECT p.day, p.block, p.t0, p.t1, s.unit, s.cnt FROM p JOIN steps s ON s.i = p.si),
-v AS (SELECT *, to_seconds({UNIT_SECONDS_SQL}) AS step,
-             date_trunc(unit, t0 - INTERVAL 1 MICROSECOND) + to_seconds({UNIT_SECONDS_SQL}) AS c0 FROM u),
-t AS (SELECT day, block, unit, cnt, unnest(generate_series(c0, t1, step)) AS tick FROM v WHERE c0 <= t1)
-SELECT day, block, unit, CAST(cnt AS INTEGER) AS step_count, strftime(tick, '%Y-%m-%d %H:%M:%S') AS tick
+c AS (SELECT *, (epoch_us(t1) - epoch_us(t0)) / 1000.0 AS span_ms, (epoch_us(t1) - epoch_us(t0)) / 1000.0 / 10 AS target,
+             (SELECT count(*) FROM steps WHERE ms <= (epoch_us(t1) - epoch_us(t0)) / 1000.0 / 10) AS idx FROM g WHERE t1 > t0),
+p AS (SELECT c.*, CASE WHEN target / lo.ms < hi.ms / target THEN idx - 1 ELSE idx END AS si
+      FROM c LEFT JOIN steps lo ON lo.i = idx - 1 LEFT JOIN steps hi ON hi.i = idx),
+u AS (SELECT p.kind, p.id, p.t0, p.t1, t0 - INTERVAL 1 MICROSECOND AS before,
+             CASE WHEN idx = 0 THEN 'millisecond' WHEN idx = 18 THEN 'year' ELSE s.unit END AS unit,
+             CASE WHEN idx = 0 THEN {_step_case("span_ms")} WHEN idx = 18 THEN {_step_case("(span_ms / 31536e6)")} ELSE s.cnt END AS cnt
+      FROM p LEFT JOIN steps s ON s.i = p.si),
+v AS (SELECT *, CASE unit WHEN 'millisecond' THEN make_timestamp(CAST(floor(epoch_us(before) / (cnt * 1000.0)) * cnt * 1000 AS BIGINT))
+                          WHEN 'year' THEN make_timestamp(CAST(floor(year(before) / cnt) * cnt AS BIGINT), 1, 1, 0, 0, 0)
+                          WHEN 'week' THEN CAST(CAST(before AS DATE) - CAST(dayofweek(before) AS INTEGER) AS TIMESTAMP)
+                          ELSE date_trunc(unit, before) END AS c0,
+             CASE unit WHEN 'millisecond' THEN to_milliseconds(cnt) WHEN 'second' THEN to_seconds(1) WHEN 'minute' THEN to_minutes(1)
+                       WHEN 'hour' THEN to_hours(1) WHEN 'day' THEN to_days(1) WHEN 'week' THEN to_days(7) WHEN 'month' THEN to_months(1)
+                       ELSE to_years(CAST(cnt AS INTEGER)) END AS step FROM u),
+t AS (SELECT kind, id, unit, cnt, t0, unnest(generate_series(c0, t1, step)) AS tick FROM v)
+SELECT kind, id, unit, CAST(cnt AS INTEGER) AS step_count, CAST(epoch_us(tick) // 1000 AS BIGINT) AS tick_ms
 FROM t
-WHERE (CASE unit WHEN 'second' THEN second(tick) WHEN 'minute' THEN minute(tick)
-                 WHEN 'hour' THEN hour(tick) ELSE day(tick) - 1 END) % cnt = 0
+WHERE tick >= t0
+  AND (CASE unit WHEN 'millisecond' THEN epoch_us(tick) // 1000 WHEN 'second' THEN second(tick) WHEN 'minute' THEN minute(tick)
+                 WHEN 'hour' THEN hour(tick) WHEN 'day' THEN day(tick) - 1 WHEN 'week' THEN 0 WHEN 'month' THEN month(tick) - 1 ELSE year(tick) END) % cnt = 0
 """)
 def q_time_scale_ticks(spark, sf_dir):
-    ev = _t(spark, sf_dir, "events")
-    g = (ev.groupBy(F.to_date("ts").alias("day"), F.floor(F.hour("ts") / 6).cast("int").alias("block"))
-         .agg(F.min("ts").alias("t0"), F.max("ts").alias("t1")))
-    span_ms = (TF.epoch_micros(F.col("t1")) - TF.epoch_micros(F.col("t0"))) / 1000.0
-    unit, cnt = TF.time_step(span_ms, 10)
-    g = g.withColumn("unit", unit).withColumn("cnt", cnt)
-    secs = F.when(F.col("unit") == "second", 1).when(F.col("unit") == "minute", 60) \
-        .when(F.col("unit") == "hour", 3600).otherwise(86400)
-    step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs.cast("decimal(18,6)"))
-    prev = F.col("t0") - F.expr("INTERVAL 1 MICROSECOND")
-    floor_prev = (F.when(F.col("unit") == "second", TF.floor_to(prev, "second"))
-                  .when(F.col("unit") == "minute", TF.floor_to(prev, "minute"))
-                  .when(F.col("unit") == "hour", TF.floor_to(prev, "hour"))
-                  .otherwise(TF.floor_to(prev, "day")))
-    v = g.withColumn("step", step).withColumn("c0", floor_prev + F.col("step")).where(F.col("c0") <= F.col("t1"))
-    t = v.select("day", "block", "unit", "cnt", F.explode(F.sequence("c0", "t1", "step")).alias("tick"))
-    return (t.where(TF.unit_number(F.col("tick"), F.col("unit")) % F.col("cnt") == 0)
-            .select("day", "block", "unit", F.col("cnt").cast("int").alias("step_count"),
-                    TF.text(F.col("tick")).alias("tick")))
+    """P20 over extents of every unit, from milliseconds to many years."""
+    block = F.floor(TF.epoch_micros(F.col("ts")) / 21_600_000_000)
+    events = (_t(spark, sf_dir, "events").groupBy(F.lit("events").alias("kind"), block.alias("id"))
+              .agg(F.min("ts").alias("t0"), F.max("ts").alias("t1")))
+    size = F.element_at(F.array(*[F.lit(x).cast("long") for x in SPANS_MS]), (F.col("o_orderkey") % 12 + 1).cast("int")) * (1 + F.col("o_orderkey") % 7)
+    orders = _t(spark, sf_dir, "orders").select(
+        F.lit("orders").alias("kind"), F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("t0"),
+        (F.col("o_orderdate") + F.make_dt_interval(secs=(size / 1000).cast("decimal(18,6)"))).alias("t1"))
+    t = TF.ticks(events.unionByName(orders), "t0", "t1", 10)
+    return t.select("kind", "id", "unit", F.col("step_count").cast("int").alias("step_count"), F.floor(TF.epoch_micros(F.col("tick")) / 1000).alias("tick_ms"))
 
 
 # ---- collections ---------------------------------------------------------------

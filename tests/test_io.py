@@ -97,3 +97,17 @@ def test_incremental_ingest_takes_each_file_once(spark, tmp_dir):
     spark.createDataFrame([(3, 3.0)], schema).write.mode("append").parquet(src)
     ingest_available(spark, src, dst, ck, schema)
     assert sorted(r.id for r in read_ingested(spark, dst).collect()) == [1, 2, 3]
+
+
+def test_ingest_walks_folders_and_goes_by_age(spark, tmp_dir):
+    import datetime as dt
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    now = dt.datetime(2024, 5, 1, 12, tzinfo=dt.timezone.utc)
+    for i, (where, hours) in enumerate([("a.csv", 1), ("sub/b.csv", 1), ("sub/deep/c.csv", 3), ("d.csv", 48)]):
+        _write(f"{tmp_dir}/src/{where}", f"{i}\n")
+        age = now.timestamp() - hours * 3600
+        os.utime(f"{tmp_dir}/src/{where}", (age, age))
+    ingest_available(spark, f"{tmp_dir}/src", f"{tmp_dir}/dst", f"{tmp_dir}/ck", schema, "csv", 7200, now, clean_names=True)
+    assert sorted((r.id, r.source_file) for r in read_ingested(spark, f"{tmp_dir}/dst").collect()) == [(0, "a.csv"), (1, "b.csv")]
+    ingest_available(spark, f"{tmp_dir}/src", f"{tmp_dir}/all", f"{tmp_dir}/ck2", schema, "csv")
+    assert sorted(r.id for r in read_ingested(spark, f"{tmp_dir}/all").collect()) == [0, 1, 2, 3]
