@@ -76,13 +76,18 @@ def normal(text: Column) -> Column:
 
 
 def words(normalised: Column) -> Column:
-    return F.filter(F.split(normalised, " "), lambda w: w != "")
+    return F.split(F.trim(normalised), " ")
 
 
-def grams(own: Column) -> Column:
-    """Different word unigrams and bigrams of an array of words."""
-    pairs = F.zip_with(own, F.slice(own, F.lit(2), F.greatest(F.size(own) - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))
-    return F.array_union(own, F.filter(pairs, lambda g: g.isNotNull()))
+def present(own: Column, vocabulary: list[str]) -> Column:
+    """The different word unigrams and bigrams of an array of words that the vocabulary has."""
+    pairs = F.zip_with(own, F.slice(own, F.lit(2), F.size(own)), lambda a, b: F.concat(a, F.lit(" "), b))  # the last one null
+    return F.array_intersect(F.concat(own, pairs), F.array(*map(F.lit, vocabulary)))
+
+
+def once(column: Column) -> Column:
+    """The column behind a generator, so that filters on it do not compute it again."""
+    return F.explode(F.array(column))
 
 
 def _plain(text: str) -> list[str]:
@@ -132,8 +137,7 @@ def _examples(lines: DataFrame, templates: dict[str, tuple[str, ...]], sample: i
             .select("family", F.concat(F.slice("around", 1, 8), "words", F.slice("around", -1, 1)).alias("words")))
     marked = whole.unionByName(runs).unionByName(amid)
     both = marked.withColumn("known", F.lit(True)).unionByName(drawn.select(F.lit(None).cast("string").alias("family"), "words", F.lit(False).alias("known")))
-    vocabulary = F.array(*map(F.lit, _vocabulary(templates)))
-    return both.select(F.monotonically_increasing_id().alias("id"), "family", F.array_intersect(grams(F.col("words")), vocabulary).alias("grams"))
+    return both.select(F.monotonically_increasing_id().alias("id"), "family", present(F.col("words"), _vocabulary(templates)).alias("grams"))
 
 
 def fit(lines: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, sample: int = 2000, part: float = 0.7,
@@ -186,9 +190,9 @@ def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, doc
     rows = rows.withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary"))))
     lines = paragraphs(rows)
     model = fit(lines, templates, **training)
-    present = F.array_intersect(grams(words(F.col("norm"))), F.array(*map(F.lit, model.weights)))
-    judged = (lines.withColumn("present", present).where("size(present) > 0")
-              .withColumn("best", _best(model, F.col("present"))).where(F.col("best.p") >= model.threshold)
+    held = present(words(F.col("norm")), list(model.weights))
+    judged = (lines.withColumn("present", once(held)).where("size(present) > 0")
+              .withColumn("best", once(_best(model, F.col("present")))).where(F.col("best.p") >= model.threshold)
               .dropDuplicates(["doc", "digest", "pos"]))
     alike = F.coalesce(*[F.when(F.col("best.family") == f, F.greatest(*[likeness(F.col("norm"), t) for t in own], F.lit(0.0))) for f, own in templates.items()])
     told = (judged.select("doc", "digest", "best", (alike >= ALIKE).alias("sure")).groupBy("doc", "digest").agg(
