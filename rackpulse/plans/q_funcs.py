@@ -284,6 +284,26 @@ def q_random_columns(spark, sf_dir):
                      (F.rand(4) + F.rand(5) + F.rand(6)).alias("irwin_hall"))
 
 
+@query("random_column_checks", """
+SELECT * FROM (VALUES ('bates', true, true, true), ('irwin_hall', true, true, true), ('log_normal', true, true, true), ('normal', true, true, true))
+  t(name, mean_ok, spread_ok, range_ok)
+""")
+def q_random_column_checks(spark, sf_dir):
+    """each column's mean and spread lie within six standard errors of the
+    distribution's own (the log of the log-normal: of the normal's), and its
+    values in its range."""
+    d = q_random_columns(spark, sf_dir)
+    names = {"normal": (F.col("normal"), 0.0, 1.0, None), "log_normal": (F.log("log_normal"), 0.0, 1.0, (0.0, float("inf"))),
+             "bates": (F.col("bates"), 0.5, (1 / 36) ** 0.5, (0.0, 1.0)), "irwin_hall": (F.col("irwin_hall"), 1.5, 0.5, (0.0, 3.0))}
+    parts = []
+    for name, (x, mean, sd, bounds) in names.items():
+        error = 6 * sd / F.sqrt(F.count("*"))
+        inside = F.lit(True) if bounds is None else F.every((F.col(name) >= bounds[0]) & (F.col(name) <= bounds[1]))
+        parts.append(F.struct(F.lit(name).alias("name"), (F.abs(F.avg(x) - mean) < error).alias("mean_ok"),
+                              (F.abs(F.stddev(x) - sd) < error * 2).alias("spread_ok"), inside.alias("range_ok")))
+    return d.agg(F.array(*parts).alias("c")).select(F.inline("c"))
+
+
 # ---- scales --------------------------------------------------------------------
 
 @query("piecewise_scale", """
@@ -453,7 +473,7 @@ def q_union_all(spark, sf_dir):
     return c.unionByName(s)
 
 
-@query("shuffle_rows")
+@query("shuffle_rows", "SELECT o_orderkey FROM orders")
 def q_shuffle_rows(spark, sf_dir):
     """A random permutation (range-partitioned sort on a seeded key)."""
     return _t(spark, sf_dir, "orders").select("o_orderkey").orderBy(F.rand(42))

@@ -443,7 +443,14 @@ def q_stack_inside_out(spark, sf_dir):
         .select("x", "name", "series", rb("y"), rb("y0"))
 
 
-@query("nest_entries")
+@query("nest_entries", """
+SELECT l_returnflag, CAST(row_number() OVER (PARTITION BY l_returnflag ORDER BY l_linestatus) - 1 AS INTEGER) AS pos,
+       l_linestatus, round(sum(l_quantity), 2) AS total
+FROM lineitem GROUP BY l_returnflag, l_linestatus
+""")
 def q_nest_entries(spark, sf_dir):
-    """G15 nested form: per return flag, a map line status -> summed quantity."""
-    return ST.nest_entries(_t(spark, sf_dir, "lineitem"), "l_returnflag", "l_linestatus", "l_quantity")
+    """G15 nested form: per return flag, a map line status -> summed quantity,
+    shown as its entries in order."""
+    nested = ST.nest_entries(_t(spark, sf_dir, "lineitem"), "l_returnflag", "l_linestatus", "l_quantity")
+    return nested.select("l_returnflag", F.posexplode(F.map_entries("values")).alias("pos", "e")).select(
+        "l_returnflag", "pos", F.col("e.key").alias("l_linestatus"), F.round("e.value", 2).alias("total"))

@@ -16,11 +16,9 @@ def write_aligned(aligned: DataFrame, path: str, fmt: str = "parquet") -> None:
     """K1: one folder per server and day (``partitionBy``), replacing only the
     partitions written (dynamic overwrite). Empty server-days write nothing
     (K2). ``fmt='csv'`` writes the six headerless columns of the original."""
-    spark = aligned.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     cols = ["time", "filewrites", "filereads", "CPU", "diskIOBW", "net_bytes"]
     out = aligned.select(*cols, "server", "day").repartition("server", "day")
-    w = out.write.mode("overwrite").partitionBy("server", "day")
+    w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("server", "day")
     if fmt == "csv":
         w.option("header", False).csv(path)
     else:
