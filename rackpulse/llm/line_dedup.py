@@ -240,14 +240,16 @@ def delete(index: LineIndex, doc_ids: DataFrame, doc_col: str = "doc_id") -> Lin
     return moved
 
 
-def dropped_keys(index: LineIndex, piece_rows: int = 500_000) -> DataFrame:
+def dropped_keys(index: LineIndex, least_rows: int = 1000) -> DataFrame:
     """(doc, keys): the keys whose lines a document loses.
 
-    Each shard's postings meet the shard's filter in pieces of about
-    ``piece_rows`` (a shard with a very common line has more pieces, spread by
-    document); only hits go on to the exact counts.
+    Each shard's postings meet the shard's filter in pieces of about the mean
+    shard's size (``least_rows`` at least): a shard with a very common line has
+    as many more pieces, spread by document. Only hits go on to the exact counts.
     """
-    pieces = (index.postings.groupBy("shard").agg(F.expr(f"1 + count(*) div {piece_rows}").alias("pieces"))
+    sizes = index.postings.groupBy("shard").agg(F.count("*").alias("n"))
+    mean = sizes.agg(F.avg("n").alias("mean")).select("mean").scalar()
+    pieces = (sizes.select("shard", F.ceil(F.col("n") / F.greatest(mean, F.lit(float(least_rows)))).alias("pieces"))
               .join(index.filters, "shard"))
     filters = pieces.select(F.col("shard").alias("of"), F.explode(F.expr("sequence(0L, pieces - 1)")).alias("part"), "filter")
     counted = F.broadcast(pieces.select("shard", "pieces"))  # as many short rows as there are shards, a parameter
