@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .series import DEFAULT_CHUNK_SECONDS, asof_next, forward_fill, ordered_index
@@ -110,6 +110,20 @@ def bucket_mean(grid: DataFrame, samples: DataFrame, keys: Sequence[str], half_w
                     F.col("_xepoch").isNotNull().alias(out + "_ok")))
 
 
+PARTS = 16  # tasks that share a day's site-wide rows
+
+
+def _spread(site_rows: DataFrame, number: Column) -> DataFrame:
+    """A day's site-wide rows dealt to ``PARTS`` parts, so that no task fans out
+    a whole day to all servers."""
+    return site_rows.withColumn("_part", F.pmod(number, F.lit(PARTS)).cast("int"))
+
+
+def _copied(server_days: DataFrame) -> DataFrame:
+    """The (short) rows per server and day, once for each part."""
+    return server_days.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+
+
 def aligned_metrics(samples: DataFrame, half_window: int = 30,
                     chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
     """J6 (flagship): the five aligned metrics per server, day and grid row.
@@ -142,17 +156,17 @@ def aligned_metrics(samples: DataFrame, half_window: int = 30,
                       F.max(F.when(metric == "filereads", F.col("value"))).alias("filereads"))
                  .where(F.col("time").isNotNull() & F.col("filereads").isNotNull()))
     # truncation to the shortest series (J2); server-days lacking a series drop out
-    site_n = samples.groupBy("day").agg(
-        F.count_if(site & (metric == "filewrites")).alias("n_filewrites"),
-        F.count_if(site & (metric == "filereads")).alias("n_filereads"))
-    srv_n = samples.groupBy("server", "day").agg(
+    # all five counts come from one aggregate; a day's site-wide counts (null
+    # server) reach its servers over the few rows of the day
+    counts = samples.groupBy("server", "day").agg(
+        *[F.count_if(site & (metric == m)).alias("n_" + m) for m in ("filewrites", "filereads")],
         *[F.count_if(~site & (metric == m)).alias("n_" + m) for m in ("CPU", "diskIOBW", "net_bytes")])
-    limits = (srv_n.join(site_n, "day")
-              .select("server", "day", F.least("n_CPU", "n_diskIOBW", "n_net_bytes", "n_filewrites",
-                                               "n_filereads").alias("keylimit"))
-              .where(F.col("keylimit") > 0))
+    of_day = Window.partitionBy("day")
+    limits = (counts.select("server", "day", F.least("n_CPU", "n_diskIOBW", "n_net_bytes", F.sum("n_filewrites").over(of_day),
+                                                     F.sum("n_filereads").over(of_day)).alias("keylimit"))
+              .where(F.col("server").isNotNull() & (F.col("keylimit") > 0)))
     # fan the site-wide grid out to the servers that have data that day
-    grid = (grid_site.join(limits, "day")
+    grid = (_spread(grid_site, F.col("rn")).join(_copied(limits), ["day", "_part"])
             .where(F.col("rn") <= F.col("keylimit"))
             .select("server", "day", "rn", "time", "filewrites", "filereads"))
 
@@ -171,8 +185,7 @@ def aligned_metrics(samples: DataFrame, half_window: int = 30,
         F.lit(None).cast("double").alias("value"),
         none_s.alias("cpu"), none_s.alias("disk"), none_s.alias("net"),
         F.when(F.col("_r.role") == "cut", F.col("rn")).alias("cut_rn"))
-    # site-wide samples ride along under a null server and never meet a lookup
-    samp = samples.select(
+    samp = samples.where(~site).select(
         "server", "day", F.lit("sample").alias("role"), F.col("epoch").alias("t"), F.lit(1).alias("tie"),
         F.lit(None).cast("int").alias("rn"), F.lit(None).cast("long").alias("time"),
         F.lit(None).cast("double").alias("filewrites"), F.lit(None).cast("double").alias("filereads"),
@@ -225,7 +238,7 @@ def server_fanout(samples: DataFrame) -> DataFrame:
     An equi-join on ``day`` with the distinct server-days (no cross join)."""
     sd = samples.where(F.col("server").isNotNull()).select("server", "day").distinct()
     site = samples.where(F.col("server").isNull()).drop("server")
-    return site.join(sd, "day")
+    return _spread(site, F.col("epoch")).join(_copied(sd), ["day", "_part"]).drop("_part")
 
 
 def empty_groups(samples: DataFrame) -> DataFrame:
