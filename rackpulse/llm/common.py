@@ -60,6 +60,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordB
         held += size
     if start < batch.num_rows:
         yield batch.slice(start)
+    pa.default_memory_pool().release_unused()
 
 
 def task_number() -> int:
