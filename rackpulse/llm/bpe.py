@@ -41,6 +41,7 @@ from pyspark.sql import types as S
 from .common import pick, slices
 
 NONE = np.int32(np.iinfo(np.int32).max)
+BATCH = 1 << 20  # bytes of text encoded at once
 
 
 def byte_letters() -> dict[str, int]:
@@ -62,7 +63,7 @@ def gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, chosen: np
 class ByteBPE:
     """Encoder and decoder of one vocabulary."""
 
-    def __init__(self, path: str, pattern: str, keep: int = 400_000) -> None:
+    def __init__(self, path: str, pattern: str, keep: int = 200_000) -> None:
         """``keep``: words remembered with their ids between batches."""
         self.keep = keep
         self._forget()
@@ -208,7 +209,7 @@ def _mapped(df: DataFrame, column: str, out: str, kind: S.DataType, change: Call
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pieces = slices(batch, f"c{at}", 4 << 20) if pa.types.is_string(batch.column(at).type) else [batch]
+            pieces = slices(batch, f"c{at}", BATCH) if pa.types.is_string(batch.column(at).type) else [batch]
             for part in pieces:
                 yield pa.RecordBatch.from_arrays([*part.columns, change(part.column(at))], names=[*part.schema.names, "made"])
 
@@ -245,7 +246,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, doc_col: str = "doc_id"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, digest = vocabulary(path, pattern), lambda x: hashlib.sha256(x).hexdigest()
         for batch in batches:
-            for part in slices(batch, "text", 4 << 20):
+            for part in slices(batch, "text", BATCH):
                 ids, ends = bpe.encode(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": part.column(0), "n_tokens": pa.array(np.diff(ends, prepend=0), pa.int64()),
