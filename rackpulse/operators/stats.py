@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 
 def basic_stats(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     """Extent, sum (0 when empty; NaN skipped), mean, count."""
@@ -30,14 +32,25 @@ def _quantile_pass(df, group, value, bounds):
     """Values at 0-based ranks ``_lo`` and ``_hi`` per (group, p), ranking only
     the distinct values inside [L, U]. ``bounds`` has group, pi, L, U, _lo, _hi.
 
-    One aggregate counts, per (group, p), every distinct value inside the
-    bracket and (under a null key) every value below it; a window ordered
-    nulls-first over that short list gives cumulative ranks."""
-    j = (df.select(*group, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-         .join(bounds.select(*group, "pi", "L", "U"), group)
-         .where(F.col("_v") <= F.col("U"))
-         .select(*group, "pi", F.when(F.col("_v") >= F.col("L"), F.col("_v")).alias("_kv")))
-    c = j.groupBy(*group, "pi", "_kv").agg(F.count(F.lit(1)).alias("_c"))
+    A row meets its group's brackets as one array. It is counted once by how
+    many lower ends it reaches (which tells, for every p, the rows below the
+    bracket) and once more, by its value, for each bracket it lies in: few rows
+    do. A window over that short list gives cumulative ranks."""
+    arrays = bounds.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("pi", "L", "U"))).alias("_b"))
+    j = df.select(*group, F.col(value).alias("_v")).where(F.col("_v").isNotNull()).join(arrays, group)
+    reached = F.size(F.filter("_b", lambda x: x["L"] <= F.col("_v")))
+    hits = F.transform(F.filter("_b", lambda x: (x["L"] <= F.col("_v")) & (x["U"] >= F.col("_v"))),
+                       lambda x: F.struct(x["pi"].alias("pi"), F.col("_v").alias("_kv")))
+    none = F.lit(None).cast(df.schema[value].dataType)
+    e = j.select(*group, F.explode(F.concat(F.array(F.struct((-1 - reached).alias("pi"), none.alias("_kv"))), hits)).alias("_e"))
+    counts = stage(e.groupBy(*group, "_e.pi", "_e._kv").agg(F.count(F.lit(1)).alias("_c")), "quantile_counts")
+    # rank of a bracket's lower end among its group's: rows that reach fewer lie below
+    ends = bounds.select(*group, "pi", F.rank().over(Window.partitionBy(*group).orderBy("L")).alias("_first"))
+    under = counts.where("pi < 0").select(*group, (-1 - F.col("pi")).alias("_reached"), "_c")
+    below = (ends.join(under, group).where(F.col("_reached") < F.col("_first"))
+             .groupBy(*group, "pi").agg(F.sum("_c").alias("_c")))
+    c = (counts.where("pi >= 0").select(*group, "pi", "_kv", "_c")
+         .unionByName(below.select(*group, "pi", none.alias("_kv"), "_c")))
     w = (Window.partitionBy(*group, "pi").orderBy(F.col("_kv").asc_nulls_first())
          .rowsBetween(Window.unboundedPreceding, 0))
     r = (c.withColumn("_cum", F.sum("_c").over(w))
@@ -58,8 +71,6 @@ def exact_quantiles(df: DataFrame, group: Sequence[str], value: str, probs: Sequ
     Two passes over the input: one aggregate (count, approximate bracket),
     one counting pass. The per-(group, p) tables between them are small and
     are written once (``stage``) so that no branch recomputes the input."""
-    from ..session import stage
-
     group = list(group)
     eps = 3.0 / accuracy
     lows = [max(0.0, p - eps) for p in probs]
@@ -195,20 +206,22 @@ def flow_matrix(flows: DataFrame, src: str, dst: str, value: str) -> DataFrame:
 
 def grid_occupancy(df: DataFrame, x: str, y: str, levels: int = 4) -> DataFrame:
     """Point counts per cell of a 2^L x 2^L grid over the extent, for
-    L = 0..levels (quadtree occupancy by level)."""
+    L = 0..levels (quadtree occupancy by level). The points are counted once, at
+    the finest level; a coarser cell is the sum of the four within it."""
     st = df.agg(F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1"))
     one = st.select(F.struct("x0", "x1", "y0", "y1").alias("s")).select("s").scalar()
-    lv = F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("level")
-    d = df.select(F.col(x).alias("_x"), F.col(y).alias("_y"), one.alias("_st")).select("_x", "_y", "_st", lv)
+    d = df.select(F.col(x).alias("_x"), F.col(y).alias("_y"), one.alias("_st"))
     x0, x1, y0, y1 = (F.col("_st." + c) for c in ("x0", "x1", "y0", "y1"))
-    side = F.pow(F.lit(2.0), F.col("level"))
+    side = float(1 << levels)
 
     def cell(c, lo, hi):
-        raw = F.floor((c - lo) / ((hi - lo) / side))
-        return F.when(hi == lo, 0).otherwise(F.least(side - 1, F.greatest(F.lit(0), raw))).cast("long")
+        raw = F.floor(F.try_divide(c - lo, (hi - lo) / side))
+        return F.when(hi == lo, 0).otherwise(F.least(F.lit(side) - 1, F.greatest(F.lit(0), raw))).cast("long")
 
-    return (d.select("level", cell(F.col("_x"), x0, x1).alias("cx"), cell(F.col("_y"), y0, y1).alias("cy"))
-            .groupBy("level", "cx", "cy").agg(F.count(F.lit(1)).alias("n")))
+    finest = d.groupBy(cell(F.col("_x"), x0, x1).alias("_cx"), cell(F.col("_y"), y0, y1).alias("_cy")).agg(F.count(F.lit(1)).alias("_n"))
+    return (finest.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(levels))))
+            .groupBy("level", F.expr(f"shiftright(_cx, {levels} - level)").alias("cx"), F.expr(f"shiftright(_cy, {levels} - level)").alias("cy"))
+            .agg(F.sum("_n").alias("n")))
 
 
 def polygon_measures(vertices: DataFrame, poly: str, order: str | Sequence[str], x: str, y: str) -> DataFrame:
@@ -235,24 +248,35 @@ def polygon_measures(vertices: DataFrame, poly: str, order: str | Sequence[str],
 # ---- G19: convex hull per group (two phases) --------------------------------
 
 def _hull(xy: np.ndarray) -> np.ndarray:
-    """Andrew's monotone chain; returns counter-clockwise hull vertices
-    (fewer than 3 distinct points -> empty)."""
+    """Counter-clockwise hull vertices, from the lowest x on (fewer than 3
+    distinct points, or all on a line: empty). Points inside the hull of the
+    extremes in eight directions are set aside first, all at once."""
     pts = np.unique(xy, axis=0)
     if len(pts) < 3:
         return np.zeros((0, 2))
-    pts = pts[np.lexsort((pts[:, 1], pts[:, 0]))]
-
-    def half(points):
-        out = []
-        for p in points:
-            while len(out) >= 2 and np.cross(out[-1] - out[-2], p - out[-2]) <= 0:
+    angles = np.arange(8) * (np.pi / 4)
+    rim = np.unique(np.argmax(pts @ np.stack([np.cos(angles), np.sin(angles)]), axis=0))
+    if len(rim) >= 3 and len(pts) > 64:
+        middle = pts[rim].mean(0)
+        ring = pts[rim][np.argsort(np.arctan2(*(pts[rim] - middle).T[::-1]))]
+        after = np.roll(ring, -1, axis=0) - ring
+        inside = np.ones(len(pts), bool)
+        for (px, py), (dx, dy) in zip(ring, after):
+            inside &= dx * (pts[:, 1] - py) - dy * (pts[:, 0] - px) > 1e-9 * max(1.0, abs(dx), abs(dy))
+        inside[rim] = False
+        pts = pts[~inside]
+
+    def chain(points: list) -> list:
+        out: list = []
+        for x, y in points:
+            while len(out) > 1 and (out[-1][0] - out[-2][0]) * (y - out[-2][1]) <= (out[-1][1] - out[-2][1]) * (x - out[-2][0]):
                 out.pop()
-            out.append(p)
-        return out
+            out.append((x, y))
+        return out[:-1]
 
-    lower, upper = half(pts), half(pts[::-1])
-    h = np.array(lower[:-1] + upper[:-1])
-    return h if len(h) >= 3 else np.zeros((0, 2))
+    ordered = pts.tolist()  # sorted by x, then y
+    ring = np.array(chain(ordered) + chain(ordered[::-1]))
+    return ring if len(ring) >= 3 else np.zeros((0, 2))
 
 
 def convex_hulls(df: DataFrame, group: str, x: str, y: str) -> DataFrame:
@@ -263,15 +287,16 @@ def convex_hulls(df: DataFrame, group: str, x: str, y: str) -> DataFrame:
     local_schema = f"`{group}` {gtype}, x double, y double"
 
     def local(batches):
-        parts = [b[[group, x, y]] for b in batches]
-        if not parts:
-            return
-        pdf = pd.concat(parts)
-        for g, sub in pdf.groupby(group, sort=False):
-            xy = sub[[x, y]].to_numpy(dtype=float)
-            h = _hull(xy)
-            keep = h if len(h) else np.unique(xy, axis=0)
-            yield pd.DataFrame({group: g, "x": keep[:, 0], "y": keep[:, 1]})
+        held: dict = {}  # each group's hull so far
+        for batch in batches:
+            for g, sub in batch[[group, x, y]].groupby(group, sort=False, dropna=False):
+                g = None if pd.isna(g) else g
+                xy = sub[[x, y]].to_numpy(dtype=float)
+                xy = np.vstack([held[g], xy]) if g in held else xy
+                h = _hull(xy)
+                held[g] = h if len(h) else np.unique(xy, axis=0)[[0, -1]] if len(xy) > 1 else xy  # on a line: its ends
+        for g, keep in held.items():
+            yield pd.DataFrame({group: [g] * len(keep), "x": keep[:, 0], "y": keep[:, 1]})
 
     survivors = df.select(group, F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y)) \
         .where(F.col(x).isNotNull() & F.col(y).isNotNull()).mapInPandas(local, local_schema)
