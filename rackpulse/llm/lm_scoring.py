@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 
 from .common import pick, slices, stage, task_number
 
-CHUNK = "chunk long, part int, docs array<long>, folds binary, ends binary, tokens binary, words binary"
+CHUNK = "chunk long, part int, docs binary, missing binary, folds binary, ends binary, tokens binary, words binary"
 ASK = "bucket int, chunk long, part int, n int, grams int, keys binary, counts binary"
 ANSWER = "chunk long, bucket int, grams int, main binary, held binary, types long, main_types long"
 END, START = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
@@ -98,7 +98,8 @@ def _chunk(own: pa.RecordBatch, number: int, part: int) -> dict:
     tokens = np.full(int(ends[-1]), len(words), np.uint32)
     tokens[np.delete(np.arange(len(tokens)), ends - 1)] = np.asarray(coded.indices, np.uint32)
     return {"chunk": pa.array([number], pa.int64()), "part": pa.array([part], pa.int32()),
-            "docs": pa.array([own.column(0).to_pylist()], pa.list_(pa.int64())),
+            "docs": [np.asarray(pc.fill_null(own.column(0), 0), np.int64).tobytes()],
+            "missing": [np.asarray(pc.is_null(own.column(0)), bool).tobytes()],
             "folds": [np.asarray(own.column(1), np.int8).tobytes()], "ends": [ends.astype(np.int64).tobytes()],
             "tokens": [squeezed(tokens)], "words": [np.r_[np.array(words, np.uint64), END].tobytes()]}
 
@@ -302,10 +303,10 @@ def score(docs: DataFrame, chunk_bytes: int = 8 << 20, range_tokens: int = 2_000
                 chance = np.ones(len(word))
             base = np.log10((word + 0.1) / (n_train + 0.1 * (v + 1)))
             sums = lambda x: np.add.reduceat(x, grams.begins)  # noqa: B023, E731
-            out.append(pd.DataFrame({"doc_id": pd.array(row.docs, "Int64"), "held_out": grams.folds == 0, "n_tokens": np.diff(grams.ends, prepend=0),
+            out.append(pd.DataFrame({"doc_id": pd.arrays.IntegerArray(np.frombuffer(row.docs, np.int64).copy(), np.frombuffer(row.missing, bool).copy()), "held_out": grams.folds == 0, "n_tokens": np.diff(grams.ends, prepend=0),
                                      "n_known": sums((word > 0).astype(np.int64)), "train_tokens": n_train, "base_score": sums(base), "score": sums(np.log10(chance))}))
         return pd.concat(out)
 
     told = answers.where("chunk >= 0").select(F.col("chunk").alias("of"), "bucket", "grams", "main", "held")
-    return (table.select("chunk", "docs", "folds", "ends", "tokens", "words").groupBy("chunk").cogroup(told.groupBy("of"))
+    return (table.select("chunk", "docs", "missing", "folds", "ends", "tokens", "words").groupBy("chunk").cogroup(told.groupBy("of"))
             .applyInPandas(rate, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
