@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import tables as T
 from ..operators import view as V
-from .q_cluster import FEATS, GROUP, ITERATIONS, POINTS_CTE, _fitted, _points, lloyd_sql, r6cols
+from .q_cluster import GROUP, ITERATIONS, POINTS_CTE, _fitted, _points, lloyd_sql, r6cols
 from .registry import query
 
 X, Y = "filereads", "filewrites"   # the default view
