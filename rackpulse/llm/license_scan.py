@@ -152,14 +152,15 @@ def fit(lines: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, sam
             .withColumn("y", F.coalesce((F.col("family") == F.col("of")).cast("double"), F.lit(0.0)))
             .withColumn("v", F.when(F.col("y") == 1, F.coalesce(*[F.when(F.col("of") == f, 0.5 * total / n[f]) for f in families]))
                         .otherwise(F.coalesce(*[F.when(F.col("of") == f, 0.5 * total / max(1, total - n[f])) for f in families]))))
-    flat = stage(each.select("id", "of", "y", "v", F.size("grams").alias("size"), F.explode("grams").alias("gram")), "license-cells")
-    weights = stage(flat.groupBy("of", "gram").agg((0.25 * F.sum(F.col("v") * F.col("size")) + ridge * total / 100).alias("bend")).withColumn("w", F.lit(0.0)), "license-weights")
+    flat = stage(each.select("id", "of", "y", "v", F.size("grams").alias("size"), F.explode("grams").alias("gram")), "license-cells").coalesce(1)
+    # examples, families and vocabulary are all bounded: the steps run in one partition, without shuffles
+    weights = stage(flat.groupBy("of", "gram").agg((0.25 * F.sum(F.col("v") * F.col("size")) + ridge * total / 100).alias("bend")).withColumn("w", F.lit(0.0)), "license-weights").coalesce(1)
     for _ in range(steps):
         margins = flat.join(F.broadcast(weights.select("of", "gram", "w")), ["of", "gram"]).groupBy("id", "of").agg(F.sum("w").alias("m"))  # families by vocabulary, bounded
         wrong = margins.withColumn("p", 1 / (1 + F.exp(-F.col("m")))).drop("m")
         slopes = (flat.join(wrong, ["id", "of"]).groupBy("of", "gram").agg(F.sum(F.col("v") * (F.col("p") - F.col("y"))).alias("slope")))
         weights = stage(weights.join(slopes, ["of", "gram"]).select(
-            "of", "gram", "bend", (F.col("w") - (F.col("slope") + ridge * total / 100 * F.col("w")) / F.col("bend")).alias("w")), "license-weights")
+            "of", "gram", "bend", (F.col("w") - (F.col("slope") + ridge * total / 100 * F.col("w")) / F.col("bend")).alias("w")), "license-weights").coalesce(1)
     found = {f: {} for f in families}
     for r in weights.collect():  # families by vocabulary
         found[r.of][r.gram] = r.w
