@@ -1,7 +1,7 @@
 """Scale functions as Column expressions.
 
-Each returns a Column, so scales compose inside one projection and run in
-whole-stage code generation.
+Each returns a Column, so scales compose inside one projection; lists of
+thresholds become sums of comparisons, which code generation compiles.
 """
 
 from __future__ import annotations
@@ -33,8 +33,7 @@ def invert(y: Column, d0, d1, r0: float, r1: float) -> Column:
 def piecewise(x: Column, domain: Sequence[float], rng: Sequence[float], clamp: bool = False) -> Column:
     """Multi-segment linear scale; the segment is chosen by the inner
     domain points (bisect right), then mapped linearly."""
-    inner = F.array(*[F.lit(float(d)) for d in domain[1:-1]])
-    seg = F.least(F.lit(len(domain) - 2), F.size(F.filter(inner, lambda t: t <= x)))
+    seg = F.least(F.lit(len(domain) - 2), threshold(x, domain[1:-1]))
     out = None
     for i in range(len(domain) - 1):
         piece = linear(x, float(domain[i]), float(domain[i + 1]), rng[i], rng[i + 1], clamp=False)
@@ -61,8 +60,7 @@ def pow_scale(x: Column, d0, d1, r0: float, r1: float, exponent: float = 0.5) ->
 
 def threshold(x: Column, thresholds: Sequence[float]) -> Column:
     """bucket = number of thresholds <= x."""
-    arr = F.array(*[F.lit(float(t)) for t in thresholds])
-    return F.size(F.filter(arr, lambda t: t <= x))
+    return sum((F.when(x >= float(t), 1).otherwise(0) for t in thresholds), F.lit(0))
 
 
 def bucket_bounds(bucket: Column, thresholds: Sequence[float]) -> tuple[Column, Column]:

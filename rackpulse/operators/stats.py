@@ -116,11 +116,6 @@ def quantile_thresholds(df: DataFrame, group: Sequence[str], value: str, q: int,
         .select(*group, F.transform("_t", lambda s: s["quantile"]).alias("thresholds"))
 
 
-def threshold_index(x: Column, thresholds: Column) -> Column:
-    """Number of thresholds <= x (a value equal to a threshold goes up)."""
-    return F.size(F.filter(thresholds, lambda t: t <= x))
-
-
 def bisect_left(x: Column, sorted_list: Column) -> Column:
     """Insertion point before equal elements."""
     return F.size(F.filter(sorted_list, lambda t: t < x))
@@ -131,6 +126,10 @@ def bisect_right(x: Column, sorted_list: Column) -> Column:
     return F.size(F.filter(sorted_list, lambda t: t <= x))
 
 
+#: Number of thresholds <= x (a value equal to a threshold goes up).
+threshold_index = bisect_right
+
+
 def histogram(df: DataFrame, value: str, bins: int | None = None) -> DataFrame:
     """Equal-width histogram over the extent. Sturges' rule
     ``ceil(log2 n + 1)`` bins by default; thresholds ``lo + i * dx`` are

@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scales import linear
 from .cluster import nearest_center
 
 # The view's dimension list (dropdown order) and canvas size.
@@ -24,9 +25,11 @@ WIDTH, HEIGHT = 600, 450
 PALETTE_SIZE = 20
 
 
-def dim_pairs(points: DataFrame, ids: Sequence[str], dims: Sequence[str] = DIMENSIONS) -> DataFrame:
-    """Every ordered (x, y) pair of distinct dimensions for every point."""
-    pairs = [(x, y) for x in dims for y in dims if x != y]
+def dim_pairs(points: DataFrame, ids: Sequence[str], dims: Sequence[str] = DIMENSIONS,
+              pairs: Sequence[tuple[str, str]] | None = None) -> DataFrame:
+    """The chosen (x, y) pairs of dimensions for every point; by default
+    every ordered pair of distinct ones."""
+    pairs = pairs or [(x, y) for x in dims for y in dims if x != y]
     arr = F.array(*[F.struct(F.lit(x).alias("xdim"), F.lit(y).alias("ydim"),
                              F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
                     for x, y in pairs])
@@ -49,18 +52,6 @@ def dim_extent(points: DataFrame, group: Sequence[str], dims: Sequence[str] = DI
     return wide.select(*group, F.explode(arr).alias("_e")).select(*group, "_e.*")
 
 
-def linear(x: Column, lo: Column, hi: Column, r0: float, r1: float) -> Column:
-    """P10: map [lo, hi] to [r0, r1]; a zero-width domain maps to r0."""
-    span = hi - lo
-    return F.when(span == 0, F.lit(float(r0))).otherwise(
-        F.lit(float(r0)) + (x - lo) / span * F.lit(float(r1 - r0)))
-
-
-def linear_invert(y: Column, lo: Column, hi: Column, r0: float, r1: float) -> Column:
-    """Inverse of ``linear``."""
-    return lo + (y - F.lit(float(r0))) / F.lit(float(r1 - r0)) * (hi - lo)
-
-
 def scale_view(points: DataFrame, group: Sequence[str], xdim: str, ydim: str,
                width: int = WIDTH, height: int = HEIGHT) -> DataFrame:
     """P10 for a view: pixel x in [0, width], y flipped to [height, 0], with
@@ -115,6 +106,7 @@ def ordinal_codes(df: DataFrame, value: str, order: str, palette: int = PALETTE_
 
 def tick_step(lo: Column, hi: Column, m: int = 10) -> Column:
     """Tick step 1, 2 or 5 x 10^k giving about ``m`` ticks over [lo, hi]."""
+    # The errors 0.15, 0.35 and 0.75 up to which a step is taken tenfold, fivefold or twice.
     span = hi - lo
     step = F.pow(F.lit(10.0), F.floor(F.log10(span / F.lit(m))))
     err = F.lit(m) / span * step
