@@ -1,22 +1,30 @@
 """License scans: a trained paragraph classifier confirmed by templates.
 
-A paragraph is a line of a text. Its features are the different word unigrams
+A paragraph is a line of a text; a block is a run of lines up to a blank one,
+within which a notice may be hard-wrapped. A paragraph's features are the different word unigrams
 and bigrams it shares with the licence templates (a bounded vocabulary). One
 logistic regression per licence family is trained by full-batch descent steps
 (each bounded by a diagonal majorant of the curvature, so the loss never
 grows), on
 
-* each template, whole, in part (runs of ``part`` of its words) and amid words
-  of ordinary paragraphs, and
+* each template, whole, in part (runs of ``part`` of its words, and of ``row``
+  words as a wrapped line has them) and amid words of ordinary paragraphs, and
 * a bounded sample of ``sample`` corpus paragraphs as the unknown class
-  (in the order of a hash of their text, without those that hold a template).
+  (in the order of a hash of their text, without those that hold a template
+  or of which half is from one).
 
 The unknown class is calibrated: a paragraph is unknown unless its best family's
 probability reaches the threshold half way between what nearly all unknown
 sample paragraphs stay under and what nearly all template paragraphs reach.
 What reaches it is confirmed if it holds 0.8 of the five-word shingles of one
-of the family's templates (all its words, if it has fewer); the rest is
-reported as unconfirmed.
+of the family's templates (all its words, if it has fewer), or if its block
+does: its lines, ``SIDE`` to either side at least, read as one text. The rest
+is reported as unconfirmed. As a line of a wrapped notice shows but a part of
+it, a line that reaches what nearly all template paragraphs reach is compared
+too, and counts if confirmed.
+
+``n_license`` counts paragraphs that hold a notice alone, and besides them,
+once a block and family, notices that run over lines.
 
 Training and scoring are DataFrame operations only. Scoring is one pass without
 a shuffle of texts: only lines with a prediction are grouped afterwards.
@@ -58,6 +66,7 @@ TEMPLATES = {
     "mpl-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
 }
 SHINGLE, ALIKE = 5, 0.8
+LINES, SIDE = 32, 40  # lines that share one surrounding text, and how many more it has to either side
 
 
 @dataclass
@@ -68,6 +77,7 @@ class Model:
     weights: dict[str, list[float]]
     bias: list[float]
     threshold: float
+    faint: float = 0.0  # from here on a paragraph is compared with templates
 
 
 def normal(text: Column) -> Column:
@@ -116,35 +126,53 @@ def likeness(normalised: Column, template: str) -> Column:
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """(doc, digest, pos, line, norm) of the lines of documents (doc, digest, text)."""
-    lines = docs.select("doc", "digest", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    return lines.withColumn("norm", normal(F.col("line")))
+    """(doc, digest, block, pos, around, line, norm) of the lines of documents (doc, digest, text).
+
+    ``around``: the line amid its block, of which a long one is read in parts
+    that overlap by ``SIDE`` lines, so that rows stay bounded.
+    """
+    blocks = docs.select("doc", "digest", F.posexplode(F.split("text", r"\n\s*\n", -1)).alias("block", "own"))
+    blocks = blocks.select("doc", "digest", "block", F.split("own", "\n", -1).alias("lines"))
+    parts = blocks.withColumn("at", F.explode(F.expr(f"sequence(0, size(lines) - 1, {LINES})")))
+    parts = parts.select("doc", "digest", "block", "at", F.expr(f"slice(lines, at + 1, {LINES})").alias("own"),
+                         F.expr(f"array_join(slice(lines, greatest(at - {SIDE}, 0) + 1, {LINES + 2 * SIDE}), ' ')").alias("around"))
+    lines = parts.select("doc", "digest", "block", "at", "around", F.posexplode("own").alias("n", "line"))
+    return lines.select("doc", "digest", "block", (F.col("at") + F.col("n")).alias("pos"), "around", "line", normal(F.col("line")).alias("norm"))
+
 
+def _borrowed(own: Column, templates: dict[str, tuple[str, ...]]) -> Column:
+    """Share of the five-word shingles of an array of words that are in a template (all its words, if it has fewer)."""
+    known = [" " + " ".join(_plain(t)) + " " for texts in templates.values() for t in texts]
+    shingles = F.transform(F.sequence(F.lit(1), F.greatest(F.size(own) - SHINGLE + 1, F.lit(1))), lambda i: F.concat(F.lit(" "), F.array_join(F.slice(own, i, SHINGLE), " "), F.lit(" ")))
+    return F.size(F.filter(shingles, lambda s: F.exists(F.array(*map(F.lit, known)), lambda t: t.contains(s)))) / F.size(shingles)
 
-def _examples(lines: DataFrame, templates: dict[str, tuple[str, ...]], sample: int, part: float) -> DataFrame:
+
+def _examples(lines: DataFrame, templates: dict[str, tuple[str, ...]], sample: int, part: float, row: int) -> DataFrame:
     """(id, family, weight, grams) of the training paragraphs; family null: unknown."""
     held = F.greatest(*[likeness(F.col("norm"), t) for own in templates.values() for t in own], F.lit(0.0))
     drawn = (lines.select("norm").where("norm <> '  '").withColumn("turn", F.xxhash64("norm")).orderBy("turn", "norm").limit(2 * sample)
-             .distinct().where(held < 0.5).orderBy("turn", "norm").limit(sample))
+             .distinct().where((held < 0.5) & (_borrowed(words(F.col("norm")), templates) < 0.5)).orderBy("turn", "norm").limit(sample))
     drawn = stage(drawn.select(words(F.col("norm")).alias("words"), F.row_number().over(Window.orderBy("turn", "norm")).alias("n")), "license-sample")
-    rows = [F.struct(F.lit(f).alias("family"), F.array(*map(F.lit, _plain(t))).alias("words")) for f, own in templates.items() for t in own]
-    whole = lines.sparkSession.range(1).select(F.explode(F.array(*rows)).alias("r")).select("r.family", "r.words")
+    given = [F.struct(F.lit(f).alias("family"), F.array(*map(F.lit, _plain(t))).alias("words")) for f, own in templates.items() for t in own]
+    whole = lines.sparkSession.range(1).select(F.explode(F.array(*given)).alias("r")).select("r.family", "r.words")
     size = F.ceil(F.size("words") * part).cast("int")
     runs = (whole.withColumn("size", size).withColumn("at", F.explode(F.expr("sequence(1, size(words) - size + 1)")))
             .select("family", F.expr("slice(words, at, size)").alias("words")))
+    rows = (whole.where(F.size("words") > 2 * row).withColumn("at", F.explode(F.expr(f"sequence(1, size(words) - {row - 1}, {max(1, row // 2)})")))
+            .select("family", F.expr(f"slice(words, at, {row})").alias("words")))
     amid = (whole.withColumn("n", F.explode(F.array(*map(F.lit, range(1, 5)))))  # each template in four ordinary paragraphs
             .join(drawn.withColumnRenamed("words", "around"), "n")
             .select("family", F.concat(F.slice("around", 1, 8), "words", F.slice("around", -1, 1)).alias("words")))
-    marked = whole.unionByName(runs).unionByName(amid)
+    marked = whole.unionByName(runs).unionByName(rows).unionByName(amid)
     both = marked.withColumn("known", F.lit(True)).unionByName(drawn.select(F.lit(None).cast("string").alias("family"), "words", F.lit(False).alias("known")))
     return both.select(F.monotonically_increasing_id().alias("id"), "family", present(F.col("words"), _vocabulary(templates)).alias("grams"))
 
 
-def fit(lines: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, sample: int = 2000, part: float = 0.7,
+def fit(lines: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, sample: int = 2000, part: float = 0.7, row: int = 10,
         steps: int = 30, ridge: float = 0.02) -> Model:
     """Train on templates and a bounded sample of paragraphs (``norm``)."""
     families = list(templates)
-    table = stage(_examples(lines, templates, sample, part), "license-training").select("id", "family", F.concat("grams", F.array(F.lit(""))).alias("grams"))
+    table = stage(_examples(lines, templates, sample, part, row), "license-training").select("id", "family", F.concat("grams", F.array(F.lit(""))).alias("grams"))
     n = {r.family: r["count"] for r in table.groupBy("family").count().collect()}  # a row a family
     total = sum(n.values())
     # one row an example and family; positives weigh as much as all the others together
@@ -169,6 +197,7 @@ def fit(lines: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, sam
     cut = shown.agg(F.percentile(F.when(F.col("family").isNull(), F.col("best.p")), 0.999).alias("most"),
                     F.percentile(F.when(F.col("family").isNotNull(), F.col("best.p")), 0.05).alias("few")).first()
     own.threshold = ((cut.most or 0.0) + (cut.few or 1.0)) / 2
+    own.faint = min(own.threshold, cut.few or 1.0)
     return own
 
 
@@ -181,6 +210,35 @@ def _best(model: Model, present: Column) -> Column:
     return F.array_max(named)
 
 
+def confirmed(normalised: Column, families: Column, templates: dict[str, tuple[str, ...]]) -> Column:
+    """Those of an array of families of which the normalised text holds a template."""
+    known = F.array(*[F.struct(F.lit(f).alias("family"), F.array(*[F.lit(f" {s} ") for s in _shingles(t)]).alias("shingles"))
+                      for f, own in templates.items() for t in own])
+
+    def holds(t: Column) -> Column:
+        held = F.aggregate(t.shingles, F.lit(0), lambda n, s: n + normalised.contains(s).cast("int"))
+        return F.array_contains(families, t.family) & (held >= ALIKE * F.size(t.shingles))
+
+    return F.array_distinct(F.transform(F.filter(known, holds), lambda t: t.family))
+
+
+def _counted(checked: DataFrame) -> DataFrame:
+    """(of, like, n_license, n_unconfirmed, families, best), a row a document with predicted lines.
+
+    ``checked``: (doc, digest, block, pos, p, own, wide), the families a line
+    holds and those its block holds; repeated rows count once.
+    """
+    sure = F.size("own") > 0
+    blocks = checked.groupBy("doc", "digest", "block").agg(
+        F.size(F.collect_set(F.when(sure, F.col("pos")))).alias("alone"),
+        F.array_distinct(F.flatten(F.collect_set("own"))).alias("own"), F.array_distinct(F.flatten(F.collect_set("wide"))).alias("wide"),
+        F.size(F.array_except(F.collect_set("pos"), F.collect_set(F.when(sure | (F.size("wide") > 0), F.col("pos"))))).alias("open"), F.max("p").alias("p"))
+    return (blocks.groupBy("doc", "digest").agg(
+        F.sum(F.col("alone") + F.size(F.array_except("wide", "own"))).alias("n_license"), F.sum("open").alias("n_unconfirmed"),
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.array_union("own", "wide"))))), ",").alias("families"), F.max("p").alias("best"))
+        .select(F.col("doc").alias("of"), F.col("digest").alias("like"), "n_license", "n_unconfirmed", "families", "best"))
+
+
 def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, doc_col: str = "doc_id", text_col: str = "text", **training) -> DataFrame:
     """(doc_id, n_paragraphs, n_license, n_unconfirmed, families, best), one row per row of ``docs``.
 
@@ -193,13 +251,10 @@ def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, doc
     model = fit(lines, templates, **training)
     held = present(words(F.col("norm")), list(model.weights))
     judged = (lines.withColumn("present", once(held)).where("size(present) > 0")
-              .withColumn("best", once(_best(model, F.col("present")))).where(F.col("best.p") >= model.threshold)
-              .dropDuplicates(["doc", "digest", "pos"]))
-    alike = F.coalesce(*[F.when(F.col("best.family") == f, F.greatest(*[likeness(F.col("norm"), t) for t in own], F.lit(0.0))) for f, own in templates.items()])
-    told = (judged.select("doc", "digest", "best", (alike >= ALIKE).alias("sure")).groupBy("doc", "digest").agg(
-        F.sum(F.col("sure").cast("long")).alias("n_license"), F.sum((~F.col("sure")).cast("long")).alias("n_unconfirmed"),
-        F.array_join(F.array_sort(F.collect_set(F.when(F.col("sure"), F.col("best.family")))), ",").alias("families"), F.max("best.p").alias("best"))
-        .select(F.col("doc").alias("of"), F.col("digest").alias("like"), "n_license", "n_unconfirmed", "families", "best"))
+              .withColumn("best", once(_best(model, F.col("present")))).where(F.col("best.p") >= model.faint))
+    judged = judged.withColumn("wide", once(normal(F.col("around")))).select("doc", "digest", "block", "pos", "norm", "wide", "best.p", F.array("best.family").alias("likely"))
+    checked = judged.withColumn("own", once(confirmed(F.col("norm"), F.col("likely"), templates))).withColumn("wide", once(confirmed(F.col("wide"), F.col("likely"), templates)))
+    told = _counted(checked.where((F.col("p") >= model.threshold) | (F.size("own") > 0) | (F.size("wide") > 0)))
     count = rows.select("doc", "digest", F.size(F.split("text", "\n", -1)).cast("long").alias("n_paragraphs"))
     return (count.join(told, F.col("doc").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("like")), "left")
             .select(F.col("doc").alias("doc_id"), "n_paragraphs", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_license", "n_unconfirmed")],

@@ -1,4 +1,5 @@
 import random
+import textwrap
 
 import pytest
 from helpers import awkward
@@ -53,3 +54,39 @@ def test_template_comparison(spark):
     got = [r.s for r in rows.select(X.likeness(X.normal(F.col("t")), text).alias("s")).collect()]
     shingles = len(text.replace(",", "").split()) - 4
     assert got == [1.0, 1.0, pytest.approx(14 / shingles), 0.0]
+
+
+HEADERS = {
+    "apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.
+        You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0""",
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files
+        (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify""",
+    "gpl-3.0": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as
+        published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.""",
+    "bsd": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+        conditions are met: 1. Redistributions of source code must retain the above copyright notice""",
+    "mpl-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed
+        with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
+}
+
+
+def test_wrapped_headers_are_confirmed(spark):
+    rng, rows, want = random.Random(5), [], {}
+    for family, text in HEADERS.items():
+        for width in (60, 70, 80):
+            for mark in ("", "# ", " * "):
+                header = textwrap.fill(" ".join(text.split()), width, initial_indent=mark, subsequent_indent=mark)
+                want[len(rows)] = family
+                rows.append((len(rows), "\n\n".join([ordinary(rng), header, ordinary(rng)])))
+    for _ in range(100):
+        rows.append((len(rows), "\n".join(ordinary(rng) for _ in range(4))))
+    got = {r.doc_id: r for r in X.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(i, f, got[i].families) for i, f in want.items() if (got[i].families, got[i].n_license) != (f, 1)] == []
+    assert not any(got[i].n_license for i, _ in rows if i not in want)
+
+
+def test_a_blank_line_ends_a_notice(spark):
+    head, tail = X.TEMPLATES["mit"][1][:60], X.TEMPLATES["mit"][1][60:]
+    rows = [(1, head + "\n" + tail), (2, head + "\n  \n" + tail), (3, "a line\n" * 200 + head + "\n" + tail + "\nanother" * 200)]
+    got = {r.doc_id: (r.families, r.n_license) for r in X.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: ("mit", 1), 2: ("", 0), 3: ("mit", 1)}
