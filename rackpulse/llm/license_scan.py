@@ -8,20 +8,25 @@ logistic regression per licence family is trained by full-batch descent steps
 grows), on
 
 * each template, whole, in part (runs of ``part`` of its words, and of ``row``
-  words as a wrapped line has them) and amid words of ordinary paragraphs, and
+  words as a wrapped line has them), amid words of ordinary paragraphs and
+  beside a template of each other family, and
 * a bounded sample of ``sample`` corpus paragraphs as the unknown class
   (in the order of a hash of their text, without those that hold a template
   or of which half is from one).
 
-The unknown class is calibrated: a paragraph is unknown unless its best family's
-probability reaches the threshold half way between what nearly all unknown
+A long paragraph is judged in pieces of ``PIECE`` words, which overlap, and
+compared whole. Every family that is likely enough is compared.
+
+The unknown class is calibrated: a paragraph is unknown unless a family's
+probability in one of its pieces reaches the threshold half way between what nearly all unknown
 sample paragraphs stay under and what nearly all template paragraphs reach.
 What reaches it is confirmed if it holds 0.8 of the five-word shingles of one
 of the family's templates (all its words, if it has fewer), or if its block
 does: its lines, ``SIDE`` to either side at least, read as one text. The rest
 is reported as unconfirmed. As a line of a wrapped notice shows but a part of
-it, a line that reaches what nearly all template paragraphs reach is compared
-too, and counts if confirmed.
+it, and one of two notices is less likely, every family that reaches what
+nearly all template paragraphs reach for theirs is compared too, and counts if
+confirmed.
 
 ``n_license`` counts paragraphs that hold a notice alone, and besides them,
 once a block and family, notices that run over lines.
@@ -66,6 +71,7 @@ TEMPLATES = {
     "mpl-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
 }
 SHINGLE, ALIKE = 5, 0.8
+PIECE, STEP = 80, 64  # words of a piece of a long line, and from one piece to the next
 LINES, SIDE = 32, 40  # lines that share one surrounding text, and how many more it has to either side
 
 
@@ -148,7 +154,7 @@ def _borrowed(own: Column, templates: dict[str, tuple[str, ...]]) -> Column:
 
 
 def _examples(lines: DataFrame, templates: dict[str, tuple[str, ...]], sample: int, part: float, row: int) -> DataFrame:
-    """(id, family, weight, grams) of the training paragraphs; family null: unknown."""
+    """(id, family, other, grams) of the training paragraphs; family null: unknown; other: a second family."""
     held = F.greatest(*[likeness(F.col("norm"), t) for own in templates.values() for t in own], F.lit(0.0))
     drawn = (lines.select("norm").where("norm <> '  '").withColumn("turn", F.xxhash64("norm")).orderBy("turn", "norm").limit(2 * sample)
              .distinct().where((held < 0.5) & (_borrowed(words(F.col("norm")), templates) < 0.5)).orderBy("turn", "norm").limit(sample))
@@ -163,21 +169,27 @@ def _examples(lines: DataFrame, templates: dict[str, tuple[str, ...]], sample: i
     amid = (whole.withColumn("n", F.explode(F.array(*map(F.lit, range(1, 5)))))  # each template in four ordinary paragraphs
             .join(drawn.withColumnRenamed("words", "around"), "n")
             .select("family", F.concat(F.slice("around", 1, 8), "words", F.slice("around", -1, 1)).alias("words")))
-    marked = whole.unionByName(runs).unionByName(rows).unionByName(amid)
-    both = marked.withColumn("known", F.lit(True)).unionByName(drawn.select(F.lit(None).cast("string").alias("family"), "words", F.lit(False).alias("known")))
-    return both.select(F.monotonically_increasing_id().alias("id"), "family", present(F.col("words"), _vocabulary(templates)).alias("grams"))
+    sides = {f: (min(own, key=len), max(own, key=len)) for f, own in templates.items()}
+    pairs = [F.struct(F.lit(a).alias("family"), F.lit(b).alias("other"), F.array(*map(F.lit, _plain(x + " " + y))).alias("words"))
+             for a in sides for b in sides if a < b for x, y in dict.fromkeys(zip(sides[a], sides[b], strict=True))]
+    marked = whole.unionByName(runs).unionByName(rows).unionByName(amid).withColumn("other", F.lit(None).cast("string"))
+    if pairs:
+        marked = marked.unionByName(lines.sparkSession.range(1).select(F.explode(F.array(*pairs)).alias("r")).select("r.*"))
+    none = F.lit(None).cast("string")
+    both = marked.unionByName(drawn.select(none.alias("family"), none.alias("other"), "words"))
+    return both.select(F.monotonically_increasing_id().alias("id"), "family", "other", present(F.col("words"), _vocabulary(templates)).alias("grams"))
 
 
 def fit(lines: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, sample: int = 2000, part: float = 0.7, row: int = 10,
         steps: int = 30, ridge: float = 0.02) -> Model:
     """Train on templates and a bounded sample of paragraphs (``norm``)."""
     families = list(templates)
-    table = stage(_examples(lines, templates, sample, part, row), "license-training").select("id", "family", F.concat("grams", F.array(F.lit(""))).alias("grams"))
-    n = {r.family: r["count"] for r in table.groupBy("family").count().collect()}  # a row a family
-    total = sum(n.values())
+    table = stage(_examples(lines, templates, sample, part, row), "license-training").select("id", "family", "other", F.concat("grams", F.array(F.lit(""))).alias("grams"))
+    n = {r.of: r["count"] for r in table.select(F.explode(F.array("family", "other")).alias("of")).groupBy("of").count().collect()}  # a row a family
+    total = table.count()
     # one row an example and family; positives weigh as much as all the others together
-    each = (table.select("id", "family", "grams", F.explode(F.array(*map(F.lit, families))).alias("of"))
-            .withColumn("y", F.coalesce((F.col("family") == F.col("of")).cast("double"), F.lit(0.0)))
+    each = (table.select("id", "family", "other", "grams", F.explode(F.array(*map(F.lit, families))).alias("of"))
+            .withColumn("y", (F.col("family").eqNullSafe(F.col("of")) | F.col("other").eqNullSafe(F.col("of"))).cast("double"))
             .withColumn("v", F.when(F.col("y") == 1, F.coalesce(*[F.when(F.col("of") == f, 0.5 * total / n[f]) for f in families]))
                         .otherwise(F.coalesce(*[F.when(F.col("of") == f, 0.5 * total / max(1, total - n[f])) for f in families]))))
     flat = stage(each.select("id", "of", "y", "v", F.size("grams").alias("size"), F.explode("grams").alias("gram")), "license-cells").coalesce(1)
@@ -193,21 +205,28 @@ def fit(lines: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, sam
     for r in weights.collect():  # families by vocabulary
         found[r.of][r.gram] = r.w
     own = Model(families, {g: [found[f].get(g, 0.0) for f in families] for g in _vocabulary(templates)}, [found[f].get("", 0.0) for f in families], 0.5)
-    shown = table.select("family", F.filter("grams", lambda g: g != "").alias("grams")).select("family", _best(own, F.col("grams")).alias("best"))
-    cut = shown.agg(F.percentile(F.when(F.col("family").isNull(), F.col("best.p")), 0.999).alias("most"),
-                    F.percentile(F.when(F.col("family").isNotNull(), F.col("best.p")), 0.05).alias("few")).first()
+    shown = table.select("family", "other", _named(own, F.filter("grams", lambda g: g != "")).alias("named")).select(
+        "family", F.array_max("named.p").alias("p"),
+        F.array_min(F.filter("named", lambda x: x.family.eqNullSafe(F.col("family")) | x.family.eqNullSafe(F.col("other")))).getField("p").alias("own"))
+    cut = shown.agg(F.percentile(F.when(F.col("family").isNull(), F.col("p")), 0.999).alias("most"),
+                    F.percentile(F.when(F.col("family").isNotNull(), F.col("p")), 0.05).alias("few"), F.percentile("own", 0.05).alias("least")).first()
     own.threshold = ((cut.most or 0.0) + (cut.few or 1.0)) / 2
-    own.faint = min(own.threshold, cut.few or 1.0)
+    own.faint = min(own.threshold, cut.least or 1.0)
     return own
 
 
-def _best(model: Model, present: Column) -> Column:
-    """struct(p, family) of the family of largest probability (ties: the later name)."""
+def _named(model: Model, present: Column) -> Column:
+    """Array of struct(p, family), of every family."""
     table = F.create_map(*[x for g, w in model.weights.items() for x in (F.lit(g), F.array(*map(F.lit, w)))])
     margins = F.aggregate(present, F.array(*map(F.lit, model.bias)), lambda a, g: F.zip_with(a, F.element_at(table, g), lambda x, y: x + y))
-    named = F.zip_with(margins, F.array(*map(F.lit, model.families)),
-                       lambda m, f: F.struct((1 / (1 + F.exp(-m))).alias("p"), f.alias("family")))
-    return F.array_max(named)
+    return F.zip_with(margins, F.array(*map(F.lit, model.families)),
+                      lambda m, f: F.struct((1 / (1 + F.exp(-m))).alias("p"), f.alias("family")))
+
+
+def pieces(own: Column) -> Column:
+    """An array of words in pieces of ``PIECE`` words that overlap by ``PIECE - STEP``."""
+    at = F.sequence(F.lit(1), F.greatest(F.size(own) - (PIECE - STEP), F.lit(1)), F.lit(STEP))
+    return F.transform(at, lambda i: F.slice(own, i, PIECE))
 
 
 def confirmed(normalised: Column, families: Column, templates: dict[str, tuple[str, ...]]) -> Column:
@@ -249,10 +268,11 @@ def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, doc
     rows = rows.withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary"))))
     lines = paragraphs(rows)
     model = fit(lines, templates, **training)
-    held = present(words(F.col("norm")), list(model.weights))
-    judged = (lines.withColumn("present", once(held)).where("size(present) > 0")
-              .withColumn("best", once(_best(model, F.col("present")))).where(F.col("best.p") >= model.faint))
-    judged = judged.withColumn("wide", once(normal(F.col("around")))).select("doc", "digest", "block", "pos", "norm", "wide", "best.p", F.array("best.family").alias("likely"))
+    parts = lines.withColumn("words", once(words(F.col("norm")))).withColumn("piece", F.explode(pieces(F.col("words")))).drop("words")
+    judged = (parts.withColumn("present", once(present(F.col("piece"), list(model.weights)))).where("size(present) > 0")
+              .withColumn("named", once(F.filter(_named(model, F.col("present")), lambda x: x.p >= model.faint))).where("size(named) > 0"))
+    judged = (judged.withColumn("wide", once(normal(F.col("around"))))
+              .select("doc", "digest", "block", "pos", "norm", "wide", F.array_max("named.p").alias("p"), F.col("named.family").alias("likely")))
     checked = judged.withColumn("own", once(confirmed(F.col("norm"), F.col("likely"), templates))).withColumn("wide", once(confirmed(F.col("wide"), F.col("likely"), templates)))
     told = _counted(checked.where((F.col("p") >= model.threshold) | (F.size("own") > 0) | (F.size("wide") > 0)))
     count = rows.select("doc", "digest", F.size(F.split("text", "\n", -1)).cast("long").alias("n_paragraphs"))

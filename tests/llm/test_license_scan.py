@@ -90,3 +90,23 @@ def test_a_blank_line_ends_a_notice(spark):
     rows = [(1, head + "\n" + tail), (2, head + "\n  \n" + tail), (3, "a line\n" * 200 + head + "\n" + tail + "\nanother" * 200)]
     got = {r.doc_id: (r.families, r.n_license) for r in X.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: ("mit", 1), 2: ("", 0), 3: ("mit", 1)}
+
+
+def test_every_family_of_a_line_is_confirmed(spark):
+    rng, notice = random.Random(6), {f: own[1] for f, own in X.TEMPLATES.items() if len(own) > 1}
+    pairs = [(a, b) for a in notice for b in notice if a < b and not {a, b} <= {"cc-by-4.0", "cc-by-nc-4.0"}]
+    rows = [(i, f"{notice[a]} or {notice[b]}") for i, (a, b) in enumerate(pairs)]
+    long = " ".join([ordinary(rng, 3000), notice["mit"], ordinary(rng, 71), notice["bsd"], ordinary(rng, 2000)])
+    rows += [(1000, long)] + [(2000 + i, ordinary(rng)) for i in range(100)]
+    got = {r.doc_id: (r.families, r.n_license) for r in X.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(i, p, got[i]) for i, p in enumerate(pairs) if got[i] != (",".join(p), 1)] == []
+    assert got[1000] == ("bsd,mit", 1)
+
+
+def test_pieces_lose_no_words(spark):
+    from pyspark.sql import functions as F
+    for n in (1, 16, 17, 80, 81, 144, 145, 1000):
+        own = [str(i) for i in range(n)]
+        got = spark.createDataFrame([(own,)], "w array<string>").select(X.pieces(F.col("w")).alias("p")).first().p
+        runs = {tuple(own[i: i + 16]) for i in range(max(1, n - 15))}
+        assert {tuple(p[i: i + 16]) for p in got for i in range(max(1, len(p) - 15))} >= runs
