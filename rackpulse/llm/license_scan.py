@@ -15,17 +15,19 @@ grows), on
   or of which half is from one).
 
 A long paragraph is judged in pieces of ``PIECE`` words, which overlap, and
-compared whole. Every family that is likely enough is compared.
+compared whole, with the templates of every family: it may hold two notices,
+and notices of related licences differ by a word.
 
 The unknown class is calibrated: a paragraph is unknown unless a family's
 probability in one of its pieces reaches the threshold half way between what nearly all unknown
 sample paragraphs stay under and what nearly all template paragraphs reach.
 What reaches it is confirmed if it holds 0.8 of the five-word shingles of one
-of the family's templates (all its words, if it has fewer), or if its block
+of a family's templates (all its words, if it has fewer) and what ``NEEDED``
+asks of the family, or if its block
 does: its lines, ``SIDE`` to either side at least, read as one text. The rest
 is reported as unconfirmed. As a line of a wrapped notice shows but a part of
-it, and one of two notices is less likely, every family that reaches what
-nearly all template paragraphs reach for theirs is compared too, and counts if
+it, and one of two notices is less likely, a line that reaches what nearly all
+template paragraphs reach for their families is compared too, and counts if
 confirmed.
 
 ``n_license`` counts paragraphs that hold a notice alone, and besides them,
@@ -47,6 +49,7 @@ Defined results:
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -54,23 +57,70 @@ from pyspark.sql import functions as F
 
 from .common import pick, stage
 
-#: Notices of well-known public licences, by family.
+#: Wordings of well-known public licences, by family: short
+#: notices (the verb before them is free), the usual header or first sentence,
+#: and SPDX lines.
 TEMPLATES = {
     "apache-2.0": ("Licensed under the Apache License, Version 2.0.",
-                   "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."),
+                   "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
+                   "under the Apache License 2.0", "under the Apache 2.0 License", "under the terms of the Apache License", "Apache License Version 2.0, January 2004",
+                   "SPDX-License-Identifier: Apache-2.0",
+                   "distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License"),
     "mit": ("Released under the MIT License.",
-            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+            "under the MIT License", "under the terms of the MIT License", "under an MIT license", "The MIT License (MIT)", "SPDX-License-Identifier: MIT",
+            "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
     "gpl-3.0": ("This work is licensed under the GNU General Public License, version 3.",
-                "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
+                "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+                "under the terms of the GNU General Public License as published by the Free Software Foundation, version 3 of the License",
+                "under the GNU General Public License v3", "under the GNU GPL version 3", "under the GPLv3", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+                "SPDX-License-Identifier: GPL-3.0"),
+    "gpl-2.0": ("This work is licensed under the GNU General Public License, version 2.",
+                "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version",
+                "under the terms of the GNU General Public License as published by the Free Software Foundation, version 2 of the License",
+                "under the GNU General Public License v2", "under the GNU GPL version 2", "under the GPLv2", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+                "SPDX-License-Identifier: GPL-2.0"),
+    "lgpl": ("licensed under the GNU Lesser General Public License",
+             "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+             "under the LGPL", "under the GNU LGPL", "GNU LESSER GENERAL PUBLIC LICENSE Version", "SPDX-License-Identifier: LGPL"),
+    "agpl": ("licensed under the GNU Affero General Public License",
+             "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+             "under the AGPL", "under the GNU AGPL", "under the AGPLv3", "GNU AFFERO GENERAL PUBLIC LICENSE Version", "SPDX-License-Identifier: AGPL"),
     "cc-by-nc-4.0": ("Licensed under CC BY-NC 4.0.",
-                     "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+                     "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+                     "under CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0", "creativecommons.org/licenses/by-nc/4.0", "SPDX-License-Identifier: CC-BY-NC-4.0"),
+    "cc-by-sa-4.0": ("Licensed under CC BY-SA 4.0.",
+                     "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+                     "under CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0", "creativecommons.org/licenses/by-sa/4.0", "SPDX-License-Identifier: CC-BY-SA-4.0"),
     "cc-by-4.0": ("Licensed under CC BY 4.0.",
-                  "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+                  "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+                  "under CC BY 4.0", "Creative Commons Attribution 4.0", "creativecommons.org/licenses/by/4.0", "SPDX-License-Identifier: CC-BY-4.0"),
+    "cc0-1.0": ("Released under CC0 1.0.",
+                "has dedicated the work to the public domain by waiving all of his or her rights to the work worldwide under copyright law",
+                "CC0 1.0 Universal", "under the CC0 license", "under CC0", "creativecommons.org/publicdomain/zero/1.0", "SPDX-License-Identifier: CC0-1.0"),
     "bsd": ("Released under the BSD License.",
-            "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    "mpl-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
+            "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+            "under the BSD License", "under a BSD-style license", "under the BSD 2-Clause License", "under the BSD 3-Clause License", "under the terms of the BSD license",
+            "SPDX-License-Identifier: BSD"),
+    "isc": ("Released under the ISC License.",
+            "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+            "under the ISC License", "under the terms of the ISC License", "SPDX-License-Identifier: ISC"),
+    "mpl-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+                "under the Mozilla Public License 2.0", "under the Mozilla Public License, version 2.0", "under the MPL 2.0",
+                "subject to the terms of the Mozilla Public License", "Mozilla Public License Version 2.0", "SPDX-License-Identifier: MPL-2.0"),
+    "epl-2.0": ("under the Eclipse Public License 2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+                "under the Eclipse Public License v2.0", "under the EPL 2.0", "Eclipse Public License v 2.0", "SPDX-License-Identifier: EPL-2.0"),
+}
+#: What a confirmed text must hold besides: wordings that differ by a word or two
+#: share most shingles.
+NEEDED = {
+    "gpl-3.0": r" gnu (gpl|general public license)( as published by the free software foundation)?( either)? (version 3|v 3|v3) | gplv3 | identifier gpl 3 ",
+    "gpl-2.0": r" gnu (gpl|general public license)( as published by the free software foundation)?( either)? (version 2|v 2|v2) | gplv2 | identifier gpl 2 ",
+    "lgpl": r" lesser general public license | lgpl ",
+    "agpl": r" affero general public license | agpl(v3)? ",
 }
 SHINGLE, ALIKE = 5, 0.8
+BUCKETS = 512
 PIECE, STEP = 80, 64  # words of a piece of a long line, and from one piece to the next
 LINES, SIDE = 32, 40  # lines that share one surrounding text, and how many more it has to either side
 
@@ -95,10 +145,28 @@ def words(normalised: Column) -> Column:
     return F.split(F.trim(normalised), " ")
 
 
+def _by_hash(values: dict[str, Column], kind: str) -> Column:
+    """The map of grams in ``BUCKETS`` small maps: a look-up in a map reads all its keys."""
+    maps = [[] for _ in range(BUCKETS)]
+    for gram, value in values.items():
+        maps[_bucket(gram)] += [F.lit(gram), value]
+    return F.array(*[F.create_map(*m).cast(f"map<string,{kind}>") for m in maps])
+
+
+def _bucket(gram: str) -> int:
+    return zlib.crc32(gram.encode()) % BUCKETS
+
+
+def _looked_up(table: Column, gram: Column) -> Column:
+    """Null if the table lacks the gram."""
+    return F.try_element_at(F.element_at(table, (F.crc32(gram.cast("binary")) % BUCKETS + 1).cast("int")), gram)
+
+
 def present(own: Column, vocabulary: list[str]) -> Column:
     """The different word unigrams and bigrams of an array of words that the vocabulary has."""
+    table = _by_hash({g: F.lit(True) for g in vocabulary}, "boolean")
     pairs = F.zip_with(own, F.slice(own, F.lit(2), F.size(own)), lambda a, b: F.concat(a, F.lit(" "), b))  # the last one null
-    return F.array_intersect(F.concat(own, pairs), F.array(*map(F.lit, vocabulary)))
+    return F.array_distinct(F.filter(F.concat(own, pairs), lambda g: _looked_up(table, g).isNotNull()))
 
 
 def once(column: Column) -> Column:
@@ -209,7 +277,7 @@ def fit(lines: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, sam
         "family", F.array_max("named.p").alias("p"),
         F.array_min(F.filter("named", lambda x: x.family.eqNullSafe(F.col("family")) | x.family.eqNullSafe(F.col("other")))).getField("p").alias("own"))
     cut = shown.agg(F.percentile(F.when(F.col("family").isNull(), F.col("p")), 0.999).alias("most"),
-                    F.percentile(F.when(F.col("family").isNotNull(), F.col("p")), 0.05).alias("few"), F.percentile("own", 0.05).alias("least")).first()
+                    F.percentile(F.when(F.col("family").isNotNull(), F.col("p")), 0.05).alias("few"), F.percentile("own", 0.01).alias("least")).first()
     own.threshold = ((cut.most or 0.0) + (cut.few or 1.0)) / 2
     own.faint = min(own.threshold, cut.least or 1.0)
     return own
@@ -217,8 +285,8 @@ def fit(lines: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, sam
 
 def _named(model: Model, present: Column) -> Column:
     """Array of struct(p, family), of every family."""
-    table = F.create_map(*[x for g, w in model.weights.items() for x in (F.lit(g), F.array(*map(F.lit, w)))])
-    margins = F.aggregate(present, F.array(*map(F.lit, model.bias)), lambda a, g: F.zip_with(a, F.element_at(table, g), lambda x, y: x + y))
+    table = _by_hash({g: F.array(*map(F.lit, w)) for g, w in model.weights.items()}, "array<double>")
+    margins = F.aggregate(present, F.array(*map(F.lit, model.bias)), lambda a, g: F.zip_with(a, _looked_up(table, g), lambda x, y: x + y))
     return F.zip_with(margins, F.array(*map(F.lit, model.families)),
                       lambda m, f: F.struct((1 / (1 + F.exp(-m))).alias("p"), f.alias("family")))
 
@@ -229,16 +297,18 @@ def pieces(own: Column) -> Column:
     return F.transform(at, lambda i: F.slice(own, i, PIECE))
 
 
-def confirmed(normalised: Column, families: Column, templates: dict[str, tuple[str, ...]]) -> Column:
-    """Those of an array of families of which the normalised text holds a template."""
+def confirmed(normalised: Column, templates: dict[str, tuple[str, ...]]) -> Column:
+    """The families of which the normalised text holds a template and what is ``NEEDED``."""
     known = F.array(*[F.struct(F.lit(f).alias("family"), F.array(*[F.lit(f" {s} ") for s in _shingles(t)]).alias("shingles"))
                       for f, own in templates.items() for t in own])
 
     def holds(t: Column) -> Column:
         held = F.aggregate(t.shingles, F.lit(0), lambda n, s: n + normalised.contains(s).cast("int"))
-        return F.array_contains(families, t.family) & (held >= ALIKE * F.size(t.shingles))
+        return held >= ALIKE * F.size(t.shingles)
 
-    return F.array_distinct(F.transform(F.filter(known, holds), lambda t: t.family))
+    found = F.array_distinct(F.transform(F.filter(known, holds), lambda t: t.family))
+    lacking = [F.when(~normalised.rlike(r), F.lit(f)) for f, r in NEEDED.items()]
+    return F.when(F.size(found) > 0, F.array_except(found, F.array(*lacking))).otherwise(found)
 
 
 def _counted(checked: DataFrame) -> DataFrame:
@@ -270,10 +340,10 @@ def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, doc
     model = fit(lines, templates, **training)
     parts = lines.withColumn("words", once(words(F.col("norm")))).withColumn("piece", F.explode(pieces(F.col("words")))).drop("words")
     judged = (parts.withColumn("present", once(present(F.col("piece"), list(model.weights)))).where("size(present) > 0")
-              .withColumn("named", once(F.filter(_named(model, F.col("present")), lambda x: x.p >= model.faint))).where("size(named) > 0"))
+              .withColumn("p", once(F.array_max(_named(model, F.col("present"))).getField("p"))).where(F.col("p") >= model.faint))
     judged = (judged.withColumn("wide", once(normal(F.col("around"))))
-              .select("doc", "digest", "block", "pos", "norm", "wide", F.array_max("named.p").alias("p"), F.col("named.family").alias("likely")))
-    checked = judged.withColumn("own", once(confirmed(F.col("norm"), F.col("likely"), templates))).withColumn("wide", once(confirmed(F.col("wide"), F.col("likely"), templates)))
+              .select("doc", "digest", "block", "pos", "norm", "wide", "p"))
+    checked = judged.withColumn("own", once(confirmed(F.col("norm"), templates))).withColumn("wide", once(confirmed(F.col("wide"), templates)))
     told = _counted(checked.where((F.col("p") >= model.threshold) | (F.size("own") > 0) | (F.size("wide") > 0)))
     count = rows.select("doc", "digest", F.size(F.split("text", "\n", -1)).cast("long").alias("n_paragraphs"))
     return (count.join(told, F.col("doc").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("like")), "left")

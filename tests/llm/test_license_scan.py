@@ -110,3 +110,38 @@ def test_pieces_lose_no_words(spark):
         got = spark.createDataFrame([(own,)], "w array<string>").select(X.pieces(F.col("w")).alias("p")).first().p
         runs = {tuple(own[i: i + 16]) for i in range(max(1, n - 15))}
         assert {tuple(p[i: i + 16]) for p in got for i in range(max(1, len(p) - 15))} >= runs
+
+
+#: Wordings that are not templates as they stand.
+OTHERS = {
+    "mit": ["Distributed under the MIT License", "SPDX-License-Identifier: MIT", "This project is available under the terms of the MIT license."],
+    "gpl-3.0": ["This file is part of Stone. Stone is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License "
+                "as published by the Free Software Foundation, version 3 of the License.", "SPDX-License-Identifier: GPL-3.0-or-later"],
+    "gpl-2.0": ["This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+                "the Free Software Foundation; either version 2 of the License, or (at your option) any later version."],
+    "lgpl": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by "
+             "the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."],
+    "agpl": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by "
+             "the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "apache-2.0": ["The code is made available under the Apache License 2.0, see LICENSE", "// SPDX-License-Identifier: Apache-2.0"],
+    "isc": ["Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright "
+            "notice and this permission notice appear in all copies.", "Distributed under the ISC license"],
+    "cc0-1.0": ["To the extent possible under law, the author has dedicated this under CC0 1.0 Universal.", "SPDX-License-Identifier: CC0-1.0"],
+    "cc-by-sa-4.0": ["The text is shared under CC BY-SA 4.0", "Except where noted, content is under a Creative Commons Attribution-ShareAlike 4.0 license"],
+    "epl-2.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org"],
+    "bsd": ["# SPDX-License-Identifier: BSD-3-Clause", "Distributed under the BSD 3-Clause License"],
+    "mpl-2.0": ["Distributed under the Mozilla Public License 2.0"],
+}
+
+
+def test_wordings_that_are_not_templates(spark):
+    rng, rows, want = random.Random(7), [], {}
+    for family, own in OTHERS.items():
+        for text in own:
+            for shown in (text, textwrap.fill(text, 60), ordinary(rng, 12) + "\n" + text):
+                want[len(rows)] = family
+                rows.append((len(rows), shown))
+    rows += [(len(rows) + i, ordinary(rng)) for i in range(200)]
+    got = {r.doc_id: r for r in X.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(rows[i][1], f, got[i].families) for i, f in want.items() if got[i].families != f] == []
+    assert not any(r.n_license for i, r in got.items() if i not in want)
