@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import license_scan, lm_scoring, mixing, secret_scan, toxicity
+from . import license_scan, lm_scoring, merkle, mixing, oracles, secret_scan, toxicity
 from .bpe import round_trip
 from .exact_topk import exact_topk
 from .line_dedup import dedup_lines
@@ -164,3 +164,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, C.table(spark, sf_dir, "labels"))
     held_out = F.coalesce(~toxicity.learned_from(F.col("doc_id")), F.lit(False)).alias("held_out")
     return toxicity.score(docs, model, 0.7).select("doc_id", held_out, "score", "predicted")
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = lambda doc, text: F.when(F.crc32(doc.cast("string").cast("binary")) % 5 == 0, F.translate(text, _UPPER, _LOWER))
+    return merkle.manifest(C.documents(spark, sf_dir), tampered={"text": fold})
+
+
+ORACLES["op12_merkle_manifest"] = oracles.merkle_sql()
