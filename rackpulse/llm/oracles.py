@@ -6,9 +6,9 @@ from __future__ import annotations
 def crc32(value: str) -> str:
     """The unsigned CRC-32 of an integer's decimal text, bit by bit."""
     s = f"CAST({value} AS VARCHAR)"
-    byte = f"(CASE WHEN i % 8 = 0 THEN xor(c, ascii(substr({s}, CAST(i // 8 + 1 AS INTEGER), 1))::BIGINT) ELSE c END)"
+    byte = f"(CASE WHEN at_ % 8 = 0 THEN xor(crc_, ascii(substr({s}, CAST(at_ // 8 + 1 AS INTEGER), 1))::BIGINT) ELSE crc_ END)"
     step = f"xor({byte} >> 1, CASE WHEN {byte} & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END)"
-    return f"xor(list_reduce(list_concat([4294967295::BIGINT], range(0, 8 * length({s}))), lambda c, i: {step}), 4294967295::BIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], range(0, 8 * length({s}))), lambda crc_, at_: {step}), 4294967295::BIGINT)"
 
 
 def _field(value: str) -> str:
@@ -65,3 +65,42 @@ proved AS (
 {", ".join(folds)}
 SELECT doc_id, leaf, subroot, root, proof_sha256, node AS folded_root, node = root AS verified FROM fold{len(names) - 1}
 """
+
+
+def trie_sql() -> str:
+    """The trie of rebuilt conversations: every prefix as one text, by a chain of steps."""
+    return f"""
+WITH RECURSIVE own AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, substr(sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 30)) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT c, {crc32("c")} % 4 AS h FROM (SELECT DISTINCT c FROM own)
+), rebuilt AS (
+  SELECT v.c, o.role, o.text, 0 AS late, o.pos FROM convs v JOIN own o ON o.c = v.c - v.c % 20 AND o.pos < v.h
+  UNION ALL SELECT v.c, o.role, o.text, 1, o.pos FROM convs v JOIN own o ON o.c = v.c AND o.pos >= v.h
+), rows_ AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY late, pos) AS d, sha256(strlen(role) || ':' || role || text) AS sym,
+    len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS w
+  FROM rebuilt
+), pre AS (
+  SELECT c, 0::BIGINT AS d, '' AS k, '' AS up, 0::BIGINT AS w FROM convs
+  UNION ALL SELECT r.c, r.d, sha256(p.k || r.sym), p.k, r.w FROM pre p JOIN rows_ r ON r.c = p.c AND r.d = p.d + 1
+), lens AS (
+  SELECT c, max(d) AS len FROM pre GROUP BY c
+), nodes AS (
+  SELECT k, min(up) AS up, min(c) AS c, min(d) AS d, count(*) AS n, min(w) AS w,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (d = len), '')) AS ends
+  FROM pre JOIN lens USING (c) GROUP BY k
+), kids AS (
+  SELECT up, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY up
+), named AS (
+  SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids ON kids.up = nodes.k
+), sums AS (
+  SELECT a.k, count(*) FILTER (b.n_children = 0) AS n_leaves, sum((b.n - 1) * b.w) AS saved
+  FROM named b JOIN pre a ON a.c = b.c AND a.d <= b.d GROUP BY a.k
+)
+SELECT x.c AS conv_id, x.d AS depth, p.c AS parent_conv_id, x.n AS n_convs, x.n_children, n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, x.ends AS ends_sha256
+FROM named x JOIN sums s ON s.k = x.k LEFT JOIN nodes p ON x.d > 0 AND p.k = x.up
+"""

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import license_scan, lm_scoring, merkle, mixing, oracles, secret_scan, toxicity
+from . import license_scan, lm_scoring, merkle, mixing, oracles, prefix_trie, secret_scan, toxicity
 from .bpe import round_trip
 from .exact_topk import exact_topk
 from .line_dedup import dedup_lines
@@ -176,3 +176,14 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op12_merkle_manifest"] = oracles.merkle_sql()
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = prefix_trie.turns(C.table(spark, sf_dir, "conversations"))
+    borrow = F.crc32(F.col("conv").cast("string").cast("binary")) % 4
+    convs, rows = prefix_trie.rebuilt(own, borrow, F.expr("conv - conv % 20"))
+    return prefix_trie.prefix_trie(convs, rows, ["late", "pos"])
+
+
+ORACLES["op13_prefix_trie"] = oracles.trie_sql()
