@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import license_scan, lm_scoring, merkle, mixing, oracles, prefix_trie, secret_scan, toxicity
+from . import license_scan, lm_scoring, merkle, mixing, oracles, prefix_trie, secret_scan, setsketch, toxicity
 from .bpe import round_trip
 from .exact_topk import exact_topk
 from .line_dedup import dedup_lines
@@ -166,6 +166,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, 0.7).select("doc_id", held_out, "score", "predicted")
 
 
+@query
+def op11_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(C.documents(spark, sf_dir), words=5, share=85)
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
