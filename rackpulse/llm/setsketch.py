@@ -45,7 +45,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -138,17 +137,31 @@ def least_estimate(share: int) -> float:
 
 
 def likely(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, share: int) -> np.ndarray:
-    """Whether pairs can have the similarity: by their sizes, then by estimate."""
+    """Whether pairs can have the similarity: by their sizes, by half of their
+    registers (some nine standard errors below 0.8), then by the estimate. The
+    likelihood is concave, so its maximum lies at ``least_estimate`` or above
+    where its slope there is not negative: one evaluation, no search."""
     na, nb = np.broadcast_arrays(np.asarray(na, np.float64), np.asarray(nb, np.float64))
     ok = 100 * np.minimum(na, nb) >= share * np.maximum(na, nb)
-    ok &= 2 * (a == b).sum(axis=-1) >= REGISTERS  # some nine standard errors below 0.8
+    same = (a == b).sum(axis=-1)
+    ok &= 2 * same >= REGISTERS
     at = np.nonzero(ok)[0]
     if len(at):
-        a, b = np.broadcast_to(a, (len(ok), a.shape[-1])), np.broadcast_to(b, (len(ok), b.shape[-1]))
-        ok[at] = estimate(a[at], b[at], na[at], nb[at]) >= least_estimate(share)
+        a, b = np.broadcast_to(a, (len(ok), a.shape[-1]))[at], np.broadcast_to(b, (len(ok), b.shape[-1]))[at]
+        same, more = same[at], (a > b).sum(axis=-1)
+        ok[at] = slope(least_estimate(share), more, REGISTERS - more - same, same, na[at], nb[at]) >= 0
     return ok
 
 
+def slope(j: float, more: np.ndarray, less: np.ndarray, same: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """Derivative of the log-likelihood of ``estimate`` at similarity ``j``."""
+    u, v = na / (na + nb), nb / (na + nb)
+    x, y, c, log_b = u - v * j, v - u * j, (B - 1) / B, np.log(B)
+    p, q = -np.log1p(-x * c) / log_b, -np.log1p(-y * c) / log_b
+    dp, dq = v * c / (1 - x * c) / log_b, u * c / (1 - y * c) / log_b
+    return same * (dp + dq) / (1 - p - q) - more * dp / p - less * dq / q
+
+
 def alike(a: np.ndarray, b: np.ndarray, share: int) -> bool:
     """Whether the full sets have the similarity."""
     both = len(np.intersect1d(a, b, assume_unique=True))
@@ -200,8 +213,8 @@ def banded(classes: DataFrame) -> DataFrame:
 
 
 def _split(counts: DataFrame, total: int, key: str) -> DataFrame:
-    """(key, pieces) of the few keys over a thousandth of ``total``, to be broadcast."""
-    most = max(BLOCK, int(total * HOT))
+    """(key, pieces) of the keys over a thousandth of ``total`` (a thousand at most), to be broadcast."""
+    most = max(32, int(total * HOT))
     return F.broadcast(counts.where(F.col("count") > most).select(key, F.ceil(F.col("count") / most).cast("long").alias("pieces")))
 
 
@@ -280,59 +293,89 @@ def open_buckets(members: DataFrame, links: DataFrame) -> DataFrame:
     return rows.join(once, ["key", "my"])
 
 
-def _against(rows: DataFrame):
-    """Rows (key, my, blocks, ...) dealt out to pairs of blocks; ``side``: which of the two."""
+def _against(rows: DataFrame) -> DataFrame:
+    """Rows (key, my, blocks, ...) dealt out to pairs of blocks (i, j), sorted by
+    them; ``side``: which of the two blocks a row is of."""
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    return rows.select("*", other).select("*", F.least("my", "other").alias("i"), F.greatest("my", "other").alias("j"),
-                                          F.expr("int(my > other)").alias("side")).groupBy("key", "i", "j")
-
-
-def _meetings(rows: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
-    """Each member's place and the places of those it is to be compared with."""
-    side = rows["side"].to_numpy()
-    across = rows["i"].iloc[0] != rows["j"].iloc[0]
-    for x in range(len(rows)):
-        if across and side[x] == 0:
-            yield x, np.nonzero(side == 1)[0]
-        elif not across and x + 1 < len(rows):
-            yield x, np.arange(x + 1, len(rows))
-
-
-def _asked(share: int):
-    def scan(rows: pd.DataFrame) -> pd.DataFrame:
-        regs, n, root = registers(rows["sketch"]), rows["n"].to_numpy(), rows["root"].to_numpy()
-        hit = np.zeros(len(rows), bool)
-        for x, others in _meetings(rows):
-            others = others[root[others] != root[x]]
-            if len(others):
-                near = others[likely(regs[others], regs[x], n[others], n[x], share)]
-                hit[near] = True
-                hit[x] |= len(near) > 0
-        return rows.loc[hit, ["key", "node", "my", "blocks"]]
-
-    return scan
-
-
-def _verified(size: int, share: int):
-    def scan(rows: pd.DataFrame) -> pd.DataFrame:
-        regs, n, root, node = registers(rows["sketch"]), rows["n"].to_numpy(), rows["root"].to_numpy().copy(), rows["node"].to_numpy()
-        sets: dict[int, np.ndarray] = {}
-
-        def own(x: int) -> np.ndarray:
-            if x not in sets:
-                sets[x] = shingles(_words(rows["text"].iloc[x].encode()), size)
-            return sets[x]
-
-        out = []
-        for x, others in _meetings(rows):
-            others = others[root[others] != root[x]]
-            for y in others[likely(regs[others], regs[x], n[others], n[x], share)].tolist() if len(others) else []:
-                if root[x] != root[y] and alike(own(x), own(y), share):
-                    out.append((node[x], node[y]))
-                    root[root == root[y]] = root[x]  # from here on these are connected
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    return scan
+    dealt = rows.select("*", other).select("*", F.least("my", "other").alias("i"), F.greatest("my", "other").alias("j"), F.expr("int(my > other)").alias("side"))
+    return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each (key, i, j) of a sorted stream: two blocks at most."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        own = np.stack([np.asarray(batch.column(c)) for c in ("key", "i", "j")])
+        starts = np.r_[0, np.nonzero((own[:, 1:] != own[:, :-1]).any(axis=0))[0] + 1, batch.num_rows]
+        for start, end in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+            now = tuple(own[:, start].tolist())
+            if held and now != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+            last = now
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _near_pairs(group: pa.Table, root: np.ndarray, share: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the group's pairs in different components that can be alike."""
+    regs, n = registers(group.column("sketch")), np.asarray(group.column("n"))
+    across = group.column("i")[0].as_py() != group.column("j")[0].as_py()
+    side = np.asarray(group.column("side"))
+    left = np.nonzero(side == 0)[0] if across else np.arange(len(n) - 1)
+    right = np.nonzero(side == 1)[0]
+    found = []
+    step = max(1, 4096 // max(1, len(n)))
+    for start in range(0, len(left), step):  # some thousand pairs at a time
+        some = left[start: start + step]
+        if across:
+            x, y = np.repeat(some, len(right)), np.tile(right, len(some))
+        else:
+            x = np.repeat(some, len(n) - 1 - some)
+            y = np.concatenate([np.arange(i + 1, len(n)) for i in some])
+        apart = root[x] != root[y]
+        x, y = x[apart], y[apart]
+        if len(x):
+            near = likely(regs[x], regs[y], n[x], n[y], share)
+            found.append((x[near], y[near]))
+    return (np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])) if found else (np.empty(0, int), np.empty(0, int))
+
+
+def asked(rows: DataFrame, share: int) -> DataFrame:
+    """(key, node, my, blocks): members with a likely partner in another component."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            x, y = _near_pairs(group, np.asarray(group.column("root")), share)
+            if len(x):
+                yield from group.select(["key", "node", "my", "blocks"]).take(pa.array(np.union1d(x, y))).combine_chunks().to_batches()
+
+    return _against(rows).mapInArrow(scan, "key long, node long, my long, blocks long").distinct()
+
+
+def verified(rows: DataFrame, size: int, share: int) -> DataFrame:
+    """(a, b): links within groups that connect different components."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            root, node = np.asarray(group.column("root")).copy(), np.asarray(group.column("node"))
+            texts, sets, pairs = text_bytes(group.column("text").combine_chunks()), {}, []
+            for x, y in zip(*(p.tolist() for p in _near_pairs(group, root, share)), strict=True):
+                if root[x] == root[y]:
+                    continue  # connected by now
+                for k in (x, y):
+                    if k not in sets:
+                        sets[k] = shingles(_words(texts[k]), size)
+                if alike(sets[x], sets[y], share):
+                    pairs.append((int(node[x]), int(node[y])))
+                    root[root == root[y]] = root[x]
+            yield _pair_batch(pairs)
+
+    return _against(rows).mapInArrow(scan, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, share: int = 85, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -357,14 +400,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, share: int = 85, doc_col: s
 
     links = stage(star_links(texts, words, share), "sketch-links")
     rest = stage(open_buckets(members, links).join(classes.select("node", "n", "sketch"), "node"), "sketch-open")
-    asked = _against(rest).applyInPandas(_asked(share), "key long, node long, my long, blocks long").distinct()
-    asked = stage(asked.join(rest.select("key", "node", "root"), ["key", "node"]), "sketch-asked")
-    more = _against(asked.join(texts.select("node", "n", "sketch", "text"), "node")).applyInPandas(_verified(words, share), "a long, b long")
+    some = stage(asked(rest, share).join(rest.select("key", "node", "root"), ["key", "node"]), "sketch-asked")
+    more = verified(some.join(texts.select("node", "n", "sketch", "text"), "node"), words, share)
     linked = components(links.unionByName(more)).select(F.col("node").alias("of"), "root")
 
     placed = stage(classes.join(linked, F.col("node") == F.col("of"), "left").select("class", "first", "node", F.coalesce("root", "node").alias("root")), "sketch-components")
     ids = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     named = join_hot(placed.select("class", "node", "root"), ids, "root", F.xxhash64("node")).select("class", "component_id")
-    some, none = every.where("class IS NOT NULL").select("doc", "class", "n"), every.where("class IS NULL").select("doc", "n", F.col("doc").alias("component_id"))
-    found = join_hot(some, named, "class", F.xxhash64("doc")).select("doc", "n", "component_id").unionByName(none)
+    full, none = every.where("class IS NOT NULL").select("doc", "class", "n"), every.where("class IS NULL").select("doc", "n", F.col("doc").alias("component_id"))
+    found = join_hot(full, named, "class", F.xxhash64("doc")).select("doc", "n", "component_id").unionByName(none)
     return found.select(F.col("doc").alias(doc_col), F.col("n").alias("n_shingles"), "component_id", F.col("doc").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -96,6 +96,16 @@ def test_registers_are_mergeable_and_tell_the_similarity():
         assert abs(np.mean(estimates) - true) < 0.02 and np.std(estimates) < 0.06
 
 
+def test_the_slope_tells_what_the_estimate_tells():
+    rng = np.random.default_rng(6)
+    a = rng.integers(0, 40, (300, X.REGISTERS)).astype(np.uint16)
+    b = np.where(rng.random(a.shape) < rng.random((300, 1)), a, rng.integers(0, 40, a.shape)).astype(np.uint16)
+    na = rng.integers(850, 1000, 300).astype(float)
+    nb = np.full(300, 1000.0)
+    want = (X.estimate(a, b, na, nb) >= X.least_estimate(85)) & (2 * (a == b).sum(axis=1) >= X.REGISTERS)
+    assert (X.likely(a, b, na, nb, 85) == want).all() and 50 < want.sum() < 250
+
+
 def test_rows_without_ids(spark):
     rows = [(None, "one two three four five six")] * 5 + [(None, "quite another text of seven words here"), (3, "One two three four five six")]
     df = spark.createDataFrame(rows, SCHEMA).select("*", F.lit(1).alias("node"), F.lit("x").alias("Text"))
