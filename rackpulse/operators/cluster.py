@@ -1,16 +1,27 @@
-"""Clustering of aligned metric rows.
-
-Nearest-centre search joins every point once to the array of its group's
-centres (one row per group, k entries) and finds the closest with a
-higher-order ``aggregate`` in the JVM. No point x centre rows are emitted and
-no Python runs per row. Lloyd steps are ``groupBy(group, cluster).avg``.
+"""Clustering of aligned metric rows.
+
+Centres are few (k is half the root of the number of points), so all groups'
+and runs' centres are gathered, their number checked against ``MOST_CENTERS``
+first, and broadcast. Points then pass through one blocked kernel: per Arrow
+batch and group, the squared distances of a block of points to all centres of a
+run, feature by feature. No point carries centres, no point is copied for
+another run, and nothing is shuffled by group, so a hot group is spread like
+any other rows. A Lloyd step sums up per task and centre what lies nearest and
+merges these partial sums; it reads the points once for all groups and runs,
+and the loop ends at the fixed point.
+
+Beyond ``MOST_CENTERS`` the centres stay a table: points are joined, salted, to
+their group's array of centres.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +29,11 @@ from ..session import stage
 
 FEATURES = ["filewrites", "filereads", "CPU", "diskIOBW", "net_bytes"]
 
+#: Centres of all groups and runs that are broadcast (80 MB of five features).
+MOST_CENTERS = 2_000_000
+_CELLS = 1 << 21  # distances held at once
+_SALTS = 32
+
 
 def feature_rows(aligned: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
     """Drop the time, keep rows whose features are all numbers (others are
@@ -63,17 +79,153 @@ def start_centers(points: DataFrame, group: Sequence[str], t: Column, tie: str,
     return chosen.select(*group, *run, F.floor(at / many).cast("int").alias("cluster_id"), *features)
 
 
+def _name(group: Sequence[str]) -> Column:
+    """The name of a row's group in the kernel."""
+    return F.to_json(F.struct(*group), {"ignoreNullFields": "false"}) if group else F.lit("")
+
+
+class Gathered:
+    """Centres by group name and run, as matrices ordered by cluster id."""
+
+    def __init__(self, names: Sequence[str], runs: Sequence[int], ids: Sequence[int], at: np.ndarray, weights: dict | None = None):
+        order = sorted(range(len(ids)), key=lambda i: (names[i], runs[i], ids[i]))
+        self.names, self.runs, self.ids = ([x[i] for i in order] for x in (names, runs, ids))
+        self.at, self.order = np.asarray(at, np.float64)[order], order
+        self.weights = weights  # by group: one factor a feature
+        self.parts: dict[str, list[tuple[int, int, int]]] = {}
+        start = 0
+        for end in range(1, len(order) + 1):
+            if end == len(order) or (self.names[end], self.runs[end]) != (self.names[start], self.runs[start]):
+                self.parts.setdefault(self.names[start], []).append((self.runs[start], start, end))
+                start = end
+
+    def nearest(self, points: np.ndarray, name: str) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        """Per block of points: its place, and for each run of the group (a
+        column each) the place in ``at`` of the nearest centre and the squared
+        distance; ties to the lower id, -1 where no distance is a number."""
+        parts = self.parts.get(name)
+        if not parts:
+            return
+        first, last = parts[0][1], parts[-1][2]
+        own = self.at[first:last]
+        factor = self.weights[name] if self.weights else None
+        step = max(1, _CELLS // len(own))
+        for a in range(0, len(points), step):
+            block = points[a: a + step]
+            d2 = np.zeros((len(block), len(own)))
+            for f in range(own.shape[1]):
+                diff = block[:, f, None] - own[None, :, f]
+                d2 += diff * diff if factor is None else diff * diff * factor[f]
+            d2[np.isnan(d2)] = np.inf
+            place = np.column_stack([d2[:, s - first: e - first].argmin(axis=1) + s for _, s, e in parts])
+            least = np.take_along_axis(d2, place - first, axis=1)
+            place[np.isinf(least)] = -1
+            yield slice(a, a + len(block)), place, least
+
+
+def _gathered(centers: DataFrame, group: Sequence[str], features: Sequence[str]) -> Gathered | None:
+    """The centres on the driver, or None where they are more than ``MOST_CENTERS``."""
+    run = F.col("run") if "run" in centers.columns and "run" not in group else F.lit(0)
+    rows = centers.select(_name(group).alias("name"), run.cast("int").alias("run"), F.col("cluster_id").cast("int").alias("id"),
+                          *[F.col(f).cast("double").alias(f"f{i}") for i, f in enumerate(features)])
+    got = rows.limit(MOST_CENTERS + 1).toArrow()
+    if got.num_rows > MOST_CENTERS:
+        return None
+    at = np.column_stack([np.asarray(got.column(f"f{i}")) for i in range(len(features))])
+    return Gathered(got.column("name").to_pylist(), got.column("run").to_pylist(), got.column("id").to_pylist(), at)
+
+
+def _matrix(batch: pa.RecordBatch, features: Sequence[str]) -> np.ndarray:
+    return np.column_stack([np.asarray(batch.column(f).cast(pa.float64()).fill_null(float("nan")), dtype=np.float64) for f in features])
+
+
+def _by_group(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray]]:
+    """Group names of a batch and the places of their rows."""
+    coded = pc.dictionary_encode(batch.column("_group"))
+    codes = np.asarray(coded.indices)
+    for i, name in enumerate(coded.dictionary.to_pylist()):
+        yield name, np.nonzero(codes == i)[0]
+
+
+def _sums(points: DataFrame, held: Gathered, group: Sequence[str], features: Sequence[str]) -> DataFrame:
+    """(place, n, s0, s1, ..., cost): per centre the number, sums and squared
+    distances of the points nearest to it; one partial row a task and centre."""
+    shared = points.sparkSession.sparkContext.broadcast(held)
+    names = [f"s{i}" for i in range(len(features))]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        total = np.zeros((len(own.ids), len(features) + 2))
+        for batch in batches:
+            at = _matrix(batch, features)
+            for name, rows in _by_group(batch):
+                for block, place, d2 in own.nearest(at[rows], name):
+                    some = place >= 0
+                    to, which = place[some], np.nonzero(some)[0]
+                    start, end = own.parts[name][0][1], own.parts[name][-1][2]
+                    values = [None, *at[rows][block][which].T, d2[some]]
+                    total[start:end] += np.column_stack([np.bincount(to - start, weights=v, minlength=end - start) for v in values])
+        used = np.nonzero(total[:, 0])[0]
+        yield pa.RecordBatch.from_arrays([pa.array(used), *[pa.array(total[used, i]) for i in range(total.shape[1])]], names=["place", "n", *names, "cost"])
+
+    rows = points.select(_name(group).alias("_group"), *features)
+    partial = rows.mapInArrow(scan, "place long, n double, " + ", ".join(f"{x} double" for x in names) + ", cost double")
+    return partial.groupBy("place").agg(*[F.sum(x).alias(x) for x in ("n", *names, "cost")])
+
+
+def _stepped(points: DataFrame, held: Gathered, group: Sequence[str], features: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(centres, numbers of points, costs) after one Lloyd step; a centre without points keeps its place."""
+    got = _sums(points, held, group, features).toArrow()  # one row a centre at most
+    place, n = np.asarray(got.column("place")), np.zeros(len(held.ids))
+    cost, at = np.zeros(len(held.ids)), held.at.copy()
+    n[place], cost[place] = np.asarray(got.column("n")), np.asarray(got.column("cost"))
+    for i in range(len(features)):
+        at[place, i] = np.asarray(got.column(f"s{i}")) / n[place]
+    return at, n, cost
+
+
+def _table(centers: DataFrame, held: Gathered, group: Sequence[str], features: Sequence[str], at: np.ndarray, **more: np.ndarray) -> DataFrame:
+    """The centres' table with new places, and further columns."""
+    runs = ["run"] if "run" in centers.columns and "run" not in group else []
+    table = pa.table({"_name": held.names, "_run": pa.array(held.runs, pa.int32()), "_id": pa.array(held.ids, pa.int32()),
+                      **{f: at[:, i] for i, f in enumerate(features)}, **{k: pa.array(v) for k, v in more.items()}})
+    rows = centers.sparkSession.createDataFrame(table)
+    of = F.from_json("_name", centers.select(*group).schema) if group else None
+    return rows.select(*[of[g].alias(g) for g in group], *[F.col("_run").alias(r) for r in runs], F.col("_id").alias("cluster_id"), *features, *more)
+
+
+def spread(points: DataFrame, group: Sequence[str], features: Sequence[str] = FEATURES) -> dict[str, np.ndarray]:
+    """M7: by group, one over the (population) variance of each feature: the
+    weights under which distances are those of standardised features. A feature
+    that does not vary has weight 0. Centres need no mapping back: means of
+    standardised points are standardised means."""
+    rows = points.groupBy(_name(group).alias("name")).agg(*[F.var_pop(f).alias(f"v{i}") for i, f in enumerate(features)])
+    got = rows.limit(MOST_CENTERS + 1).toArrow()
+    if got.num_rows > MOST_CENTERS:
+        raise ValueError(f"more than {MOST_CENTERS} groups to standardise")
+    v = np.column_stack([np.asarray(got.column(f"v{i}")) for i in range(len(features))])
+    with np.errstate(divide="ignore"):
+        return dict(zip(got.column("name").to_pylist(), np.where(v > 0, 1 / v, 0.0), strict=True))
+
+
 def in_runs(points: DataFrame, runs: int) -> DataFrame:
-    """Each point once per run (column ``run``): all starts step in one pass."""
+    """Each point once per run (column ``run``): for the join beyond ``MOST_CENTERS``."""
     return points.withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))))
 
 
 def best_run(points: DataFrame, centers: DataFrame, group: Sequence[str], features: Sequence[str] = FEATURES) -> DataFrame:
     """M2: per group the centres of the run of least cost (to 6 places; ties:
-    the first run), with ``run`` and ``cost``. Both inputs have ``run``."""
+    the first run), with ``run`` and ``cost``. ``centers`` has ``run``."""
     group = list(group)
-    cost = nearest_center(points, centers.select(*group, "run", "cluster_id", *features), [*group, "run"], features) \
-        .groupBy(*group, "run").agg(F.round(F.sum("d2") + 1e-9, 6).alias("cost"))
+    held = _gathered(centers, group, features)
+    if held is None:
+        runs = centers.agg(F.max("run")).first()[0] + 1
+        cost = nearest_center(in_runs(points, runs), centers.select(*group, "run", "cluster_id", *features), [*group, "run"], features) \
+            .groupBy(*group, "run").agg(F.sum("d2").alias("cost"))
+    else:
+        _, _, costs = _stepped(points, held, group, features)
+        cost = _table(centers, held, group, features, held.at, cost=costs).groupBy(*group, "run").agg(F.sum("cost").alias("cost"))
+    cost = cost.withColumn("cost", F.round(F.col("cost") + 1e-9, 6))
     best = cost.groupBy(*group).agg(F.min(F.struct("cost", "run")).alias("_b")).select(*group, F.col("_b.run").alias("run"), F.col("_b.cost").alias("cost"))
     return centers.join(best, [*group, "run"])
 
@@ -106,9 +258,39 @@ def _d2(point: Sequence[Column], c: Column, features: Sequence[str]) -> Column:
 def nearest_center(points: DataFrame, centers: DataFrame, group: Sequence[str],
                    features: Sequence[str] = FEATURES) -> DataFrame:
     """The closest centre (squared Euclidean distance) of each point's
-    group; ties go to the lower ``cluster_id``. Adds ``cluster_id`` and ``d2``."""
+    group; ties go to the lower ``cluster_id``. Adds ``cluster_id`` and ``d2``;
+    points of a group without centres go."""
     group = list(group)
-    arr = centers_array(centers, group, features)
+    held = _gathered(centers, group, features)
+    if held is None:
+        return _nearest_by_join(points, centers, group, features)
+    shared = points.sparkSession.sparkContext.broadcast(held)
+    names = points.columns
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        known = np.asarray(own.ids, np.int32)
+        for batch in batches:
+            at = _matrix(batch, features)
+            ids, least, kept = np.full(len(at), -1, np.int32), np.full(len(at), np.inf), np.zeros(len(at), bool)
+            for name, rows in _by_group(batch):
+                for block, place, d2 in own.nearest(at[rows], name):
+                    to = rows[block]
+                    ids[to], least[to], kept[to] = np.where(place < 0, -1, known[place])[:, 0], d2[:, 0], True
+            cols = [batch.column(c) for c in names] + [pa.array(ids), pa.array(least)]
+            yield pa.RecordBatch.from_arrays(cols, names=[*names, "cluster_id", "d2"]).filter(pa.array(kept))
+
+    from pyspark.sql.types import DoubleType, IntegerType, StructType
+
+    schema = StructType([*points.schema.fields]).add("cluster_id", IntegerType()).add("d2", DoubleType())
+    return points.select("*", _name(group).alias("_group")).mapInArrow(scan, schema)
+
+
+def _nearest_by_join(points: DataFrame, centers: DataFrame, group: Sequence[str], features: Sequence[str]) -> DataFrame:
+    """The same with centres too many to gather: a join with the array of the
+    group's centres, the group's points salted."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt")
+    arr = centers_array(centers, group, features).select("*", salts)
     pts = [F.col(f) for f in features]
     init = F.struct(F.lit(float("inf")).alias("d2"), F.lit(-1).alias("cluster_id"))
 
@@ -118,7 +300,8 @@ def nearest_center(points: DataFrame, centers: DataFrame, group: Sequence[str],
             .otherwise(acc)
 
     best = F.aggregate(F.col("_centers"), init, step)
-    return (points.join(arr, group)
+    salted = points.withColumn("_salt", F.pmod(F.xxhash64(*features), F.lit(_SALTS)).cast("int"))
+    return (salted.join(arr, [*group, "_salt"])
             .withColumn("_best", best)
             .select(*points.columns, F.col("_best.cluster_id").alias("cluster_id"),
                     F.col("_best.d2").alias("d2")))
@@ -135,40 +318,56 @@ def cluster_cost(assigned: DataFrame, group: Sequence[str]) -> DataFrame:
 def lloyd_step(points: DataFrame, centers: DataFrame, group: Sequence[str],
                features: Sequence[str] = FEATURES) -> DataFrame:
     """M5: one Lloyd step; a centre without points keeps its place."""
-    group = list(group)
-    a = nearest_center(points, centers, group, features)
-    means = a.groupBy(*group, "cluster_id").agg(
-        *[F.avg(f).alias("_m_" + f) for f in features], F.count(F.lit(1)).alias("n_points"))
-    return (centers.join(means, group + ["cluster_id"], "left")
-            .select(*group, "cluster_id",
-                    *[F.coalesce(F.col("_m_" + f), F.col(f)).alias(f) for f in features],
-                    F.coalesce(F.col("n_points"), F.lit(0)).alias("n_points")))
+    return lloyd(points, centers, group, 1, features)
 
 
 def lloyd(points: DataFrame, centers: DataFrame, group: Sequence[str], iterations: int,
-          features: Sequence[str] = FEATURES, checkpoint_every: int = 1, persist: bool = True) -> DataFrame:
-    """M6: ``iterations`` Lloyd steps for every group at once (many small
-    clusterings in one job). Each step reads its centres twice, so the centres
-    (k rows per group) are written to the cluster's shared checkpoint folder
-    after every step; lineage stays one step long. ``persist=False`` for points
-    that are cheap to read again (a written table)."""
-    from pyspark import StorageLevel
-
-    pts = points.persist(StorageLevel.MEMORY_AND_DISK) if persist else points
-    try:
-        c = centers
-        for i in range(iterations):
-            c = lloyd_step(pts, c.select(*group, "cluster_id", *features), group, features)
-            if i + 1 == iterations or (checkpoint_every and (i + 1) % checkpoint_every == 0):
-                # written once to the shared checkpoint folder (one job; an
-                # RDD checkpoint would compute the step twice)
-                c = stage(c, "lloyd_centers")
-    finally:
-        if persist:
-            pts.unpersist()
+          features: Sequence[str] = FEATURES, weights: dict[str, np.ndarray] | None = None) -> DataFrame:
+    """M6: ``iterations`` Lloyd steps for every group, and every run of the
+    column ``run`` of ``centers``, at once; fewer where no centre moves any more.
+    ``weights``: of the features by group (``spread``). Give written points, they
+    are read once a step. Returns the centres with ``n_points``."""
+    group = list(group)
+    held = _gathered(centers, group, features)
+    if held is None:
+        if weights:
+            raise ValueError("too many centres to standardise")
+        return _lloyd_by_join(points, centers, group, iterations, features)
+    held.weights = weights
+    n = np.zeros(len(held.ids))
+    for _ in range(iterations):
+        at, n, _ = _stepped(points, held, group, features)
+        still = (at == held.at).all()
+        held.at = at
+        if still:
+            break
+    return _table(centers, held, group, features, held.at, n_points=n.astype(np.int64))
+
+
+def _lloyd_by_join(points: DataFrame, centers: DataFrame, group: Sequence[str], iterations: int, features: Sequence[str]) -> DataFrame:
+    """The same with centres too many to gather: each step's centres are written
+    to the cluster's shared folder."""
+    keys = list(group)
+    if "run" in centers.columns and "run" not in group:
+        points, keys = in_runs(points, centers.agg(F.max("run")).first()[0] + 1), [*group, "run"]
+    c = centers
+    for _ in range(iterations):
+        means = _nearest_by_join(points, c, keys, features).groupBy(*keys, "cluster_id").agg(
+            *[F.avg(f).alias("_m_" + f) for f in features], F.count(F.lit(1)).alias("n_points"))
+        c = stage(c.select(*keys, "cluster_id", *features).join(means, [*keys, "cluster_id"], "left")
+                  .select(*keys, "cluster_id", *[F.coalesce(F.col("_m_" + f), F.col(f)).alias(f) for f in features],
+                          F.coalesce(F.col("n_points"), F.lit(0)).alias("n_points")), "lloyd_centers")
     return c
 
 
+def sampled_centers(points: DataFrame, k: int, tag: Column, features: Sequence[str] = FEATURES) -> DataFrame:
+    """M3: a random start that any engine can repeat: the k points of least MD5
+    of ``tag`` (a string, unique to a point). Each task keeps its k least; these are merged."""
+    by = F.md5(tag.cast("binary"))
+    few = points.select(by.alias("_by"), *features).orderBy("_by").limit(k)  # k rows, half the root of all
+    return few.select((F.row_number().over(Window.orderBy("_by")) - 1).alias("cluster_id"), *features)
+
+
 def kmeans_fit(spark: SparkSession, points: DataFrame, k: int, seeds: Sequence[int] = (0,),
                max_iter: int = 10, init_mode: str = "random",
                features: Sequence[str] = FEATURES) -> tuple[DataFrame, float, int]:

@@ -1,4 +1,4 @@
-"""Queries over clustering."""
+"""Queries over clustering (P1, G6, G7, J7, M1-M7) and its named results (K3-K5)."""
 
 from __future__ import annotations
 
@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from ..operators import cluster as C
 from .. import tables as T
 from ..operators import selection as S
-from ..session import stage, stage_once
+from ..session import scratch_path, stage, stage_once
+from ..sources import sinks as K
 from .q_align import ALIGNED_SQL, q_aligned_metrics
 from .q_select import ASOF, REQ
-from .registry import query
+from .registry import ORACLES, query
 
 GROUP = ["server"]
 ITERATIONS = 10  # Lloyd steps of a clustering
@@ -93,7 +94,7 @@ def _fitted(spark, sf_dir):
     """The centres of each server's clustering, written once per input."""
     def fit():
         p = _points(spark, sf_dir)
-        return C.lloyd(p, _centers(p), GROUP, ITERATIONS, persist=False)
+        return C.lloyd(p, _centers(p), GROUP, ITERATIONS)
 
     return stage_once(spark, "fitted", sf_dir, fit)
 
@@ -178,9 +179,8 @@ SELECT server, run, cluster_id, {ROUNDED}, n_points, cost FROM c{ITERATIONS} JOI
 def q_kmeans_best_of(spark, sf_dir):
     """M2: ten starts per server in one Lloyd loop; the run of least cost wins."""
     p = _points(spark, sf_dir)
-    many = C.in_runs(p, RUNS)
-    c = C.lloyd(many, C.start_centers(p, GROUP, F.unix_date("day"), "rn", RUNS), [*GROUP, "run"], ITERATIONS, persist=False)
-    return r6cols(C.best_run(many, c, GROUP), FEATS).select("server", "run", "cluster_id", *FEATS, "n_points", "cost")
+    c = C.lloyd(p, C.start_centers(p, GROUP, F.unix_date("day"), "rn", RUNS), GROUP, ITERATIONS)
+    return r6cols(C.best_run(p, c, GROUP), FEATS).select("server", "run", "cluster_id", *FEATS, "n_points", "cost")
 
 
 JOB = ["server", "start_day", "end_day"]
@@ -205,6 +205,12 @@ def q_kmeans_per_request(spark, sf_dir):
     """The whole job: accepted requests -> the points of their days -> k from
     their number -> ten starts of ten steps -> the best run's centres under the
     result's name. All requests are clustered in one loop."""
+    _, best = _request_results(spark, sf_dir)
+    return r6cols(best, FEATS).select(*JOB, "name", "run", "cluster_id", *FEATS, "n_points", "cost")
+
+
+def _request_results(spark, sf_dir):
+    """(points, best centres) of every accepted request, under the result's name."""
     modes = S.request_mode(T.requests(spark, sf_dir), F.lit(ASOF).cast("date"))
     modes = modes.withColumn("server", F.regexp_extract("server", r"^sense(\d+)$", 1).cast("int"))
     s = F.to_date("start_date", "yyyy-MM-dd")
@@ -212,17 +218,64 @@ def q_kmeans_per_request(spark, sf_dir):
         "end_day", F.when(F.col("mode") == "range", F.to_date("end_date", "yyyy-MM-dd")).otherwise(s)))
     jobs = jobs.select(*JOB, "day").distinct()
     points = stage(jobs.join(_points(spark, sf_dir), ["server", "day"]), "request_points")
-    many = C.in_runs(points, RUNS)
-    c = C.lloyd(many, C.start_centers(points, JOB, F.unix_date("day"), "rn", RUNS), [*JOB, "run"], ITERATIONS, persist=False)
-    names = S.output_name(points.select(F.struct(*JOB).alias("job"), "server", "day"), ["job"])
-    best = C.best_run(many, c, JOB).join(names.select("job.*", "name"), JOB)
-    return r6cols(best, FEATS).select(*JOB, "name", "run", "cluster_id", *FEATS, "n_points", "cost")
+    c = C.lloyd(points, C.start_centers(points, JOB, F.unix_date("day"), "rn", RUNS), JOB, ITERATIONS)
+    names = S.output_name(points.select(F.struct(*JOB).alias("job"), "server", "day"), ["job"]).select("job.*", "name")
+    return points.join(names, JOB), C.best_run(points, c, JOB).join(names, JOB)
+
 
+_KPR = ORACLES["kmeans_per_request"]
 
-@query("kmeans_centers")
+
+@query("request_outputs", _KPR[:_KPR.rindex("SELECT " + JOB_KEYS)].rstrip() + f"""
+, one AS (SELECT name, min((start_day, end_day)) AS job FROM used GROUP BY name),
+mine AS (SELECT u.* FROM used u JOIN one o ON o.name = u.name AND o.job = (u.start_day, u.end_day))
+SELECT name, 'center' AS kind, {ROUNDED} FROM c{ITERATIONS} JOIN best USING ({JOB_KEYS.replace(" ", "")}, run) JOIN mine USING ({JOB_KEYS.replace(" ", "")})
+UNION ALL
+SELECT name, 'point', {ROUNDED} FROM jpts JOIN mine USING ({JOB_KEYS.replace(" ", "")})
+""")
+def q_request_outputs(spark, sf_dir):
+    """K3-K5: every request's points and centres written under the result's name
+    in one job each, and read back through the manifest. Requests that use the same
+    days of a server have one name and one result."""
+    points, best = _request_results(spark, sf_dir)
+    path = scratch_path(spark, "request_outputs")
+    least = best.groupBy("name").agg(F.min(F.struct(*JOB)).alias("job")).select("name", "job.*")
+    K.write_named(points.join(least, ["name", *JOB]), best.join(least, ["name", *JOB]), path)
+    return r6cols(K.read_named(spark, path), FEATS).select("name", "kind", *FEATS)
+
+
+@query("kmeans_centers", f"""
+WITH {POINTS_CTE}, kk AS (SELECT {K_SQL} AS k FROM pts),
+gpts AS (SELECT 0 AS g, server * 100000000 + rn AS rn, CAST(day AS VARCHAR) AS day, {FLIST} FROM pts),
+gctr AS (SELECT 0 AS g, CAST(r - 1 AS INTEGER) AS cluster_id, {FLIST} FROM
+         (SELECT *, row_number() OVER (ORDER BY md5(server || '|' || day || '|' || rn)) AS r FROM pts) t, kk WHERE r <= k),
+{lloyd_sql(ITERATIONS, "gctr", "gpts", "g")}
+SELECT cluster_id, {ROUNDED}, n_points FROM c{ITERATIONS}
+""")
 def q_kmeans_centers(spark, sf_dir):
-    """M1/M3: one ``pyspark.ml`` k-means over all aligned rows, k from G6."""
+    """M1/M3: one clustering of all aligned rows, k from G6, from a random start
+    that is the same in every engine."""
+    p = _points(spark, sf_dir)
+    k = C.pick_k_value(p.agg(F.count("*")).first()[0])
+    start = C.sampled_centers(p, k, F.concat_ws("|", "server", "day", "rn"))
+    return r6cols(C.lloyd(p, start, [], ITERATIONS), FEATS)
+
+
+STD_D2 = " + ".join(f"(p.{f} - c.{f}) * (p.{f} - c.{f}) * v_{f}" for f in FEATS)
+
+
+def std_sql(iters: int) -> str:
+    """Lloyd steps under the weights of ``sprd``."""
+    return lloyd_sql(iters).replace(D2, STD_D2).replace("c USING (server))", "c USING (server) JOIN sprd USING (server))")
+
+
+@query("kmeans_standardised", f"""
+WITH {POINTS_CTE},
+sprd AS (SELECT server, {", ".join(f"CASE WHEN var_pop({f}) > 0 THEN 1 / var_pop({f}) ELSE 0 END AS v_{f}" for f in FEATS)} FROM pts GROUP BY server),
+{std_sql(ITERATIONS)}
+SELECT server, cluster_id, {ROUNDED}, n_points FROM c{ITERATIONS}
+""")
+def q_kmeans_standardised(spark, sf_dir):
+    """M7: every server's clustering with standardised features."""
     p = _points(spark, sf_dir)
-    k = C.pick_k_value(p.count())
-    centers, _, _ = C.kmeans_fit(spark, p, k, seeds=(0,))
-    return centers
+    return r6cols(C.lloyd(p, _centers(p), GROUP, ITERATIONS, weights=C.spread(p, GROUP)), FEATS)

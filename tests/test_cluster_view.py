@@ -123,3 +123,53 @@ def test_ordinal_codes_first_appearance(spark):
     df = spark.createDataFrame([(5, "b"), (1, "c"), (3, "b"), (2, "a")], "pos int, v string")
     got = {r.v: (r.code, r.slot) for r in V.ordinal_codes(df, "v", "pos", palette=2).collect()}
     assert got == {"c": (0, 0), "a": (1, 1), "b": (2, 0)}
+
+
+def _as_rows(df, *order):
+    return [tuple(r) for r in df.orderBy(*order).collect()]
+
+
+def test_too_many_centres_are_joined(spark, pts, monkeypatch):
+    """The join beyond the bound gives what the broadcast kernel gives, for several groups and runs."""
+    df, _ = pts
+    df = df.withColumn("server", (F.col("rn") % 3).cast("int")).withColumn("day", F.lit("2020-01-01").cast("date"))
+    start = C.start_centers(df, ["server"], F.unix_date("day"), "rn", 4)
+    kernel = (_as_rows(C.nearest_center(df, start.where("run = 0").drop("run"), ["server"]), "rn"),
+              _as_rows(C.best_run(df, C.lloyd(df, start, ["server"], 3), ["server"]).select("server", "run", "cluster_id", "n_points"), "server", "cluster_id"))
+    monkeypatch.setattr(C, "MOST_CENTERS", 5)
+    joined = (_as_rows(C.nearest_center(df, start.where("run = 0").drop("run"), ["server"]), "rn"),
+              _as_rows(C.best_run(df, C.lloyd(df, start, ["server"], 3), ["server"]).select("server", "run", "cluster_id", "n_points"), "server", "cluster_id"))
+    assert kernel == joined and kernel[0] and kernel[1]
+
+
+def test_lloyd_ends_at_the_fixed_point(spark, monkeypatch):
+    p = spark.createDataFrame([(0, float(x)) for x in (0, 1, 10, 11)], "g int, x double")
+    c = spark.createDataFrame([(0, 0, 0.0), (0, 1, 1.0)], "g int, cluster_id int, x double")
+    steps = []
+    real = C._stepped
+    monkeypatch.setattr(C, "_stepped", lambda *a: steps.append(1) or real(*a))
+    got = {r.cluster_id: (r.x, r.n_points) for r in C.lloyd(p, c, ["g"], 50, ["x"]).collect()}
+    assert got == {0: (0.5, 2), 1: (10.5, 2)} and len(steps) < 6
+
+
+def test_awkward_points_and_groups(spark):
+    p = spark.createDataFrame([(None, 1.0), (None, 9.0), ("a", None), ("a", float("nan")), ("a", 2.0), ("b", 1.0)], "g string, x double")
+    c = spark.createDataFrame([(None, 5, 0.0), (None, 6, 10.0), ("a", 7, 2.0), ("a", 8, 2.0)], "g string, cluster_id int, x double")
+    got = sorted(((r.g, r.cluster_id, r.d2) for r in C.nearest_center(p, c, ["g"], ["x"]).collect()), key=str)
+    inf = float("inf")
+    assert got == sorted([(None, 5, 1.0), (None, 6, 1.0), ("a", -1, inf), ("a", -1, inf), ("a", 7, 0.0)], key=str)
+    assert C.nearest_center(p.limit(0), c, ["g"], ["x"]).count() == 0
+    assert C.lloyd(p.limit(0), c, ["g"], 2, ["x"]).agg(F.sum("n_points")).first()[0] == 0
+
+
+def test_standardised_distances(spark, pts):
+    df, data = pts
+    start = C.first_k_centers(df, ["server"], ["rn"], 13)
+    got = _as_rows(C.lloyd(df, start, ["server"], 2, weights=C.spread(df, ["server"])).select("cluster_id", *FEATS, "n_points"), "cluster_id")
+    z, at = (data - data.mean(0)) / data.std(0), None
+    cen = z[:13]
+    for _ in range(2):
+        at = ((z[:, None] - cen[None]) ** 2).sum(2).argmin(1)
+        cen = np.array([z[at == k].mean(0) if (at == k).any() else cen[k] for k in range(13)])
+    assert [r[-1] for r in got] == np.bincount(at, minlength=13).tolist()
+    np.testing.assert_allclose([r[1:-1] for r in got], cen * data.std(0) + data.mean(0), rtol=1e-9)

@@ -111,3 +111,27 @@ def test_ingest_walks_folders_and_goes_by_age(spark, tmp_dir):
     assert sorted((r.id, r.source_file) for r in read_ingested(spark, f"{tmp_dir}/dst").collect()) == [(0, "a.csv"), (1, "b.csv")]
     ingest_available(spark, f"{tmp_dir}/src", f"{tmp_dir}/all", f"{tmp_dir}/ck2", schema, "csv")
     assert sorted(r.id for r in read_ingested(spark, f"{tmp_dir}/all").collect()) == [0, 1, 2, 3]
+
+
+def test_named_results_are_seen_whole(spark, tmp_dir):
+    import glob
+    import os
+
+    import pytest
+
+    from rackpulse.sources import sinks as K
+
+    feats = "name string, filewrites double, filereads double, CPU double, diskIOBW double, net_bytes double"
+    points = spark.createDataFrame([(n, float(i), 1.0, 2.0, 3.0, 0.1) for n in ("2014-01-01_01-02_sense1", "b c") for i in range(50)], feats)
+    centers = points.where("filewrites < 3")
+    path = tmp_dir + "/results"
+    K.write_named(points, centers, path)
+    assert K.read_named(spark, path).groupBy("name", "kind").count().count() == 4
+    assert K.read_named(spark, path).count() == 106
+    K.write_named(points.where("name = 'b c' AND filewrites < 9"), centers.where("name = 'b c'"), path)  # one name is replaced
+    got = {(r.name, r.kind): r["count"] for r in K.read_named(spark, path).groupBy("name", "kind").count().collect()}
+    assert got[("b c", "point")] == 9 and got[("2014-01-01_01-02_sense1", "point")] == 50
+    for f in glob.glob(f"{path}/points/name=b*/part-*"):
+        os.remove(f)
+    with pytest.raises(ValueError):
+        K.read_named(spark, path)
