@@ -185,11 +185,15 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2, doc_col:
 
 
 def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 2, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group: the one of smallest doc_id
-    (rows with a null doc_id stay; so do all rows sharing the doc_id that stays)."""
+    """``docs`` with one row of each group: the one of smallest doc_id (null
+    last), then of least hash of its values. Rows are told apart by number, so of
+    repeated rows one stays, and rows sharing a doc_id are dealt with one by one."""
     names = docs.columns
-    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    columns = [f"c{i}" for i in range(len(names))]
+    held = stage(docs.toDF(*columns).withColumn("row", F.monotonically_increasing_id()), "simhash-rows")
+    groups = near_duplicates(held.select("row", F.col(f"c{names.index(text_col)}").alias("text")), words, max_bits, "row", "text")
     doc = F.col(f"c{names.index(doc_col)}").cast("long")
-    gone = (near_duplicates(docs, words, max_bits, doc_col, text_col)
-            .where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct())
-    return plain.join(gone, doc == F.col("gone"), "left_anti").toDF(*names)
+    order = F.struct(doc.isNull().alias("missing"), doc.alias("doc"), F.xxhash64(*columns).alias("hash"), F.col("row").alias("row"))
+    ranked = held.select(F.col("row").alias("of"), order.alias("order")).join(groups.select(F.col("doc_id").alias("named"), "component_id"), F.col("of") == F.col("named"))
+    first = ranked.groupBy("component_id").agg(F.min("order").alias("first")).select(F.col("first.row").alias("kept"))
+    return held.join(first, F.col("row") == F.col("kept"), "left_semi").select(*columns).toDF(*names)

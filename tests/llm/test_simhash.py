@@ -75,5 +75,25 @@ def test_chain_component(spark):
 
 
 def test_keep_one(spark):
-    df = spark.createDataFrame([(5, "a b c d e"), (2, "A B C D E"), (9, "quite other words here"), (None, "a b c d e")], "doc_id long, text string")
-    assert sorted(map(tuple, X.keep_one(df).collect()), key=str) == sorted([(2, "A B C D E"), (9, "quite other words here"), (None, "a b c d e")], key=str)
+    def kept(rows):
+        return sorted(map(tuple, X.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+
+    same, other = "a b c d e", "quite other words here now"
+    assert kept([(5, same), (2, same.upper()), (9, other), (None, same)]) == sorted([(2, same.upper()), (9, other)], key=str)
+    assert kept([(1, same), (1, same), (2, same), (2, other)]) == [(1, same), (2, other)]  # rows, not ids
+    assert kept([(None, same), (None, same), (None, other)]) == sorted([(None, same), (None, other)], key=str)
+
+
+def test_keep_one_against_brute_force(spark):
+    df = awkward(spark)
+    roots = brute_rows([fingerprint(t) for _, t in AWKWARD])
+    got = sorted((tuple(r) for r in X.keep_one(df).select(*df.columns[:1]).collect()), key=str)
+    best = {}
+    for (d, _), root in zip(AWKWARD, roots, strict=True):
+        best[root] = min(best.get(root, (True, 0)), (d is None, d or 0))
+    assert got == sorted(((None if missing else d,) for missing, d in best.values()), key=str)
+    assert X.keep_one(df).columns == df.columns and X.keep_one(df.limit(0)).count() == 0
+
+
+def brute_rows(prints, bits=2):
+    return brute([(i, p) for i, p in enumerate(prints)], bits)
