@@ -51,7 +51,7 @@ def sized(docs: DataFrame, doc_col: str = "doc_id", source_col: str = "source",
     return stage(own.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc").cast("long").alias("doc"), "source",
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        ((F.expr("xxhash64(doc, source)").bitwiseAND(F.lit((1 << 52) - 1)) + 0.5) / float(1 << 52)).alias("u")), "mix-sizes")
+        ((F.expr("xxhash64(doc, source, text)").bitwiseAND(F.lit((1 << 52) - 1)) + 0.5) / float(1 << 52)).alias("u")), "mix-sizes")
 
 
 def numbered(sources: DataFrame) -> DataFrame:
@@ -144,7 +144,7 @@ def copies(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float
               .select(F.col("row").alias("taken_row")))
     up = F.expr("strip is not null and (last is null or strip < last)") | F.col("taken_row").isNotNull()
     dealt = stage(joined.join(inside, F.col("row") == F.col("taken_row"), "left")
-                  .withColumn("copies", F.col("whole") + F.when(up, 1).otherwise(0)).drop("of", "last", "room", "taken_row", "strip", "turn", "u", "whole"), "mix-copies")
+                  .withColumn("copies", F.col("whole") + F.when(up, 1).otherwise(0)).drop("of", "last", "room", "taken_row", "strip", "turn", "whole"), "mix-copies")
 
     rest = dealt.groupBy("number").agg((F.first("target") - F.sum(F.col("size") * F.col("copies"))).alias("rest"))
     rest = stage(rest, "mix-rest")
@@ -152,18 +152,18 @@ def copies(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float
     for _ in range(fill):
         want = rest if extra is None else rest.join(extra.groupBy(F.col("at").alias("of")).agg(F.sum("given").alias("given")), F.col("of") == F.col("number"), "left").select("number", (F.col("rest") - F.coalesce("given", F.lit(0))).alias("rest"))
         want = want.where("rest >= 1").select(F.col("number").alias("to"), "rest")
-        able = dealt.where(f"size > 0 and copies < {most}").select("number", "size", "row")
+        able = dealt.where(f"size > 0 and copies < {most}").select("number", "size", "u", "doc", "row")
         if extra is not None:
             able = able.join(extra.select(F.col("row").alias("gone")), F.col("row") == F.col("gone"), "left_anti")
         best = (able.join(want, (F.col("to") == F.col("number")) & (F.col("size") <= F.col("rest")))
-                .groupBy("number").agg(F.max(F.struct("size", "row")).alias("b"))
+                .groupBy("number").agg(F.max(F.struct("size", "u", "doc", "row")).alias("b"))  # rows that tie in all but the number are alike
                 .select(F.col("number").alias("at"), F.col("b.row").alias("row"), F.col("b.size").alias("given")))
         extra = stage(best if extra is None else extra.unionByName(best), "mix-fill")
     if extra is None:
-        return dealt
+        return dealt.drop("u")
     more = extra.select(F.col("row").alias("more_row"))
     return (dealt.join(more, F.col("row") == F.col("more_row"), "left")
-            .withColumn("copies", (F.col("copies") + F.when(F.col("more_row").isNotNull(), 1).otherwise(0)).cast("long")).drop("more_row"))
+            .withColumn("copies", (F.col("copies") + F.when(F.col("more_row").isNotNull(), 1).otherwise(0)).cast("long")).drop("more_row", "u"))
 
 
 def mixed(docs: DataFrame, doc_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options) -> DataFrame:
@@ -172,7 +172,7 @@ def mixed(docs: DataFrame, doc_col: str = "doc_id", source_col: str = "source",
     held = stage(docs.toDF(*[f"c{i}" for i in range(len(names))]).withColumn("row", F.monotonically_increasing_id()), "mix-docs")
     at = {n: f"c{names.index(c)}" for n, c in (("doc", doc_col), ("source", source_col), ("text", text_col))}
     sizes = stage(held.select("row", F.col(at["doc"]).cast("long").alias("doc"), F.col(at["source"]).alias("source"),
-                              F.coalesce(F.regexp_count(at["text"], F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-                  .withColumn("u", (F.expr("xxhash64(doc, source)").bitwiseAND(F.lit((1 << 52) - 1)) + 0.5) / float(1 << 52)), "mix-sizes")
+                              F.coalesce(F.regexp_count(at["text"], F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.col(at["text"]).alias("text"))
+                  .withColumn("u", (F.expr("xxhash64(doc, source, text)").bitwiseAND(F.lit((1 << 52) - 1)) + 0.5) / float(1 << 52)).drop("text"), "mix-sizes")
     taken = copies(sizes, **options).where("copies > 0").select(F.col("row").alias("of"), F.explode(F.expr("sequence(1L, copies)")).alias("copy"))
     return held.join(taken, F.col("row") == F.col("of")).drop("row", "of", "copy").toDF(*names)

@@ -86,3 +86,9 @@ def test_numbers_follow_code_points(spark):
     df = spark.createDataFrame([(n, 1, 1) for n in names], "source string, source_size long, docs long")
     got = {r.source: r.number for r in M.numbered(df).collect()}
     assert got == {n: i for i, n in enumerate([*sorted(n for n in names if n is not None), None])}
+
+
+def test_the_layout_of_the_rows_does_not_matter(spark):
+    _, df = corpus(spark, 400)
+    one, many = ({(r.doc, r.copies) for r in M.copies(M.sized(df.repartition(n))).collect()} for n in (1, 7))
+    assert one == many
