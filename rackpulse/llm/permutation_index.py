@@ -16,8 +16,8 @@ product, and the per-shard lists are merged in a tree.
 * Equal vectors are indexed once, with their smallest ids (one more than
   ``k``, all any answer can use), so a vector shared by a third of all rows
   neither fills an inverted file nor crowds others out of the rerank.
-* Each shard reranks the ``rerank`` share of its vectors, ``least`` at least:
-  the work grows with the shard, and small inputs are searched exactly.
+* Each shard reranks the ``rerank`` share of its vectors, whatever its size, but
+  as many as are needed to hold k ids beside the query's (an id may have several vectors).
 
 Defined results:
 
@@ -130,7 +130,7 @@ def footrule_gains(order: np.ndarray, starts: np.ndarray, posted: np.ndarray, pl
 
 
 def nearest(vectors: DataFrame, k: int, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding",
-            pivots: int = 256, prefix: int = 64, rerank: float = 0.15, least: int = 1000,
+            pivots: int = 256, prefix: int = 64, rerank: float = 0.15,
             tile_rows: int = 16384, block_rows: int = 512, shard_bytes: int = 32 << 20) -> DataFrame:
     """Each query's ``k`` nearest found: (query_id long, rank int from 1, vec_id long, score double).
 
@@ -169,8 +169,10 @@ def nearest(vectors: DataFrame, k: int, is_query: Column, id_col: str = "vec_id"
             for tile in left[left.dim == block.dim].itertuples(index=False):
                 vecs, ids, ends = T.vecs_of(tile), T.ids_of(tile), np.frombuffer(tile.ends, np.int64)
                 files = (np.frombuffer(tile.starts, np.int64), np.frombuffer(tile.posted, np.int32), np.frombuffer(tile.places, np.int16))
-                most = max(least, int(np.ceil(rerank * tile.n)))
                 sizes = np.diff(ends, prepend=0)
+                spare = int(np.unique(ids, return_counts=True)[1].max())  # vectors that one id has here
+                cut = (k + 1) * spare  # hold k + 1 ids at least
+                most = max(cut, int(np.ceil(rerank * tile.n)))
                 for i in range(len(q)):
                     gains = footrule_gains(order[i], *files, tile.n, prefix)
                     if tile.n > most:
@@ -178,7 +180,7 @@ def nearest(vectors: DataFrame, k: int, is_query: Column, id_col: str = "vec_id"
                     else:
                         chosen = np.arange(tile.n)
                     scores = (vecs[chosen] * q[i]).sum(axis=1)
-                    _, top = T.at_least(scores[None, :], k + 1)
+                    _, top = T.at_least(scores[None, :], cut)
                     chosen, scores = chosen[top], scores[top]
                     own_ids = np.concatenate([ids[ends[c] - sizes[c]: ends[c]] for c in chosen]) if len(chosen) else ids[:0]
                     scores = np.repeat(scores, sizes[chosen])

@@ -76,7 +76,7 @@ def test_permutation_index_recall(spark, norms):
     if norms:
         x *= rng.uniform(0.2, 1.0, 6000)[:, None]
     x[2000:4000] = x[7]  # a third of all rows are one vector
-    got = P.nearest(table(spark, [(i, v.tolist()) for i, v in enumerate(x)]), 20, F.expr("id % 100 = 0"), least=200).collect()
+    got = P.nearest(table(spark, [(i, v.tolist()) for i, v in enumerate(x)]), 20, F.expr("id % 100 = 0")).collect()
     hits, found = 0, {}
     for r in got:
         found.setdefault(r.query_id, []).append(r)
@@ -105,3 +105,12 @@ def test_footrule_gains():
 def test_best_breaks_ties_by_id():
     rows, ids, scores = T.best(np.array([0, 0, 0, 0, 1]), np.array([9, 3, 3, 5, 1]), np.array([2, 2, 7, 2, 1]), 3)
     assert list(zip(rows.tolist(), ids.tolist(), scores.tolist(), strict=True)) == [(0, 3, 7), (0, 5, 2), (0, 9, 2), (1, 1, 1)]
+
+
+def test_an_id_on_many_vectors_leaves_room_for_others(spark):
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=8)
+    rows = [(0, base.tolist())] + [(1, (base + 0.01 * rng.normal(size=8)).tolist()) for _ in range(60)]
+    rows += [(2 + i, rng.normal(size=8).tolist()) for i in range(98)]
+    got = sorted(P.nearest(table(spark, rows), 20, F.expr("id = 0")).collect(), key=lambda r: r.rank)
+    assert [r.rank for r in got] == list(range(1, 21)) and got[0].vec_id == 1 and len({r.vec_id for r in got}) == 20
