@@ -31,11 +31,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = line_dedup.dedup_lines(docs, min_docs=5, min_chars=40).select(*docs.columns)
-    if "n_chars" not in docs.columns:
+    """All other columns stay as they are; a null ``n_chars`` stays null."""
+    names = docs.columns
+    columns = [f"c{i}" for i in range(len(names))]
+    text = f"c{names.index('text')}"
+    kept = line_dedup.dedup_lines(docs.toDF(*columns), min_docs=5, min_chars=40, doc_col=f"c{names.index('doc_id')}", text_col=text)
+    kept = kept.select(*columns).toDF(*names)
+    if "n_chars" not in names:
         return kept
-    length = F.length(F.coalesce(f"c{docs.columns.index('text')}", F.lit(""))).cast(docs.schema["n_chars"].dataType)
-    return common.replaced(kept, n_chars=length)
+    old = F.col(f"c{names.index('n_chars')}")
+    length = F.length(F.coalesce(F.col(text), F.lit(""))).cast(docs.schema[names.index("n_chars")].dataType)
+    return common.replaced(kept, n_chars=F.when(old.isNotNull(), length))
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

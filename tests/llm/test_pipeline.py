@@ -77,20 +77,40 @@ def test_run_gives_the_last_stage_s_rows(spark, stages):
 
 def test_entry_registers_everything():
     names = __spark_entry__.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert names["pipeline"] is corpus_pipeline.run
-    assert {"op4_secret_scan", "op7_line_dedup", "op8_exact_topk"} <= __spark_entry__.oracle_sql().keys()
+    assert {"op4_secret_scan", "op7_line_dedup", "op8_exact_topk", "op12_merkle_manifest", "op13_prefix_trie"} <= __spark_entry__.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", ["op4_secret_scan", "op7_line_dedup", "op8_exact_topk"])
+@pytest.mark.parametrize("name", ["op4_secret_scan", "op7_line_dedup", "op8_exact_topk", "op12_merkle_manifest", "op13_prefix_trie"])
 def test_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{DATA}/{table}.parquet')")
     own = __spark_entry__.queries()[name](spark, DATA)
     sql = con.sql(__spark_entry__.oracle_sql()[name])
     at = [sql.columns.index(c) for c in own.columns]
     assert sorted(map(tuple, own.collect())) == sorted(tuple(r[i] for i in at) for r in sql.fetchall())
+
+
+def test_awkward_rows_pass_all_stages(spark):
+    """Nulls in every column, repeated rows, names that clash; then no rows at all."""
+    from helpers import AWKWARD
+    from pyspark.sql import functions as F
+
+    rows = [(d, t, [None, "en"][i % 2], [None, "s"][i % 3 > 0], [None, 7][i % 2], 9, "decoy") for i, (d, t) in enumerate(AWKWARD)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, n_lines int, Text string")
+    for some in (docs, docs.limit(0)):
+        for name, step in corpus_pipeline.STAGES[:-1]:
+            out = common.stage(step(spark, some, DATA), f"test-awkward-{name}")
+            assert out.columns == docs.columns, name
+            again = out.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+            assert again.where("c5 <> 9 OR c6 <> 'decoy'").isEmpty(), name
+            if name == "line_dedup":
+                null = some.toDF(*again.columns).where("c4 IS NULL").count()
+                assert again.where(F.col("c4").isNull()).count() == null
+            some = out
+        assert corpus_pipeline.STAGES[-1][1](spark, some, DATA).count() == some.count()
