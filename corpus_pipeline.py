@@ -68,9 +68,15 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def written(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` written as Parquet and read again; names that differ in case only are no matter."""
+    names = docs.columns
+    return common.stage(docs.toDF(*[f"c{i}" for i in range(len(names))]), f"pipeline-{name}").toDF(*names)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = common.documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = common.stage(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = written(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -105,7 +105,7 @@ def test_awkward_rows_pass_all_stages(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, n_lines int, Text string")
     for some in (docs, docs.limit(0)):
         for name, step in corpus_pipeline.STAGES[:-1]:
-            out = common.stage(step(spark, some, DATA), f"test-awkward-{name}")
+            out = corpus_pipeline.written(step(spark, some, DATA), name)
             assert out.columns == docs.columns, name
             again = out.toDF(*[f"c{i}" for i in range(len(docs.columns))])
             assert again.where("c5 <> 9 OR c6 <> 'decoy'").isEmpty(), name
