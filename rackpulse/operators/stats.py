@@ -306,3 +306,42 @@ def convex_hulls(df: DataFrame, group: str, x: str, y: str) -> DataFrame:
                              "x": h[:, 0] if len(h) else [], "y": h[:, 1] if len(h) else []})
 
     return survivors.groupBy(group).applyInPandas(final, f"`{group}` {gtype}, vertex int, x double, y double")
+
+
+def _spread_bits(x: Column) -> Column:
+    """A number below 2 ** 32 with a zero bit before each of its bits."""
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask))
+    return x
+
+
+def quadtree_leaves(points: DataFrame, group: Sequence[str], x: str, y: str, depth: int = 24, chunk_levels: int = 8) -> DataFrame:
+    """The leaves (group, depth, cx, cy, n) of each group's adaptive quadtree:
+    the largest cells, halved in both directions level by level from the square over
+    the group's extent, that hold a single place; n counts the points there.
+    Places are told apart to ``depth`` levels, where cells may hold several.
+
+    A point's way down is its Morton code (the bits of its cell numbers by
+    turns), and its leaf ends one level below the longest way it shares with a
+    neighbour in code order. Neighbours come from the chunked ``previous_row``,
+    up and down, with a chunk for each cell of level ``chunk_levels``, so no task
+    sorts a group. Points with a null or NaN coordinate take no part."""
+    from .series import previous_row
+
+    group, size = list(group), 1 << depth
+    rows = points.select(*group, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).where("_x = _x AND _y = _y AND NOT isnan(_x) AND NOT isnan(_y)")
+    extent = rows.groupBy(*group).agg(F.min("_x").alias("_x0"), F.min("_y").alias("_y0"),
+                                      F.greatest(F.max("_x") - F.min("_x"), F.max("_y") - F.min("_y")).alias("_span"))
+    cell = lambda v, low: F.when(F.col("_span") > 0, F.least(F.lit(size - 1), F.floor((F.col(v) - F.col(low)) / F.col("_span") * size))).otherwise(0).cast("long")
+    keyed = rows.join(extent, group).select(*group, cell("_x", "_x0").alias("_cx"), cell("_y", "_y0").alias("_cy"))
+    places = keyed.groupBy(*group, "_cx", "_cy").agg(F.count(F.lit(1)).alias("n"))
+    places = places.withColumn("_code", _spread_bits(F.col("_cx")).bitwiseOR(F.shiftleft(_spread_bits(F.col("_cy")), 1)))
+    places = stage(places.withColumn("_back", -F.col("_code")), "quadtree-places")
+    chunk = 1 << 2 * (depth - min(chunk_levels, depth))
+    near = previous_row(places, group, "_code", [], ["_code"], prefix="_low", chunk_seconds=chunk)
+    near = previous_row(near, group, "_back", [], ["_code"], prefix="_high", chunk_seconds=chunk)
+    # levels shared with a neighbour: those above the highest bit that differs
+    shared = lambda other: depth - F.floor((F.length(F.bin(F.col("_code").bitwiseXOR(F.col(other)))) + 1) / 2)
+    level = F.coalesce(F.greatest(shared("_low_code"), shared("_high_code")) + 1, F.lit(0)).cast("int")
+    up = lambda c: F.call_function("shiftright", F.col(c), F.lit(depth) - F.col("depth"))
+    return near.withColumn("depth", level).select(*group, "depth", up("_cx").alias("cx"), up("_cy").alias("cy"), "n")

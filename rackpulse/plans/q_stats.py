@@ -165,6 +165,31 @@ def q_grid_occupancy(spark, sf_dir):
     return ST.grid_occupancy(o, "o_totalprice", "y", 4)
 
 
+@query("quadtree_leaves", """
+WITH p AS (SELECT o_orderpriority AS g, o_totalprice AS x, CAST(o_custkey AS DOUBLE) AS y FROM orders),
+e AS (SELECT g, min(x) AS x0, min(y) AS y0, greatest(max(x) - min(x), max(y) - min(y)) AS span FROM p GROUP BY g),
+c AS (SELECT g, CASE WHEN span > 0 THEN CAST(least(16777215, floor((x - x0) / span * 16777216)) AS BIGINT) ELSE 0 END AS cx,
+             CASE WHEN span > 0 THEN CAST(least(16777215, floor((y - y0) / span * 16777216)) AS BIGINT) ELSE 0 END AS cy
+      FROM p JOIN e USING (g)),
+d AS (SELECT g, cx, cy, count(*) AS n FROM c GROUP BY ALL),
+lv AS (SELECT unnest(range(0, 25)) AS depth),
+cells AS (SELECT g, depth, cx // CAST(pow(2, 24 - depth) AS BIGINT) AS qx, cy // CAST(pow(2, 24 - depth) AS BIGINT) AS qy,
+                 count(*) AS places, sum(n) AS n FROM d, lv GROUP BY ALL),
+leaf AS (SELECT d.g, d.cx, d.cy, min(lv.depth) AS depth
+         FROM d JOIN lv ON true
+         JOIN cells k ON k.g = d.g AND k.depth = lv.depth AND k.places = 1
+              AND k.qx = d.cx // CAST(pow(2, 24 - lv.depth) AS BIGINT) AND k.qy = d.cy // CAST(pow(2, 24 - lv.depth) AS BIGINT)
+         GROUP BY d.g, d.cx, d.cy)
+SELECT d.g, CAST(leaf.depth AS INTEGER) AS depth, d.cx // CAST(pow(2, 24 - leaf.depth) AS BIGINT) AS cx,
+       d.cy // CAST(pow(2, 24 - leaf.depth) AS BIGINT) AS cy, d.n
+FROM d JOIN leaf USING (g, cx, cy)
+""")
+def q_quadtree_leaves(spark, sf_dir):
+    """Adaptive quadtrees of the orders of each priority, by price and customer."""
+    o = _t(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("g"), "o_totalprice", "o_custkey")
+    return ST.quadtree_leaves(o, ["g"], "o_totalprice", "o_custkey")
+
+
 @query("hull_per_group", """
 WITH RECURSIVE p AS (SELECT DISTINCT c_nationkey AS g, c_acctbal AS x, CAST(c_custkey AS DOUBLE) AS y FROM customer),
 e AS (SELECT a.g, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS by_ FROM p a JOIN p b ON a.g = b.g

@@ -371,3 +371,33 @@ def test_hours_a_zone_leaves_out_stay(spark):
                                 int(t.replace(tzinfo=dt.timezone.utc).timestamp()))
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_quadtree_leaves_against_splitting(spark):
+    """Cells are split while they hold several places, as in the definition."""
+    import random
+
+    from rackpulse.operators.stats import quadtree_leaves
+
+    rng = random.Random(5)
+    points = [("a", rng.random() ** 4, rng.random()) for _ in range(300)] + [("a", 0.25, 0.25)] * 5 + [("b", 3.0, 4.0)] * 3 + [("c", 0.0, 0.0), ("c", 8.0, 2.0)]
+    bad = [("a", None, 1.0), ("c", float("nan"), 1.0)]
+    got = sorted(tuple(r) for r in quadtree_leaves(spark.createDataFrame(points + bad, "g string, x double, y double"), ["g"], "x", "y", 20, 2).collect())
+    want = []
+
+    def split(g, cells, depth, cx, cy):
+        if len(set(cells)) == 1 or depth == 20:
+            return want.append((g, depth, cx, cy, len(cells)))
+        parts = {}
+        for px, py in cells:
+            parts.setdefault((px >> (19 - depth), py >> (19 - depth)), []).append((px, py))
+        for (qx, qy), own in parts.items():
+            split(g, own, depth + 1, qx, qy)
+
+    for g in "abc":
+        own = [(x, y) for h, x, y in points if h == g]
+        x0, y0 = min(x for x, _ in own), min(y for _, y in own)
+        span = max(max(x for x, _ in own) - x0, max(y for _, y in own) - y0)
+        cell = lambda v, low: min((1 << 20) - 1, int((v - low) / span * (1 << 20))) if span else 0  # noqa: E731, B023
+        split(g, [(cell(x, x0), cell(y, y0)) for x, y in own], 0, 0, 0)
+    assert got == sorted(want)
