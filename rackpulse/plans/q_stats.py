@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import tables as T
 from ..operators import layout as L
 from ..operators import stats as ST
+from ..operators import trees as TR
 from ..session import stage
 from .registry import query
 
@@ -479,3 +480,38 @@ def q_nest_entries(spark, sf_dir):
     nested = ST.nest_entries(_t(spark, sf_dir, "lineitem"), "l_returnflag", "l_linestatus", "l_quantity")
     return nested.select("l_returnflag", F.posexplode(F.map_entries("values")).alias("pos", "e")).select(
         "l_returnflag", "pos", F.col("e.key").alias("l_linestatus"), F.round("e.value", 2).alias("total"))
+
+
+# A tree of uneven depth from the customers: a customer's parent is the one whose
+# key is a half, third or quarter of its own; only childless customers' balances count.
+TREE = """
+WITH RECURSIVE t0 AS (SELECT c_custkey AS id, c_custkey // (2 + c_custkey % 3) AS p, abs(c_acctbal) AS v FROM customer),
+t AS (SELECT a.id, b.id AS parent, a.v FROM t0 a LEFT JOIN t0 b ON b.id = a.p AND a.p < a.id),
+way AS (SELECT id, id AS anc, 0 AS steps FROM t
+        UNION ALL SELECT w.id, t.parent, w.steps + 1 FROM way w JOIN t ON t.id = w.anc WHERE t.parent IS NOT NULL),
+leaf AS (SELECT id, v FROM t WHERE id NOT IN (SELECT parent FROM t WHERE parent IS NOT NULL)),
+depths AS (SELECT id, max(steps) AS depth FROM way GROUP BY id),
+sums AS (SELECT w.anc AS id, count(*) AS n_leaves, sum(l.v) AS total FROM leaf l JOIN way w USING (id) GROUP BY w.anc),
+rolled AS (SELECT t.id, t.parent, CAST(depth AS INTEGER) AS depth, n_leaves, total FROM t JOIN depths USING (id) JOIN sums USING (id))"""
+
+
+def _tree(spark, sf_dir):
+    c = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.expr("c_custkey div (2 + c_custkey % 3)").alias("p"), F.abs("c_acctbal").alias("v"))
+    return TR.tree_rollup(c.withColumn("parent", F.when(F.col("p") < F.col("id"), F.col("p"))), "id", "parent", "v")
+
+
+@query("tree_rollup", TREE + """
+SELECT id, parent, depth, n_leaves, round(total + 1e-9, 2) AS total FROM rolled
+""")
+def q_tree_rollup(spark, sf_dir):
+    return _tree(spark, sf_dir).withColumn("total", r2("total"))
+
+
+@query("tree_partition", TREE + """
+, put AS (SELECT id, coalesce(sum(total) OVER (PARTITION BY parent ORDER BY total DESC, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS gap FROM rolled),
+edge AS (SELECT w.id, sum(put.gap) AS x0 FROM way w JOIN put ON put.id = w.anc GROUP BY w.id),
+whole AS (SELECT sum(total) AS t FROM rolled WHERE parent IS NULL)
+SELECT r.id, r.parent, r.depth, round(x0 / t + 1e-9, 6) AS x, round(total / t + 1e-9, 6) AS dx FROM rolled r JOIN edge USING (id), whole
+""")
+def q_tree_partition(spark, sf_dir):
+    return TR.tree_partition(_tree(spark, sf_dir)).select("id", "parent", "depth", rb("x").alias("x"), rb("dx").alias("dx"))

@@ -401,3 +401,23 @@ def test_quadtree_leaves_against_splitting(spark):
         cell = lambda v, low: min((1 << 20) - 1, int((v - low) / span * (1 << 20))) if span else 0  # noqa: E731, B023
         split(g, [(cell(x, x0), cell(y, y0)) for x, y in own], 0, 0, 0)
     assert got == sorted(want)
+
+
+def test_trees_of_any_depth(spark):
+    """A long chain, a wide node, a lost parent, two roots; a cycle is told."""
+    import pytest
+
+    from rackpulse.operators.trees import tree_partition, tree_rollup
+
+    rows = [(i, i - 1 if i else None, float(i)) for i in range(70)] + [(100 + i, 5, 2.0) for i in range(50)] + [(300, 999, 4.0), (301, 300, None)]
+    df = spark.createDataFrame(rows, "id long, parent long, v double")
+    got = {r.id: r for r in tree_rollup(df, "id", "parent", "v").collect()}
+    assert (got[0].depth, got[0].n_leaves, got[0].total) == (0, 51, 169.0)
+    assert (got[69].depth, got[69].n_leaves, got[69].total) == (69, 1, 69.0) and got[120].depth == 6
+    assert (got[300].parent, got[300].depth, got[300].total) == (None, 0, 0.0) and got[6].total == 69.0
+    x = {r.id: (r.x, r.dx) for r in tree_partition(tree_rollup(df, "id", "parent", "v")).collect()}
+    assert x[0] == (0.0, 1.0) and x[300] == (1.0, 0.0) and x[69] == x[6] == (0.0, 69 / 169)
+    assert x[100][0] == pytest.approx(69 / 169) and x[149][0] == pytest.approx(167 / 169)
+    assert tree_rollup(df.limit(0), "id", "parent", "v").count() == 0
+    with pytest.raises(ValueError):
+        tree_rollup(spark.createDataFrame([(1, 2, 1.0), (2, 1, 1.0)], "id long, parent long, v double"), "id", "parent", "v").count()
