@@ -3,29 +3,32 @@
 Two zstandard dictionaries are trained on labelled text, one on ordinary and
 one on toxic documents. A text is cut into windows of a few words; each window
 is compressed with either dictionary, and what the toxic one saves beyond the
-ordinary one, summed over the windows and at its best, goes through calibrated
-logistic weights into a score.
+ordinary one (over all windows, for its length, in the best ones, and how many save
+``STRONG`` bytes) goes through calibrated logistic weights into a score.
 
 * The ordinary dictionary holds the words most documents of the ordinary
   sample have, the commonest last (nearest, cheapest to refer to).
-* The toxic dictionary holds the same and, amid it, the pieces of words that
-  set the toxic sample apart: chosen one after another by how many toxic
-  documents they cover that earlier pieces have not covered ``covers`` times
-  yet, less ten times their share among ordinary documents, down to
-  ``least_share``. So copies of one document or a chance word add nothing.
+* The toxic dictionary holds the same and, amid it, the beginnings of words that
+  set the toxic sample apart: those whose rate is ``ratio`` times the ordinary one
+  or more, by a likelihood ratio of ``least`` or more, the surest nearest. No share
+  of the sample is asked for, so the words of a small language count. A beginning
+  counts once for each word it follows (where it first stands in a document), so
+  copies of one document count once. zstandard's own trainer was tried on the same
+  words; it cuts them into fragments and finds fewer (README).
 * Each window follows a fixed lead-in out of the common part, so that even a
   short window is compressed and the difference shows the match alone.
 
 The fit reads a bounded, documented sample: at most ``sample`` labelled
-documents of each class (different texts, in the order of a hash of their id),
-``candidates`` pieces and ``vocabulary`` words. Scoring reads whole texts.
+documents of each class (one text an id, different texts, in the order of a hash of
+their id), ``candidates`` pieces and ``vocabulary`` words. Scoring reads whole texts.
 
 Defined results:
 
 * a null or empty text is one empty window, and is scored like any other;
 * labels with a null doc_id or a null mark are not learned from; a document
-  with several labels is learned under each; without both classes to learn
-  from, every score is 0;
+  with several labels is learned under each, one with several texts by the least of
+  them; without both classes to learn from, or a word that sets them apart, every
+  score is 0;
 * rows are scored one by one: repeated rows and ids get equal scores, a null
   doc_id is carried through; an empty table gives no rows; extra columns, of
   whatever name, are ignored (``reject`` passes them through).
@@ -39,6 +42,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +51,7 @@ from pyspark.sql import types as S
 from .common import pick, slices, stage, text_bytes
 
 SHORTEST, LONGEST = 4, 14  # bytes of a piece, the space before the word included
+STRONG = 3  # bytes saved by a window that counts by itself
 NEAR = 1000  # bytes of the common part that stand after the pieces, so that these are near too
 #: A window log of 14 at most keeps hash chains, which hold every position of a dictionary.
 SMALL_TABLES = {"window_log": 14, "hash_log": 15, "chain_log": 15, "search_log": 6, "min_match": 5, "target_length": 32}
@@ -54,13 +59,13 @@ SMALL_TABLES = {"window_log": 14, "hash_log": 15, "chain_log": 15, "search_log":
 
 @dataclass(frozen=True)
 class Model:
-    """Dictionary contents, window length and the weights of (1, log1p(sum), best)."""
+    """Dictionary contents, window length and the weights of ``_features``."""
 
     common: bytes
     pieces: bytes
     words: int
     lead: int
-    weights: tuple[float, float, float] | None
+    weights: tuple[float, ...] | None
 
     def scores(self, evidence: np.ndarray) -> np.ndarray:
         if self.weights is None:
@@ -69,8 +74,9 @@ class Model:
 
 
 def _features(evidence: np.ndarray) -> np.ndarray:
-    total, best = evidence[:, 0], evidence[:, 1]
-    return np.c_[np.ones(len(evidence)), np.log1p(total), np.minimum(best, 8) / 8]
+    total, best, words, four, strong = evidence.T
+    return np.c_[np.ones(len(evidence)), np.log1p(total), np.minimum(best, 8) / 8, np.log(words), np.log1p(100 * total / words),
+                 np.log1p(strong), np.minimum(four, 20) / 8]
 
 
 @lru_cache(maxsize=4)
@@ -90,86 +96,100 @@ def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def evidence(model: Model, text: bytes) -> tuple[int, int]:
-    """(bytes the toxic dictionary saves over all windows, in its best window)."""
+def evidence(model: Model, text: bytes) -> tuple[int, int, int, int, int]:
+    """(bytes the toxic dictionary saves over all windows, in its best window, words,
+    bytes saved in the best four, windows that save ``STRONG`` bytes)."""
     ordinary, toxic = (c.compress for c in compressors(model.common, model.pieces))
     lead, n = model.common[len(model.common) - min(model.lead, len(model.common)):], model.words
-    words, total, best = words_of(text), 0, 0
+    words, total, strong, best = words_of(text), 0, 0, [0] * 4
     for i in range(0, max(1, len(words)), n):
         window = lead + b" " + b" ".join(words[i: i + n]) + b" "
         saved = len(ordinary(window)) - len(toxic(window))
         if saved > 0:
             total += saved
-            best = max(best, saved)
-    return total, best
-
-
-def pieces_of(text: bytes) -> set[bytes]:
-    """Beginnings of the words of a text, whole short words with the space after them."""
-    out = set()
-    for word in set(words_of(text)):
-        word = b" " + word + b" "
-        out.update(word[:n] for n in range(SHORTEST, min(len(word), LONGEST) + 1))
+            strong += saved >= STRONG
+            if saved > best[0]:
+                best = sorted([saved, *best[1:]])
+    return total, best[-1], max(1, len(words)), sum(best), strong
+
+
+def pieces_of(text: bytes) -> dict[bytes, bytes]:
+    """Beginnings of the words of a text, whole short words with the space after
+    them, each with the word before the first place it stands at."""
+    out, before = {}, b""
+    for word in words_of(text):
+        for n in range(SHORTEST, min(len(word) + 2, LONGEST) + 1):
+            out.setdefault((b" " + word + b" ")[:n], before)
+        before = word
     return out
 
 
 def _listed(sample: DataFrame, parts) -> DataFrame:
-    """(toxic, part): each part of each document of (toxic, text) once."""
+    """(part, toxic, before): the parts of each document of (toxic, text), a hash of the word before."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text", 2 << 20):
                 made = [parts(t) for t in text_bytes(piece.column(1))]
                 marks = np.repeat(np.asarray(piece.column(0)), [len(m) for m in made])
-                yield pa.RecordBatch.from_pydict({"toxic": pa.array(marks, pa.int32()), "part": pa.array([p for m in made for p in m], pa.binary())})
-
-    return sample.mapInArrow(split, "toxic int, part binary")
-
-
-def _cover(lists: list[list[int]], ordinary: np.ndarray, pieces: list[bytes], n_ordinary: int, covers: int, least_share: float) -> list[bytes]:
-    """Pieces chosen one by one: newly covered toxic documents less ten times the ordinary share."""
-    n = len(lists)
-    has = np.zeros((n, len(pieces)), bool)
-    for i, own in enumerate(lists):
-        has[i, own] = True
-    cost = 10.0 * n / max(1, n_ordinary) * ordinary
-    need, free, chosen = np.full(n, covers), np.ones(len(pieces), bool), []
-    sizes = np.array([len(p) for p in pieces])
-    while free.any():
-        gain = np.where(free, has[need > 0].sum(0) - cost, -np.inf)
-        at = np.lexsort((sizes, gain))[-1]  # ties: the longer piece
-        if gain[at] < max(3.0, least_share * n):
-            break
-        chosen.append(pieces[at])
-        need -= has[:, at]
-        free &= np.array([not (p.startswith(pieces[at]) or pieces[at].startswith(p)) for p in pieces])
+                yield pa.RecordBatch.from_pydict({
+                    "part": pa.array([p for m in made for p in m], pa.binary()), "toxic": pa.array(marks, pa.int32()),
+                    "before": pa.array([xxhash.xxh3_64_intdigest(w) >> 1 for m in made for w in m.values()], pa.int64())})
+
+    return sample.mapInArrow(split, "part binary, toxic int, before long")
+
+
+def apart(rows: DataFrame, n_toxic: int, n_ordinary: int, ratio: float, least: float, candidates: int) -> list[bytes]:
+    """Beginnings of words that set the toxic documents of (toxic, text) apart, the surest first;
+    of those that begin alike the surest, then the longest, stands for all."""
+    toxic, places = F.col("toxic") == 1, _listed(rows, pieces_of).groupBy("part", "toxic", "before").agg(F.count("*").alias("n"))
+    a, b = F.col("a"), F.col("b")
+    counted = places.groupBy("part").agg(F.count(F.when(toxic, 1)).alias("a"), F.sum(F.when(toxic, 0).otherwise(F.col("n"))).alias("b"))
+
+    def fitting(k: Column, n: float, rate: Column) -> Column:
+        return F.when(k > 0, k * F.log(rate)).otherwise(0.0) + F.when(k < n, (n - k) * F.log1p(-rate)).otherwise(0.0)
+
+    both, n, m = (a + b) / (n_toxic + n_ordinary), n_toxic, n_ordinary
+    sure = 2 * (fitting(a, n, a / n) + fitting(b, m, b / m) - fitting(a, n, both) - fitting(b, m, both))
+    found = (counted.where((a >= 3) & (a * m >= ratio * b * n)).withColumn("sure", F.round(sure, 6)).where(F.col("sure") >= least)
+             .orderBy(F.desc("sure"), F.desc(F.length("part")), "part").limit(candidates))
+    chosen = []
+    for part in (bytes(r.part) for r in found.collect()):
+        if not any(part.startswith(c) or c.startswith(part) for c in chosen):
+            chosen.append(part)
     return chosen
 
 
-def _calibrated(evidence: np.ndarray, toxic: np.ndarray, caution: float) -> tuple[float, float, float]:
+def _calibrated(evidence: np.ndarray, toxic: np.ndarray, caution: float) -> tuple[float, ...]:
     """Ridge logistic weights by Newton steps; the ordinary class weighs ``caution`` times the toxic one."""
-    x, weights = _features(evidence), np.zeros(3)
+    x = _features(evidence)
+    weights = np.zeros(x.shape[1])
     each = np.where(toxic == 1, 0.5 / max(1, (toxic == 1).sum()), 0.5 * caution / max(1, (toxic == 0).sum())) * len(toxic)
     for _ in range(50):
         p = 1.0 / (1.0 + np.exp(-np.clip(x @ weights, -500, 500)))
         gradient = x.T @ (each * (p - toxic)) + 0.01 * weights
-        step = np.linalg.solve((x * (each * p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(3), gradient)
+        step = np.linalg.solve((x * (each * p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(len(weights)), gradient)
         weights = weights - step
         if np.abs(step).max() < 1e-10:
             break
     return tuple(float(w) for w in weights)
 
 
+def _measured(model: Model, texts: pa.Array) -> np.ndarray:
+    return np.array([evidence(model, t) for t in text_bytes(texts)], np.float64).reshape(-1, 5)
+
+
 def _evidence_rows(docs: DataFrame, model: Model, keep: str, kind: str) -> DataFrame:
-    """(keep, total, best, score) of documents (keep, text)."""
+    """(keep, total, best, words, four, strong, score) of documents (keep, text)."""
+    names = ["total", "best", "words", "four", "strong"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = np.array([evidence(model, t) for t in text_bytes(batch.column(1))], np.float64).reshape(-1, 2)
-            yield pa.RecordBatch.from_pydict({keep: batch.column(0), "total": pa.array(made[:, 0]), "best": pa.array(made[:, 1]),
+            made = _measured(model, batch.column(1))
+            yield pa.RecordBatch.from_pydict({keep: batch.column(0), **{n: pa.array(made[:, i]) for i, n in enumerate(names)},
                                               "score": pa.array(model.scores(made))})
 
-    return docs.mapInArrow(scan, f"{keep} {kind}, total double, best double, score double")
+    return docs.mapInArrow(scan, f"{keep} {kind}, {', '.join(n + ' double' for n in names)}, score double")
 
 
 def learned_from(doc: Column) -> Column:
@@ -177,48 +197,34 @@ def learned_from(doc: Column) -> Column:
     return F.crc32(doc.cast("string").cast("binary")) % 3 != 1
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000, candidates: int = 20_000, vocabulary: int = 4000, words: int = 6,
-        lead: int = 128, covers: int = 4, least_share: float = 0.03, caution: float = 3.0, doc_col: str = "doc_id", text_col: str = "text") -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000, candidates: int = 2000, vocabulary: int = 4000, words: int = 3,
+        lead: int = 64, ratio: float = 4.0, least: float = 20.0, caution: float = 3.0, doc_col: str = "doc_id", text_col: str = "text") -> Model:
     """Train dictionaries and weights on the labelled documents that may be learned from."""
     marks = pick(labels, id="doc_id", toxic="toxic").where(learned_from(F.col("id")))
     marks = marks.select(F.col("id").cast("long").alias("id"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)").distinct()
     chosen = marks.where("toxic = 0").orderBy(F.xxhash64("id"), "id").limit(sample).unionByName(
         marks.where("toxic = 1").orderBy(F.xxhash64("id"), "id").limit(sample))
     own = pick(docs, doc=doc_col, text=text_col).select(F.col("doc").cast("long").alias("doc"), "text")
-    rows = stage(own.join(F.broadcast(chosen), F.col("doc") == F.col("id"))  # at most 2 * sample short rows
-                 .select("toxic", F.coalesce("text", F.lit("")).alias("text")).distinct(), "toxicity-sample")
+    texts = own.join(F.broadcast(chosen), F.col("doc") == F.col("id")).select("id", "toxic", F.coalesce("text", F.lit("")).alias("text"))  # at most 2 * sample short rows
+    rows = stage(texts.groupBy("id", "toxic").agg(F.min("text").alias("text")).select("toxic", "text").distinct(), "toxicity-sample")
     sizes = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    toxic, ordinary = rows.where("toxic = 1"), rows.where("toxic = 0")
-    common = (_listed(ordinary, lambda t: {b" " + w + b" " for w in words_of(t) if len(w) <= 64}).groupBy("part").count()
+    common = (_listed(rows.where("toxic = 0"), lambda t: {b" " + w + b" ": b"" for w in words_of(t) if len(w) <= 64}).groupBy("part").count()
               .orderBy(F.desc("count"), "part").limit(vocabulary).collect())
     content = b"".join(bytes(r.part) for r in reversed(common))
-    if not sizes.get(0) or not sizes.get(1):
+    found = apart(rows, sizes[1], sizes[0], ratio, least, candidates) if sizes.get(0) and sizes.get(1) else []
+    if not found:
         return Model(content, b"", words, lead, None)
-    found = [bytes(r.part) for r in _listed(toxic, pieces_of).groupBy("part").count().where("count >= 3")
-             .orderBy(F.desc("count"), "part").limit(candidates).collect()]
-    number = {p: i for i, p in enumerate(found)}
-    in_ordinary = np.zeros(len(found))
-    for r in _listed(ordinary, lambda t: pieces_of(t) & number.keys()).groupBy("part").count().collect():
-        in_ordinary[number[bytes(r.part)]] = r["count"]
-    apart = in_ordinary * 8 / sizes[0] <= [1] * len(found)  # in under an eighth of ordinary documents
-    number = {p: i for i, p in enumerate([p for p, ok in zip(found, apart, strict=True) if ok])}
-
-    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_pydict({"own": pa.array([sorted(number[p] for p in pieces_of(t) & number.keys()) for t in text_bytes(batch.column(1))], pa.list_(pa.int32()))})
-
-    held = [r.own for r in toxic.mapInArrow(lists, "own array<int>").collect()]
-    chosen_pieces = _cover(held, in_ordinary[apart], list(number), sizes[0], covers, least_share)
-    model = Model(content, b"".join(p if p.endswith(b" ") else p + b"\n" for p in reversed(chosen_pieces)), words, lead, None)
-    shown = _evidence_rows(rows, model, "toxic", "int").select("toxic", "total", "best").collect()
-    table = np.array([(r.toxic, r.total, r.best) for r in shown], np.float64)
+    model = Model(content, b"".join(p if p.endswith(b" ") else p + b"\n" for p in reversed(found)), words, lead, None)
+    shown = _evidence_rows(rows, model, "toxic", "int").drop("score").collect()
+    table = np.array([tuple(r) for r in shown], np.float64)
     return Model(model.common, model.pieces, words, lead, _calibrated(table[:, 1:], table[:, 0], caution))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.7, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, total, best, score, predicted), one row per row of ``docs``."""
     own = pick(docs, doc=doc_col, text=text_col).select(F.col("doc").cast("long").alias("doc_id"), "text")
-    return _evidence_rows(own, model, "doc_id", "long").withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return _evidence_rows(own, model, "doc_id", "long").select(
+        "doc_id", "total", "best", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def reject(docs: DataFrame, model: Model, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
@@ -229,7 +235,6 @@ def reject(docs: DataFrame, model: Model, threshold: float = 0.7, text_col: str
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = np.array([evidence(model, t) for t in text_bytes(batch.column(at))], np.float64).reshape(-1, 2)
-            yield batch.filter(pa.array(model.scores(made) < threshold))
+            yield batch.filter(pa.array(model.scores(_measured(model, batch.column(at))) < threshold))
 
     return plain.mapInArrow(clean, S.StructType([S.StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema)])).toDF(*names)

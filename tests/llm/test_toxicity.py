@@ -58,8 +58,43 @@ def test_one_class_or_nothing_to_learn_from(spark):
         assert {(r.score, r.predicted) for r in X.score(docs, model).collect()} == {(0.0, 0)}
 
 
-def test_cover_ignores_copies_and_ordinary_pieces():
-    import numpy as np
-    pieces = [b" bad", b" the ", b" chance"]
-    lists = [[0, 1]] * 40 + [[1, 2]] * 2
-    assert X._cover(lists, np.array([0.0, 90.0, 0.0]), pieces, 100, 2, 0.06) == [b" bad"]
+def test_apart_ignores_copies_and_ordinary_pieces(spark):
+    fillers = [f"filler{i}" for i in range(40)]
+    toxic = [f"{fillers[i]} grumble{'xyz'[i % 3]} the" for i in range(30)] + [f"copied chance{'!' * i}" for i in range(20)]
+    ordinary = [f"{fillers[i % 40]} the {i}" for i in range(200)]
+    rows = spark.createDataFrame([(1, t) for t in toxic] + [(0, t) for t in ordinary], "toxic int, text string")
+    got = X.apart(rows, len(toxic), len(ordinary), 4.0, 20.0, 100)
+    assert got[0] == b" grumble" and not any(p.startswith((b" chan", b" the")) for p in got)
+
+
+def test_a_small_language_counts(spark):
+    """Twenty toxic documents of 700 whose word beginning a few ordinary ones share."""
+    rng = random.Random(5)
+    ordinary = [" ".join(f"w{rng.randrange(300)}" for _ in range(40)) for _ in range(1500)]
+    toxic = [f"{rng.choice(ordinary)} {rng.choice(BAD)} {rng.choice(BAD)}" for _ in range(280)]
+    for i in range(20):
+        own = rng.choice(ordinary).split()
+        toxic.append(" ".join(x for w in own[:8] for x in (w, f"bomente{rng.choice('abcdefgh')}r")))
+    ordinary = [t + (" bomentezz" if i % 150 == 0 else "") for i, t in enumerate(ordinary)]
+    rows = spark.createDataFrame([(1, t) for t in toxic] + [(0, t) for t in ordinary], "toxic int, text string")
+    assert any(p.startswith(b" bomente") for p in X.apart(rows, 300, 1500, 4.0, 20.0, 100))
+
+
+def test_evidence_by_brute_force(spark):
+    """Window by window with zstandard itself."""
+    _, _, docs, labels = corpus(spark, 400)
+    model = X.fit(docs, labels)
+    ordinary, toxic = X.compressors(model.common, model.pieces)
+    for text in (b"", b"one", b"a grumblefool b c d stinkwort. e f vilecreep vilecreep g", b"Grumblefool " * 50):
+        words, saved = text.lower().split(), []
+        for i in range(0, max(1, len(words)), 3):
+            window = model.common[-64:] + b" " + b" ".join(words[i:i + 3]) + b" "
+            saved.append(max(0, len(ordinary.compress(window)) - len(toxic.compress(window))))
+        want = (sum(saved), max(saved), max(1, len(words)), sum(sorted(saved)[-4:]), sum(s >= X.STRONG for s in saved))
+        assert X.evidence(model, text) == want
+
+
+def test_an_id_with_several_texts_is_learned_once(spark):
+    rows, marks, docs, labels = corpus(spark, 300)
+    more = docs.unionByName(docs.selectExpr("doc_id", "concat('zz ', text) as text"))
+    assert X.fit(more, labels) == X.fit(docs.selectExpr("doc_id", "least(text, concat('zz ', text)) as text"), labels)
