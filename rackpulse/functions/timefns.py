@@ -20,24 +20,24 @@ PARTS = ("year", "month", "day", "hour", "minute", "second")
 
 def wall_clock(ts: Column, unit: str) -> Column:
     """A time stamp without zone whose parts below ``unit`` are at their
-    start. It is put together from the parts of ``ts``, so no time zone (and
-    no hour that a zone leaves out) comes into it."""
-    read = {"year": F.year, "month": F.month, "day": F.dayofmonth, "hour": F.hour, "minute": F.minute, "second": F.second}
-    kept = PARTS.index(unit)
-    parts = [read[p](ts) if i <= kept else F.lit(int(p in ("month", "day"))) for i, p in enumerate(PARTS)]
-    return F.make_timestamp_ntz(*parts)
+    start: its day (or the first of its month or year) and what the clock has
+    passed, so no time zone (and no hour that a zone leaves out) comes into it."""
+    day = F.to_date(ts)
+    if unit in ("month", "year"):
+        return F.trunc(day, unit).cast("timestamp_ntz")
+    passed = [read(ts) for read in (F.hour, F.minute, F.second)][:PARTS.index(unit) - 2]
+    return day.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), *passed) if passed else day.cast("timestamp_ntz")
 
 
 def epoch_micros(ts: Column) -> Column:
     """Microseconds since 1970 of a time stamp without zone."""
-    since = ts - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return (since.cast("interval second").cast("decimal(20,6)") * 1000000).cast("long")
+    minutes = (F.unix_date(F.to_date(ts)).cast("long") * 24 + F.hour(ts)) * 60 + F.minute(ts)
+    return minutes * 60000000 + (F.date_part(F.lit("SECOND"), ts) * 1000000).cast("long")
 
 
 def text(ts: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` of a time stamp without zone."""
-    return F.format_string("%04d-%02d-%02d %02d:%02d:%02d", F.year(ts), F.month(ts), F.dayofmonth(ts),
-                           F.hour(ts), F.minute(ts), F.second(ts))
+    return F.substring(ts.cast("timestamp_ntz").cast("string"), 1, 19)
 
 
 def floor_to(ts: Column, unit: str, week_start: int = 0) -> Column:
@@ -58,9 +58,12 @@ def ceil_to(ts: Column, unit: str) -> Column:
 
 
 def offset(ts: Column, unit: str, k: int) -> Column:
+    """``k`` units on. A day that the month reached lacks runs over into the
+    next: 31 January and a month is 2 or 3 March."""
     if unit in ("month", "year"):
-        months = k * (12 if unit == "year" else 1)
-        return F.add_months(F.to_date(ts), months).cast("timestamp_ntz") + (ts - F.to_date(ts).cast("timestamp_ntz"))
+        day = F.to_date(ts)
+        first = F.add_months(F.trunc(day, "month"), k * (12 if unit == "year" else 1))
+        return F.date_add(first, F.dayofmonth(day) - 1).cast("timestamp_ntz") + (ts - day.cast("timestamp_ntz"))
     if unit == "week":
         return ts + F.expr(f"INTERVAL {7 * k} DAYS")
     return ts + F.expr(f"INTERVAL {k} {unit.upper()}S")
@@ -81,8 +84,8 @@ def week_of_year(ts: Column, week_start: int = 0) -> Column:
 
 def iso_format(ts: Column) -> Column:
     """ISO-8601 text with milliseconds and a ``Z``."""
-    return F.format_string("%04d-%02d-%02dT%02d:%02d:%02d.%03dZ", F.year(ts), F.month(ts), F.dayofmonth(ts),
-                           F.hour(ts), F.minute(ts), F.second(ts), F.pmod(F.floor(epoch_micros(ts) / 1000), F.lit(1000)).cast("int"))
+    written = ts.cast("timestamp_ntz").cast("string")  # without a fraction that is zero
+    return F.concat(F.substring(written, 1, 10), F.lit("T"), F.substring(written, 12, 8), F.lit("."), F.rpad(F.substring(written, 21, 3), 3, "0"), F.lit("Z"))
 
 
 def iso_parse(s: Column) -> Column:
@@ -97,20 +100,35 @@ def linear_step(span: Column, m: int = 10) -> Column:
     return tick_step(F.lit(0.0), span, m)
 
 
-def time_step(span_ms: Column, m: int = 10) -> tuple[Column, Column]:
-    """P20: (unit, count) of the tick interval for a span and about ``m`` ticks:
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, however often it stands in it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def interval(span_ms: Column, m: int = 10) -> Column:
+    """P20: struct(unit, count) of the tick interval for a span and about ``m`` ticks:
     the listed step nearest to span / m by ratio. Below the first step ticks are
     milliseconds, from the last one on years, both in steps of 1, 2 or 5 x 10^k."""
-    target = span_ms / F.lit(float(m))
-    steps, units, counts = (F.array(*map(F.lit, x)) for x in zip(*TIME_STEPS))
-    above = sum((F.when(target >= low, 1).otherwise(0) for low, _, _ in TIME_STEPS), F.lit(0))
-    low, high = F.element_at(steps, F.greatest(above, F.lit(1))), F.element_at(steps, F.least(above + 1, F.lit(len(TIME_STEPS))))
-    at = F.greatest(F.lit(1), F.when(target / low < high / target, above).otherwise(F.least(above + 1, F.lit(len(TIME_STEPS)))))
-    listed = (above > 0) & (above < len(TIME_STEPS))
-    years = F.greatest(F.lit(1.0), linear_step(span_ms / 31536e6, m)).cast("int")
-    milliseconds = F.greatest(F.lit(1.0), linear_step(span_ms, m)).cast("int")
-    unit = F.when(listed, F.element_at(units, at)).when(above == 0, "millisecond").otherwise("year")
-    return unit, F.when(listed, F.element_at(counts, at)).when(above == 0, milliseconds).otherwise(years)
+    lows, units, counts = (F.array(*map(F.lit, x)) for x in zip(*TIME_STEPS))
+    last = F.lit(len(TIME_STEPS))
+
+    def chosen(span: Column, target: Column, above: Column) -> Column:
+        low, high = F.element_at(lows, F.greatest(above, F.lit(1))), F.element_at(lows, F.least(above + 1, last))
+        at = F.greatest(F.lit(1), F.when(target / low < high / target, above).otherwise(F.least(above + 1, last)))
+        listed = F.struct(F.element_at(units, at).alias("unit"), F.element_at(counts, at).alias("count"))
+        years = F.greatest(F.lit(1.0), linear_step(span / 31536e6, m)).cast("int")
+        milliseconds = F.greatest(F.lit(1.0), linear_step(span, m)).cast("int")
+        return (F.when(above == 0, F.struct(F.lit("millisecond").alias("unit"), milliseconds.alias("count")))
+                .when(above == last, F.struct(F.lit("year").alias("unit"), years.alias("count"))).otherwise(listed))
+
+    return _let(span_ms, lambda span: _let(span / F.lit(float(m)), lambda target: _let(
+        F.size(F.filter(lows, lambda low: low <= target)), lambda above: chosen(span, target, above))))
+
+
+def time_step(span_ms: Column, m: int = 10) -> tuple[Column, Column]:
+    """``interval`` as (unit, count)."""
+    found = interval(span_ms, m)
+    return found.getField("unit"), found.getField("count")
 
 
 def unit_number(ts: Column, unit: Column) -> Column:
@@ -133,8 +151,8 @@ def ticks(df: DataFrame, t0: str, t1: str, m: int = 10) -> DataFrame:
     step filter keeps every ``step_count``-th; milliseconds and years are laid
     out in whole steps, so there are some ``10 m`` candidates at most."""
     d = df.where(F.col(t1) > F.col(t0)).withColumn("_span", (epoch_micros(F.col(t1)) - epoch_micros(F.col(t0))) / 1000.0)
-    unit, count = time_step(F.col("_span"), m)
-    d = d.withColumn("unit", unit).withColumn("step_count", count)
+    d = d.withColumn("_interval", interval(F.col("_span"), m))
+    d = d.withColumn("unit", F.col("_interval.unit")).withColumn("step_count", F.col("_interval.count"))
     u, n = F.col("unit"), F.col("step_count")
     d = d.withColumn("_before", F.col(t0) - F.expr("INTERVAL 1 MICROSECOND"))
     before, zero = F.col("_before"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
@@ -152,4 +170,4 @@ def ticks(df: DataFrame, t0: str, t1: str, m: int = 10) -> DataFrame:
     every = F.when(u.isin("month", "year"), F.sequence("_begin", F.col(t1), F.col("_months"))).otherwise(F.sequence("_begin", F.col(t1), F.col("_step")))
     out = d.withColumn("tick", F.explode(every))
     kept = out.where((F.col("tick") >= F.col(t0)) & (unit_number(F.col("tick"), u) % n == 0))
-    return kept.drop("_span", "_before", "_begin", "_step", "_months")
+    return kept.drop("_span", "_interval", "_before", "_begin", "_step", "_months")

@@ -150,11 +150,12 @@ def request_days(requests: DataFrame) -> DataFrame:
             .drop("_s", "_e"))
 
 
-def request_range_join(requests: DataFrame, daily: DataFrame) -> DataFrame:
+def request_range_join(requests: DataFrame, daily: DataFrame, whole: bool = False) -> DataFrame:
     """Requests x data with equal server and day between start and end.
 
     Each request is expanded to its days and joined on (server, day) with data
     pre-aggregated per server-day, so the join is an equi-join whose size is
-    bounded by the requested days, never requests x samples."""
-    days = request_days(requests)
-    return days.join(daily, ["server", "day"])
+    bounded by the requested days, never requests x samples. A ``whole`` request
+    takes every day its server has."""
+    dated = request_days(requests).join(daily, ["server", "day"])
+    return dated.unionByName(requests.where(F.col("mode") == "whole").join(daily, "server")) if whole else dated

@@ -9,6 +9,7 @@ from .. import tables as T
 from ..session import scratch_path
 from ..sources import metrics as M
 from ..sources import sinks as K
+from ..streaming.copies import copy_files
 from .q_align import ALIGNED_SQL, q_aligned_metrics
 from .q_cluster import FEATS, FLIST, ITERATIONS, POINTS_CTE, ROUNDED, _fitted, _points, lloyd_sql, r6cols
 from .q_shelf import LINES_CTE
@@ -82,3 +83,17 @@ def q_text_logs(spark, sf_dir):
     path = scratch_path(spark, "logs")
     T.log_lines(spark, sf_dir).select("value", F.element_at(F.split("path", "/"), 2).alias("dir")).write.partitionBy("dir").text(path)
     return M.read_text_logs(spark, path, recursive=True, glob="part-*").groupBy("value").agg(F.count("*").alias("n"))
+
+
+@query("file_copies", f"""
+WITH {LINES_CTE}
+SELECT value, count(*) AS n, 0 AS copied_again FROM lines GROUP BY value
+""")
+def q_file_copies(spark, sf_dir):
+    """Log files in folders by server, copied as files; a second run copies none."""
+    raw, target, ledger = (scratch_path(spark, x) for x in ("raw-logs", "copied-logs", "copy-ledger"))
+    T.log_lines(spark, sf_dir).select("value", F.element_at(F.split("path", "/"), 2).alias("dir")).write.partitionBy("dir").text(raw)
+    copy_files(spark, raw, target, ledger)
+    again = copy_files(spark, raw, target, ledger).agg(F.count("*").cast("int").alias("n")).select("n").scalar()
+    return (M.read_text_logs(spark, target, recursive=True, glob="part-*").groupBy("value")
+            .agg(F.count("*").alias("n"), F.max(again).alias("copied_again")))

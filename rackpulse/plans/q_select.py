@@ -177,3 +177,30 @@ def q_request_range_join(spark, sf_dir):
     return (j.groupBy("request_id", "server")
             .agg(F.count(F.lit(1)).alias("n_days"), F.sum("n_samples").alias("n_samples"),
                  F.round(F.sum("total"), 6).alias("total")))
+
+
+@query("request_whole", f"""
+WITH {SAMPLES_CTE}, {REQ},
+daily AS (SELECT server, day, count(*) AS n_samples, sum(value) AS total
+          FROM samples WHERE server IS NOT NULL GROUP BY server, day),
+cli AS (SELECT request_id, CAST(substring(server, 6) AS INTEGER) AS server_no, start_date,
+               CASE WHEN server IS NULL THEN 'reject' WHEN start_date IS NULL THEN 'whole' ELSE mode END AS mode, end_date FROM modes),
+acc AS (SELECT request_id, server_no, mode, CAST(start_date AS DATE) AS s,
+               CASE WHEN mode = 'range' THEN CAST(end_date AS DATE) ELSE CAST(start_date AS DATE) END AS e
+        FROM cli WHERE mode IN ('single', 'range')
+        UNION ALL SELECT request_id, server_no, mode, DATE '0001-01-01', DATE '9999-12-31' FROM cli WHERE mode = 'whole')
+SELECT a.request_id, a.server_no AS server, a.mode, min(d.day) AS first_day, max(d.day) AS last_day, count(*) AS n_days,
+       CAST(sum(d.n_samples) AS BIGINT) AS n_samples, round(sum(d.total), 6) AS total
+FROM acc a JOIN daily d ON d.server = a.server_no AND d.day BETWEEN a.s AND a.e
+GROUP BY a.request_id, a.server_no, a.mode
+""")
+def q_request_whole(spark, sf_dir):
+    """P8, as the command line takes requests: one without any date means all days of
+    its server. (A request that lacks its start is given without its end here.)"""
+    given = T.requests(spark, sf_dir).withColumn("end_date", F.when(F.col("start_date").isNotNull(), F.col("end_date")))
+    modes = S.request_mode(given, F.lit(ASOF).cast("date"), cli=True)
+    modes = modes.withColumn("server", F.regexp_extract("server", r"^sense(\d+)$", 1).cast("int"))
+    j = S.request_range_join(modes, T.daily_samples(spark, sf_dir), whole=True)
+    return (j.groupBy("request_id", "server", "mode")
+            .agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.count(F.lit(1)).alias("n_days"),
+                 F.sum("n_samples").alias("n_samples"), F.round(F.sum("total"), 6).alias("total")))

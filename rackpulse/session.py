@@ -96,10 +96,18 @@ def clear_staged(spark: SparkSession) -> None:
 _HELD: dict[tuple[str, str], str] = {}
 
 
+def input_stamp(spark: SparkSession, folder: str) -> str:
+    """Names, sizes and times of what lies directly in an input folder; a table
+    written anew, or with files added, has another."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    held = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    return "|".join(sorted(f"{x.getPath().getName()} {x.getLen()} {x.getModificationTime()}" for x in held))
+
+
 def stage_once(spark: SparkSession, name: str, source: str, build):
-    """``build()`` staged once per application and ``source`` (the input folder
-    and whatever else it depends on), then read by every query that asks."""
-    key = (spark.sparkContext.applicationId, f"{name}|{source}")
+    """``build()`` staged once per application and state of ``source`` (the
+    input folder), then read by every query that asks."""
+    key = (spark.sparkContext.applicationId, f"{name}|{source}|{input_stamp(spark, source)}")
     if key not in _HELD:
         path = scratch_path(spark, name)
         build().write.mode("overwrite").parquet(path)

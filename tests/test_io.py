@@ -135,3 +135,68 @@ def test_named_results_are_seen_whole(spark, tmp_dir):
         os.remove(f)
     with pytest.raises(ValueError):
         K.read_named(spark, path)
+
+
+def test_files_are_copied_as_files(spark, tmp_dir):
+    import datetime as dt
+    import gzip
+
+    from rackpulse.streaming.copies import copy_files, read_ledger
+    now = dt.datetime(2024, 5, 1, 12, tzinfo=dt.timezone.utc)
+    src, dst, ledger = f"{tmp_dir}/from", f"{tmp_dir}/to", f"{tmp_dir}/ledger"
+
+    def put(where, data, hours=1.0):
+        os.makedirs(os.path.dirname(f"{src}/{where}"), exist_ok=True)
+        with open(f"{src}/{where}", "wb") as f:
+            f.write(data)
+        os.utime(f"{src}/{where}", (now.timestamp() - hours * 3600,) * 2)
+
+    def tree():
+        return {os.path.relpath(os.path.join(d, f), dst): open(os.path.join(d, f), "rb").read() for d, _, fs in os.walk(dst) for f in fs}
+
+    long = bytes(range(256)) * 70_000  # two pieces and more
+    put("2024-05-01 10:30.log", b"a\n")
+    put("sub/deep/b:c.bin", long)
+    put("sub/x.gz", gzip.compress(b"stays packed"))
+    put("empty", b"")
+    put("old", b"old", hours=3)
+    put("same:name", b"first")
+    put("same-name", b"held")
+    os.makedirs(f"{src}/nothing")
+    first = copy_files(spark, src, dst, ledger, 7200, now).collect()
+    want = {"2024-05-01 10-30.log": b"a\n", "sub/deep/b-c.bin": long, "sub/x.gz": gzip.compress(b"stays packed"), "empty": b"", "same-name": b"held"}
+    assert tree().keys() == want.keys() and tree()["sub/deep/b-c.bin"] == long and tree()["same-name"] == b"held"
+    assert gzip.decompress(tree()["sub/x.gz"]) == b"stays packed" and tree()["2024-05-01 10-30.log"] == b"a\n"
+    assert sorted((r.status, os.path.basename(r.source)) for r in first if r.status != "copied") == [("clash", "same:name")]
+    assert copy_files(spark, src, dst, ledger, 7200, now).count() == 0
+    put("empty", b"now more", hours=0.5)
+    put("late", b"late", hours=0.5)
+    assert sorted(os.path.basename(r.target) for r in copy_files(spark, src, dst, ledger, 7200, now).collect()) == ["empty", "late"]
+    assert tree()["empty"] == b"now more" and tree().keys() == want.keys() | {"late"}
+    assert read_ledger(spark, ledger).count() == 8
+    os.makedirs(f"{tmp_dir}/bare")
+    assert copy_files(spark, f"{tmp_dir}/bare", dst, f"{tmp_dir}/ledger2").count() == 0
+
+
+def test_staged_tables_follow_their_input(spark, tmp_dir):
+    from rackpulse.session import stage_once
+    src = f"{tmp_dir}/input"
+
+    def total():
+        return stage_once(spark, "probe", src, lambda: spark.read.parquet(f"{src}/t.parquet")).count()
+
+    spark.range(5).write.parquet(f"{src}/t.parquet")
+    assert total() == 5 == total()
+    spark.range(7).write.mode("overwrite").parquet(f"{src}/t.parquet")
+    assert total() == 7
+
+
+def test_month_offsets_run_over(spark):
+    from rackpulse.functions import timefns as TF
+    df = spark.sql("select timestamp_ntz'2024-01-31 10:20:30.5' as t union all select timestamp_ntz'2023-01-31 00:00:00' union all select timestamp_ntz'2024-02-29 01:00:00'")
+    ts = F.col("t")
+    got = {r[0]: tuple(r)[1:] for r in df.select(TF.text(ts), TF.text(TF.offset(ts, "month", 1)), TF.text(TF.offset(ts, "month", -2)), TF.text(TF.offset(ts, "year", 1)),
+                                               TF.iso_format(ts), TF.epoch_micros(ts) % 1_000_000).collect()}
+    assert got["2024-01-31 10:20:30"] == ("2024-03-02 10:20:30", "2023-12-01 10:20:30", "2025-01-31 10:20:30", "2024-01-31T10:20:30.500Z", 500_000)
+    assert got["2023-01-31 00:00:00"][0] == "2023-03-03 00:00:00"
+    assert got["2024-02-29 01:00:00"] == ("2024-03-29 01:00:00", "2023-12-29 01:00:00", "2025-03-01 01:00:00", "2024-02-29T01:00:00.000Z", 0)
