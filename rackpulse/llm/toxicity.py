@@ -13,8 +13,8 @@ ordinary one (over all windows, for its length, in the best ones, and how many s
   or more, by a likelihood ratio of ``least`` or more, the surest nearest. No share
   of the sample is asked for, so the words of a small language count. A beginning
   counts once for each word it follows (where it first stands in a document), so
-  copies of one document count once. zstandard's own trainer was tried on the same
-  words; it cuts them into fragments and finds fewer (README).
+  copies of one document count once. The content is chosen so, not made by
+  zstandard's trainer, which does about as well on the same words (README).
 * Each window follows a fixed lead-in out of the common part, so that even a
   short window is compressed and the difference shows the match alone.
 
