@@ -6,21 +6,28 @@ is compressed with either dictionary, and what the toxic one saves beyond the
 ordinary one (over all windows, for its length, in the best ones, and how many save
 ``STRONG`` bytes) goes through calibrated logistic weights into a score.
 
-* The ordinary dictionary holds the words most documents of the ordinary
-  sample have, the commonest last (nearest, cheapest to refer to).
-* The toxic dictionary holds the same and, amid it, the beginnings of words that
-  set the toxic sample apart: those whose rate is ``ratio`` times the ordinary one
-  or more, by a likelihood ratio of ``least`` or more, the surest nearest. No share
-  of the sample is asked for, so the words of a small language count. A beginning
-  counts once for each word it follows (where it first stands in a document), so
-  copies of one document count once. The content is chosen so, not made by
-  zstandard's trainer, which does about as well on the same words (README).
-* Each window follows a fixed lead-in out of the common part, so that even a
-  short window is compressed and the difference shows the match alone.
+Both dictionaries are made by zstandard's trainer and used as raw content:
+
+* the ordinary one is trained on the words of the ordinary documents, each as often
+  as documents hold it, in ``settled`` documents or more (on all, if none is);
+* the toxic one is trained on words of the toxic documents, each as often as it
+  stands there, and put amid the ordinary one, so that the two differ in the toxic
+  part alone. Toxic documents are mostly ordinary words, and a dictionary of all of
+  these tells nothing; it learns the words whose beginning sets the toxic documents
+  apart: its rate is ``ratio`` times the ordinary one or more, by a likelihood ratio
+  of ``least`` or more. No share of the sample is asked for, so the words of a small
+  language count. A beginning counts once for each word it follows (where it first
+  stands in a document), so copies of one document count once;
+* where there are too few samples for the trainer, they are the content themselves.
+
+Samples come in the order of a hash, as the trainer takes a part from each stretch.
+Each window follows a fixed lead-in out of the common part, so that even a
+short window is compressed and the difference shows the match alone.
 
 The fit reads a bounded, documented sample: at most ``sample`` labelled
 documents of each class (one text an id, different texts, in the order of a hash of
-their id), ``candidates`` pieces and ``vocabulary`` words. Scoring reads whole texts.
+their id), ``candidates`` beginnings and the ``vocabulary`` commonest words of each class,
+as up to ``TRAINED`` samples. Scoring reads whole texts.
 
 Defined results:
 
@@ -36,6 +43,7 @@ Defined results:
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -50,6 +58,8 @@ from pyspark.sql import types as S
 
 from .common import pick, slices, stage, text_bytes
 
+TRAINED = 500_000  # samples a dictionary is trained on, at most
+STEP = 6  # the trainer's d: bytes of what it counts
 SHORTEST, LONGEST = 4, 14  # bytes of a piece, the space before the word included
 STRONG = 3  # bytes saved by a window that counts by itself
 NEAR = 1000  # bytes of the common part that stand after the pieces, so that these are near too
@@ -59,7 +69,8 @@ SMALL_TABLES = {"window_log": 14, "hash_log": 15, "chain_log": 15, "search_log":
 
 @dataclass(frozen=True)
 class Model:
-    """Dictionary contents, window length and the weights of ``_features``."""
+    """Dictionary contents (ordinary, and what the toxic one has beside it), window length
+    and the weights of ``_features``."""
 
     common: bytes
     pieces: bytes
@@ -160,6 +171,39 @@ def apart(rows: DataFrame, n_toxic: int, n_ordinary: int, ratio: float, least: f
     return chosen
 
 
+def _words(rows: DataFrame, beginnings: list[bytes] | None, most: int) -> list[tuple[bytes, int]]:
+    """The ``most`` commonest words, between spaces, of (toxic, text): with the documents that
+    hold them, or with their places where only words of these beginnings count."""
+    held = None if beginnings is None else frozenset(beginnings)
+
+    def counted(text: bytes) -> Counter:
+        words = (b" " + w + b" " for w in words_of(text) if len(w) <= 64)
+        if held is None:
+            return Counter(set(words))
+        return Counter(w for w in words if any(w[:n] in held for n in range(SHORTEST, min(len(w), LONGEST) + 1)))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, "text", 2 << 20):
+                made = [counted(t) for t in text_bytes(piece.column(1))]
+                yield pa.RecordBatch.from_pydict({"word": pa.array([w for m in made for w in m], pa.binary()),
+                                                  "n": pa.array([n for m in made for n in m.values()], pa.int64())})
+
+    found = rows.select("toxic", "text").mapInArrow(split, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return [(bytes(r.word), r.n) for r in found.orderBy(F.desc("n"), "word").limit(most).collect()]
+
+
+def trained(words: list[tuple[bytes, int]], size: int, segment: int) -> bytes:
+    """A dictionary of ``size`` bytes at most by zstandard's trainer, from each word as often
+    as told (evenly fewer beyond ``TRAINED`` in all); the words themselves where they are too few."""
+    share = min(1.0, TRAINED / max(1, sum(n for _, n in words)))
+    samples = sorted((xxhash.xxh64_intdigest(w, seed=i), w) for w, n in words for i in range(max(1, int(n * share))))
+    try:
+        return zstandard.train_dictionary(size, [w for _, w in samples], k=segment, d=STEP).as_bytes()
+    except (zstandard.ZstdError, ValueError):
+        return b"".join(w for w, _ in reversed(words))[-size:]
+
+
 def _calibrated(evidence: np.ndarray, toxic: np.ndarray, caution: float) -> tuple[float, ...]:
     """Ridge logistic weights by Newton steps; the ordinary class weighs ``caution`` times the toxic one."""
     x = _features(evidence)
@@ -197,8 +241,8 @@ def learned_from(doc: Column) -> Column:
     return F.crc32(doc.cast("string").cast("binary")) % 3 != 1
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000, candidates: int = 2000, vocabulary: int = 4000, words: int = 3,
-        lead: int = 64, ratio: float = 4.0, least: float = 20.0, caution: float = 3.0, doc_col: str = "doc_id", text_col: str = "text") -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000, candidates: int = 2000, vocabulary: int = 20000, words: int = 3,
+        lead: int = 64, ordinary_bytes: int = 45000, toxic_bytes: int = 3000, settled: int = 9, ratio: float = 4.0, least: float = 20.0, caution: float = 3.0, doc_col: str = "doc_id", text_col: str = "text") -> Model:
     """Train dictionaries and weights on the labelled documents that may be learned from."""
     marks = pick(labels, id="doc_id", toxic="toxic").where(learned_from(F.col("id")))
     marks = marks.select(F.col("id").cast("long").alias("id"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)").distinct()
@@ -208,13 +252,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000, candidates: int
     texts = own.join(F.broadcast(chosen), F.col("doc") == F.col("id")).select("id", "toxic", F.coalesce("text", F.lit("")).alias("text"))  # at most 2 * sample short rows
     rows = stage(texts.groupBy("id", "toxic").agg(F.min("text").alias("text")).select("toxic", "text").distinct(), "toxicity-sample")
     sizes = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    common = (_listed(rows.where("toxic = 0"), lambda t: {b" " + w + b" ": b"" for w in words_of(t) if len(w) <= 64}).groupBy("part").count()
-              .orderBy(F.desc("count"), "part").limit(vocabulary).collect())
-    content = b"".join(bytes(r.part) for r in reversed(common))
+    common = _words(rows.where("toxic = 0"), None, vocabulary)
+    often = [x for x in common if x[1] >= settled] or common
+    content = trained(often, ordinary_bytes, 16)
     found = apart(rows, sizes[1], sizes[0], ratio, least, candidates) if sizes.get(0) and sizes.get(1) else []
     if not found:
         return Model(content, b"", words, lead, None)
-    model = Model(content, b"".join(p if p.endswith(b" ") else p + b"\n" for p in reversed(found)), words, lead, None)
+    telling = _words(rows.where("toxic = 1"), found, vocabulary)
+    model = Model(content, trained(telling, toxic_bytes, 24), words, lead, None)
     shown = _evidence_rows(rows, model, "toxic", "int").drop("score").collect()
     table = np.array([tuple(r) for r in shown], np.float64)
     return Model(model.common, model.pieces, words, lead, _calibrated(table[:, 1:], table[:, 0], caution))

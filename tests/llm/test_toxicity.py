@@ -98,3 +98,17 @@ def test_an_id_with_several_texts_is_learned_once(spark):
     rows, marks, docs, labels = corpus(spark, 300)
     more = docs.unionByName(docs.selectExpr("doc_id", "concat('zz ', text) as text"))
     assert X.fit(more, labels) == X.fit(docs.selectExpr("doc_id", "least(text, concat('zz ', text)) as text"), labels)
+
+
+def test_dictionaries_come_from_the_trainer():
+    """The content is zstandard's own for the samples in hash order; few samples are the content; reruns agree."""
+    words = [(f" word{i}stem{i % 7} ".encode(), 1 + i % 9) for i in range(400)]
+    samples = sorted((X.xxhash.xxh64_intdigest(w, seed=i), w) for w, n in words for i in range(n))
+    want = X.zstandard.train_dictionary(2000, [w for _, w in samples], k=16, d=X.STEP).as_bytes()
+    assert X.trained(words, 2000, 16) == want == X.trained(list(reversed(words)), 2000, 16) and len(want) <= 2000
+    assert X.trained([(b" one ", 3), (b" two ", 1)], 2000, 16) == b" two  one " and X.trained([], 2000, 16) == b""
+
+
+def test_a_very_common_word_is_trained_on_evenly_fewer():
+    many = [(b" often ", 10 ** 9), *[(f" rare{i} ".encode(), 40) for i in range(50)]]
+    assert len(X.trained(many, 1000, 16)) <= 1000
