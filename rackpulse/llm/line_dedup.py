@@ -12,7 +12,8 @@ The index holds, all hashed into shards by line key,
 
 ``insert`` and ``delete`` take whole documents. They change the postings,
 recount only the keys touched, and move keys that cross ``min_docs`` into or
-out of the filters, so deleting a batch gives back the index from before it.
+out of the filters, so deleting a batch gives back the index from before it. A
+filter whose keys would fill over ``FULL`` of its places is built anew from the counts.
 
 A line's key is the line without white space (space, tab, LF, VT, FF, CR) at
 either end, A-Z lower-cased, if it has ``min_chars`` code points at least;
@@ -48,6 +49,8 @@ from .common import pick, stage, text_bytes
 
 SPACE = b" \t\n\x0b\x0c\r"
 SLOTS = 4  # places in a bucket
+FULL = 0.9  # share of its places beyond which a filter is built anew, larger
+SHARD_BYTES, MOST_SHARDS = 1 << 27, 1 << 20  # text a shard is meant for; 2 ** 20 rows tell all shards' pieces
 KICKS = 200  # moves before a key goes to the stash
 
 
@@ -189,6 +192,17 @@ def _changed_filters(filters: DataFrame, moves: DataFrame) -> DataFrame:
     return filters.groupBy("shard").cogroup(moves.groupBy("of")).applyInPandas(change, "shard int, filter binary")
 
 
+def _grown(filters: DataFrame, moves: DataFrame, frequent: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Filters without those that ``frequent`` would overfill, and moves that build these anew."""
+    count = [F.hex(F.substr("filter", F.lit(i), F.lit(1))) for i in range(8, 0, -1)]  # of buckets, least byte first
+    places = SLOTS * F.conv(F.concat(*count), 16, 10).cast("double")
+    full = (frequent.groupBy("shard").agg(F.count("*").alias("keys")).join(filters.select("shard", places.alias("places")), "shard")
+            .where(F.col("keys") > FULL * F.col("places")).select("shard"))
+    full = stage(full, "line-full-filters")
+    whole = frequent.join(full, "shard", "left_semi").select("shard", "key", F.lit(True).alias("up"))
+    return filters.join(full, "shard", "left_anti"), moves.select("shard", "key", "up").join(full, "shard", "left_anti").unionByName(whole)
+
+
 def empty_index(docs: DataFrame, shards: int, min_docs: int, min_chars: int) -> LineIndex:
     make = lambda schema: docs.sparkSession.createDataFrame([], schema)
     return LineIndex(make("shard int, key binary, doc long"), make("shard int, key binary, refs long, last long"),
@@ -202,7 +216,10 @@ def _moved(index: LineIndex, counts: DataFrame, changed: DataFrame) -> LineIndex
              .select("shard", "key", (F.col("refs") >= index.min_docs).alias("up"),
                      (F.coalesce("was", F.lit(0)) >= index.min_docs).alias("had"))
              .where("up <> had").drop("had"))
-    filters = stage(_changed_filters(index.filters, moves), "line-filters")
+    filters = index.filters
+    if not filters.isEmpty():
+        filters, moves = _grown(filters, moves, counts.where(F.col("refs") >= index.min_docs))
+    filters = stage(_changed_filters(filters, moves), "line-filters")
     return LineIndex(index.postings, counts, filters, index.shards, index.min_docs, index.min_chars)
 
 
@@ -240,19 +257,19 @@ def delete(index: LineIndex, doc_ids: DataFrame, doc_col: str = "doc_id") -> Lin
     return moved
 
 
-def dropped_keys(index: LineIndex, least_rows: int = 1000) -> DataFrame:
+def dropped_keys(index: LineIndex, least_rows: int = 1000, most_rows: int = 500_000) -> DataFrame:
     """(doc, keys): the keys whose lines a document loses.
 
     Each shard's postings meet the shard's filter in pieces of about the mean
-    shard's size (``least_rows`` at least): a shard with a very common line has
+    shard's size (``least_rows`` at least, ``most_rows`` at most): a shard with a very common line has
     as many more pieces, spread by document. Only hits go on to the exact counts.
     """
     sizes = index.postings.groupBy("shard").agg(F.count("*").alias("n"))
     mean = sizes.agg(F.avg("n").alias("mean")).select("mean").scalar()
-    pieces = (sizes.select("shard", F.ceil(F.col("n") / F.greatest(mean, F.lit(float(least_rows)))).alias("pieces"))
+    pieces = (sizes.select("shard", F.ceil(F.col("n") / F.least(F.greatest(mean, F.lit(float(least_rows))), F.lit(float(most_rows)))).alias("pieces"))
               .join(index.filters, "shard"))
     filters = pieces.select(F.col("shard").alias("of"), F.explode(F.expr("sequence(0L, pieces - 1)")).alias("part"), "filter")
-    counted = F.broadcast(pieces.select("shard", "pieces"))  # as many short rows as there are shards, a parameter
+    counted = F.broadcast(pieces.select("shard", "pieces"))  # a short row a shard, MOST_SHARDS at most
     rows = (index.postings.join(counted, "shard")
             .select("shard", F.expr("pmod(xxhash64(doc), pieces)").alias("piece"), "key", "doc"))
 
@@ -302,7 +319,9 @@ def drop_lines(docs: DataFrame, index: LineIndex, doc_col: str = "doc_id", text_
 
 def dedup_lines(docs: DataFrame, min_docs: int = 5, min_chars: int = 40, shards: int | None = None,
                 doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Index all documents and drop their repeated lines."""
-    shards = shards or max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """Index all documents and drop their repeated lines. Unless told, the number of shards grows with the text."""
+    if shards is None:
+        size = pick(docs, text=text_col).agg(F.sum(F.octet_length("text").cast("long")).alias("size")).first().size or 0
+        shards = min(MOST_SHARDS, max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // SHARD_BYTES))
     index = insert(empty_index(docs, shards, min_docs, min_chars), docs, doc_col, text_col)
     return drop_lines(docs, index, doc_col, text_col)

@@ -95,3 +95,32 @@ def test_cuckoo_filter_never_loses_a_member():
     assert tight.contains(keys[:2500]).mean() < 0.05
     tight.delete(keys[2500:])
     assert not tight.slots.any() and not tight.stash
+
+
+def test_filters_grow_with_the_index(spark):
+    """A first insertion of one frequent line, later ones of thousands: little is left to the stash."""
+    def batch(docs, lines):
+        return spark.createDataFrame([(d, "\n".join(f"line number {i}, long enough to count as one" for i in lines)) for d in docs],
+                                     "doc_id long, text string")
+
+    index = L.insert(L.empty_index(batch([1], [0]), 2, 2, 40), batch([1, 2], [0]))
+    places = lambda x: {r.shard: L.CuckooFilter.load(bytes(r["filter"])) for r in x.filters.collect()}
+    small = sum(f.slots.size for f in places(index).values())
+    for start in (1, 300):
+        index = L.insert(index, batch([10 * start, 10 * start + 1], range(start, 10 * start)))
+        index = L.insert(index, batch([10 * start + 2], range(start)))
+    held = places(index)
+    assert sum(f.slots.size for f in held.values()) > 100 * small
+    assert all((f.slots > 0).mean() <= L.FULL and len(f.stash) < 5 for f in held.values())
+    frequent = {s: L._numbers([r.key for r in rs]) for s in held
+                if (rs := index.counts.where(f"refs >= 2 and shard = {s}").collect())}
+    assert sum(map(len, frequent.values())) >= 2700 and all(held[s].contains(k).all() for s, k in frequent.items())
+    assert result(L.drop_lines(batch([1, 2], [0]), index)) == [(1, "", 1, 1), (2, "", 1, 1)]
+
+
+def test_pieces_are_bounded(spark):
+    rows = corpus(1)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    index = L.insert(L.empty_index(df, 2, 5, 40), df)
+    flat = lambda d: sorted((r.doc, sorted(map(bytes, r["keys"]))) for r in d.collect())
+    assert flat(L.dropped_keys(index, most_rows=7)) == flat(L.dropped_keys(index))
