@@ -3,12 +3,16 @@
 Centres are few (k is half the root of the number of points), so all groups'
 and runs' centres are gathered, their number checked against ``MOST_CENTERS``
 first, and broadcast. Points then pass through one blocked kernel: per Arrow
-batch and group, the squared distances of a block of points to all centres of a
-run, feature by feature. No point carries centres, no point is copied for
-another run, and nothing is shuffled by group, so a hot group is spread like
-any other rows. A Lloyd step sums up per task and centre what lies nearest and
-merges these partial sums; it reads the points once for all groups and runs,
-and the loop ends at the fixed point.
+batch and group, a matrix product bounds the squared distances of a block of
+points to the centres of all runs. Where one centre is nearer than the product's
+rounding can be wrong, it is the nearest; the few points left are compared
+feature by feature. No point carries centres and no point is copied for
+another run. ``laid_out`` writes points by ranges of their group, so that a
+batch holds few groups while a hot group is still spread over tasks. A Lloyd
+step sums up per task and centre what lies nearest and merges these partial
+sums; it reads the points once for all groups and runs, and the loop ends at
+the fixed point. As k grows with the root of a group's points, a step compares
+n * k = n ** 1.5 / 2 pairs a run.
 
 Beyond ``MOST_CENTERS`` the centres stay a table: points are joined, salted, to
 their group's array of centres.
@@ -25,13 +29,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import spread_over, stage
 
 FEATURES = ["filewrites", "filereads", "CPU", "diskIOBW", "net_bytes"]
 
 #: Centres of all groups and runs that are broadcast (80 MB of five features).
 MOST_CENTERS = 2_000_000
-_CELLS = 1 << 21  # distances held at once
+_CELLS = 1 << 18  # distances held at once (2 MB, a core's cache)
+_SLACK = 1e-12    # of the squared lengths: far above what rounding adds to a product
+_BOUND = 1e100    # larger numbers are compared feature by feature
 _SALTS = 32
 
 
@@ -99,28 +105,81 @@ class Gathered:
                 self.parts.setdefault(self.names[start], []).append((self.runs[start], start, end))
                 start = end
 
-    def nearest(self, points: np.ndarray, name: str) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    def __getstate__(self) -> dict:
+        """What tasks need: neither names nor runs of the single centres."""
+        return {"ids": np.asarray(self.ids, np.int32), "at": self.at, "weights": self.weights, "parts": self.parts}
+
+    def nearest(self, points: np.ndarray, name: str, measured: bool = True) -> Iterator[tuple[slice, np.ndarray, np.ndarray | None]]:
         """Per block of points: its place, and for each run of the group (a
-        column each) the place in ``at`` of the nearest centre and the squared
-        distance; ties to the lower id, -1 where no distance is a number."""
+        column each) the place in ``at`` of the nearest centre and, if
+        ``measured``, the squared distance; ties to the lower id, -1 where no
+        distance is a number."""
         parts = self.parts.get(name)
         if not parts:
             return
         first, last = parts[0][1], parts[-1][2]
         own = self.at[first:last]
         factor = self.weights[name] if self.weights else None
-        step = max(1, _CELLS // len(own))
+        cuts = [(s - first, e - first) for _, s, e in parts]
+        most = max(e - s for s, e in cuts)
+        step = max(1, _CELLS // max(len(own), most * len(cuts)))
+        shape = None if factor is None else np.sqrt(factor)
+        middle = own.mean(axis=0)
+        shift = own - middle if shape is None else (own - middle) * shape
+        small = bool((np.abs(shift) < _BOUND).all() and (np.abs(own) < _BOUND).all())  # false for what is not a number
+        length = (shift * shift).sum(axis=1)
+        product = np.zeros((own.shape[1] + 1, len(cuts), most))  # runs side by side, shorter ones filled up
+        product[-1] = _BOUND * _BOUND * _BOUND
+        for r, (s, e) in enumerate(cuts if small else ()):
+            product[:-1, r, : e - s], product[-1, r, : e - s] = -2 * shift[s:e].T, length[s:e]
         for a in range(0, len(points), step):
             block = points[a: a + step]
-            d2 = np.zeros((len(block), len(own)))
-            for f in range(own.shape[1]):
-                diff = block[:, f, None] - own[None, :, f]
-                d2 += diff * diff if factor is None else diff * diff * factor[f]
-            d2[np.isnan(d2)] = np.inf
-            place = np.column_stack([d2[:, s - first: e - first].argmin(axis=1) + s for _, s, e in parts])
-            least = np.take_along_axis(d2, place - first, axis=1)
-            place[np.isinf(least)] = -1
-            yield slice(a, a + len(block)), place, least
+            if small and (np.abs(block) < _BOUND).all():
+                place, d2 = _by_product(block, own, factor, cuts, block - middle if shape is None else (block - middle) * shape, product, length.max(), measured)
+            else:
+                place, d2 = _by_feature(block, own, factor, cuts)
+            place[place >= 0] += first
+            yield slice(a, a + len(block)), place, d2
+
+
+def _by_feature(block: np.ndarray, own: np.ndarray, factor: np.ndarray | None, cuts: Sequence[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """(place in ``own`` of the nearest centre, squared distance), a column a run."""
+    d2 = np.zeros((len(block), len(own)))
+    for f in range(own.shape[1]):
+        diff = block[:, f, None] - own[None, :, f]
+        d2 += diff * diff if factor is None else diff * diff * factor[f]
+    d2[np.isnan(d2)] = np.inf
+    place = np.column_stack([d2[:, s:e].argmin(axis=1) + s for s, e in cuts])
+    least = np.take_along_axis(d2, place, axis=1)
+    place[np.isinf(least)] = -1
+    return place, least
+
+
+def _by_product(block: np.ndarray, own: np.ndarray, factor: np.ndarray | None, cuts: Sequence[tuple[int, int]], shifted: np.ndarray,
+                product: np.ndarray, longest: float, measured: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """The same by one matrix product: |c|^2 - 2 p c, which lacks |p|^2 only.
+    Points with a second centre within what rounding may add go ``_by_feature``."""
+    near = (np.column_stack([shifted, np.ones(len(block))]) @ product.reshape(len(product), -1)).reshape(len(block), *product.shape[1:])
+    slack = _SLACK * ((shifted * shifted).sum(axis=1) + longest)
+    at = near.argmin(axis=2)
+    limit = np.take_along_axis(near, at[:, :, None], axis=2) + slack[:, None, None]
+    beside = near <= limit
+    close = np.zeros(len(block), bool)
+    if np.count_nonzero(beside) > at.size:
+        close = (np.count_nonzero(beside, axis=2) > 1).any(axis=1)
+    place = at + [s for s, _ in cuts]
+    d2 = None
+    if measured:
+        d2 = np.zeros(place.shape)
+        for f in range(own.shape[1]):
+            diff = block[:, f, None] - own[place, f]
+            d2 += diff * diff if factor is None else diff * diff * factor[f]
+    for part in np.array_split(np.nonzero(close)[0], max(1, int(close.sum()) * len(own) // _CELLS + 1)):
+        if len(part):
+            place[part], least = _by_feature(block[part], own, factor, cuts)
+            if measured:
+                d2[part] = least
+    return place, d2
 
 
 def _gathered(centers: DataFrame, group: Sequence[str], features: Sequence[str]) -> Gathered | None:
@@ -140,16 +199,32 @@ def _matrix(batch: pa.RecordBatch, features: Sequence[str]) -> np.ndarray:
 
 
 def _by_group(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray]]:
-    """Group names of a batch and the places of their rows."""
+    """Group names of a batch and the places of their rows, in the batch's order."""
     coded = pc.dictionary_encode(batch.column("_group"))
-    codes = np.asarray(coded.indices)
-    for i, name in enumerate(coded.dictionary.to_pylist()):
-        yield name, np.nonzero(codes == i)[0]
+    codes, names = np.asarray(coded.indices), coded.dictionary.to_pylist()
+    order = np.argsort(codes, kind="stable")
+    ends = np.cumsum(np.bincount(codes, minlength=len(names)))
+    for name, start, end in zip(names, [0, *ends[:-1]], ends, strict=True):
+        yield name, order[start:end]
+
+
+def _grouped(points: DataFrame, group: Sequence[str]) -> Column:
+    """The points' ``_group``, of ``laid_out`` or made here."""
+    return (F.col("_group") if "_group" in points.columns else _name(group)).alias("_group")
 
 
-def _sums(points: DataFrame, held: Gathered, group: Sequence[str], features: Sequence[str]) -> DataFrame:
-    """(place, n, s0, s1, ..., cost): per centre the number, sums and squared
-    distances of the points nearest to it; one partial row a task and centre."""
+def laid_out(points: DataFrame, group: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """Points written by ranges of their group and ``order``, with the group's
+    name in ``_group``: a task's points are of few groups, and a large group
+    lies in several files, at least twice as many as there are cores."""
+    named = points.select("*", _name(group).alias("_group"))
+    return stage(named.repartitionByRange(spread_over(points.sparkSession), "_group", *order).sortWithinPartitions("_group", *order), name)
+
+
+def _sums(points: DataFrame, held: Gathered, group: Sequence[str], features: Sequence[str], measured: bool) -> DataFrame:
+    """(place, n, s0, s1, ..., cost): per centre the number, sums and (if
+    ``measured``) squared distances of the points nearest to it; one partial row
+    a task and centre."""
     shared = points.sparkSession.sparkContext.broadcast(held)
     names = [f"s{i}" for i in range(len(features))]
 
@@ -159,23 +234,27 @@ def _sums(points: DataFrame, held: Gathered, group: Sequence[str], features: Seq
         for batch in batches:
             at = _matrix(batch, features)
             for name, rows in _by_group(batch):
-                for block, place, d2 in own.nearest(at[rows], name):
-                    some = place >= 0
-                    to, which = place[some], np.nonzero(some)[0]
-                    start, end = own.parts[name][0][1], own.parts[name][-1][2]
-                    values = [None, *at[rows][block][which].T, d2[some]]
-                    total[start:end] += np.column_stack([np.bincount(to - start, weights=v, minlength=end - start) for v in values])
+                mine = at[rows]
+                for block, place, d2 in own.nearest(mine, name, measured):
+                    whole = bool((place >= 0).all())
+                    for r, (_, start, end) in enumerate(own.parts[name]):
+                        some = slice(None) if whole else place[:, r] >= 0
+                        to = place[some, r] - start
+                        values = [None, *mine[block][some].T, *([d2[some, r]] if measured else [])]
+                        for i, v in enumerate(values):
+                            total[start:end, i] += np.bincount(to, weights=v, minlength=end - start)
         used = np.nonzero(total[:, 0])[0]
         yield pa.RecordBatch.from_arrays([pa.array(used), *[pa.array(total[used, i]) for i in range(total.shape[1])]], names=["place", "n", *names, "cost"])
 
-    rows = points.select(_name(group).alias("_group"), *features)
+    rows = points.select(_grouped(points, group), *features)
     partial = rows.mapInArrow(scan, "place long, n double, " + ", ".join(f"{x} double" for x in names) + ", cost double")
     return partial.groupBy("place").agg(*[F.sum(x).alias(x) for x in ("n", *names, "cost")])
 
 
-def _stepped(points: DataFrame, held: Gathered, group: Sequence[str], features: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(centres, numbers of points, costs) after one Lloyd step; a centre without points keeps its place."""
-    got = _sums(points, held, group, features).toArrow()  # one row a centre at most
+def _stepped(points: DataFrame, held: Gathered, group: Sequence[str], features: Sequence[str],
+             measured: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(centres, numbers of points, costs if ``measured``) after one Lloyd step; a centre without points keeps its place."""
+    got = _sums(points, held, group, features, measured).toArrow()  # one row a centre at most
     place, n = np.asarray(got.column("place")), np.zeros(len(held.ids))
     cost, at = np.zeros(len(held.ids)), held.at.copy()
     n[place], cost[place] = np.asarray(got.column("n")), np.asarray(got.column("cost"))
@@ -223,7 +302,7 @@ def best_run(points: DataFrame, centers: DataFrame, group: Sequence[str], featur
         cost = nearest_center(in_runs(points, runs), centers.select(*group, "run", "cluster_id", *features), [*group, "run"], features) \
             .groupBy(*group, "run").agg(F.sum("d2").alias("cost"))
     else:
-        _, _, costs = _stepped(points, held, group, features)
+        _, _, costs = _stepped(points, held, group, features, measured=True)
         cost = _table(centers, held, group, features, held.at, cost=costs).groupBy(*group, "run").agg(F.sum("cost").alias("cost"))
     cost = cost.withColumn("cost", F.round(F.col("cost") + 1e-9, 6))
     best = cost.groupBy(*group).agg(F.min(F.struct("cost", "run")).alias("_b")).select(*group, F.col("_b.run").alias("run"), F.col("_b.cost").alias("cost"))
@@ -283,7 +362,7 @@ def nearest_center(points: DataFrame, centers: DataFrame, group: Sequence[str],
     from pyspark.sql.types import DoubleType, IntegerType, StructType
 
     schema = StructType([*points.schema.fields]).add("cluster_id", IntegerType()).add("d2", DoubleType())
-    return points.select("*", _name(group).alias("_group")).mapInArrow(scan, schema)
+    return points.select(*names, *([] if "_group" in names else [_grouped(points, group)])).mapInArrow(scan, schema)
 
 
 def _nearest_by_join(points: DataFrame, centers: DataFrame, group: Sequence[str], features: Sequence[str]) -> DataFrame:

@@ -178,7 +178,7 @@ SELECT server, run, cluster_id, {ROUNDED}, n_points, cost FROM c{ITERATIONS} JOI
 """)
 def q_kmeans_best_of(spark, sf_dir):
     """M2: ten starts per server in one Lloyd loop; the run of least cost wins."""
-    p = _points(spark, sf_dir)
+    p = C.laid_out(_points(spark, sf_dir), GROUP, ["day", "rn"], "server_points")
     c = C.lloyd(p, C.start_centers(p, GROUP, F.unix_date("day"), "rn", RUNS), GROUP, ITERATIONS)
     return r6cols(C.best_run(p, c, GROUP), FEATS).select("server", "run", "cluster_id", *FEATS, "n_points", "cost")
 

@@ -115,6 +115,12 @@ def stage_once(spark: SparkSession, name: str, source: str, build):
     return spark.read.parquet(_HELD[key])
 
 
+def spread_over(spark: SparkSession) -> int:
+    """The number of parts for rows that cost far more than their bytes say
+    (much arithmetic, a file each): adaptive execution would merge them."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+
+
 def stage(df, name: str, partition_by: tuple[str, ...] = ()):
     """Write ``df`` once as Parquet in the shared checkpoint folder and return
     a DataFrame that reads it back.

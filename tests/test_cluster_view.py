@@ -173,3 +173,35 @@ def test_standardised_distances(spark, pts):
         cen = np.array([z[at == k].mean(0) if (at == k).any() else cen[k] for k in range(13)])
     assert [r[-1] for r in got] == np.bincount(at, minlength=13).tolist()
     np.testing.assert_allclose([r[1:-1] for r in got], cen * data.std(0) + data.mean(0), rtol=1e-9)
+
+
+def test_the_product_finds_what_single_distances_find(monkeypatch):
+    rng = np.random.default_rng(3)
+    for case in range(60):
+        sizes = rng.integers(1, 9, rng.integers(1, 5))
+        at = rng.integers(0, 4, (sizes.sum(), 5)).astype(float) if case % 2 else rng.random((sizes.sum(), 5)) * 10.0 ** rng.integers(-3, 9, 5)
+        points = np.vstack([at[rng.integers(0, len(at), 40)], rng.integers(0, 4, (200, 5))])  # ties, and points on centres
+        if case % 5 == 0:
+            points[3, 2], at[0, 1] = np.nan, np.nan
+        weights = {"a": rng.choice([0, 1, 3.7e-9, 2e8], 5)} if case % 3 == 0 else None
+        held = C.Gathered(["a"] * len(at), [r for r, n in enumerate(sizes) for _ in range(n)], [i for n in sizes for i in range(n)], at, weights)
+        for block, place, d2 in held.nearest(points, "a"):
+            want = C._by_feature(points[block], held.at, weights and weights["a"], [(s, e) for _, s, e in held.parts["a"]])
+            assert (place == want[0]).all() and (d2 == want[1]).all()
+    # without ties no point is compared with every centre feature by feature
+    at = rng.random((400, 5))
+    held = C.Gathered(["a"] * 400, [i // 40 for i in range(400)], [i % 40 for i in range(400)], at)
+    monkeypatch.setattr(C, "_by_feature", None)
+    assert sum(len(place) for _, place, _ in held.nearest(rng.random((5000, 5)), "a")) == 5000
+
+
+def test_points_are_laid_out_by_group(spark):
+    rows = [(i % 3, i, *[float(i * 7 % 11 + f) for f in range(5)]) for i in range(3000)] + [(None, 1, 1.0, 2.0, 3.0, 4.0, 5.0)]
+    points = spark.createDataFrame(rows, "g int, rn int, " + ", ".join(f"{f} double" for f in C.FEATURES))
+    laid = C.laid_out(points, ["g"], ["rn"], "laid")
+    assert sorted(map(str, laid.drop("_group").collect())) == sorted(map(str, points.collect()))
+    files = laid.selectExpr("input_file_name() AS f", "_group").distinct().groupBy("f").count().collect()
+    assert len(files) > 3 and max(r["count"] for r in files) <= 2  # hot groups in several files, few groups in one
+    starts = C.start_centers(points, ["g"], F.lit(1), "rn", 2)
+    a, b = (sorted(map(str, C.best_run(p, C.lloyd(p, starts, ["g"], 5), ["g"]).collect())) for p in (points, laid))
+    assert a == b
