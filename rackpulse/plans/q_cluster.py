@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import cluster as C
 from .. import tables as T
 from ..operators import selection as S
-from ..session import scratch_path, stage, stage_once
+from ..session import scratch_path, spread_over, stage_once
 from ..sources import sinks as K
 from .q_align import ALIGNED_SQL, q_aligned_metrics
 from .q_select import ASOF, REQ
@@ -216,8 +216,9 @@ def _request_results(spark, sf_dir):
     s = F.to_date("start_date", "yyyy-MM-dd")
     jobs = S.request_days(modes.withColumn("start_day", s).withColumn(
         "end_day", F.when(F.col("mode") == "range", F.to_date("end_date", "yyyy-MM-dd")).otherwise(s)))
-    jobs = jobs.select(*JOB, "day").distinct()
-    points = stage(jobs.join(_points(spark, sf_dir), ["server", "day"]), "request_points")
+    # few rows by now, each of which stands for a day's points
+    jobs = jobs.select(*JOB, "day").distinct().repartition(spread_over(spark), "server", "day")
+    points = C.laid_out(jobs.join(_points(spark, sf_dir), ["server", "day"]), JOB, ["day", "rn"], "request_points")
     c = C.lloyd(points, C.start_centers(points, JOB, F.unix_date("day"), "rn", RUNS), JOB, ITERATIONS)
     names = S.output_name(points.select(F.struct(*JOB).alias("job"), "server", "day"), ["job"]).select("job.*", "name")
     return points.join(names, JOB), C.best_run(points, c, JOB).join(names, JOB)
