@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread_over
+
 # Fixed value: the header of the points and centres CSVs (with its space).
 POINTS_HEADER = ["filewrites", "filereads", "CPU", "diskIOBW", "net bytes"]
 
@@ -51,16 +53,18 @@ def write_named(points: DataFrame, centers: DataFrame, path: str) -> None:
     distributed write each; only names written again are replaced. The manifest
     (name, n_points, n_centers) is written last, so a result is seen whole or not
     at all (``read_named``). A name of more than a partition's size is written by
-    several tasks, small ones share a task."""
+    several tasks, small ones share a task. Centres and the manifest are few rows
+    but a file a name, so their names are dealt out to a fixed number of tasks."""
     feats = ["filewrites", "filereads", "CPU", "diskIOBW", "net_bytes"]
-    sizes = None
+    sizes, parts = None, spread_over(points.sparkSession)
     for df, kind in ((points, "points"), (centers, "centers")):
         out = df.select("name", *[F.col(c).alias(h) for c, h in zip(feats, POINTS_HEADER)])
-        (out.hint("rebalance", "name").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        out = out.hint("rebalance", "name") if kind == "points" else out.repartition(parts, "name")
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .option("header", True).partitionBy("name").csv(f"{path}/{kind}"))
         n = df.groupBy("name").agg(F.count(F.lit(1)).alias(f"n_{kind}"))
         sizes = n if sizes is None else sizes.join(n, "name", "left").fillna(0)
-    (sizes.repartition("name").withColumn("of", F.col("name")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (sizes.repartition(parts, "name").withColumn("of", F.col("name")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("of").parquet(f"{path}/manifest"))
 
 

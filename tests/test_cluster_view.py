@@ -205,3 +205,17 @@ def test_points_are_laid_out_by_group(spark):
     starts = C.start_centers(points, ["g"], F.lit(1), "rn", 2)
     a, b = (sorted(map(str, C.best_run(p, C.lloyd(p, starts, ["g"], 5), ["g"]).collect())) for p in (points, laid))
     assert a == b
+
+
+def test_small_results_are_written_by_several_tasks(spark, tmp_path):
+    import os
+
+    from rackpulse.sources import sinks
+
+    rows = [(f"n{i % 40}", *[float(i)] * 5) for i in range(80)]
+    df = spark.createDataFrame(rows, "name string, " + ", ".join(f"{f} double" for f in C.FEATURES))
+    sinks.write_named(df, df, str(tmp_path))
+    assert sinks.read_named(spark, str(tmp_path)).count() == 160
+    for kind in ("centers", "manifest"):
+        tasks = {f[:10] for _, _, own in os.walk(tmp_path / kind) for f in own if f.startswith("part-")}
+        assert len(tasks) > 4, (kind, tasks)
