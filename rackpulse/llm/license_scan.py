@@ -49,6 +49,7 @@ Defined results:
 
 from __future__ import annotations
 
+import json
 import zlib
 from dataclasses import dataclass
 
@@ -145,12 +146,18 @@ def words(normalised: Column) -> Column:
     return F.split(F.trim(normalised), " ")
 
 
-def _by_hash(values: dict[str, Column], kind: str) -> Column:
+def constant(value: object, kind: str) -> Column:
+    """A nested constant as one JSON text, which Spark reads once a plan: as an
+    expression a value, each of its copies fills the driver's memory."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
+
+
+def _by_hash(values: dict[str, object], kind: str) -> Column:
     """The map of grams in ``BUCKETS`` small maps: a look-up in a map reads all its keys."""
-    maps = [[] for _ in range(BUCKETS)]
+    maps = [{} for _ in range(BUCKETS)]
     for gram, value in values.items():
-        maps[_bucket(gram)] += [F.lit(gram), value]
-    return F.array(*[F.create_map(*m).cast(f"map<string,{kind}>") for m in maps])
+        maps[_bucket(gram)][gram] = value
+    return constant(maps, f"array<map<string,{kind}>>")
 
 
 def _bucket(gram: str) -> int:
@@ -164,7 +171,7 @@ def _looked_up(table: Column, gram: Column) -> Column:
 
 def present(own: Column, vocabulary: list[str]) -> Column:
     """The different word unigrams and bigrams of an array of words that the vocabulary has."""
-    table = _by_hash({g: F.lit(True) for g in vocabulary}, "boolean")
+    table = _by_hash(dict.fromkeys(vocabulary, True), "boolean")
     pairs = F.zip_with(own, F.slice(own, F.lit(2), F.size(own)), lambda a, b: F.concat(a, F.lit(" "), b))  # the last one null
     return F.array_distinct(F.filter(F.concat(own, pairs), lambda g: _looked_up(table, g).isNotNull()))
 
@@ -199,6 +206,17 @@ def likeness(normalised: Column, template: str) -> Column:
     return held / float(len(own))
 
 
+def _known(templates: dict[str, tuple[str, ...]]) -> Column:
+    """Array of struct(family, shingles), a struct a template."""
+    return constant([{"family": f, "shingles": [f" {s} " for s in _shingles(t)]} for f, own in templates.items() for t in own],
+                    "array<struct<family:string,shingles:array<string>>>")
+
+
+def _held(normalised: Column, template: Column) -> Column:
+    """Number of a template's shingles that the normalised text holds."""
+    return F.aggregate(template.shingles, F.lit(0), lambda n, s: n + normalised.contains(s).cast("int"))
+
+
 def paragraphs(docs: DataFrame) -> DataFrame:
     """(doc, digest, block, pos, around, line, norm) of the lines of documents (doc, digest, text).
 
@@ -218,17 +236,17 @@ def _borrowed(own: Column, templates: dict[str, tuple[str, ...]]) -> Column:
     """Share of the five-word shingles of an array of words that are in a template (all its words, if it has fewer)."""
     known = [" " + " ".join(_plain(t)) + " " for texts in templates.values() for t in texts]
     shingles = F.transform(F.sequence(F.lit(1), F.greatest(F.size(own) - SHINGLE + 1, F.lit(1))), lambda i: F.concat(F.lit(" "), F.array_join(F.slice(own, i, SHINGLE), " "), F.lit(" ")))
-    return F.size(F.filter(shingles, lambda s: F.exists(F.array(*map(F.lit, known)), lambda t: t.contains(s)))) / F.size(shingles)
+    return F.size(F.filter(shingles, lambda s: F.exists(constant(known, "array<string>"), lambda t: t.contains(s)))) / F.size(shingles)
 
 
 def _examples(lines: DataFrame, templates: dict[str, tuple[str, ...]], sample: int, part: float, row: int) -> DataFrame:
     """(id, family, other, grams) of the training paragraphs; family null: unknown; other: a second family."""
-    held = F.greatest(*[likeness(F.col("norm"), t) for own in templates.values() for t in own], F.lit(0.0))
+    held = F.exists(_known(templates), lambda t: _held(F.col("norm"), t) >= 0.5 * F.size(t.shingles))
     drawn = (lines.select("norm").where("norm <> '  '").withColumn("turn", F.xxhash64("norm")).orderBy("turn", "norm").limit(2 * sample)
-             .distinct().where((held < 0.5) & (_borrowed(words(F.col("norm")), templates) < 0.5)).orderBy("turn", "norm").limit(sample))
+             .distinct().where(~held & (_borrowed(words(F.col("norm")), templates) < 0.5)).orderBy("turn", "norm").limit(sample))
     drawn = stage(drawn.select(words(F.col("norm")).alias("words"), F.row_number().over(Window.orderBy("turn", "norm")).alias("n")), "license-sample")
-    given = [F.struct(F.lit(f).alias("family"), F.array(*map(F.lit, _plain(t))).alias("words")) for f, own in templates.items() for t in own]
-    whole = lines.sparkSession.range(1).select(F.explode(F.array(*given)).alias("r")).select("r.family", "r.words")
+    given = [{"family": f, "words": _plain(t)} for f, own in templates.items() for t in own]
+    whole = lines.sparkSession.range(1).select(F.explode(constant(given, "array<struct<family:string,words:array<string>>>")).alias("r")).select("r.family", "r.words")
     size = F.ceil(F.size("words") * part).cast("int")
     runs = (whole.withColumn("size", size).withColumn("at", F.explode(F.expr("sequence(1, size(words) - size + 1)")))
             .select("family", F.expr("slice(words, at, size)").alias("words")))
@@ -238,11 +256,12 @@ def _examples(lines: DataFrame, templates: dict[str, tuple[str, ...]], sample: i
             .join(drawn.withColumnRenamed("words", "around"), "n")
             .select("family", F.concat(F.slice("around", 1, 8), "words", F.slice("around", -1, 1)).alias("words")))
     sides = {f: (min(own, key=len), max(own, key=len)) for f, own in templates.items()}
-    pairs = [F.struct(F.lit(a).alias("family"), F.lit(b).alias("other"), F.array(*map(F.lit, _plain(x + " " + y))).alias("words"))
+    pairs = [{"family": a, "other": b, "words": _plain(x + " " + y)}
              for a in sides for b in sides if a < b for x, y in dict.fromkeys(zip(sides[a], sides[b], strict=True))]
     marked = whole.unionByName(runs).unionByName(rows).unionByName(amid).withColumn("other", F.lit(None).cast("string"))
     if pairs:
-        marked = marked.unionByName(lines.sparkSession.range(1).select(F.explode(F.array(*pairs)).alias("r")).select("r.*"))
+        both = constant(pairs, "array<struct<family:string,other:string,words:array<string>>>")
+        marked = marked.unionByName(lines.sparkSession.range(1).select(F.explode(both).alias("r")).select("r.*"))
     none = F.lit(None).cast("string")
     both = marked.unionByName(drawn.select(none.alias("family"), none.alias("other"), "words"))
     return both.select(F.monotonically_increasing_id().alias("id"), "family", "other", present(F.col("words"), _vocabulary(templates)).alias("grams"))
@@ -285,7 +304,7 @@ def fit(lines: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, sam
 
 def _named(model: Model, present: Column) -> Column:
     """Array of struct(p, family), of every family."""
-    table = _by_hash({g: F.array(*map(F.lit, w)) for g, w in model.weights.items()}, "array<double>")
+    table = _by_hash(model.weights, "array<double>")
     margins = F.aggregate(present, F.array(*map(F.lit, model.bias)), lambda a, g: F.zip_with(a, _looked_up(table, g), lambda x, y: x + y))
     return F.zip_with(margins, F.array(*map(F.lit, model.families)),
                       lambda m, f: F.struct((1 / (1 + F.exp(-m))).alias("p"), f.alias("family")))
@@ -299,14 +318,8 @@ def pieces(own: Column) -> Column:
 
 def confirmed(normalised: Column, templates: dict[str, tuple[str, ...]]) -> Column:
     """The families of which the normalised text holds a template and what is ``NEEDED``."""
-    known = F.array(*[F.struct(F.lit(f).alias("family"), F.array(*[F.lit(f" {s} ") for s in _shingles(t)]).alias("shingles"))
-                      for f, own in templates.items() for t in own])
-
-    def holds(t: Column) -> Column:
-        held = F.aggregate(t.shingles, F.lit(0), lambda n, s: n + normalised.contains(s).cast("int"))
-        return held >= ALIKE * F.size(t.shingles)
-
-    found = F.array_distinct(F.transform(F.filter(known, holds), lambda t: t.family))
+    found = F.filter(_known(templates), lambda t: _held(normalised, t) >= ALIKE * F.size(t.shingles))
+    found = F.array_distinct(F.transform(found, lambda t: t.family))
     lacking = [F.when(~normalised.rlike(r), F.lit(f)) for f, r in NEEDED.items()]
     return F.when(F.size(found) > 0, F.array_except(found, F.array(*lacking))).otherwise(found)
 

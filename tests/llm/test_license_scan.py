@@ -145,3 +145,13 @@ def test_wordings_that_are_not_templates(spark):
     got = {r.doc_id: r for r in X.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert [(rows[i][1], f, got[i].families) for i, f in want.items() if got[i].families != f] == []
     assert not any(r.n_license for i, r in got.items() if i not in want)
+
+
+def test_tables_are_one_constant(spark):
+    from pyspark.sql import functions as F
+    rng = random.Random(8)
+    table = {f'w{i} "x\\': [rng.uniform(-1, 1) * 10.0 ** rng.randrange(-20, 20) for _ in range(14)] for i in range(600)}
+    held = X._by_hash(table, "array<double>")
+    words = spark.createDataFrame([(w,) for w in [*table, "none"]], "w string")
+    got = dict(words.select("w", X._looked_up(held, F.col("w")).alias("v")).collect())
+    assert got == {**table, "none": None}
